@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage.functions import file_stem, keyword_flag
+from vantage.operators import mapping_index as MI
 from vantage.operators import metrics as M
 from vantage.operators.normalize import (
     normalize_annotations,
@@ -117,6 +118,33 @@ def q_preview_top(spark, d):
     return round_doubles(M.preview_top(viewpoint_metrics(spark, d), 20))
 
 
+# --- mapping index -----------------------------------------------------------
+
+NUM_BUCKETS = 8
+SMOKE_VIEWPOINTS = 10
+SMOKE_IMAGES = 100
+
+
+def q_grouped_mapping(spark, d):
+    return MI.grouped_mapping(D.mapping(spark, d))
+
+
+def q_bucket_assignment(spark, d):
+    return MI.bucket_assignment(D.mapping(spark, d), NUM_BUCKETS)
+
+
+def q_bucket_summary(spark, d):
+    return MI.bucket_summary(MI.bucket_assignment(D.mapping(spark, d), NUM_BUCKETS), NUM_BUCKETS)
+
+
+def q_smoke_subset(spark, d):
+    return MI.smoke_subset(D.mapping(spark, d), SMOKE_VIEWPOINTS, SMOKE_IMAGES)
+
+
+def q_representative_image(spark, d):
+    return MI.representative_image(D.mapping(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "images_norm": q_images_norm,
     "file_stem": q_file_stem,
@@ -132,4 +160,9 @@ QUERIES: dict[str, Query] = {
     "class_distribution": q_class_distribution,
     "viewpoint_metrics": q_viewpoint_metrics,
     "preview_top": q_preview_top,
+    "grouped_mapping": q_grouped_mapping,
+    "bucket_assignment": q_bucket_assignment,
+    "bucket_summary": q_bucket_summary,
+    "smoke_subset": q_smoke_subset,
+    "representative_image": q_representative_image,
 }

@@ -112,6 +112,25 @@ BASE = ",".join([IMAGES, ANNOTATIONS, CATEGORIES, MAPPING, JOINED])
 ALL_METRICS = ",".join([BASE, PER_IMAGE, CORE, CLASSES, METRICS])
 
 
+NUM_BUCKETS = 8
+
+# Sequential greedy, one viewpoint per recursion step.
+BUCKETS = f"""
+vs AS (SELECT viewpoint_id, count(*) AS c,
+              row_number() OVER (ORDER BY count(*) DESC, viewpoint_id) AS rn
+       FROM map_v GROUP BY viewpoint_id),
+g(i, loads, viewpoint_id, bucket_id, image_count) AS (
+  SELECT 0, list_transform(range({NUM_BUCKETS}), lambda x: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT),
+         CAST(NULL AS INTEGER), CAST(NULL AS BIGINT)
+  UNION ALL
+  SELECT g.i + 1,
+         list_transform(range({NUM_BUCKETS}), lambda x: CASE WHEN x = list_position(g.loads, list_min(g.loads)) - 1
+                                        THEN g.loads[x + 1] + vs.c ELSE g.loads[x + 1] END),
+         vs.viewpoint_id, CAST(list_position(g.loads, list_min(g.loads)) - 1 AS INTEGER), vs.c
+  FROM g JOIN vs ON vs.rn = g.i + 1),
+assign AS (SELECT viewpoint_id, bucket_id, image_count FROM g WHERE i > 0)"""
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -153,4 +172,24 @@ SELECT viewpoint_id, round(entropy, 6) AS entropy FROM ent"""),
 SELECT viewpoint_id, category_name AS class_name, round(class_prob, 6) AS share FROM cp"""),
     "viewpoint_metrics": _with(ALL_METRICS, "SELECT * FROM metrics"),
     "preview_top": _with(ALL_METRICS, "SELECT * FROM metrics ORDER BY viewpoint_id LIMIT 20"),
+    "grouped_mapping": _with(MAPPING, """
+SELECT viewpoint_id, count(*) AS image_count, CAST(0 AS BIGINT) AS chunk,
+       list(image_id ORDER BY CASE WHEN regexp_full_match(image_id, '[0-9]+') THEN 0 ELSE 1 END,
+            TRY_CAST(image_id AS DECIMAL(38, 0)), image_id, seq) AS image_ids
+FROM map_v GROUP BY viewpoint_id"""),
+    "bucket_assignment": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + """
+SELECT viewpoint_id, bucket_id, image_count FROM assign""",
+    "bucket_summary": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + f"""
+SELECT CAST(r.range AS INTEGER) AS bucket_id, CAST(count(a.viewpoint_id) AS BIGINT) AS viewpoint_count,
+       CAST(coalesce(sum(a.image_count), 0) AS BIGINT) AS image_count, CAST(0 AS BIGINT) AS chunk,
+       coalesce(list(a.viewpoint_id ORDER BY a.viewpoint_id) FILTER (WHERE a.viewpoint_id IS NOT NULL),
+                []) AS viewpoint_ids
+FROM range({NUM_BUCKETS}) r LEFT JOIN assign a ON a.bucket_id = r.range
+GROUP BY r.range""",
+    "smoke_subset": _with(MAPPING, """,
+firsts AS (SELECT viewpoint_id, min(seq) AS f FROM map_v GROUP BY viewpoint_id ORDER BY f LIMIT 10)
+SELECT image_id, viewpoint_id, seq FROM map_v
+WHERE viewpoint_id IN (SELECT viewpoint_id FROM firsts) ORDER BY seq LIMIT 100"""),
+    "representative_image": _with(MAPPING, """
+SELECT viewpoint_id, arg_min(image_id, seq) AS image_id, min(seq) AS seq FROM map_v GROUP BY viewpoint_id"""),
 }
