@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage.functions import file_stem, keyword_flag
+from vantage.operators import insight as I
 from vantage.operators import mapping_index as MI
 from vantage.operators import metrics as M
+from vantage.operators import similarity as S
 from vantage.operators.normalize import (
     normalize_annotations,
     normalize_categories,
@@ -145,6 +147,89 @@ def q_representative_image(spark, d):
     return MI.representative_image(D.mapping(spark, d))
 
 
+# --- insight -----------------------------------------------------------------
+
+MIN_IMAGES, MAX_ENTROPY, TOP_N, BINS = 5, 5.0, 20, 40
+
+
+def filtered_metrics(spark, d):
+    return I.filter_metrics(viewpoint_metrics(spark, d), MIN_IMAGES, MAX_ENTROPY)
+
+
+def q_coerce_metrics(spark, d):
+    text = viewpoint_metrics(spark, d).select(F.to_json(F.struct("*")).alias("value"))
+    return round_doubles(I.metrics_from_json_text(text))
+
+
+def q_filter_metrics(spark, d):
+    return round_doubles(filtered_metrics(spark, d))
+
+
+def q_kpi_summary(spark, d):
+    return round_doubles(I.kpi_summary(filtered_metrics(spark, d)))
+
+
+def q_top_congestion(spark, d):
+    return round_doubles(I.top_congestion(filtered_metrics(spark, d), TOP_N))
+
+
+def q_congestion_histogram(spark, d):
+    return round_doubles(I.congestion_histogram(filtered_metrics(spark, d), BINS))
+
+
+def q_composition_view(spark, d):
+    return round_doubles(I.composition_view(filtered_metrics(spark, d)))
+
+
+def q_viewpoint_detail(spark, d):
+    return round_doubles(I.viewpoint_detail(filtered_metrics(spark, d)))
+
+
+def q_class_vector_explode(spark, d):
+    return I.class_vector_explode(viewpoint_metrics(spark, d))
+
+
+# --- vectors -------------------------------------------------------------------
+
+PAIR_THRESHOLD = D.DRIVER_PAIR_THRESHOLD
+MAX_CANDIDATES = 2000
+
+
+def q_l2_normalize(spark, d):
+    from vantage.functions import l2_normalize
+
+    e = D.embeddings(spark, d)
+    return round_doubles(e.select("seq", F.posexplode(l2_normalize("embedding")).alias("d", "x")))
+
+
+def q_cosine_pairs(spark, d):
+    return round_doubles(S.label_cosine(D.embeddings(spark, d), D.centroids_by_label(spark, d)))
+
+
+def q_nearest_centroid(spark, d):
+    return round_doubles(S.nearest_centroid(D.embeddings(spark, d), D.centroids_by_label(spark, d)))
+
+
+def candidate_pairs(spark, d):
+    pairs = S.similar_pairs(D.embedding_registry(spark, d), PAIR_THRESHOLD)
+    return S.top_candidate_pairs(pairs, MAX_CANDIDATES)
+
+
+def q_similar_pairs(spark, d):
+    return round_doubles(candidate_pairs(spark, d).select(
+        F.col("id_a").alias("viewpoint_id_a"), F.col("id_b").alias("viewpoint_id_b"),
+        F.col("similarity").alias("centroid_similarity")))
+
+
+def q_pairs_with_images(spark, d):
+    from vantage.operators.review import pairs_with_images
+
+    images = normalize_images(D.raw_images(spark, d)).select("image_id", F.col("file_name").alias("path"))
+    out = pairs_with_images(candidate_pairs(spark, d), MI.representative_image(D.mapping(spark, d)), images,
+                            strict=False)
+    return round_doubles(out)
+
+
 QUERIES: dict[str, Query] = {
     "images_norm": q_images_norm,
     "file_stem": q_file_stem,
@@ -165,4 +250,17 @@ QUERIES: dict[str, Query] = {
     "bucket_summary": q_bucket_summary,
     "smoke_subset": q_smoke_subset,
     "representative_image": q_representative_image,
+    "coerce_metrics": q_coerce_metrics,
+    "filter_metrics": q_filter_metrics,
+    "kpi_summary": q_kpi_summary,
+    "top_congestion": q_top_congestion,
+    "congestion_histogram": q_congestion_histogram,
+    "composition_view": q_composition_view,
+    "viewpoint_detail": q_viewpoint_detail,
+    "class_vector_explode": q_class_vector_explode,
+    "l2_normalize": q_l2_normalize,
+    "cosine_pairs": q_cosine_pairs,
+    "nearest_centroid": q_nearest_centroid,
+    "similar_pairs": q_similar_pairs,
+    "pairs_with_images": q_pairs_with_images,
 }

@@ -95,18 +95,22 @@ vec AS (SELECT viewpoint_id,
         FROM cp GROUP BY viewpoint_id)"""
 
 METRICS = """
-metrics AS (
-  SELECT core.viewpoint_id, total_images, total_vehicles,
-         round(avg_vehicle_count, 6) AS avg_vehicle_count,
-         round(CASE WHEN total_images > 0 THEN total_vehicles / total_images ELSE 0.0 END, 6) AS per_vehicle_count,
-         round(avg_bbox_density, 6) AS avg_bbox_density,
-         round(heavy_vehicle_ratio, 6) AS heavy_vehicle_ratio,
-         round(two_wheeler_ratio, 6) AS two_wheeler_ratio,
-         round(coalesce(ent.entropy, 0.0), 6) AS entropy,
-         round(avg_vehicle_count * avg_bbox_density, 6) AS congestion_index,
+mraw AS (
+  SELECT core.viewpoint_id, total_images, total_vehicles, avg_vehicle_count,
+         CASE WHEN total_images > 0 THEN total_vehicles / total_images ELSE 0.0 END AS per_vehicle_count,
+         avg_bbox_density, heavy_vehicle_ratio, two_wheeler_ratio,
+         coalesce(ent.entropy, 0.0) AS entropy,
+         avg_vehicle_count * avg_bbox_density AS congestion_index,
          coalesce(vec.class_distribution_vector, '{}') AS class_distribution_vector
   FROM core LEFT JOIN ent ON core.viewpoint_id = ent.viewpoint_id
-            LEFT JOIN vec ON core.viewpoint_id = vec.viewpoint_id)"""
+            LEFT JOIN vec ON core.viewpoint_id = vec.viewpoint_id),
+metrics AS (SELECT viewpoint_id, total_images, total_vehicles, ROUNDED_DOUBLES, class_distribution_vector
+            FROM mraw)"""
+
+DOUBLE_METRICS = ("avg_vehicle_count", "per_vehicle_count", "avg_bbox_density", "heavy_vehicle_ratio",
+                  "two_wheeler_ratio", "entropy", "congestion_index")
+ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in DOUBLE_METRICS)
+METRICS = METRICS.replace("ROUNDED_DOUBLES", ROUNDED)
 
 BASE = ",".join([IMAGES, ANNOTATIONS, CATEGORIES, MAPPING, JOINED])
 ALL_METRICS = ",".join([BASE, PER_IMAGE, CORE, CLASSES, METRICS])
@@ -131,6 +135,28 @@ g(i, loads, viewpoint_id, bucket_id, image_count) AS (
 assign AS (SELECT viewpoint_id, bucket_id, image_count FROM g WHERE i > 0)"""
 
 
+MIN_IMAGES, MAX_ENTROPY, TOP_N, BINS = 5, 5.0, 20, 40
+FILTERED = f"""
+filt AS (SELECT * FROM mraw WHERE total_images >= {MIN_IMAGES} AND entropy <= {MAX_ENTROPY}),
+bounds AS (SELECT min(congestion_index) AS lo, max(congestion_index) AS hi FROM filt)"""
+
+
+PAIR_THRESHOLD, MAX_CANDIDATES = 0.40, 2000
+VECTORS = """
+e_x AS (SELECT vec_id AS seq, CAST(label AS BIGINT) AS label, unnest(range(len(embedding))) AS d,
+               CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+e_n AS (SELECT seq, sqrt(sum(x * x)) AS n FROM e_x GROUP BY seq),
+e_u AS (SELECT x.seq, x.label, x.d, x.x / n.n AS u FROM e_x x JOIN e_n n ON x.seq = n.seq),
+c_raw AS (SELECT label, d, avg(x) AS m FROM e_x GROUP BY label, d),
+c_n AS (SELECT label, sqrt(sum(m * m)) AS n FROM c_raw GROUP BY label),
+c_u AS (SELECT r.label, r.d, r.m / n.n AS c FROM c_raw r JOIN c_n n ON r.label = n.label)"""
+PAIRS = f"""
+pairs AS (SELECT a.seq AS viewpoint_id_a, b.seq AS viewpoint_id_b, sum(a.u * b.u) AS sim
+          FROM e_u a JOIN e_u b ON a.d = b.d AND a.seq < b.seq
+          GROUP BY a.seq, b.seq HAVING sum(a.u * b.u) >= {PAIR_THRESHOLD}
+          ORDER BY sim DESC, viewpoint_id_a, viewpoint_id_b LIMIT {MAX_CANDIDATES})"""
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -192,4 +218,54 @@ SELECT image_id, viewpoint_id, seq FROM map_v
 WHERE viewpoint_id IN (SELECT viewpoint_id FROM firsts) ORDER BY seq LIMIT 100"""),
     "representative_image": _with(MAPPING, """
 SELECT viewpoint_id, arg_min(image_id, seq) AS image_id, min(seq) AS seq FROM map_v GROUP BY viewpoint_id"""),
+    "coerce_metrics": _with(ALL_METRICS, "SELECT * FROM metrics"),
+    "filter_metrics": _with(ALL_METRICS + "," + FILTERED, f"""
+SELECT viewpoint_id, total_images, total_vehicles, {ROUNDED}, class_distribution_vector FROM filt"""),
+    "kpi_summary": _with(ALL_METRICS + "," + FILTERED, """
+SELECT count(*) AS viewpoints, CAST(coalesce(sum(total_vehicles), 0) AS BIGINT) AS total_vehicles,
+       round(avg(congestion_index), 6) AS mean_congestion, round(avg(avg_bbox_density), 6) AS mean_bbox_density
+FROM filt"""),
+    "top_congestion": _with(ALL_METRICS + "," + FILTERED, f"""
+SELECT viewpoint_id, total_images, total_vehicles, {ROUNDED}, class_distribution_vector FROM filt
+ORDER BY congestion_index DESC, viewpoint_id LIMIT {TOP_N}"""),
+    "congestion_histogram": _with(ALL_METRICS + "," + FILTERED, f"""
+, binned AS (
+  SELECT CASE WHEN b.hi > b.lo
+              THEN least(CAST(floor((f.congestion_index - b.lo) * {BINS} / (b.hi - b.lo)) AS INTEGER) + 1, {BINS})
+              ELSE 1 END AS bin
+  FROM filt f, bounds b WHERE f.congestion_index IS NOT NULL),
+counts AS (SELECT bin, count(*) AS c FROM binned GROUP BY bin)
+SELECT CAST(r.range AS INTEGER) AS bin,
+       round(b.lo + (r.range - 1) * ((b.hi - b.lo) / {BINS}), 6) AS bin_start,
+       round(b.lo + r.range * ((b.hi - b.lo) / {BINS}), 6) AS bin_end,
+       coalesce(c.c, 0) AS count
+FROM range(1, {BINS} + 1) r CROSS JOIN bounds b LEFT JOIN counts c ON c.bin = r.range"""),
+    "composition_view": _with(ALL_METRICS + "," + FILTERED, f"""
+SELECT viewpoint_id, total_images, total_vehicles, {ROUNDED} FROM filt"""),
+    "viewpoint_detail": _with(ALL_METRICS + "," + FILTERED, f"""
+SELECT viewpoint_id, total_images, total_vehicles, {ROUNDED}, class_distribution_vector FROM filt
+WHERE viewpoint_id = (SELECT min(viewpoint_id) FROM filt)"""),
+    "class_vector_explode": _with(ALL_METRICS, """
+SELECT viewpoint_id, category_name AS class_name, round(class_prob, 6) AS share FROM cp"""),
+    "l2_normalize": _with(VECTORS, """
+SELECT seq, CAST(d AS INTEGER) AS d, round(u, 6) AS x FROM e_u"""),
+    "cosine_pairs": _with(VECTORS, """
+SELECT e.seq, e.label, round(sum(e.u * c.c), 6) AS cosine
+FROM e_u e JOIN c_u c ON e.label = c.label AND e.d = c.d GROUP BY e.seq, e.label"""),
+    "nearest_centroid": _with(VECTORS, """,
+sims AS (SELECT e.seq, c.label AS viewpoint_id, sum(e.u * c.c) AS sim
+         FROM e_u e JOIN c_u c ON e.d = c.d GROUP BY e.seq, c.label)
+SELECT seq, viewpoint_id, round(sim, 6) AS similarity FROM sims
+QUALIFY row_number() OVER (PARTITION BY seq ORDER BY sim DESC, viewpoint_id) = 1"""),
+    "similar_pairs": _with(VECTORS + "," + PAIRS, """
+SELECT viewpoint_id_a, viewpoint_id_b, round(sim, 6) AS centroid_similarity FROM pairs"""),
+    "pairs_with_images": _with(",".join([IMAGES, MAPPING, VECTORS, PAIRS]), """,
+rep AS (SELECT viewpoint_id, arg_min(image_id, seq) AS image_id FROM map_v GROUP BY viewpoint_id),
+paths AS (SELECT image_id, file_name AS path FROM images_v)
+SELECT p.viewpoint_id_a, ra.image_id AS image_id_a, pa.path AS image_path_a,
+       p.viewpoint_id_b, rb.image_id AS image_id_b, pb.path AS image_path_b,
+       round(p.sim, 6) AS centroid_similarity, '' AS merge_decision, '' AS notes
+FROM pairs p
+LEFT JOIN rep ra ON ra.viewpoint_id = p.viewpoint_id_a LEFT JOIN paths pa ON pa.image_id = ra.image_id
+LEFT JOIN rep rb ON rb.viewpoint_id = p.viewpoint_id_b LEFT JOIN paths pb ON pb.image_id = rb.image_id"""),
 }

@@ -108,6 +108,14 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embedding_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry-shaped table with one viewpoint per embedding row
+    (viewpoint_id = vec_id): the input of the near-duplicate search."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").cast("long").alias("viewpoint_id"), F.col("embedding").alias("centroid"),
+                    F.lit(1).cast("long").alias("count"))
+
+
 def centroids_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A registry-shaped table: one unit centroid per embedding label.
 
