@@ -1,5 +1,6 @@
 from vantage.functions.expressions import (  # noqa: F401
     HEAVY_VEHICLE_KEYWORDS,
+    MASK_PADDING,
     TWO_WHEELER_KEYWORDS,
     bbox_area,
     clamp_bbox_area,

@@ -35,7 +35,8 @@ def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[st
     stats = frozen.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
     )
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    spec = Window.partitionBy(*group_cols) if group_cols else Window
+    before = spec.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select("_pid", *group_cols, "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage.functions import file_stem, keyword_flag
+from vantage.operators import dataset_index as X
 from vantage.operators import insight as I
 from vantage.operators import mapping_index as MI
 from vantage.operators import metrics as M
@@ -128,7 +129,8 @@ SMOKE_IMAGES = 100
 
 
 def q_grouped_mapping(spark, d):
-    return MI.grouped_mapping(D.mapping(spark, d))
+    g = MI.grouped_mapping(D.mapping(spark, d))
+    return g.select("viewpoint_id", "image_count", "chunk", F.to_json("image_ids").alias("image_ids_json"))
 
 
 def q_bucket_assignment(spark, d):
@@ -136,7 +138,9 @@ def q_bucket_assignment(spark, d):
 
 
 def q_bucket_summary(spark, d):
-    return MI.bucket_summary(MI.bucket_assignment(D.mapping(spark, d), NUM_BUCKETS), NUM_BUCKETS)
+    b = MI.bucket_summary(MI.bucket_assignment(D.mapping(spark, d), NUM_BUCKETS), NUM_BUCKETS)
+    return b.select("bucket_id", "viewpoint_count", "image_count", "chunk",
+                    F.to_json("viewpoint_ids").alias("viewpoint_ids_json"))
 
 
 def q_smoke_subset(spark, d):
@@ -230,6 +234,25 @@ def q_pairs_with_images(spark, d):
     return round_doubles(out)
 
 
+# --- dataset index -------------------------------------------------------------
+
+MASK_PADDING_DRIVER = 0  # the application's -40 empties every driver box (w <= 50, h <= 7)
+
+
+def q_ordered_index(spark, d):
+    return X.ordered_index(normalize_images(D.raw_images(spark, d)))
+
+
+def q_image_bboxes(spark, d):
+    out = X.image_bboxes(normalize_images(D.raw_images(spark, d)), normalize_annotations(D.raw_annotations(spark, d)))
+    return out.select("split", "coco_image_id", "image_id", "chunk", F.to_json("bboxes").alias("bboxes_json"))
+
+
+def q_mask_rects(spark, d):
+    return X.mask_rects(normalize_images(D.raw_images(spark, d)), normalize_annotations(D.raw_annotations(spark, d)),
+                        MASK_PADDING_DRIVER)
+
+
 QUERIES: dict[str, Query] = {
     "images_norm": q_images_norm,
     "file_stem": q_file_stem,
@@ -263,4 +286,7 @@ QUERIES: dict[str, Query] = {
     "nearest_centroid": q_nearest_centroid,
     "similar_pairs": q_similar_pairs,
     "pairs_with_images": q_pairs_with_images,
+    "ordered_index": q_ordered_index,
+    "image_bboxes": q_image_bboxes,
+    "mask_rects": q_mask_rects,
 }

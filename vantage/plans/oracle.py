@@ -200,16 +200,16 @@ SELECT viewpoint_id, category_name AS class_name, round(class_prob, 6) AS share
     "preview_top": _with(ALL_METRICS, "SELECT * FROM metrics ORDER BY viewpoint_id LIMIT 20"),
     "grouped_mapping": _with(MAPPING, """
 SELECT viewpoint_id, count(*) AS image_count, CAST(0 AS BIGINT) AS chunk,
-       list(image_id ORDER BY CASE WHEN regexp_full_match(image_id, '[0-9]+') THEN 0 ELSE 1 END,
-            TRY_CAST(image_id AS DECIMAL(38, 0)), image_id, seq) AS image_ids
+       to_json(list(image_id ORDER BY CASE WHEN regexp_full_match(image_id, '[0-9]+') THEN 0 ELSE 1 END,
+            TRY_CAST(image_id AS DECIMAL(38, 0)), image_id, seq)) AS image_ids_json
 FROM map_v GROUP BY viewpoint_id"""),
     "bucket_assignment": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + """
 SELECT viewpoint_id, bucket_id, image_count FROM assign""",
     "bucket_summary": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + f"""
 SELECT CAST(r.range AS INTEGER) AS bucket_id, CAST(count(a.viewpoint_id) AS BIGINT) AS viewpoint_count,
        CAST(coalesce(sum(a.image_count), 0) AS BIGINT) AS image_count, CAST(0 AS BIGINT) AS chunk,
-       coalesce(list(a.viewpoint_id ORDER BY a.viewpoint_id) FILTER (WHERE a.viewpoint_id IS NOT NULL),
-                []) AS viewpoint_ids
+       CAST(to_json(coalesce(list(a.viewpoint_id ORDER BY a.viewpoint_id)
+                             FILTER (WHERE a.viewpoint_id IS NOT NULL), [])) AS VARCHAR) AS viewpoint_ids_json
 FROM range({NUM_BUCKETS}) r LEFT JOIN assign a ON a.bucket_id = r.range
 GROUP BY r.range""",
     "smoke_subset": _with(MAPPING, """,
@@ -268,4 +268,25 @@ SELECT p.viewpoint_id_a, ra.image_id AS image_id_a, pa.path AS image_path_a,
 FROM pairs p
 LEFT JOIN rep ra ON ra.viewpoint_id = p.viewpoint_id_a LEFT JOIN paths pa ON pa.image_id = ra.image_id
 LEFT JOIN rep rb ON rb.viewpoint_id = p.viewpoint_id_b LEFT JOIN paths pb ON pb.image_id = rb.image_id"""),
+    "ordered_index": _with(IMAGES, """
+SELECT row_number() OVER (ORDER BY CASE split WHEN 'train' THEN 0 WHEN 'val' THEN 1 ELSE 2 END, pos) - 1 AS seq,
+       split, image_id, file_name, coco_image_id FROM images_v"""),
+    "image_bboxes": _with(IMAGES, """,
+raw_ann AS (SELECT l_orderkey AS coco_image_id, CAST(l_linenumber AS BIGINT) AS pos,
+                   [0.0, 0.0, CAST(l_quantity AS DOUBLE), CAST(l_linenumber AS DOUBLE)] AS bbox FROM lineitem),
+lists AS (SELECT coco_image_id, CAST(to_json(list(bbox ORDER BY pos, bbox)) AS VARCHAR) AS bboxes_json
+          FROM raw_ann GROUP BY coco_image_id)
+SELECT i.split, i.coco_image_id, i.image_id, CAST(0 AS BIGINT) AS chunk, coalesce(l.bboxes_json, '[]') AS bboxes_json
+FROM images_v i LEFT JOIN lists l ON i.coco_image_id = l.coco_image_id"""),
+    "mask_rects": _with(IMAGES, """,
+rects AS (
+  SELECT l_orderkey * 8 + l_linenumber AS annotation_id, l_orderkey AS coco_image_id,
+         CAST(l_quantity AS DOUBLE) AS w, CAST(l_linenumber AS DOUBLE) AS h,
+         greatest(0, least(CAST(i.width AS BIGINT), CAST(round_even(0.0 - 0, 0) AS BIGINT))) AS x1,
+         greatest(0, least(CAST(i.height AS BIGINT), CAST(round_even(0.0 - 0, 0) AS BIGINT))) AS y1,
+         greatest(0, least(CAST(i.width AS BIGINT), CAST(round_even(0.0 + l_quantity + 0, 0) AS BIGINT))) AS x2,
+         greatest(0, least(CAST(i.height AS BIGINT), CAST(round_even(0.0 + l_linenumber + 0, 0) AS BIGINT))) AS y2
+  FROM lineitem JOIN images_v i ON i.coco_image_id = l_orderkey)
+SELECT coco_image_id, annotation_id, x1, y1, x2, y2 FROM rects
+WHERE w > 0 AND h > 0 AND x2 > x1 AND y2 > y1"""),
 }
