@@ -76,11 +76,14 @@ def similar_pairs(vectors: DataFrame, threshold: float, id_col: str = "viewpoint
 def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 1, threshold: float | None = None,
                        left_id: str = "seq", left_vec: str = "embedding",
                        right_id: str = "viewpoint_id", right_vec: str = "centroid",
-                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                       block_rows: int = DEFAULT_BLOCK_ROWS, left_rows: int | None = None,
+                       right_rows: int | None = None) -> DataFrame:
     """For each left vector the k most similar right vectors (ties: lower
     right id), optionally only those >= threshold, with their rank (1 = best).
-    Left rows without a candidate are absent."""
-    gl, gr = _n_blocks(left, block_rows), _n_blocks(right, block_rows)
+    Left rows without a candidate are absent. Known row counts skip the
+    counting jobs that size the grid."""
+    gl = max(1, math.ceil(left_rows / block_rows)) if left_rows is not None else _n_blocks(left, block_rows)
+    gr = max(1, math.ceil(right_rows / block_rows)) if right_rows is not None else _n_blocks(right, block_rows)
     lv = left.select(F.col(left_id).cast("long").alias("id"), F.col(left_vec).alias("v"))
     rv = right.select(F.col(right_id).cast("long").alias("id"), F.col(right_vec).alias("v"))
     lrep = lv.select("id", "v", _block_of("id", gl).alias("bl"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage.functions import file_stem, keyword_flag
+from vantage.operators import checks as C
 from vantage.operators import dataset_index as X
 from vantage.operators import insight as I
 from vantage.operators import mapping_index as MI
@@ -26,7 +27,9 @@ from vantage.operators.normalize import (
     union_splits,
 )
 from vantage.operators.util import round_doubles
+from vantage.session import scratch_path
 from vantage.sources import driver_tables as D
+from vantage.streaming import online as O
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -253,6 +256,94 @@ def q_mask_rects(spark, d):
                         MASK_PADDING_DRIVER)
 
 
+# --- online assignment, review ---------------------------------------------------
+
+ASSIGN_BATCH = 256
+
+
+def online_run(spark, d):
+    root = scratch_path(spark, "online-assign")
+    return O.run_online_assignment(spark, D.embeddings(spark, d), root,
+                                   threshold=D.DRIVER_ASSIGN_THRESHOLD, batch_size=ASSIGN_BATCH)
+
+
+def q_online_assign(spark, d):
+    mapping, _ = online_run(spark, d)
+    return mapping
+
+
+def q_centroid_update(spark, d):
+    _, registry = online_run(spark, d)
+    return registry.select("viewpoint_id", "count", F.to_json(
+        F.transform("centroid", lambda x: F.round(x, 6))).alias("centroid_json"))
+
+
+def q_registry_totals(spark, d):
+    reg = D.centroids_by_label(spark, d)
+    return reg.agg(F.count(F.lit(1)).alias("viewpoints"), F.sum("count").alias("images"))
+
+
+def decided_candidates(spark, d):
+    """Candidate rows with decisions derived from the pair ids:
+    (a + b) % 3 -> 0 merge, 1 no_merge, 2 undecided."""
+    from vantage.operators import review as R
+
+    images = normalize_images(D.raw_images(spark, d)).select("image_id", F.col("file_name").alias("path"))
+    cands = R.pairs_with_images(candidate_pairs(spark, d), MI.representative_image(D.mapping(spark, d)), images,
+                                strict=False)
+    r = (F.col("viewpoint_id_a") + F.col("viewpoint_id_b")) % 3
+    events = cands.select(
+        "viewpoint_id_a", "viewpoint_id_b",
+        F.when(r == 0, "merge").when(r == 1, "no_merge").otherwise("").alias("merge_decision"),
+        F.lit("").alias("notes"), F.lit(0).cast("long").alias("event_seq"),
+    )
+    return R.with_candidate_order(R.apply_decisions(cands, events))
+
+
+def q_review_progress(spark, d):
+    from vantage.operators import review as R
+
+    return R.review_progress(decided_candidates(spark, d))
+
+
+# --- checks (on views with planted faults) ----------------------------------------
+
+def q_check_bbox(spark, d):
+    raw = D.raw_annotations(spark, d).withColumn(
+        "bbox", F.when(F.col("pos") == 7, F.slice("bbox", 1, 3)).otherwise(F.col("bbox")))
+    bad = X.check_bboxes(normalize_annotations(raw))
+    return bad.select("annotation_id", "coco_image_id", F.size("bbox").alias("bbox_size"))
+
+
+def q_check_vectors(spark, d):
+    e = D.embeddings(spark, d).withColumn(
+        "embedding", F.when(F.col("label") == 3, F.slice("embedding", 1, 63)).otherwise(F.col("embedding")))
+    return round_doubles(C.check_vectors(e, "embedding", 64))
+
+
+def q_check_duplicates(spark, d):
+    pages = D.table(spark, d, "pages").select(file_stem("url").alias("stem"))
+    return C.check_duplicates(pages, ["stem"])
+
+
+def q_check_unmatched(spark, d):
+    annotated = M.annotation_join(traffic_inputs(spark, d)).select("image_id")
+    return C.check_unmatched(D.mapping(spark, d).select("image_id", "viewpoint_id"), annotated, ["image_id"])
+
+
+def q_check_resume(spark, d):
+    index = X.ordered_index(normalize_images(D.raw_images(spark, d))).select("seq", "image_id")
+    mapping = D.mapping(spark, d)
+    registry = MI.viewpoint_sizes(mapping).withColumnRenamed("image_count", "count")
+    return C.check_resume(index, mapping, registry, mapping.count())
+
+
+def q_check_conservation(spark, d):
+    e = D.embeddings(spark, d)
+    mapping = S.nearest_centroid(e, D.centroids_by_label(spark, d))
+    return C.check_conservation(e, mapping, D.centroids_by_label(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "images_norm": q_images_norm,
     "file_stem": q_file_stem,
@@ -289,4 +380,14 @@ QUERIES: dict[str, Query] = {
     "ordered_index": q_ordered_index,
     "image_bboxes": q_image_bboxes,
     "mask_rects": q_mask_rects,
+    "online_assign": q_online_assign,
+    "centroid_update": q_centroid_update,
+    "registry_totals": q_registry_totals,
+    "review_progress": q_review_progress,
+    "check_bbox": q_check_bbox,
+    "check_vectors": q_check_vectors,
+    "check_duplicates": q_check_duplicates,
+    "check_unmatched": q_check_unmatched,
+    "check_resume": q_check_resume,
+    "check_conservation": q_check_conservation,
 }

@@ -289,4 +289,47 @@ rects AS (
   FROM lineitem JOIN images_v i ON i.coco_image_id = l_orderkey)
 SELECT coco_image_id, annotation_id, x1, y1, x2, y2 FROM rects
 WHERE w > 0 AND h > 0 AND x2 > x1 AND y2 > y1"""),
+    "registry_totals": """
+SELECT count(DISTINCT label) AS viewpoints, count(*) AS images FROM embeddings""",
+    "review_progress": _with(",".join([IMAGES, MAPPING, VECTORS, PAIRS]), """,
+dec AS (SELECT CASE (viewpoint_id_a + viewpoint_id_b) % 3 WHEN 0 THEN 'merge' WHEN 1 THEN 'no_merge' ELSE '' END
+               AS merge_decision,
+               row_number() OVER (ORDER BY round(sim, 6) DESC, viewpoint_id_a, viewpoint_id_b) - 1 AS seq
+        FROM pairs)
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE merge_decision = 'merge') AS merge,
+       count(*) FILTER (WHERE merge_decision = 'no_merge') AS no_merge,
+       count(*) FILTER (WHERE merge_decision NOT IN ('merge', 'no_merge')) AS undecided,
+       coalesce(min(seq) FILTER (WHERE merge_decision NOT IN ('merge', 'no_merge')), count(*)) AS resume_index
+FROM dec"""),
+    "check_bbox": """
+SELECT l_orderkey * 8 + l_linenumber AS annotation_id, l_orderkey AS coco_image_id, 3 AS bbox_size
+FROM lineitem WHERE l_linenumber = 7""",
+    "check_vectors": """
+SELECT vec_id AS seq, 63 AS dim,
+       round(sqrt(list_sum(list_transform(embedding[1:63], lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))), 6)
+         AS norm
+FROM embeddings WHERE label = 3""",
+    "check_duplicates": f"""
+SELECT {STEM.format(c='url')} AS stem, count(*) AS rows FROM pages GROUP BY 1 HAVING count(*) > 1""",
+    "check_unmatched": _with(BASE, """
+SELECT image_id, viewpoint_id FROM map_v WHERE image_id NOT IN (SELECT image_id FROM joined)"""),
+    "check_resume": _with(",".join([IMAGES, MAPPING]), """,
+idx AS (SELECT row_number() OVER (ORDER BY CASE split WHEN 'train' THEN 0 WHEN 'val' THEN 1 ELSE 2 END, pos) - 1
+               AS seq, image_id FROM images_v),
+mism AS (SELECT m.seq FROM map_v m LEFT JOIN idx i ON i.seq = m.seq
+         WHERE i.image_id IS NULL OR i.image_id <> m.image_id)
+SELECT 'mapping order mismatch' AS problem, count(*) AS rows, min(seq) AS first_seq FROM mism
+HAVING count(*) > 0"""),
+    "check_conservation": _with(VECTORS, """,
+sims AS (SELECT e.seq, c.label AS viewpoint_id, sum(e.u * c.c) AS sim
+         FROM e_u e JOIN c_u c ON e.d = c.d GROUP BY e.seq, c.label),
+best AS (SELECT seq, viewpoint_id FROM sims
+         QUALIFY row_number() OVER (PARTITION BY seq ORDER BY sim DESC, viewpoint_id) = 1),
+mapped AS (SELECT viewpoint_id, count(*) AS mapped FROM best GROUP BY viewpoint_id),
+reg AS (SELECT CAST(label AS BIGINT) AS viewpoint_id, count(*) AS cnt FROM embeddings GROUP BY label)
+SELECT 'registry count differs from mapped rows' AS problem, count(*) AS rows
+FROM reg FULL OUTER JOIN mapped ON reg.viewpoint_id = mapped.viewpoint_id
+WHERE coalesce(reg.cnt, 0) <> coalesce(mapped.mapped, 0)
+HAVING count(*) > 0"""),
 }
