@@ -159,12 +159,28 @@ def q_representative_image(spark, d):
 MIN_IMAGES, MAX_ENTROPY, TOP_N, BINS = 5, 5.0, 20, 40
 
 
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def metrics_table(spark: SparkSession, d: str) -> DataFrame:
+    """The viewpoint metrics as the insight queries read them: written once
+    per session and input folder to the shared checkpoint folder (as the
+    metrics job writes its Parquet output), then read back."""
+    key = (spark.sparkContext.applicationId, d)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, "viewpoint-metrics")
+        viewpoint_metrics(spark, d).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
 def filtered_metrics(spark, d):
-    return I.filter_metrics(viewpoint_metrics(spark, d), MIN_IMAGES, MAX_ENTROPY)
+    return I.filter_metrics(metrics_table(spark, d), MIN_IMAGES, MAX_ENTROPY)
 
 
 def q_coerce_metrics(spark, d):
-    text = viewpoint_metrics(spark, d).select(F.to_json(F.struct("*")).alias("value"))
+    text = metrics_table(spark, d).select(F.to_json(F.struct("*")).alias("value"))
     return round_doubles(I.metrics_from_json_text(text))
 
 
@@ -193,7 +209,7 @@ def q_viewpoint_detail(spark, d):
 
 
 def q_class_vector_explode(spark, d):
-    return I.class_vector_explode(viewpoint_metrics(spark, d))
+    return I.class_vector_explode(metrics_table(spark, d))
 
 
 # --- vectors -------------------------------------------------------------------

@@ -10,7 +10,14 @@ from pyspark.sql import SparkSession
 # Settings every job relies on. AQE stays on: it coalesces small shuffle
 # partitions, turns joins into broadcasts from runtime sizes and splits skewed
 # join partitions, so the fixed partition count only has to be an upper bound.
+# Broadcasts are decided only on measured sizes: the planner's static guess
+# (compressed file size scaled by column widths) once chose to broadcast the
+# annotation fact table, so static broadcasting is off and AQE converts a join
+# after its shuffle stages report the real size of each side. Explicit
+# broadcast hints are placed only behind a row-count check.
 BASE_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
