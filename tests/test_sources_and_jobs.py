@@ -37,7 +37,7 @@ def test_metrics_job_end_to_end(spark, tmp_dir):
     out = f"{tmp_dir}/out"
     facts = job.main(["metrics", "--mapping-csv", mapping, "--train-json", train, "--val-json", val,
                       "--output-dir", out, "--preview-jsonl", f"{tmp_dir}/preview", "--preview-limit", "1",
-                      "--shuffle-partitions", "4"])
+                      "--shuffle-partitions", "8"])
     assert facts["mapping_rows"] == 5 and facts["joined_rows"] == 7
     assert facts["images_rows"] == 3 and facts["viewpoints_rows"] == 2
     rows = spark.read.parquet(out).collect()
@@ -52,14 +52,14 @@ def test_mapping_index_and_smoke_jobs(spark, tmp_dir):
     text = "image_id,viewpoint_id,extra\n" + "".join(f" {i} , {i % 5} ,x\n" for i in range(40))
     src = write(f"{tmp_dir}/m.csv", text)
     facts = job.main(["mapping-index", "--input-csv", src, "--output-dir", f"{tmp_dir}/idx",
-                      "--num-node-buckets", "3"])
+                      "--num-node-buckets", "3", "--shuffle-partitions", "8"])
     assert facts == {"rows": 40, "viewpoints": 5, "buckets": 3}
     grouped = read_json_lines(f"{tmp_dir}/idx/viewpoint_to_images_jsonl/*.json")
     assert grouped[0]["viewpoint_id"] == 0 and grouped[0]["image_ids"] == [str(i) for i in range(0, 40, 5)]
     summary = spark.read.option("header", "true").csv(f"{tmp_dir}/idx/bucket_summary").collect()
     assert sorted(int(r.viewpoint_count) for r in summary) == [1, 2, 2]
     job.main(["smoke", "--input-csv", src, "--output-csv", f"{tmp_dir}/smoke", "--max-viewpoints", "2",
-              "--max-images", "5"])
+              "--max-images", "5", "--shuffle-partitions", "8"])
     smoke = read_mapping_csv(spark, f"{tmp_dir}/smoke").orderBy("seq").collect()
     assert [(r.image_id, r.viewpoint_id) for r in smoke] == [("0", 0), ("1", 1), ("5", 0), ("6", 1), ("10", 0)]
 

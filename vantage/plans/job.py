@@ -30,8 +30,10 @@ from vantage.session import build_session  # noqa: E402
 def _common(p: argparse.ArgumentParser) -> None:
     p.add_argument("--master", default=None)
     p.add_argument("--app-name", default="vantage")
-    p.add_argument("--shuffle-partitions", type=int, default=48)
-    p.add_argument("--default-parallelism", type=int, default=48)
+    # An upper bound: AQE coalesces small partitions but never splits large
+    # ones, so size it to the input (about input bytes / 128 MB).
+    p.add_argument("--shuffle-partitions", type=int, default=2000)
+    p.add_argument("--default-parallelism", type=int, default=None)
     p.add_argument("--manifest-dir", default=None, help="where the run manifest goes (default: next to the output)")
 
 
