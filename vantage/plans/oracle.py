@@ -200,8 +200,8 @@ SELECT viewpoint_id, category_name AS class_name, round(class_prob, 6) AS share
     "preview_top": _with(ALL_METRICS, "SELECT * FROM metrics ORDER BY viewpoint_id LIMIT 20"),
     "grouped_mapping": _with(MAPPING, """
 SELECT viewpoint_id, count(*) AS image_count, CAST(0 AS BIGINT) AS chunk,
-       to_json(list(image_id ORDER BY CASE WHEN regexp_full_match(image_id, '[0-9]+') THEN 0 ELSE 1 END,
-            TRY_CAST(image_id AS DECIMAL(38, 0)), image_id, seq)) AS image_ids_json
+       CAST(to_json(list(image_id ORDER BY CASE WHEN regexp_full_match(image_id, '[0-9]+') THEN 0 ELSE 1 END,
+            TRY_CAST(image_id AS DECIMAL(38, 0)), image_id, seq)) AS VARCHAR) AS image_ids_json
 FROM map_v GROUP BY viewpoint_id"""),
     "bucket_assignment": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + """
 SELECT viewpoint_id, bucket_id, image_count FROM assign""",
