@@ -154,3 +154,37 @@ def test_ordered_index_and_boxes(spark):
                                  "split string, pos long, coco_image_id long, bbox array<double>")
     boxes = {r.image_id: r.bboxes for r in image_bboxes(images, anns).collect()}
     assert boxes["t0"] == [[0.0, 0.0, 1.0, 1.0], [1.0, 1.0, 1.0, 1.0]] and boxes["v0"] == []
+
+
+@pytest.mark.parametrize("threshold,pivots,block_rows", [(0.97, 3, 10), (0.9, 2, 1000), (0.5, 4, 7)])
+def test_pivot_pruned_pairs_equal_brute_force(spark, threshold, pivots, block_rows):
+    rng = np.random.default_rng(11)
+    centers = rng.normal(size=(12, 16))
+    x = (centers[rng.integers(0, 12, size=240)] + 0.08 * rng.normal(size=(240, 16))).astype(np.float32)
+    df = vectors(spark, x)
+    got = {(r.id_a, r.id_b) for r in S.similar_pairs(df, threshold, block_rows=block_rows, pivots=pivots).collect()}
+    u = unit(x)
+    s = u @ u.T
+    want = {(i, j) for i in range(240) for j in range(i + 1, 240) if s[i, j] >= threshold}
+    assert got == want
+
+
+def test_pivot_grid_prunes_clustered_data(spark):
+    rng = np.random.default_rng(12)
+    centers = rng.normal(size=(20, 32))
+    x = (centers[rng.integers(0, 20, size=400)] + 0.05 * rng.normal(size=(400, 32))).astype(np.float32)
+    v = vectors(spark, x).select(F.col("viewpoint_id").alias("id"), F.col("centroid").alias("v"))
+    sizes = S.pivot_units(v, 0.97, pivots=6, block_rows=20).groupBy("cg", "ch", "blk").count().collect()
+    units = {}
+    for r in sizes:
+        units.setdefault((r.cg, r.ch), {})[r.blk] = r["count"]
+    compared = sum(m.get(cg, 0) * (m.get(cg, 0) - 1) // 2 if cg == ch else m.get(cg, 0) * m.get(ch, 0)
+                   for (cg, ch), m in units.items())
+    assert compared < 400 * 399 // 2 / 2  
+
+
+def test_grid_with_empty_hash_blocks(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(5, 4)).astype(np.float32)
+    got = S.similar_pairs(vectors(spark, x), -1.0, block_rows=1).count()  # 5 blocks, some empty
+    assert got == 10

@@ -43,34 +43,130 @@ def _block_of(id_col: str, blocks: int) -> F.Column:
     return F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).cast("int")
 
 
-def similar_pairs(vectors: DataFrame, threshold: float, id_col: str = "viewpoint_id",
-                  vec_col: str = "centroid", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """All pairs a < b with cosine(a, b) >= threshold: (id_a, id_b, similarity)."""
-    g = _n_blocks(vectors, block_rows)
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-    v = v.withColumn("blk", _block_of("id", g))
-    rep = v.select("id", "v", "blk", F.explode(F.sequence(F.lit(0), F.lit(g - 1))).alias("other")).select(
-        "id", "v", "blk", F.least("blk", "other").alias("cg"), F.greatest("blk", "other").alias("ch")
-    )
+def _pair_cell(threshold: float):
+    """Task body for one grid unit: rows of block ``cg`` and block ``ch``
+    (one block when equal); emits pairs at or above the threshold."""
 
     def cell(pdf: pd.DataFrame) -> pd.DataFrame:
         cg, ch = int(pdf["cg"].iloc[0]), int(pdf["ch"].iloc[0])
         a = pdf[pdf["blk"] == cg]
         ids_a = a["id"].to_numpy()
-        ma = _unit_matrix(a["v"])
+        ma = _unit_matrix(a["v"]) if len(a) else np.zeros((0, 0))
         if cg == ch:
             s = ma @ ma.T
             i, j = np.nonzero(np.triu(s >= threshold, k=1))
             ids_b = ids_a
         else:
             b = pdf[pdf["blk"] == ch]
+            if len(a) == 0 or len(b) == 0:  # a hash block may be empty
+                return pd.DataFrame({"id_a": [], "id_b": [], "similarity": []})
             ids_b = b["id"].to_numpy()
             s = ma @ _unit_matrix(b["v"]).T
             i, j = np.nonzero(s >= threshold)
         x, y = ids_a[i], ids_b[j]
         return pd.DataFrame({"id_a": np.minimum(x, y), "id_b": np.maximum(x, y), "similarity": s[i, j]})
 
-    return rep.groupBy("cg", "ch").applyInPandas(cell, PAIR_SCHEMA)
+    return cell
+
+
+def similar_pairs(vectors: DataFrame, threshold: float, id_col: str = "viewpoint_id",
+                  vec_col: str = "centroid", block_rows: int = DEFAULT_BLOCK_ROWS,
+                  pivots: int = 0, seed: int = 42) -> DataFrame:
+    """All pairs a < b with cosine(a, b) >= threshold: (id_a, id_b, similarity).
+
+    With ``pivots`` > 0 the grid is pruned exactly (see ``pivot_units``):
+    worth it for high thresholds on clustered vectors, where most cell pairs
+    cannot hold a match.
+    """
+    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
+    if pivots > 0:
+        rep = pivot_units(v, threshold, pivots, block_rows, seed)
+    else:
+        g = _n_blocks(vectors, block_rows)
+        v = v.withColumn("blk", _block_of("id", g))
+        rep = v.select("id", "v", "blk", F.explode(F.sequence(F.lit(0), F.lit(g - 1))).alias("other")).select(
+            "id", "v", "blk", F.least("blk", "other").alias("cg"), F.greatest("blk", "other").alias("ch")
+        )
+    return rep.groupBy("cg", "ch").applyInPandas(_pair_cell(threshold), PAIR_SCHEMA)
+
+
+def pivot_units(v: DataFrame, threshold: float, pivots: int, block_rows: int, seed: int = 42) -> DataFrame:
+    """Rows (id, v, blk, cg, ch) of an exactly pruned grid.
+
+    Angles between unit vectors are a metric, so cos(a, b) >= t implies
+    |angle(a, p) - angle(b, p)| <= arccos(t) for every pivot p. Each vector
+    gets the cell of its angle buckets (width arccos(t)) to ``pivots`` pivot
+    vectors sampled from the data; a matching pair lies in the same or
+    adjacent cells in every coordinate. Each non-empty cell is cut into hash
+    blocks of about ``block_rows``; a unit pairs two blocks of neighbouring
+    cells. Only the cell histogram (bounded by the bucket grid) and the
+    pivots (``pivots`` vectors) reach the driver.
+    """
+    spark = v.sparkSession
+    width = float(np.arccos(np.clip(threshold, -1.0, 1.0)))
+    if width <= 0:
+        width = 1e-12
+    radix = int(np.ceil(np.pi / width)) + 1
+    piv_rows = v.orderBy(F.xxhash64(F.col("id"), F.lit(seed)), "id").limit(int(pivots)).collect()
+    if not piv_rows:
+        return v.select("id", "v", F.lit(0).alias("blk"), F.lit(0).alias("cg"), F.lit(0).alias("ch")).limit(0)
+    piv = _unit_matrix(pd.Series([r["v"] for r in piv_rows]))
+
+    def cells(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                yield pdf.assign(cell=pd.Series(dtype="int64"))
+                continue
+            ang = np.arccos(np.clip(_unit_matrix(pdf["v"]) @ piv.T, -1.0, 1.0))
+            buckets = np.minimum((ang / width).astype(np.int64), radix - 1)
+            code = np.zeros(len(pdf), dtype=np.int64)
+            for k in range(buckets.shape[1]):
+                code = code * radix + buckets[:, k]
+            yield pdf.assign(cell=code)
+
+    keyed = v.mapInPandas(cells, "id long, v array<float>, cell long" if _is_float(v) else
+                          "id long, v array<double>, cell long")
+    hist = {int(r["cell"]): int(r["n"]) for r in
+            keyed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # blocks per cell and their global index
+    base, blocks, nxt = {}, {}, 0
+    for c in sorted(hist):
+        blocks[c] = max(1, int(np.ceil(hist[c] / block_rows)))
+        base[c] = nxt
+        nxt += blocks[c]
+    digits = {c: _digits(c, radix, len(piv)) for c in hist}
+    by_digits = {d: c for c, d in digits.items()}
+    offsets = np.array(np.meshgrid(*[[-1, 0, 1]] * len(piv), indexing="ij")).reshape(len(piv), -1).T
+    routes = []
+    for c in hist:
+        d = np.array(digits[c])
+        near = [by_digits.get(tuple(int(x) for x in d + o)) for o in offsets]
+        near = [n for n in near if n is not None]
+        for g in range(blocks[c]):
+            me = base[c] + g
+            for n in near:
+                for h in range(blocks[n]):
+                    other = base[n] + h
+                    routes.append((me, min(me, other), max(me, other)))
+    route_df = spark.createDataFrame(routes, "blk int, cg int, ch int")
+    info = spark.createDataFrame([(c, base[c], blocks[c]) for c in hist], "cell long, base int, nblk int")
+    with_blk = keyed.join(F.broadcast(info), "cell").select(
+        "id", "v", (F.col("base") + F.pmod(F.xxhash64("id"), F.col("nblk")).cast("int")).alias("blk"))
+    from vantage.operators.util import broadcast_if_small
+
+    return with_blk.join(broadcast_if_small(route_df, probe=None), "blk").select("id", "v", "blk", "cg", "ch")
+
+
+def _digits(code: int, radix: int, n: int) -> tuple[int, ...]:
+    out = []
+    for _ in range(n):
+        out.append(code % radix)
+        code //= radix
+    return tuple(reversed(out))
+
+
+def _is_float(df: DataFrame) -> bool:
+    return df.schema["v"].dataType.elementType.typeName() == "float"
 
 
 def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 1, threshold: float | None = None,

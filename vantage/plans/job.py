@@ -81,6 +81,7 @@ def build_parser() -> argparse.ArgumentParser:
     n.add_argument("--output-csv", required=True)
     n.add_argument("--threshold", type=float, default=0.97)
     n.add_argument("--max-candidates", type=int, default=2000)
+    n.add_argument("--pivots", type=int, default=6, help="exact pivot pruning of the pair grid (0: off)")
     return parser
 
 
@@ -187,7 +188,8 @@ def run_near_duplicates(args) -> dict:
 
     spark = session_for(args)
     registry = spark.read.parquet(args.registry)
-    pairs = S.top_candidate_pairs(S.similar_pairs(registry, args.threshold), args.max_candidates)
+    pairs = S.top_candidate_pairs(S.similar_pairs(registry, args.threshold, pivots=args.pivots),
+                                  args.max_candidates)
     reps = MI.representative_image(read_mapping_strict(spark, args.mapping_csv))
     paths = image_path_map(spark, args.images_dir)
     rows = R.pairs_with_images(pairs, reps, paths, strict=True)
