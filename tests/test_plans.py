@@ -36,14 +36,14 @@ def test_flagship_scans_each_table_once_and_prunes(spark):
 
 
 def test_split_lookup_and_path_resolution(spark):
-    files = spark.createDataFrame([("UVH-Train/data/a.png",), ("UVH-Train/data/x/b.png",), ("UVH-Val/data/a.png",),
-                                   ("UVH-Val/other/c.png",)], "path string")
-    look = X.split_path_lookup(files, {"train": "UVH-Train", "val": "UVH-Val"})
+    files = spark.createDataFrame([("split-a/data/a.png",), ("split-a/data/x/b.png",), ("split-b/data/a.png",),
+                                   ("split-b/other/c.png",)], "path string")
+    look = X.split_path_lookup(files, {"train": "split-a", "val": "split-b"})
     got = sorted((r.split, r.basename) for r in look.collect())
     assert got == [("train", "a.png"), ("train", "b.png"), ("val", "a.png")]
     index = spark.createDataFrame([("train", "a.png"), ("val", "a.png"), ("val", "c.png")], "split string, file_name string")
     resolved = {(r.split, r.file_name): r.path for r in X.resolve_paths(index, look).collect()}
-    assert resolved[("val", "a.png")] == "UVH-Val/data/a.png" and resolved[("val", "c.png")] is None
+    assert resolved[("val", "a.png")] == "split-b/data/a.png" and resolved[("val", "c.png")] is None
     missing = check_unmatched(index, look.withColumnRenamed("basename", "file_name"), ["split", "file_name"])
     assert [(r.split, r.file_name) for r in missing.collect()] == [("val", "c.png")]
 
