@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vantage.constants import SMOKE_MAX_IMAGES, SMOKE_MAX_VIEWPOINTS
 from vantage.operators.ranking import DEFAULT_CHUNK, chunked_lists, rank_within_groups
 
 
@@ -149,7 +150,8 @@ def bucket_summary(assignment: DataFrame, num_buckets: int, chunk: int = DEFAULT
     )
 
 
-def smoke_subset(mapping: DataFrame, max_viewpoints: int = 10, max_images: int = 100) -> DataFrame:
+def smoke_subset(mapping: DataFrame, max_viewpoints: int = SMOKE_MAX_VIEWPOINTS,
+                 max_images: int = SMOKE_MAX_IMAGES) -> DataFrame:
     """Rows of the first ``max_viewpoints`` distinct viewpoints (by first
     appearance), then the first ``max(1, max_images)`` of those rows in order."""
     if max_viewpoints <= 0:

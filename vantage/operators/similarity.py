@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vantage.constants import MAX_CANDIDATES
+
 DEFAULT_BLOCK_ROWS = 4096
 
 PAIR_SCHEMA = "id_a long, id_b long, similarity double"
@@ -228,7 +230,7 @@ def nearest_centroid(embeddings: DataFrame, registry: DataFrame, threshold: floa
     )
 
 
-def top_candidate_pairs(pairs: DataFrame, max_candidates: int = 2000) -> DataFrame:
+def top_candidate_pairs(pairs: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
     """Strongest pairs first (ties by ids), at most ``max_candidates``."""
     return pairs.orderBy(F.col("similarity").desc(), "id_a", "id_b").limit(int(max_candidates))
 

@@ -215,7 +215,7 @@ def q_class_vector_explode(spark, d):
 # --- vectors -------------------------------------------------------------------
 
 PAIR_THRESHOLD = D.DRIVER_PAIR_THRESHOLD
-MAX_CANDIDATES = 2000
+from vantage.constants import MAX_CANDIDATES  # noqa: E402
 
 
 def q_l2_normalize(spark, d):

@@ -24,6 +24,7 @@ if __package__ in (None, ""):
 from pyspark.sql import Observation, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from vantage import constants as K  # noqa: E402
 from vantage.session import build_session  # noqa: E402
 
 
@@ -49,28 +50,28 @@ def build_parser() -> argparse.ArgumentParser:
     m.add_argument("--output-dir", required=True)
     m.add_argument("--skip-output-write", action="store_true")
     m.add_argument("--preview-jsonl", default=None)
-    m.add_argument("--preview-limit", type=int, default=20)
+    m.add_argument("--preview-limit", type=int, default=K.PREVIEW_LIMIT)
     m.add_argument("--vehicle-rules", default="default", choices=["default"])
 
     g = sub.add_parser("mapping-index", help="grouped mapping and balanced buckets")
     _common(g)
     g.add_argument("--input-csv", required=True)
     g.add_argument("--output-dir", required=True)
-    g.add_argument("--num-node-buckets", type=int, default=2)
+    g.add_argument("--num-node-buckets", type=int, default=K.NODE_BUCKETS)
 
     s = sub.add_parser("smoke", help="first K viewpoints, at most N images")
     _common(s)
     s.add_argument("--input-csv", required=True)
     s.add_argument("--output-csv", required=True)
-    s.add_argument("--max-viewpoints", type=int, default=10)
-    s.add_argument("--max-images", type=int, default=100)
+    s.add_argument("--max-viewpoints", type=int, default=K.SMOKE_MAX_VIEWPOINTS)
+    s.add_argument("--max-images", type=int, default=K.SMOKE_MAX_IMAGES)
 
     a = sub.add_parser("assign", help="ordered online viewpoint assignment")
     _common(a)
     a.add_argument("--embeddings", required=True, help="Parquet with seq, image_id, embedding")
     a.add_argument("--state-dir", required=True)
-    a.add_argument("--threshold", type=float, default=0.90)
-    a.add_argument("--batch-size", type=int, default=128)
+    a.add_argument("--threshold", type=float, default=K.ASSIGN_THRESHOLD)
+    a.add_argument("--batch-size", type=int, default=K.ASSIGN_BATCH_SIZE)
     a.add_argument("--mapping-csv", default=None, help="also write the mapping CSV here")
 
     n = sub.add_parser("near-duplicates", help="candidate viewpoint pairs for review")
@@ -79,8 +80,8 @@ def build_parser() -> argparse.ArgumentParser:
     n.add_argument("--mapping-csv", required=True)
     n.add_argument("--images-dir", required=True, nargs="+")
     n.add_argument("--output-csv", required=True)
-    n.add_argument("--threshold", type=float, default=0.97)
-    n.add_argument("--max-candidates", type=int, default=2000)
+    n.add_argument("--threshold", type=float, default=K.PAIR_THRESHOLD)
+    n.add_argument("--max-candidates", type=int, default=K.MAX_CANDIDATES)
     n.add_argument("--pivots", type=int, default=6, help="exact pivot pruning of the pair grid (0: off)")
     return parser
 

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vantage.constants import PREVIEW_LIMIT
+
 CSV_OPTIONS = {"header": "true", "escape": '"', "emptyValue": ""}
 
 
@@ -24,7 +26,7 @@ def write_metrics_parquet(metrics: DataFrame, path: str) -> None:
     metrics.orderBy(F.col("viewpoint_id").asc()).write.mode("overwrite").parquet(path)
 
 
-def write_preview_jsonl(metrics: DataFrame, path: str, limit: int = 20) -> None:
+def write_preview_jsonl(metrics: DataFrame, path: str, limit: int = PREVIEW_LIMIT) -> None:
     """First max(1, limit) rows by viewpoint as one JSON-lines file; null
     fields are left out of each record. The rows never reach the driver."""
     preview = metrics.orderBy(F.col("viewpoint_id").asc()).limit(max(1, int(limit)))
