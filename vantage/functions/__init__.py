@@ -8,6 +8,7 @@ from vantage.functions.expressions import (  # noqa: F401
     entropy_term,
     file_stem,
     fix_image_area,
+    json_list_text,
     fallback_category_name,
     keyword_flag,
     l2_normalize,

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.functions import file_stem, keyword_flag
+from vantage.functions import file_stem, json_list_text, keyword_flag
 from vantage.operators import checks as C
 from vantage.operators import dataset_index as X
 from vantage.operators import insight as I
@@ -133,7 +133,7 @@ SMOKE_IMAGES = 100
 
 def q_grouped_mapping(spark, d):
     g = MI.grouped_mapping(D.mapping(spark, d))
-    return g.select("viewpoint_id", "image_count", "chunk", F.to_json("image_ids").alias("image_ids_json"))
+    return g.select("viewpoint_id", "image_count", "chunk", json_list_text("image_ids").alias("image_ids_json"))
 
 
 def q_bucket_assignment(spark, d):
@@ -143,7 +143,7 @@ def q_bucket_assignment(spark, d):
 def q_bucket_summary(spark, d):
     b = MI.bucket_summary(MI.bucket_assignment(D.mapping(spark, d), NUM_BUCKETS), NUM_BUCKETS)
     return b.select("bucket_id", "viewpoint_count", "image_count", "chunk",
-                    F.to_json("viewpoint_ids").alias("viewpoint_ids_json"))
+                    json_list_text("viewpoint_ids").alias("viewpoint_ids_json"))
 
 
 def q_smoke_subset(spark, d):

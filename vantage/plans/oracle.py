@@ -200,16 +200,18 @@ SELECT viewpoint_id, category_name AS class_name, round(class_prob, 6) AS share
     "preview_top": _with(ALL_METRICS, "SELECT * FROM metrics ORDER BY viewpoint_id LIMIT 20"),
     "grouped_mapping": _with(MAPPING, """
 SELECT viewpoint_id, count(*) AS image_count, CAST(0 AS BIGINT) AS chunk,
-       CAST(to_json(list(image_id ORDER BY CASE WHEN regexp_full_match(image_id, '[0-9]+') THEN 0 ELSE 1 END,
-            TRY_CAST(image_id AS DECIMAL(38, 0)), image_id, seq)) AS VARCHAR) AS image_ids_json
+       '[' || array_to_string(list_transform(
+            list(image_id ORDER BY CASE WHEN regexp_full_match(image_id, '[0-9]+') THEN 0 ELSE 1 END,
+                 TRY_CAST(image_id AS DECIMAL(38, 0)), image_id, seq),
+            lambda x: CAST(to_json(x) AS VARCHAR)), ', ') || ']' AS image_ids_json
 FROM map_v GROUP BY viewpoint_id"""),
     "bucket_assignment": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + """
 SELECT viewpoint_id, bucket_id, image_count FROM assign""",
     "bucket_summary": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + f"""
 SELECT CAST(r.range AS INTEGER) AS bucket_id, CAST(count(a.viewpoint_id) AS BIGINT) AS viewpoint_count,
        CAST(coalesce(sum(a.image_count), 0) AS BIGINT) AS image_count, CAST(0 AS BIGINT) AS chunk,
-       CAST(to_json(coalesce(list(a.viewpoint_id ORDER BY a.viewpoint_id)
-                             FILTER (WHERE a.viewpoint_id IS NOT NULL), [])) AS VARCHAR) AS viewpoint_ids_json
+       '[' || coalesce(array_to_string(list(CAST(a.viewpoint_id AS VARCHAR) ORDER BY a.viewpoint_id)
+                             FILTER (WHERE a.viewpoint_id IS NOT NULL), ', '), '') || ']' AS viewpoint_ids_json
 FROM range({NUM_BUCKETS}) r LEFT JOIN assign a ON a.bucket_id = r.range
 GROUP BY r.range""",
     "smoke_subset": _with(MAPPING, """,

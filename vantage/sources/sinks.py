@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.constants import PREVIEW_LIMIT
+from vantage.functions import json_list_text
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "emptyValue": ""}
 
@@ -39,7 +40,7 @@ def write_grouped_jsonl(grouped: DataFrame, path: str) -> None:
 
 def write_grouped_csv(grouped: DataFrame, path: str) -> None:
     _csv(grouped.orderBy("viewpoint_id", "chunk").select(
-        "viewpoint_id", "image_count", "chunk", F.to_json("image_ids").alias("image_ids_json")), path)
+        "viewpoint_id", "image_count", "chunk", json_list_text("image_ids").alias("image_ids_json")), path)
 
 
 def write_bucket_files(assignment: DataFrame, summary: DataFrame, out_dir: str) -> None:
@@ -47,7 +48,7 @@ def write_bucket_files(assignment: DataFrame, summary: DataFrame, out_dir: str)
          f"{out_dir}/viewpoint_bucket_assignment")
     _csv(summary.orderBy("bucket_id", "chunk").select(
         "bucket_id", "viewpoint_count", "image_count", "chunk",
-        F.to_json("viewpoint_ids").alias("viewpoint_ids_json")), f"{out_dir}/bucket_summary")
+        json_list_text("viewpoint_ids").alias("viewpoint_ids_json")), f"{out_dir}/bucket_summary")
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
