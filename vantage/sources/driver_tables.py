@@ -43,8 +43,22 @@ DRIVER_PAIR_THRESHOLD = 0.40
 DRIVER_ASSIGN_THRESHOLD = 0.40
 
 
+# Read schemas of the driver columns the views use. A declared schema skips
+# the footer-reading job that inference costs on every read, and reads only
+# these columns.
+READ_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_returnflag string",
+    "part": "p_partkey bigint, p_name string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = READ_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def _split_of(status: F.Column) -> F.Column:
