@@ -6,7 +6,6 @@ import io
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from vantage.operators import dataset_index as X
