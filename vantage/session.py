@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesced partitions may go down to 256 KB: keeps CPU-heavy stages over
+    # small shuffles parallel; large inputs are far above either floor.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more exchange: the
     # metrics plan aggregates right after the annotation join on the join's
