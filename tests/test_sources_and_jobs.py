@@ -142,3 +142,17 @@ def test_registry_save_load(spark, tmp_dir):
         registry.load_registry(spark, f"{tmp_dir}/r", dim=3)
     empty, last = registry.load_registry(spark, f"{tmp_dir}/none", dim=2)
     assert last == 0 and empty.count() == 0
+
+
+def test_stage_coco_to_parquet(spark, tmp_dir):
+    from vantage.sources.coco import stage_coco
+
+    train = write(f"{tmp_dir}/train.json", json.dumps(COCO))
+    val = write(f"{tmp_dir}/val.json", json.dumps({"images": [{"id": 1, "file_name": "v.png", "width": 1,
+                                                               "height": 1}], "annotations": [], "categories": []}))
+    stage_coco(spark, {"train": train, "val": val}, f"{tmp_dir}/staged", partitions=3)
+    images = spark.read.parquet(f"{tmp_dir}/staged/images")
+    assert images.count() == 6 and images.where("split = 'val'").count() == 1
+    anns = spark.read.parquet(f"{tmp_dir}/staged/annotations")
+    assert anns.count() == 9 and anns.where("area is null").count() == 3
+    assert spark.read.parquet(f"{tmp_dir}/staged/categories").count() == 4

@@ -277,10 +277,18 @@ def q_mask_rects(spark, d):
 ASSIGN_BATCH = 256
 
 
+_ONLINE: dict[tuple[str, str], str] = {}
+
+
 def online_run(spark, d):
-    root = scratch_path(spark, "online-assign")
-    return O.run_online_assignment(spark, D.embeddings(spark, d), root,
-                                   threshold=D.DRIVER_ASSIGN_THRESHOLD, batch_size=ASSIGN_BATCH)
+    """Run (or, within one session, reuse) the ordered assignment over the
+    driver embeddings; its committed state lives in the shared folder."""
+    key = (spark.sparkContext.applicationId, d)
+    root = _ONLINE.get(key) or scratch_path(spark, "online-assign")
+    out = O.run_online_assignment(spark, D.embeddings(spark, d), root,
+                                  threshold=D.DRIVER_ASSIGN_THRESHOLD, batch_size=ASSIGN_BATCH)
+    _ONLINE[key] = root
+    return out
 
 
 def q_online_assign(spark, d):
