@@ -65,8 +65,11 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     (local tests) is ``fallback`` (or a fresh folder under /tmp) installed.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    installed = spark.sparkContext.getCheckpointDir()
+    if configured and not installed:
+        # named by the cluster but not yet installed on this context
+        spark.sparkContext.setCheckpointDir(configured)
+    configured = configured or installed
     if configured:
         return configured.rstrip("/")
     root = fallback or os.path.join("/tmp", f"vantage-ckpt-{uuid.uuid4().hex[:8]}")
