@@ -296,7 +296,7 @@ SELECT count(DISTINCT label) AS viewpoints, count(*) AS images FROM embeddings""
     "review_progress": _with(",".join([IMAGES, MAPPING, VECTORS, PAIRS]), """,
 dec AS (SELECT CASE (viewpoint_id_a + viewpoint_id_b) % 3 WHEN 0 THEN 'merge' WHEN 1 THEN 'no_merge' ELSE '' END
                AS merge_decision,
-               row_number() OVER (ORDER BY round(sim, 6) DESC, viewpoint_id_a, viewpoint_id_b) - 1 AS seq
+               row_number() OVER (ORDER BY sim DESC, viewpoint_id_a, viewpoint_id_b) - 1 AS seq
         FROM pairs)
 SELECT count(*) AS total,
        count(*) FILTER (WHERE merge_decision = 'merge') AS merge,
