@@ -121,3 +121,16 @@ def test_smoke_subset(spark):
     assert got == ["a", "b", "c", "e"]
     assert [r.image_id for r in MI.smoke_subset(df, 2, 0).collect()] == ["a"]
     assert MI.smoke_subset(df, 0, 10).count() == 0
+
+
+def test_with_buckets_lays_out_balanced_partitions(spark):
+    rows = [(str(i), i % 6, i) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assignment = MI.bucket_assignment(df, 3)
+    laid = MI.with_buckets(df, assignment, repartition=True)
+    assert laid.where("bucket_id is null").count() == 0
+    sizes = sorted(r["count"] for r in laid.groupBy("bucket_id").count().collect())
+    assert sizes == [40, 40, 40]
+    buckets_per_part = laid.rdd.glom().map(lambda p: sorted({r.bucket_id for r in p})).collect()
+    seen = [b for part in buckets_per_part for b in part]
+    assert sorted(seen) == [0, 1, 2]  # each bucket whole in exactly one partition

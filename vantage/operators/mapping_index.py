@@ -167,3 +167,17 @@ def representative_image(mapping: DataFrame) -> DataFrame:
     return mapping.groupBy("viewpoint_id").agg(
         F.min_by("image_id", "seq").alias("image_id"), F.min("seq").alias("seq")
     )
+
+
+def with_buckets(df: DataFrame, assignment: DataFrame, repartition: bool = False) -> DataFrame:
+    """Attach ``bucket_id`` to any viewpoint-keyed table; optionally
+    hash-partition by it so every bucket sits whole in one partition.
+    Buckets are balanced by image count, so a partition holds whole buckets
+    of about images / buckets rows each; to store them apart, write with
+    ``partitionBy("bucket_id")``.
+    """
+    out = df.join(assignment.select("viewpoint_id", "bucket_id"), "viewpoint_id", "left")
+    if repartition:
+        n = assignment.agg(F.max("bucket_id").alias("m")).first()["m"]
+        out = out.repartition(int(n or 0) + 1, "bucket_id")
+    return out
