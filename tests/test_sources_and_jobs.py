@@ -156,3 +156,28 @@ def test_stage_coco_to_parquet(spark, tmp_dir):
     anns = spark.read.parquet(f"{tmp_dir}/staged/annotations")
     assert anns.count() == 9 and anns.where("area is null").count() == 3
     assert spark.read.parquet(f"{tmp_dir}/staged/categories").count() == 4
+
+
+def test_review_and_insight_jobs(spark, tmp_dir):
+    header = ",".join(["viewpoint_id_a", "image_id_a", "image_path_a", "viewpoint_id_b", "image_id_b",
+                       "image_path_b", "centroid_similarity", "merge_decision", "notes"])
+    cands = write(f"{tmp_dir}/c.csv", header + "\n1,a,p,2,b,q,0.99,,\n3,c,r,4,d,s,0.98,,\n")
+    decs = write(f"{tmp_dir}/d.csv", header + "\n1,a,p,2,b,q,0.99,merge,\n3,c,r,4,d,s,0.98,,\n")
+    facts = job.main(["review", "--candidates-csv", cands, "--decisions-csv", decs, "--shuffle-partitions", "8"])
+    assert (facts["merge"], facts["undecided"], facts["resume_index"]) == (1, 1, 1)
+    bad = write(f"{tmp_dir}/bad.csv", header + "\n1,a,p,9,b,q,0.99,merge,\n3,c,r,4,d,s,0.98,,\n")
+    with pytest.raises(Exception):
+        job.main(["review", "--candidates-csv", cands, "--decisions-csv", bad, "--shuffle-partitions", "8"])
+
+    metrics = write(f"{tmp_dir}/m.jsonl", "".join(json.dumps({
+        "viewpoint_id": v, "total_images": v, "total_vehicles": 10 * v, "avg_vehicle_count": 1.0,
+        "per_vehicle_count": 1.0, "avg_bbox_density": 0.1, "heavy_vehicle_ratio": 0.0, "two_wheeler_ratio": 0.0,
+        "entropy": 1.0, "congestion_index": 0.1 * v, "class_distribution_vector": '{"car":1.0}'}) + "\n"
+        for v in range(1, 6)))
+    facts = job.main(["insight", "--metrics", metrics, "--output-dir", f"{tmp_dir}/ins", "--min-images", "2",
+                      "--top-n", "2", "--bins", "4", "--shuffle-partitions", "8"])
+    assert facts == {"viewpoints": 4, "total_vehicles": 140}
+    top = [r.viewpoint_id for r in spark.read.parquet(f"{tmp_dir}/ins/top_congestion").collect()]
+    assert sorted(top) == [4, 5]
+    assert spark.read.parquet(f"{tmp_dir}/ins/viewpoint_detail").first().viewpoint_id == 2
+    assert [r.class_name for r in spark.read.parquet(f"{tmp_dir}/ins/viewpoint_classes").collect()] == ["car"]

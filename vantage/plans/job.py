@@ -6,6 +6,8 @@
     spark-submit vantage/plans/job.py smoke --input-csv m.csv --output-csv out/ --max-viewpoints 10 --max-images 100
     spark-submit vantage/plans/job.py assign --embeddings e.parquet --state-dir s/ [--threshold 0.9 --batch-size 128]
     spark-submit vantage/plans/job.py near-duplicates --registry r/ --mapping-csv m.csv --images-dir d/ --output-csv o/
+    spark-submit vantage/plans/job.py review --candidates-csv c.csv [--decisions-csv d.csv]
+    spark-submit vantage/plans/job.py insight --metrics out/ --output-dir insight/ [--min-images 1 --max-entropy 5]
 
 Every run writes a manifest (one row per fact: configuration, row counts
 collected by observations during the single pass, elapsed time).
@@ -83,6 +85,21 @@ def build_parser() -> argparse.ArgumentParser:
     n.add_argument("--threshold", type=float, default=K.PAIR_THRESHOLD)
     n.add_argument("--max-candidates", type=int, default=K.MAX_CANDIDATES)
     n.add_argument("--pivots", type=int, default=6, help="exact pivot pruning of the pair grid (0: off)")
+
+    r = sub.add_parser("review", help="check a decision file against its candidates; progress")
+    _common(r)
+    r.add_argument("--candidates-csv", required=True)
+    r.add_argument("--decisions-csv", default=None, help="absent: nothing decided yet")
+
+    i = sub.add_parser("insight", help="the tables behind the insight page")
+    _common(i)
+    i.add_argument("--metrics", required=True, help="metrics Parquet folder or JSON-lines file")
+    i.add_argument("--output-dir", required=True)
+    i.add_argument("--min-images", type=int, default=1)
+    i.add_argument("--max-entropy", type=float, default=5.0)
+    i.add_argument("--top-n", type=int, default=20)
+    i.add_argument("--bins", type=int, default=40)
+    i.add_argument("--viewpoint-id", type=int, default=None, help="drill-down (default: first id)")
     return parser
 
 
@@ -198,12 +215,53 @@ def run_near_duplicates(args) -> dict:
     return {"pairs": rows.count()}
 
 
+def run_review(args) -> dict:
+    from vantage.operators import review as R
+    from vantage.operators.checks import enforce
+
+    spark = session_for(args)
+    candidates = R.read_pair_csv(spark, args.candidates_csv)
+    decided = candidates
+    if args.decisions_csv:
+        decisions = R.read_pair_csv(spark, args.decisions_csv)
+        enforce(R.check_alignment(candidates, decisions), "Decision file does not match the candidates")
+        decided = decisions
+    progress = R.review_progress(decided).first().asDict()
+    return {k: int(v) for k, v in progress.items()}
+
+
+def run_insight(args) -> dict:
+    from vantage.operators import insight as I
+    from vantage.sources.sinks import write_table
+
+    spark = session_for(args)
+    if args.metrics.endswith((".json", ".jsonl")):
+        metrics = I.read_metrics_jsonl(spark, args.metrics)
+    else:
+        metrics = I.coerce_metrics(spark.read.parquet(args.metrics))
+    filtered = I.filter_metrics(metrics, args.min_images, args.max_entropy)
+    if filtered.isEmpty():
+        return {"viewpoints": 0, "note": "No viewpoints match current filters."}
+    out = args.output_dir.rstrip("/")
+    write_table(I.kpi_summary(filtered), f"{out}/kpis")
+    write_table(I.top_congestion(filtered, args.top_n), f"{out}/top_congestion")
+    write_table(I.composition_view(filtered), f"{out}/composition")
+    write_table(I.congestion_histogram(filtered, args.bins), f"{out}/congestion_histogram")
+    detail = I.viewpoint_detail(filtered, args.viewpoint_id)
+    write_table(detail, f"{out}/viewpoint_detail")
+    write_table(I.class_vector_explode(detail), f"{out}/viewpoint_classes")
+    kpi = spark.read.parquet(f"{out}/kpis").first().asDict()
+    return {"viewpoints": int(kpi["viewpoints"]), "total_vehicles": int(kpi["total_vehicles"])}
+
+
 COMMANDS = {
     "metrics": run_metrics,
     "mapping-index": run_mapping_index,
     "smoke": run_smoke,
     "assign": run_assign,
     "near-duplicates": run_near_duplicates,
+    "review": run_review,
+    "insight": run_insight,
 }
 
 
