@@ -120,3 +120,16 @@ def test_metamorphic_input_order(spark, inputs):
         mapping=inputs.mapping.repartition(2),
     )
     assert sorted(M.viewpoint_metrics(shuffled).collect()) == base
+
+
+def test_metamorphic_bounds_on_driver_tables(spark):
+    """0 <= entropy <= log2(#classes); class shares sum to 1; ratios in [0, 1]."""
+    from tests.conftest import SF_SMALL
+    from vantage.plans.catalog import viewpoint_metrics
+
+    for r in viewpoint_metrics(spark, SF_SMALL).collect():
+        shares = json.loads(r.class_distribution_vector)
+        assert 0.0 <= r.entropy <= math.log2(len(shares)) + 1e-9
+        assert math.isclose(sum(shares.values()), 1.0, abs_tol=1e-5 * len(shares))
+        assert 0.0 <= r.heavy_vehicle_ratio <= 1.0 and 0.0 <= r.two_wheeler_ratio <= 1.0
+        assert r.per_vehicle_count == pytest.approx(r.avg_vehicle_count)
