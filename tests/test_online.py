@@ -54,7 +54,9 @@ def test_driver_embeddings_equal_sequential(spark, tmp_dir):
     assert_same(m, r, x, 0.4)
 
 
-def test_stop_and_resume_gives_same_result(spark, tmp_dir):
+@pytest.mark.parametrize("compact_every", [1, 3, 16])
+def test_stop_and_resume_gives_same_result(spark, tmp_dir, monkeypatch, compact_every):
+    monkeypatch.setattr(O, "COMPACT_EVERY", compact_every)
     x = clustered(90, 8, 4, 0.3, seed=3)
     df = frame(spark, x)
     root = os.path.join(tmp_dir, "s")
