@@ -208,7 +208,11 @@ def run_near_duplicates(args) -> dict:
     registry = spark.read.parquet(args.registry)
     pairs = S.top_candidate_pairs(S.similar_pairs(registry, args.threshold, pivots=args.pivots),
                                   args.max_candidates)
-    reps = MI.representative_image(read_mapping_strict(spark, args.mapping_csv))
+    from vantage.operators.checks import require_nonempty
+
+    mapping = read_mapping_strict(spark, args.mapping_csv)
+    require_nonempty(mapping, "the mapping")
+    reps = MI.representative_image(mapping)
     paths = image_path_map(spark, args.images_dir)
     rows = R.pairs_with_images(pairs, reps, paths, strict=True)
     R.write_pair_csv(rows, args.output_csv)
