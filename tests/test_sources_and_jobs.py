@@ -181,3 +181,21 @@ def test_review_and_insight_jobs(spark, tmp_dir):
     assert sorted(top) == [4, 5]
     assert spark.read.parquet(f"{tmp_dir}/ins/viewpoint_detail").first().viewpoint_id == 2
     assert [r.class_name for r in spark.read.parquet(f"{tmp_dir}/ins/viewpoint_classes").collect()] == ["car"]
+
+
+def test_near_duplicates_job(spark, tmp_dir):
+    reg = spark.createDataFrame(
+        [(0, [1.0, 0.0, 0.0], 2), (1, [0.99, 0.05, 0.0], 1), (2, [0.0, 1.0, 0.0], 1), (3, [0.0, 0.0, 1.0], 1)],
+        "viewpoint_id long, centroid array<double>, count long")
+    reg.write.parquet(f"{tmp_dir}/registry")
+    mapping = write(f"{tmp_dir}/m.csv", "image_id,viewpoint_id\nimg0,0\nimg0b,0\nimg1,1\nimg2,2\nimg3,3\n")
+    for name in ["img0", "img0b", "img1", "img2", "img3"]:
+        write(f"{tmp_dir}/imgs/data/{name}.png", "x")
+    facts = job.main(["near-duplicates", "--registry", f"{tmp_dir}/registry", "--mapping-csv", mapping,
+                      "--images-dir", f"{tmp_dir}/imgs", "--output-csv", f"{tmp_dir}/pairs",
+                      "--shuffle-partitions", "8"])
+    assert facts == {"pairs": 1}
+    rows = R.read_pair_csv(spark, f"{tmp_dir}/pairs").collect()
+    assert [(r.viewpoint_id_a, r.image_id_a, r.viewpoint_id_b, r.image_id_b) for r in rows] == [(0, "img0", 1, "img1")]
+    text = open(glob.glob(f"{tmp_dir}/pairs/*.csv")[0]).read().splitlines()
+    assert text[1].split(",")[6] == "0.998727" and text[1].endswith(",,")
