@@ -199,3 +199,16 @@ def test_near_duplicates_job(spark, tmp_dir):
     assert [(r.viewpoint_id_a, r.image_id_a, r.viewpoint_id_b, r.image_id_b) for r in rows] == [(0, "img0", 1, "img1")]
     text = open(glob.glob(f"{tmp_dir}/pairs/*.csv")[0]).read().splitlines()
     assert text[1].split(",")[6] == "0.998727" and text[1].endswith(",,")
+
+
+def test_assign_job_writes_mapping_and_resumes(spark, tmp_dir):
+    emb = spark.createDataFrame([(i, f"img{i}", [1.0, 0.0] if i % 2 == 0 else [0.0, 1.0]) for i in range(10)],
+                                "seq long, image_id string, embedding array<float>")
+    emb.write.parquet(f"{tmp_dir}/emb")
+    args = ["assign", "--embeddings", f"{tmp_dir}/emb", "--state-dir", f"{tmp_dir}/state", "--batch-size", "4",
+            "--mapping-csv", f"{tmp_dir}/mapping", "--shuffle-partitions", "8"]
+    facts = job.main(args)
+    assert facts == {"rows": 10, "viewpoints": 2}
+    rows = read_mapping_csv(spark, f"{tmp_dir}/mapping").orderBy("seq").collect()
+    assert [(r.image_id, r.viewpoint_id) for r in rows] == [(f"img{i}", i % 2) for i in range(10)]
+    assert job.main(args) == {"rows": 10, "viewpoints": 2}  # rerun resumes at the end: nothing to do
