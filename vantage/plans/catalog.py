@@ -364,8 +364,8 @@ def q_check_resume(spark, d):
 
 def q_check_conservation(spark, d):
     e = D.embeddings(spark, d)
-    mapping = S.nearest_centroid(e, D.centroids_by_label(spark, d))
-    return C.check_conservation(e, mapping, D.centroids_by_label(spark, d))
+    centroids = D.centroids_by_label(spark, d)
+    return C.check_conservation(e, S.nearest_centroid(e, centroids), centroids)
 
 
 QUERIES: dict[str, Query] = {
