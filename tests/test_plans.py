@@ -66,3 +66,14 @@ def test_required_coco_sections(spark, tmp_dir):
     with open(path, "w") as f:
         json.dump({"images": [], "categories": []}, f)
     assert check_required_sections(read_coco_document(spark, path)).count() == 1
+
+
+def test_package_zip_for_py_files(spark, tmp_dir):
+    import zipfile
+
+    import vantage
+
+    path = vantage.package_zip(os.path.join(tmp_dir, "vantage.zip"))
+    names = zipfile.ZipFile(path).namelist()
+    assert "vantage/__init__.py" in names and "vantage/operators/metrics.py" in names
+    spark.sparkContext.addPyFile(path)  # what a cluster without the package installed would do
