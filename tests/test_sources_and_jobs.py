@@ -212,3 +212,20 @@ def test_assign_job_writes_mapping_and_resumes(spark, tmp_dir):
     rows = read_mapping_csv(spark, f"{tmp_dir}/mapping").orderBy("seq").collect()
     assert [(r.image_id, r.viewpoint_id) for r in rows] == [(f"img{i}", i % 2) for i in range(10)]
     assert job.main(args) == {"rows": 10, "viewpoints": 2}  # rerun resumes at the end: nothing to do
+
+
+def test_mapping_csv_round_trip_keeps_order_across_part_files(spark, tmp_dir):
+    from vantage.sources.sinks import write_mapping_csv
+
+    rows = [(f"im{(i * 7919) % 1000}", i % 13, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "image_id string, viewpoint_id long, seq long").repartition(6)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # several part files, as a large mapping would give
+    try:
+        write_mapping_csv(df, f"{tmp_dir}/mapping")
+    finally:
+        spark.conf.set(key, before)
+    assert len(glob.glob(f"{tmp_dir}/mapping/part-*.csv")) > 1
+    back = read_mapping_csv(spark, f"{tmp_dir}/mapping").orderBy("seq").collect()
+    assert [(r.image_id, r.viewpoint_id, r.seq) for r in back] == rows
