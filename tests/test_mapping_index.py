@@ -134,3 +134,21 @@ def test_with_buckets_lays_out_balanced_partitions(spark):
     buckets_per_part = laid.rdd.glom().map(lambda p: sorted({r.bucket_id for r in p})).collect()
     seen = [b for part in buckets_per_part for b in part]
     assert sorted(seen) == [0, 1, 2]  # each bucket whole in exactly one partition
+
+
+def test_image_order_matches_python_sort_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    digits = st.lists(st.text(alphabet="0123456789", min_size=1, max_size=25), min_size=1, max_size=12)
+    texts = st.lists(st.text(alphabet="abcXYZ_.-", min_size=1, max_size=6), min_size=1, max_size=12)
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.one_of(digits, texts))
+    def check(ids):
+        rows = [(x, 1, i) for i, x in enumerate(ids)]
+        got = MI.grouped_mapping(spark.createDataFrame(rows, SCHEMA)).first().image_ids
+        key = (lambda x: int(x)) if ids[0].isdigit() else (lambda x: x)
+        assert got == sorted(ids, key=key)  # Python's sort is stable, so equal keys keep row order
+
+    check()
