@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.llm.shared import SPACE, whole_text, written
+from vantage.llm.shared import SPACE, join_split, whole_text, written
 from vantage.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -35,9 +35,6 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 # state: rows per partition, and the most partitions one state may have.
 STATE_ROWS = 2_000_000
 MAX_STATE_PARTITIONS = 2_000
-# A digest with more than this share of all rows is joined by broadcast; at
-# most 1 / HOT_SHARE digests can have it.
-HOT_SHARE = 0.001
 
 
 def normalised(column: str = "text"):
@@ -92,12 +89,12 @@ def decisions(docs: DataFrame) -> DataFrame:
     state = written(absorb(spark, folder, scratch_path(spark, "dedup-state"), narrow.schema, parts), "dedup-seen")
     hits = state.where("group_size > 1").select("digest", "group_size")
 
-    dup = _with(narrow, hits, total).where("group_size is not null").select("loc_file", "loc_row", "digest")
+    dup = join_split(narrow, hits, "digest", "group_size", total).where("group_size is not null").select("loc_file", "loc_row", "digest")
     texts = rows.join(dup, ["loc_file", "loc_row"]).withColumn("norm", normalised())
     folded = texts.groupBy("digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
     clash = written(folded.where("lo <> hi").select("digest"), "dedup-clash")
 
-    same = _with(narrow, state.select("digest", "group_size", "first"), total)
+    same = join_split(narrow, state.select("digest", "group_size", "first"), "digest", "group_size", total)
     out = _decided(same.join(clash, "digest", "left_anti"))
     if clash.isEmpty():
         return out
@@ -107,21 +104,6 @@ def decisions(docs: DataFrame) -> DataFrame:
     return out.unionByName(_decided(again.drop("text").join(groups, ["digest", "norm"])))
 
 
-def _with(rows: DataFrame, table: DataFrame, total: int) -> DataFrame:
-    """``rows`` left-joined to ``table`` (unique digests). Digests with more
-    than HOT_SHARE of all rows, at most 1 / HOT_SHARE of them, go by
-    broadcast, so that the shuffled join has no hot key."""
-    hot = F.col("group_size") > total * HOT_SHARE
-    few = F.broadcast(table.where(hot).withColumnRenamed("digest", "h_digest"))
-    rest = table.where(~hot)
-    cols = [c for c in table.columns if c != "digest"]
-    by_hot = rows.join(few, F.col("digest") == F.col("h_digest"), "left")
-    kept = [F.col(c) for c in rows.columns]
-    one = by_hot.where("h_digest is not null").select(*kept, *cols)
-    two = by_hot.where("h_digest is null").select(*kept).join(rest, "digest", "left").select(*kept, *cols)
-    return one.unionByName(two)
-
-
 def _decided(rows: DataFrame) -> DataFrame:
     kept = (F.col("loc_file") == F.col("first.loc_file")) & (F.col("loc_row") == F.col("first.loc_row"))
     return rows.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vantage.llm import exact_dedup, mixing, quality_rules
+from vantage.llm import exact_dedup, mixing, packing, quality_rules, simhash
 from vantage.llm.shared import documents
 
 
@@ -14,6 +14,14 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.decisions(documents(spark, sf_dir)).drop("loc_file", "loc_row")
 
 
+def op7_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op8_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(documents(spark, sf_dir))
 
@@ -21,5 +29,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_simhash": op7_simhash,
+    "op8_packing": op8_packing,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -42,3 +42,20 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
 
 def sized_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_split(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int, share: float = 0.001) -> DataFrame:
+    """``rows`` left-joined to ``table`` (unique ``key``) without a hot key.
+
+    Keys whose ``weight`` (their rows) exceeds ``share`` of ``total`` rows are
+    joined by broadcast: there are at most 1 / share of them. The others are
+    joined by a shuffle in which no key holds more than that share.
+    """
+    hot = F.col(weight) > total * share
+    cols = [F.col(c) for c in table.columns if c != key]
+    mine = [F.col(c) for c in rows.columns]
+    few = F.broadcast(table.where(hot).withColumnRenamed(key, "_hot"))
+    marked = rows.join(few, F.col(key) == F.col("_hot"), "left")
+    one = marked.where("_hot is not null").select(*mine, *cols)
+    two = marked.where("_hot is null").select(*mine).join(table.where(~hot), key, "left").select(*mine, *cols)
+    return one.unionByName(two)
