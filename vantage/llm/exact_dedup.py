@@ -30,7 +30,12 @@ from vantage.llm.shared import SPACE, join_split, whole_text, written
 from vantage.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# The state's settings: on disk, and without space set aside per store, of
+# which many small stores would hold several MB each.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 # State of one partition stays small, its count is fixed for the life of the
 # state: rows per partition, and the most partitions one state may have.
 STATE_ROWS = 2_000_000
@@ -53,10 +58,11 @@ def absorb(spark: SparkSession, folder: str, state: str, schema, partitions: int
     """Stream the rows of ``folder`` not seen yet into the state at ``state``;
     returns the whole state: digest, group_size, first (doc_id, loc_file,
     loc_row)."""
-    old = {k: spark.conf.get(k, None) for k in (PROVIDER, "spark.sql.shuffle.partitions")}
-    spark.conf.set(PROVIDER, ROCKSDB)
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    conf = STATE_CONF | {"spark.sql.shuffle.partitions": str(partitions)}
+    old = {k: spark.conf.get(k, None) for k in conf}
     try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
         rows = spark.readStream.schema(schema).parquet(folder)
         first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "loc_file", "loc_row")
         keyed = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.min(first).alias("first"))
