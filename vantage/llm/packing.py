@@ -2,9 +2,9 @@
 
 Documents become token ids (each closed by ``end_id``), and the stream of ids
 is cut, in order, into sequences of at most ``length`` ids. Cuts are chosen by
-dynamic programming over document ends (free), sentence ends and, in long
-stretches without one, word positions, minimising padding plus a penalty for
-each cut inside a document. For a cut at position p the cost is
+dynamic programming over document ends (free), sentence ends, clause ends and,
+in long stretches without one, fixed steps, minimising padding plus a penalty
+for each cut inside a document. For a cut at position p the cost is
 
     min over cuts q in [p - length, p) of cost(q) + length - (p - q), + penalty(p)
 
@@ -44,10 +44,11 @@ class PackConfig:
     end_id: int = 1
     length: int = 2048
     sentence_penalty: float = 4.0
+    clause_penalty: float = 8.0
     word_penalty: float = 32.0
     word_step: int = 64
     chunk_ids: int = 1 << 18
-    cache_words: int = 600_000
+    cache_words: int = 1_000_000
 
 
 PIECES = (
@@ -58,6 +59,8 @@ PIECES = (
 # Signs the fast path takes off a word's end; a run of them is one unit of the
 # tokenizer's own word rule.
 TRAILING = ".,!?;:$#%&*|"
+END = b"\xff"  # closes a text; no UTF-8 text holds this byte
+SPACED_END = b" \xff "
 LAST_PLAIN = "ÿ"  # up to here lower-casing and composition are one to one
 
 
@@ -76,82 +79,93 @@ class WordTokens:
         vocab = self.encoder.get_vocab()
         size = max(vocab.values()) + 1
         self.closes = np.zeros(size, bool)  # token ends a word unit
-        self.sentence = np.zeros(size, bool)  # token ends a sentence
+        self.sentence = np.zeros(size, np.int8)  # token ends a sentence (2) or a clause (1)
         for token, i in vocab.items():
             if token.endswith("</w>"):
                 self.closes[i] = True
-                self.sentence[i] = bool(re.fullmatch(r"[.!?]+[\"')\]]*", token[:-4]))
+                self.sentence[i] = 2 * bool(re.fullmatch(r"[.!?]+[\"')\]]*", token[:-4])) or token[:-4] in (",", ";", ":")
         self.most = most
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.units: dict[str, list[int]] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.start: list[int] = []
-        self.count: list[int] = []
-
-    def _add(self, word: bytes, ids: list[int]) -> None:
-        n = len(ids)
-        if self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), n), np.uint32)])
-        self.flat[self.used : self.used + n] = ids
-        self.words[word] = len(self.start)
-        self.start.append(self.used)
-        self.count.append(n)
-        self.used += n
-
-    def learn(self, words: set[bytes]) -> None:
-        split: dict[bytes, tuple[str, ...]] = {}
-        other: list[bytes] = []
-        for w in words:
-            s = w.decode("utf-8", "replace")
-            core = s.rstrip(TRAILING)
-            if (core.isalpha() or not core) and max(s) <= LAST_PLAIN:
-                split[w] = (core.lower(), s[len(core) :])
+        self.words = _Numbered()
+        self.words[END] = 0
+        self.units: dict[str | bytes, int] = {"": 0}
+        # Per word its two units, per unit its place in flat.
+        self.core, self.tail = [np.zeros(1, np.int32)], [np.zeros(1, np.int32)]
+        self.flat: list[np.ndarray] = []
+        self.count = [np.zeros(1, np.int32)]
+
+    def _add_units(self, names: list, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.units.update(zip(names, range(len(self.units), len(self.units) + len(names))))
+        self.flat.append(ids.astype(np.uint32))
+        self.count.append(counts.astype(np.int32))
+
+    def _learn(self) -> None:
+        """Units of the words numbered since the last call."""
+        new, self.words.new = self.words.new, []
+        texts = b"\n".join(new).decode("utf-8", "replace").split("\n")
+        cores = [t.rstrip(TRAILING) for t in texts]
+        plain = [(c.isalpha() or not c) and max(t) <= LAST_PLAIN for t, c in zip(texts, cores)]
+        pairs = [(c.lower(), t[len(c) :]) if p else (w, "") for w, t, c, p in zip(new, texts, cores, plain)]
+        units = self.units
+        fresh = [u for u in dict.fromkeys(u for pair in pairs for u in pair) if u not in units]
+        easy = [u for u in fresh if isinstance(u, str)]
+        for k in range(0, len(easy), 2000):
+            part = easy[k : k + 2000]
+            ids = np.array(self.encoder.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
+            stops = np.flatnonzero(self.closes[ids]) + 1
+            if len(stops) == len(part):
+                self._add_units(part, ids, np.diff(np.concatenate([[0], stops])))
             else:
-                other.append(w)
-        new = list({u for pair in split.values() for u in pair if u and u not in self.units})
-        for k in range(0, len(new), 2000):
-            self._learn_units(new[k : k + 2000])
-        for w, (core, tail) in split.items():
-            self._add(w, (self.units[core] if core else []) + (self.units[tail] if tail else []))
-        if other:
-            texts = [w.decode("utf-8", "replace") for w in other]
-            for w, e in zip(other, self.encoder.encode_batch_fast(texts, add_special_tokens=False)):
-                self._add(w, e.ids)
-
-    def _learn_units(self, units: list[str]) -> None:
-        ids = self.encoder.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids
-        stops = (np.flatnonzero(self.closes[ids]) + 1).tolist()
-        if len(stops) == len(units):
-            for u, a, b in zip(units, [0, *stops], stops):
-                self.units[u] = ids[a:b]
-        else:
-            for u, e in zip(units, self.encoder.encode_batch_fast(units, add_special_tokens=False)):
-                self.units[u] = e.ids
+                self._one_by_one(part, part)
+        hard = [u for u in fresh if isinstance(u, bytes)]
+        self._one_by_one(hard, [u.decode("utf-8", "replace") for u in hard])
+        self.core.append(np.fromiter((units[a] for a, _ in pairs), np.int32, len(pairs)))
+        self.tail.append(np.fromiter((units[b] for _, b in pairs), np.int32, len(pairs)))
+
+    def _one_by_one(self, names: list, texts: list[str]) -> None:
+        found = [e.ids for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.array([i for x in found for i in x], np.uint32)
+        self._add_units(names, ids, np.array([len(x) for x in found], np.int32))
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, each text closed by end_id; number of ids per text)."""
-        split = [t.split() for t in texts]
         if len(self.words) > self.most:
             self.clear()
-        fresh = {w for s in split for w in s}.difference(self.words)
-        if fresh:
-            self.learn(fresh)
-        if b"" not in self.words:
-            self._add(b"", [end_id])  # no word is empty: this one closes a text
-        for s in split:
-            s.append(b"")
-        n = sum(map(len, split))
-        get = self.words.__getitem__
-        at = np.fromiter((get(w) for s in split for w in s), np.int64, n)
-        start, count = np.array(self.start)[at], np.array(self.count)[at]
-        ends = np.cumsum(count)
-        ids = self.flat[np.arange(ends[-1] if n else 0) + np.repeat(start - (ends - count), count)]
-        closing = np.cumsum([len(s) for s in split]) - 1
-        return ids, np.diff(np.concatenate([[0], ends[closing]]))
+        words = (SPACED_END.join(texts) + SPACED_END).split()
+        at = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
+        if self.words.new:
+            self._learn()
+        for parts in (self.core, self.tail, self.flat, self.count):
+            if len(parts) > 1:
+                parts[:] = [np.concatenate(parts)]
+        flat = self.flat[0] if self.flat else np.zeros(0, np.uint32)
+        place = np.cumsum(self.count[0]) - self.count[0]
+        unit = np.empty(2 * len(at), np.int32)
+        unit[0::2], unit[1::2] = self.core[0][at], self.tail[0][at]
+        closing = at == 0
+        count = self.count[0][unit]
+        count[0::2][closing] = 1
+        ends = np.cumsum(count, dtype=np.int64)
+        source = np.repeat(place[unit] - (ends - count), count) + np.arange(ends[-1])
+        last = ends[0::2][closing] - 1
+        source[last] = 0
+        ids = flat[source] if len(flat) else np.zeros(len(source), np.uint32)
+        ids[last] = end_id
+        return ids, np.diff(np.concatenate([[0], last + 1]))
+
+
+class _Numbered(dict):
+    """Numbers unknown words in the order they come and lists them in ``new``."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
 
 
 def _tokens(cfg: PackConfig) -> WordTokens:
@@ -172,7 +186,9 @@ def candidates(ids: np.ndarray, ends: np.ndarray, sentence: np.ndarray, cfg: Pac
     """Cut positions (0 first, the last id's end last) with their penalties."""
     n = len(ids)
     penalty = np.full(n + 1, -1.0)
-    penalty[1:][sentence[np.minimum(ids, len(sentence) - 1)]] = cfg.sentence_penalty
+    kind = sentence[np.minimum(ids, len(sentence) - 1)]
+    penalty[1:][kind == 2] = cfg.sentence_penalty
+    penalty[1:][kind == 1] = cfg.clause_penalty
     penalty[ends] = 0.0
     penalty[0] = 0.0
     at = np.flatnonzero(penalty >= 0)
