@@ -55,7 +55,7 @@ class LineRules:
 
     min_words: int = 50
     max_repeat_percent: int = 50
-    symbols_per_word: float = 0.5
+    symbols_per_word: float = 0.3
     shouts_per_word: float = 0.5
     min_shout_words: int = 5
     repeats_per_word: float = 0.25

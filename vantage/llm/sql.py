@@ -65,7 +65,7 @@ lines AS (
 ), judged AS (
   SELECT doc_id, line, no, len(words) AS n,
          len(words) > 0 AND (
-           len(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > 0.5 * len(words)
+           len(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > 0.3 * len(words)
            OR (len(words) >= 5 AND len(regexp_replace(line, '[^!]', '', 'g')) > 0.5 * len(words))
            OR (len(words) >= 6 AND
                len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) > 0.25 * len(words))
