@@ -30,11 +30,14 @@ from vantage.llm.shared import SPACE, join_split, whole_text, written
 from vantage.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-# The state's settings: on disk, and without space set aside per store, of
-# which many small stores would hold several MB each.
+# The state's settings: on disk, without space set aside per store (many small
+# stores would hold several MB each), and with one bound on the memory that all
+# stores of an executor share.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
 # State of one partition stays small, its count is fixed for the life of the
 # state: rows per partition, and the most partitions one state may have.
