@@ -57,6 +57,9 @@ class SimHashConfig:
     # choice of partitions.
     key_cost: float = 1.0
     pair_cost: float = 8.0
+    # Costs are compared for this many fingerprints with the distances found,
+    # so that the choice doesn't change while a corpus grows.
+    design_rows: float = 1e9
     # A key with more than this share of all keys (4096 keys at least) is
     # split; at most 1 / share keys are.
     split_share: float = 1e-4
@@ -171,12 +174,14 @@ def _masks(width: int, t: int) -> int:
     return sum(comb(width, d) for d in range(1, t + 1))
 
 
-def choose_partitions(pairs: list[np.ndarray], n: int, cfg: SimHashConfig) -> list[tuple[int, int, int]]:
+def choose_partitions(pairs: list[np.ndarray], found: int, cfg: SimHashConfig) -> list[tuple[int, int, int]]:
     """[(first bit, width, threshold)] of least estimated cost.
 
-    ``pairs``: for each block, ordered pairs by distance. Dynamic programming
-    over blocks and credits left (a partition of threshold t uses t + 1).
+    ``pairs``: for each block, ordered pairs by distance among the ``found``
+    fingerprints. Dynamic programming over blocks and credits used (a partition
+    of threshold t uses t + 1).
     """
+    n = cfg.design_rows
     spend = cfg.max_bits + 1
     best: dict[tuple[int, int], tuple[float, list]] = {(0, 0): (0.0, [])}
     for end in range(1, BLOCKS + 1):
@@ -185,7 +190,7 @@ def choose_partitions(pairs: list[np.ndarray], n: int, cfg: SimHashConfig) -> li
             for begin in range(end):
                 dist = np.array([1.0])
                 for b in range(begin, end):
-                    dist = np.convolve(dist, pairs[b] / max(1.0, float(n) * n))[: cfg.max_bits + 1]
+                    dist = np.convolve(dist, pairs[b] / max(1.0, float(found) * found))[: cfg.max_bits + 1]
                 width = (end - begin) * WIDTH
                 for credit in range(used + 1):
                     t = credit - 1
@@ -194,8 +199,8 @@ def choose_partitions(pairs: list[np.ndarray], n: int, cfg: SimHashConfig) -> li
                     cost = 0.0
                     if t >= 0:
                         keys = n * (1 + _masks(width, t) / 2)
-                        found = max(0.0, (float(n) * n * dist[: t + 1].sum() - n) / 2)
-                        cost = cfg.key_cost * keys + cfg.pair_cost * found
+                        met = max(0.0, (n * n * dist[: t + 1].sum() - n) / 2)
+                        cost = cfg.key_cost * keys + cfg.pair_cost * met
                     before, parts = best[begin, used - credit]
                     part = [(begin * WIDTH, width, t)] if t >= 0 else []
                     options.append((before + cost, parts + part))
