@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vantage.llm import exact_dedup, mixing, packing, quality_rules, simhash
+from vantage.llm import exact_dedup, language_id, mixing, packing, quality_rules, simhash, suffix_dedup, toxicity
 from vantage.llm.shared import documents
 
 
@@ -10,6 +10,15 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).drop("hash_key")
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.without_repeats(documents(spark, sf_dir))
+
+
+def op3_toxicity(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score(documents(spark, sf_dir), labels)
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.decisions(documents(spark, sf_dir)).drop("loc_file", "loc_row")
 
@@ -22,14 +31,21 @@ def op8_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
 
 
+def op9_language_id(spark, sf_dir):
+    return language_id.identify(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(documents(spark, sf_dir))
 
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
+    "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }

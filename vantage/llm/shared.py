@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +45,17 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sized_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def discard(df: DataFrame) -> None:
+    """Removes the files of a ``written`` table that nothing needs any more,
+    and lets the driver forget the shuffles of finished jobs."""
+    spark = df.sparkSession
+    paths = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def join_split(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int, share: float = 0.001) -> DataFrame:
@@ -59,3 +73,41 @@ def join_split(rows: DataFrame, table: DataFrame, key: str, weight: str, total:
     one = marked.where("_hot is not null").select(*mine, *cols)
     two = marked.where("_hot is null").select(*mine).join(table.where(~hot), key, "left").select(*mine, *cols)
     return one.unionByName(two)
+
+
+END = b"\xff"  # stands for the end of a text; no UTF-8 text holds this byte
+
+
+def numbered_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """(distinct words, their numbers in order): the words of all texts in a
+    row, each text closed by END, which is number 0."""
+    numbers = {END: 0}
+    words = (b" \xff ".join(texts) + b" \xff").split() if texts else []
+    number = numbers.setdefault
+    at = np.fromiter((number(w, len(numbers)) for w in words), np.int32, len(words))
+    return list(numbers), at
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list[str | None]]]:
+    """(first column, texts of the second) in blocks of about ``size`` bytes,
+    so that memory doesn't follow the batch size."""
+    for b in batches:
+        keys, texts, held = [], [], 0
+        for key, text in zip(b.column(0).to_pylist(), b.column(1)):
+            text = text.as_py()
+            keys.append(key)
+            texts.append(text)
+            held += len(text or "")
+            if held >= size:
+                yield keys, texts
+                keys, texts, held = [], [], 0
+        if keys:
+            yield keys, texts
+
+
+def hashed_share(rows: DataFrame, key: str, classes: str, most: int, seed: int) -> DataFrame:
+    """About ``most`` rows of each class (fewer when there are fewer), chosen
+    by a hash of ``key``: the same rows on every run. The classes are few."""
+    counts = rows.groupBy(classes).agg(F.count(F.lit(1)).alias("_n"))
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
+    return rows.join(F.broadcast(counts), classes).where(place * F.col("_n") < most).drop("_n")
