@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vantage.llm import exact_dedup, mixing, quality_rules
+from vantage.llm import exact_dedup, mixing, packing, quality_rules, simhash
 from vantage.llm.shared import documents, written
 
 
@@ -23,15 +23,27 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicated(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group stays (three-word shingles, three bits)."""
+    return simhash.one_per_group(docs, simhash.SimHashConfig(shingle_words=3, max_bits=3))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words each source's budget pays for; repeated documents stand once per epoch."""
     return mixing.take(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences of at most 2,048 ids."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact),
+    ("simhash", near),
     ("mix_sources", mixture),
+    ("packing", pack),
 ]
 
 # Near-duplicate grouping and tokenised packing have no SQL form; the stages are

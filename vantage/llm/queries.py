@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vantage.llm import exact_dedup, language_id, mixing, packing, quality_rules, simhash, suffix_dedup, toxicity
+from vantage.llm import exact_dedup, language_id, license_scan, mixing, packing, pii, quality_rules, simhash, suffix_dedup, toxicity
 from vantage.llm.shared import documents
 
 
@@ -23,6 +23,14 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.decisions(documents(spark, sf_dir)).drop("loc_file", "loc_row")
 
 
+def op5_pii(spark, sf_dir):
+    return pii.replace(documents(spark, sf_dir))
+
+
+def op6_license_scan(spark, sf_dir):
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -44,6 +52,8 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_pii": op5_pii,
+    "op6_license_scan": op6_license_scan,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,

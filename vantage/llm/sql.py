@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from vantage.llm.license_scan import COPYRIGHT, SIGNS
+from vantage.llm.license_texts import NOTICES, SPELLINGS, TEXTS
+
 OP1 = """
 WITH sized AS (
   SELECT doc_id, source,
@@ -107,8 +110,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_
 FROM base JOIN per_line USING (doc_id)
 """
 
+
+
+def _canonical(text: str) -> str:
+    low = f"lower({text})"
+    lines = f"regexp_replace({low}, '{COPYRIGHT}', ' ', 'g')"
+    plain = f"' ' || trim(regexp_replace({lines}, '{SIGNS}', ' ', 'g')) || ' '"
+    for old, new in SPELLINGS.items():
+        plain = f"replace({plain}, ' {old} ', ' {new} ')"
+    return f"trim({plain})"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _values(pairs: dict[str, str]) -> str:
+    return ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in sorted(pairs.items()))
+
+
+OP6 = f"""
+WITH texts(name, body) AS (VALUES {_values(TEXTS)}),
+known AS (SELECT sha256({_canonical('body')}) AS digest, min(name) AS name FROM texts GROUP BY 1),
+notice(line, name) AS (VALUES {_values(NOTICES)}),
+forms AS (SELECT {_canonical('line')} AS form, min(name) AS name FROM notice GROUP BY 1),
+docs AS (SELECT doc_id, coalesce(text, '') AS body, row_number() OVER () AS row FROM documents),
+split AS (SELECT row, unnest(string_split(body, chr(10))) AS line FROM docs),
+hits AS (
+  SELECT s.row, count(*) AS n, string_agg(DISTINCT f.name, ',' ORDER BY f.name) AS names
+  FROM split s JOIN forms f ON {_canonical('s.line')} = f.form
+  WHERE regexp_matches(lower(s.line), 'licen[cs]e') GROUP BY 1
+), canon AS (SELECT row, doc_id, sha256({_canonical('body')}) AS canonical_sha256 FROM docs)
+SELECT c.doc_id, c.canonical_sha256, k.name AS license,
+       CAST(coalesce(h.n, 0) AS BIGINT) AS n_notice_lines, coalesce(h.names, '') AS notices
+FROM canon c LEFT JOIN known k ON c.canonical_sha256 = k.digest LEFT JOIN hits h USING (row)
+"""
+
 SQL = {
     "op1_mix_sources": OP1,
     "op4_exact_dedup": OP4,
+    "op6_license_scan": OP6,
     "op10_quality_rules": OP10,
 }
