@@ -36,6 +36,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +55,12 @@ HASH_SEED = 42
 class SimHashConfig:
     shingle_words: int = 3
     max_bits: int = 3
-    # Cost of one stored or probed key and of one verified candidate, for the
-    # choice of partitions.
+    # Cost of one stored or probed key (shuffled and sorted) and of one verified
+    # candidate (a few vectorised operations), for the choice of partitions.
     key_cost: float = 1.0
-    pair_cost: float = 8.0
+    pair_cost: float = 0.02
+    # The most keys a fingerprint may have, on average, in one partition.
+    max_keys: int = 64
     # Costs are compared for this many fingerprints with the distances found,
     # so that the choice doesn't change while a corpus grows.
     design_rows: float = 1e9
@@ -169,8 +173,6 @@ def block_distances(histogram: np.ndarray, upto: int) -> np.ndarray:
 
 
 def _masks(width: int, t: int) -> int:
-    from math import comb
-
     return sum(comb(width, d) for d in range(1, t + 1))
 
 
@@ -178,10 +180,15 @@ def choose_partitions(pairs: list[np.ndarray], found: int, cfg: SimHashConfig) -
     """[(first bit, width, threshold)] of least estimated cost.
 
     ``pairs``: for each block, ordered pairs by distance among the ``found``
-    fingerprints. Dynamic programming over blocks and credits used (a partition
-    of threshold t uses t + 1).
+    fingerprints, each with itself included. Dynamic programming over blocks
+    and credits used (a partition of threshold t uses t + 1).
     """
     n = cfg.design_rows
+    # Share of pairs of different fingerprints at each distance in a block,
+    # drawn towards that of random bits by as many pairs as a block has values.
+    chance = np.array([comb(WIDTH, d) for d in range(cfg.max_bits + 1)]) / 2.0**WIDTH
+    itself = np.eye(1, cfg.max_bits + 1)[0] * found
+    share = [(p - itself + chance * 2.0**WIDTH) / (float(found) * max(0, found - 1) + 2.0**WIDTH) for p in pairs]
     spend = cfg.max_bits + 1
     best: dict[tuple[int, int], tuple[float, list]] = {(0, 0): (0.0, [])}
     for end in range(1, BLOCKS + 1):
@@ -190,7 +197,7 @@ def choose_partitions(pairs: list[np.ndarray], found: int, cfg: SimHashConfig) -
             for begin in range(end):
                 dist = np.array([1.0])
                 for b in range(begin, end):
-                    dist = np.convolve(dist, pairs[b] / max(1.0, float(found) * found))[: cfg.max_bits + 1]
+                    dist = np.convolve(dist, share[b])[: cfg.max_bits + 1]
                 width = (end - begin) * WIDTH
                 for credit in range(used + 1):
                     t = credit - 1
@@ -198,8 +205,11 @@ def choose_partitions(pairs: list[np.ndarray], found: int, cfg: SimHashConfig) -
                         continue
                     cost = 0.0
                     if t >= 0:
-                        keys = n * (1 + _masks(width, t) / 2)
-                        met = max(0.0, (n * n * dist[: t + 1].sum() - n) / 2)
+                        each = 1 + _masks(width, t) / 2
+                        if each > cfg.max_keys and t > 0:
+                            continue
+                        keys = n * each
+                        met = n * (n - 1) / 2 * dist[: t + 1].sum()
                         cost = cfg.key_cost * keys + cfg.pair_cost * met
                     before, parts = best[begin, used - credit]
                     part = [(begin * WIDTH, width, t)] if t >= 0 else []
@@ -228,8 +238,6 @@ def plan(fps: DataFrame, cfg: SimHashConfig) -> tuple[list[int], list[tuple[int,
 
 
 def _flips(width: int, t: int) -> list[int]:
-    from itertools import combinations
-
     return [sum(1 << b for b in c) for d in range(1, t + 1) for c in combinations(range(width), d)]
 
 
@@ -239,17 +247,20 @@ def keys(x: DataFrame, parts: list[tuple[int, int, int]]) -> DataFrame:
     value); a chance collision only adds candidates to verify."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flips = [(k, lo, w, _flips(w, t)) for k, (lo, w, t) in enumerate(parts)]
+        masks = [np.array([0, *_flips(w, t)], np.uint64) for _, w, t in parts]
+        tops = [np.array([0] + [1 << (m.bit_length() - 1) for m in f[1:].tolist()], np.uint64) for f in masks]
         for b in batches:
-            x = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for k, lo, w, masks in flips:
-                own = (x >> np.uint64(lo)) & np.uint64(2**w - 1 if w < 64 else 2**64 - 1)
-                yield _key_rows(k, own, 0, x)
-                for m in masks:
-                    top = np.uint64(1 << (m.bit_length() - 1))
-                    sel = (own & top) != 0
-                    if sel.any():
-                        yield _key_rows(k, own[sel] ^ np.uint64(m), 1, x[sel])
+            every = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            for k, (lo, w, _) in enumerate(parts):
+                step = max(1, (1 << 17) // len(masks[k]))
+                for at in range(0, len(every), step):
+                    x = every[at : at + step]
+                    own = (x >> np.uint64(lo)) & np.uint64(2**w - 1)
+                    # stored under its own value, probing the flips whose top bit is set
+                    probes = (own[:, None] & tops[k]) != 0
+                    probes[:, 0] = True
+                    row, which = np.nonzero(probes)
+                    yield _key_rows(k, own[row] ^ masks[k][which], (which > 0).astype(np.int32), x[row])
 
     return x.select("x").mapInArrow(run, "key long, probe int, x long")
 
@@ -261,10 +272,9 @@ def _mixed(v: np.ndarray) -> np.ndarray:
     return v ^ (v >> np.uint64(32))
 
 
-def _key_rows(k: int, value: np.ndarray, probe: int, x: np.ndarray) -> pa.RecordBatch:
+def _key_rows(k: int, value: np.ndarray, probe: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
     key = _mixed(_mixed(value) + np.uint64(k + 1)).view(np.int64)
-    flag = np.full(len(x), probe, np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(flag), pa.array(x.view(np.int64))], names=["key", "probe", "x"])
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(probe), pa.array(x.view(np.int64))], names=["key", "probe", "x"])
 
 
 def links(x: DataFrame, parts: list[tuple[int, int, int]], cfg: SimHashConfig) -> DataFrame:
