@@ -48,6 +48,7 @@ from vantage.llm.components import connected_components
 from vantage.llm.shared import join_split, written
 
 BLOCKS, WIDTH = 4, 16  # the 64 bits as four blocks
+PAIRS_AT_ONCE = 1 << 18  # candidates a task holds while it verifies them
 HASH_SEED = 42
 
 
@@ -303,7 +304,7 @@ def links(x: DataFrame, parts: list[tuple[int, int, int]], cfg: SimHashConfig) -
         size = 0
         for b in batches:
             part = tuple(c.to_numpy(zero_copy_only=False) for c in b.columns)
-            if size >= 1 << 18 and len(part[0]):
+            if size >= 1 << 17 and len(part[0]):
                 # close at the last key change, carry the open key on
                 same = part[0] == held[-1][0][-1]
                 cut = int(np.argmin(same)) if not same.all() else len(same)
@@ -337,7 +338,7 @@ def _verified(held: list[tuple[np.ndarray, ...]], bound: int) -> pa.RecordBatch:
         at = 0
         while at < n:
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + (1 << 22), "right")))
+            to = max(at + 1, int(np.searchsorted(ends, base + PAIRS_AT_ONCE, "right")))
             m = meets[at:to]
             left = np.repeat(np.arange(at, to), m)
             right = np.arange(len(left)) - np.repeat(ends[at:to] - m - base, m) + begin[left]
