@@ -87,7 +87,7 @@ def test_bucket_summary_keeps_empty_buckets(spark):
     assert (out[3].viewpoint_count, out[3].image_count, out[3].viewpoint_ids) == (0, 0, [])
 
 
-def test_grouped_mapping_numeric_aware_and_chunked(spark):
+def test_grouped_mapping_numeric_aware(spark):
     rows = [("10", 1, 0), ("9", 1, 1), ("b", 1, 2), ("a", 1, 3), ("9", 1, 4), ("007", 1, 5),
             ("7", 1, 6), ("x", 2, 7)]
     df = spark.createDataFrame(rows, SCHEMA)
@@ -95,23 +95,23 @@ def test_grouped_mapping_numeric_aware_and_chunked(spark):
     # Python: sorted(ids, key=int-if-digit) puts 007 and 7 in row order
     assert out[1].image_ids == ["007", "7", "9", "9", "10", "a", "b"]
     assert out[1].image_count == 7 and out[2].image_ids == ["x"]
-    chunks = sorted((r.chunk, r.image_ids) for r in MI.grouped_mapping(df, chunk=3).collect()
-                    if r.viewpoint_id == 1)
-    assert chunks == [(0, ["007", "7", "9"]), (1, ["9", "10", "a"]), (2, ["b"])]
+    ranks = sorted((r.position, r.image_id) for r in MI.mapping_ranks(df).collect() if r.viewpoint_id == 1)
+    assert ranks == list(enumerate(out[1].image_ids))
 
 
 def test_hot_viewpoint_ranks_are_dense(spark):
     """One viewpoint with most rows still gets a dense 0..n-1 ranking."""
     rows = [(str(i), 1 if i % 3 else 2, i) for i in range(3000)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)
-    out = MI.grouped_mapping(df, chunk=500).collect()
-    ids = {}
+    out = MI.grouped_mapping(df).collect()
+    assert len(out) == 2  # one row per viewpoint, whatever its size
     for r in out:
-        ids.setdefault(r.viewpoint_id, []).extend((r.chunk, i) for i in [r.image_ids])
-    for vp, parts in ids.items():
-        flat = [x for _, lst in sorted(parts) for x in lst]
-        assert flat == sorted(flat, key=int)
-        assert len(flat) == sum(1 for r in rows if r[1] == vp)
+        assert r.image_ids == sorted(r.image_ids, key=int)
+        assert r.image_count == len(r.image_ids) == sum(1 for x in rows if x[1] == r.viewpoint_id)
+    ids = {}
+    for r in MI.mapping_ranks(df).collect():
+        ids.setdefault(r.viewpoint_id, {})[r.position] = r.image_id
+    assert all([m[i] for i in range(len(m))] == next(r.image_ids for r in out if r.viewpoint_id == v) for v, m in ids.items())
 
 
 def test_smoke_subset(spark):

@@ -9,7 +9,7 @@ from vantage.functions import file_stem, l2_normalize, mask_rect
 from vantage.operators import checks as C
 from vantage.operators import insight as I
 from vantage.operators import similarity as S
-from vantage.operators.dataset_index import check_bboxes, image_bboxes, ordered_index
+from vantage.operators.dataset_index import check_bboxes, image_bboxes, image_box_rows, ordered_index
 
 VEC = T.StructType([T.StructField("viewpoint_id", T.LongType()),
                     T.StructField("centroid", T.ArrayType(T.FloatType()))])
@@ -80,6 +80,58 @@ def test_l2_normalize_zero_norm_raises(spark):
     assert df.select(l2_normalize("v", strict=False).alias("u")).collect()[1].u is None
 
 
+def test_l2_normalize_is_linear_in_the_dimension(spark):
+    """The norm is computed once per vector, not once per element."""
+    import time
+
+    took = {}
+    for d in (64, 2048):
+        df = spark.range(200).select(F.transform(F.sequence(F.lit(1), F.lit(d)), lambda x: x.cast("double")).alias("v"))
+        run = lambda: df.select(F.sum(F.get(l2_normalize("v"), 0))).collect()  # noqa: B023, E731
+        run()
+        t0 = time.perf_counter()
+        run()
+        took[d] = time.perf_counter() - t0
+    assert took[2048] < 5
+
+
+def test_integer_text(spark):
+    from vantage.functions import to_integer
+
+    texts = ["7", "7.0", " 8 ", "7.9", "-3", "x", "7x", "", None, "1e3"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.n for r in df.select(to_integer("t").alias("n")).collect()] == [7, 7, 8, 7, -3, None, None, None, None, None]
+
+
+def test_metrics_written_with_fractions(spark):
+    df = spark.createDataFrame([('{"viewpoint_id": 1.0, "total_images": "3.0", "total_vehicles": "n/a", "entropy": "0.5"}',)], "value string")
+    r = I.metrics_from_json_text(df).first()
+    assert (r.viewpoint_id, r.total_images, r.total_vehicles, r.entropy) == (1, 3, None, 0.5)
+
+
+@pytest.mark.parametrize("block_rows", [3, 100])
+@pytest.mark.parametrize("k", [1, 2])
+def test_nearest_neighbours_in_one_or_many_blocks(spark, block_rows, k):
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(40, 8)), rng.normal(size=(11, 8))
+    y[7] = y[2]  # a tie: the lower id wins
+    left = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "seq long, embedding array<double>")
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "viewpoint_id long, centroid array<double>")
+    got = {}
+    for r in S.nearest_neighbours(left, right, k, block_rows=block_rows).collect():
+        got.setdefault(r.left_id, {})[r.rank] = r.right_id
+    s = unit(x) @ unit(y).T
+    want = {i: dict(enumerate(np.argsort(-np.round(s[i], 12), kind="stable")[:k].tolist(), 1)) for i in range(40)}
+    assert got == want
+
+
+def test_nearest_centroid_leaves_the_embeddings_in_place(spark):
+    left = spark.createDataFrame([(0, [1.0, 0.0])], "seq long, embedding array<double>")
+    right = spark.createDataFrame([(5, [0.0, 1.0])], "viewpoint_id long, centroid array<double>")
+    plan = S.nearest_centroid(left, right)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_file_stem_cases(spark):
     names = ["train/000/101.png", "train\\000\\102.png", "103.v2.png", "noext", ".hidden", "a/b.c/d", None]
     df = spark.createDataFrame([(n,) for n in names], "f string")
@@ -150,9 +202,14 @@ def test_ordered_index_and_boxes(spark):
         "split string, pos long, coco_image_id long, file_name string, image_id string")
     idx = [(r.seq, r.image_id) for r in ordered_index(images).orderBy("seq").collect()]
     assert idx == [(0, "t0"), (1, "t1"), (2, "v0")]
-    anns = spark.createDataFrame([("train", 2, 7, [1.0, 1.0, 1.0, 1.0]), ("train", 1, 7, [0.0, 0.0, 1.0, 1.0])],
-                                 "split string, pos long, coco_image_id long, bbox array<double>")
-    boxes = {r.image_id: r.bboxes for r in image_bboxes(images, anns).collect()}
+    # positions run over the whole document: far apart, and beyond any block size
+    anns = spark.createDataFrame([("train", 310_000, 7, 2, [1.0, 1.0, 1.0, 1.0]), ("train", 9_999, 7, 1, [0.0, 0.0, 1.0, 1.0])],
+                                 "split string, pos long, coco_image_id long, annotation_id long, bbox array<double>")
+    listed = image_bboxes(images, anns).collect()
+    assert len(listed) == 3
+    boxes = {r.image_id: r.bboxes for r in listed}
+    rows = sorted((r.image_id, r.position, r.bbox[0]) for r in image_box_rows(images, anns).collect())
+    assert rows == [("t0", 0, 0.0), ("t0", 1, 1.0)]
     assert boxes["t0"] == [[0.0, 0.0, 1.0, 1.0], [1.0, 1.0, 1.0, 1.0]] and boxes["v0"] == []
 
 
@@ -174,12 +231,12 @@ def test_pivot_grid_prunes_clustered_data(spark):
     centers = rng.normal(size=(20, 32))
     x = (centers[rng.integers(0, 20, size=400)] + 0.05 * rng.normal(size=(400, 32))).astype(np.float32)
     v = vectors(spark, x).select(F.col("viewpoint_id").alias("id"), F.col("centroid").alias("v"))
-    sizes = S.pivot_units(v, 0.97, pivots=6, block_rows=20).groupBy("cg", "ch", "blk").count().collect()
-    units = {}
-    for r in sizes:
-        units.setdefault((r.cg, r.ch), {})[r.blk] = r["count"]
-    compared = sum(m.get(cg, 0) * (m.get(cg, 0) - 1) // 2 if cg == ch else m.get(cg, 0) * m.get(ch, 0)
-                   for (cg, ch), m in units.items())
+    cells = S.angle_cells(v, 0.97, 6)
+    routes, sizes = S.block_pairs(cells, 0.97, 6, 10**6)
+    count = {r.cell: r["count"] for r in cells.groupBy("cell").count().collect()}
+    assert all(r.blocks == 1 for r in sizes.collect())
+    met = {(r.cg.cell, r.ch.cell) for r in routes.collect()}
+    compared = sum(count[a] * (count[a] - 1) // 2 if a == b else count[a] * count[b] for a, b in met)
     assert compared < 400 * 399 // 2 / 2  # well under all pairs
 
 

@@ -8,10 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_metrics_fixture import COCO, MAPPING
+from vantage.operators import dataset_index as X
 from vantage.operators import insight as I
 from vantage.operators import review as R
+from vantage.operators.checks import CheckFailed
+from vantage.operators.normalize import normalize_annotations, normalize_categories, normalize_images
 from vantage.plans import job
 from vantage.sources import files, registry
+from vantage.sources.coco import read_coco_splits
+from vantage.sources.registry import save_registry
 from vantage.sources.mapping import MappingSchemaError, read_mapping_csv, read_mapping_strict, read_mapping_trimmed
 
 
@@ -187,31 +192,89 @@ def test_near_duplicates_job(spark, tmp_dir):
     reg = spark.createDataFrame(
         [(0, [1.0, 0.0, 0.0], 2), (1, [0.99, 0.05, 0.0], 1), (2, [0.0, 1.0, 0.0], 1), (3, [0.0, 0.0, 1.0], 1)],
         "viewpoint_id long, centroid array<double>, count long")
-    reg.write.parquet(f"{tmp_dir}/registry")
+    save_registry(reg, f"{tmp_dir}/registry", 5)
     mapping = write(f"{tmp_dir}/m.csv", "image_id,viewpoint_id\nimg0,0\nimg0b,0\nimg1,1\nimg2,2\nimg3,3\n")
     for name in ["img0", "img0b", "img1", "img2", "img3"]:
         write(f"{tmp_dir}/imgs/data/{name}.png", "x")
     facts = job.main(["near-duplicates", "--registry", f"{tmp_dir}/registry", "--mapping-csv", mapping,
-                      "--images-dir", f"{tmp_dir}/imgs", "--output-csv", f"{tmp_dir}/pairs",
+                      "--images-dir", f"{tmp_dir}/imgs", "--output-csv", f"{tmp_dir}/pairs", "--dim", "3",
                       "--shuffle-partitions", "8"])
-    assert facts == {"pairs": 1}
+    assert facts == {"pairs": 1, "left_out": 0}
     rows = R.read_pair_csv(spark, f"{tmp_dir}/pairs").collect()
     assert [(r.viewpoint_id_a, r.image_id_a, r.viewpoint_id_b, r.image_id_b) for r in rows] == [(0, "img0", 1, "img1")]
     text = open(glob.glob(f"{tmp_dir}/pairs/*.csv")[0]).read().splitlines()
     assert text[1].split(",")[6] == "0.998727" and text[1].endswith(",,")
 
 
-def test_assign_job_writes_mapping_and_resumes(spark, tmp_dir):
-    emb = spark.createDataFrame([(i, f"img{i}", [1.0, 0.0] if i % 2 == 0 else [0.0, 1.0]) for i in range(10)],
-                                "seq long, image_id string, embedding array<float>")
-    emb.write.parquet(f"{tmp_dir}/emb")
-    args = ["assign", "--embeddings", f"{tmp_dir}/emb", "--state-dir", f"{tmp_dir}/state", "--batch-size", "4",
-            "--mapping-csv", f"{tmp_dir}/mapping", "--shuffle-partitions", "8"]
-    facts = job.main(args)
-    assert facts == {"rows": 10, "viewpoints": 2}
-    rows = read_mapping_csv(spark, f"{tmp_dir}/mapping").orderBy("seq").collect()
-    assert [(r.image_id, r.viewpoint_id) for r in rows] == [(f"img{i}", i % 2) for i in range(10)]
-    assert job.main(args) == {"rows": 10, "viewpoints": 2}  # rerun resumes at the end: nothing to do
+def test_metrics_from_staged_tables_equal_the_documents(spark, tmp_dir):
+    train = write(f"{tmp_dir}/train.json", json.dumps(COCO))
+    val = write(f"{tmp_dir}/val.json", json.dumps({"images": [], "annotations": [], "categories": []}))
+    mapping = write(f"{tmp_dir}/m.csv", "image_id,viewpoint_id\n101,7.0\n102,7\n103.v2,8\n104,8\n105,x\n999,8\n")
+    boxes = dict(COCO, annotations=[a for a in COCO["annotations"] if len(a.get("bbox") or [0] * 4) == 4])
+    ok = write(f"{tmp_dir}/ok.json", json.dumps(boxes))
+    common = ["--mapping-csv", mapping, "--shuffle-partitions", "8"]
+    job.main(["metrics", "--train-json", ok, "--val-json", val, "--output-dir", f"{tmp_dir}/a", *common])
+    job.main(["stage", "--train-json", ok, "--val-json", val, "--output-dir", f"{tmp_dir}/t", "--shuffle-partitions", "8"])
+    job.main(["metrics", "--tables", f"{tmp_dir}/t", "--output-dir", f"{tmp_dir}/b", *common])
+    one, two = (sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/{x}").collect())) for x in "ab")
+    assert one == two and {r[0] for r in one} == {7, 8}
+    with pytest.raises(CheckFailed):  # a box of three numbers
+        job.main(["stage", "--train-json", train, "--val-json", val, "--output-dir", f"{tmp_dir}/u", "--shuffle-partitions", "8"])
+
+
+def test_coco_ids_as_text_and_broken_documents(spark, tmp_dir):
+    text = {"images": [{"id": "10", "file_name": "a.png", "width": "4", "height": 2}],
+            "annotations": [{"id": "1", "image_id": "10", "category_id": "3", "bbox": ["0", 0, 2, 2]}],
+            "categories": [{"id": "3", "name": "Car"}]}
+    path = write(f"{tmp_dir}/t.json", json.dumps(text))
+    images, anns, cats = read_coco_splits(spark, {"train": path})
+    assert normalize_images(images).first().coco_image_id == 10
+    a = normalize_annotations(anns).first()
+    assert (a.annotation_id, a.coco_image_id, a.category_id, a.bbox_area) == (1, 10, 3, 4.0)
+    assert normalize_categories(cats).first().category_id == 3
+    broken = write(f"{tmp_dir}/b.json", json.dumps(text)[:-30])
+    with pytest.raises(Exception):
+        read_coco_splits(spark, {"train": broken})
+    empty = write(f"{tmp_dir}/e.json", json.dumps({"images": []}))
+    with pytest.raises(CheckFailed):
+        read_coco_splits(spark, {"train": empty})
+
+
+def test_decide_job_keeps_the_candidate_order(spark, tmp_dir):
+    header = ",".join(["viewpoint_id_a", "image_id_a", "image_path_a", "viewpoint_id_b", "image_id_b",
+                       "image_path_b", "centroid_similarity", "merge_decision", "notes"])
+    # rows 2 and 3 have one similarity at six digits and are not in id order
+    lines = ["1,a,p,2,b,q,0.990000,,", "7,e,t,8,f,u,0.980000,,", "3,c,r,4,d,s,0.980000,,"]
+    cands = write(f"{tmp_dir}/c.csv", header + "\n" + "\n".join(lines) + "\n")
+    events = write(f"{tmp_dir}/e.csv", "viewpoint_id_a,viewpoint_id_b,merge_decision,notes\n3,4,merge,\n3,4,no_merge,look again\n")
+    facts = job.main(["decide", "--candidates-csv", cands, "--events-csv", events, "--output-csv", f"{tmp_dir}/d",
+                      "--shuffle-partitions", "8"])
+    assert (facts["no_merge"], facts["undecided"]) == (1, 2)
+    got = R.read_pair_csv(spark, f"{tmp_dir}/d").orderBy("seq").collect()
+    assert [(r.viewpoint_id_a, r.merge_decision, r.notes) for r in got] == [(1, "", ""), (7, "", ""), (3, "no_merge", "look again")]
+    check = job.main(["review", "--candidates-csv", cands, "--decisions-csv", f"{tmp_dir}/d", "--shuffle-partitions", "8"])
+    assert check["no_merge"] == 1
+
+
+def test_paths_must_match_in_strict_mode(spark):
+    files = spark.createDataFrame([("r/data/a.png",), ("r/data/x/a.png",)], "path string")
+    with pytest.raises(CheckFailed):
+        X.split_path_lookup(files, {"train": "r"})
+    look = X.split_path_lookup(files.limit(1), {"train": "r"})
+    index = spark.createDataFrame([("test", "a.png")], "split string, file_name string")
+    with pytest.raises(CheckFailed):
+        X.resolve_paths(index, look)
+
+
+def test_checkpoint_folder_must_be_shared(monkeypatch):
+    from types import SimpleNamespace
+
+    from vantage.session import checkpoint_root
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        checkpoint_root(fake)
 
 
 def test_mapping_csv_round_trip_keeps_order_across_part_files(spark, tmp_dir):

@@ -4,10 +4,9 @@ Sub-packages:
   sources    readers and writers (COCO JSON, mapping CSV, metrics JSONL, registry, file listings)
   functions  column expressions (file stems, bbox area, keyword flags, entropy terms, vectors)
   operators  DataFrame -> DataFrame operators (metrics, mapping index, insight, similarity, checks)
-  streaming  the ordered online viewpoint assignment and its resumable driver
   plans      job entry points and the query catalog used by ``__spark_entry__``
 
-The few Arrow/pandas task bodies (similarity blocks, the ordered replay) live
+The few Arrow/pandas task bodies (similarity blocks) live
 in this package. They are pickled by value, so Python workers need not have
 the package installed; on a cluster it can also be shipped with
 ``spark-submit --py-files`` (see ``package_zip``).

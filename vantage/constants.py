@@ -14,9 +14,8 @@ EXTENSION_PATTERN = r"\.[^\.]+$"
 UNKNOWN_CATEGORY_PREFIX = "category_"
 # Mask padding applied to each box before masking (negative shrinks the box).
 MASK_PADDING = -40
-# Online viewpoint assignment: similarity needed to join a viewpoint; rows per batch.
-ASSIGN_THRESHOLD = 0.90
-ASSIGN_BATCH_SIZE = 128
+# Length of the embeddings.
+EMBEDDING_DIM = 2048
 # Near-duplicate viewpoint pairs: similarity threshold and most candidates kept.
 PAIR_THRESHOLD = 0.97
 MAX_CANDIDATES = 2000

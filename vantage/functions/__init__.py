@@ -14,5 +14,6 @@ from vantage.functions.expressions import (  # noqa: F401
     l2_normalize,
     mask_rect,
     safe_ratio,
+    to_integer,
     vector_norm,
 )

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from vantage.functions import MASK_PADDING, mask_rect
 from vantage.operators.normalize import split_rank
-from vantage.operators.ranking import DEFAULT_CHUNK, rank_within_groups
+from vantage.operators.checks import check_duplicates, check_unmatched, enforce
+from vantage.operators.ranking import rank_within_groups
 
 BBOX = T.ArrayType(T.DoubleType())
 
@@ -30,25 +31,27 @@ def check_bboxes(annotations: DataFrame) -> DataFrame:
                                          "annotation_id", "coco_image_id", "bbox")
 
 
-def image_bboxes(images: DataFrame, annotations: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Each image with its boxes in document order; images without boxes get [].
-
-    Lists are cut by document position into chunks of ``chunk`` positions
-    (column ``chunk``), which bounds every collected list.
-    """
+def image_box_rows(images: DataFrame, annotations: DataFrame) -> DataFrame:
+    """Boxes as rows: each image's boxes numbered from 0 in document order,
+    wherever in the document they stand. The form for images of any size."""
     key = ["split", "coco_image_id"] if "split" in annotations.columns else ["coco_image_id"]
-    boxes = (
-        annotations.select(*key, "pos", F.col("bbox").cast(BBOX).alias("bbox"))
-        .withColumn("chunk", F.floor(F.col("pos") / chunk).cast("long"))
-        .groupBy(*key, "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "bbox"))).alias("_l"))
-        .select(*key, "chunk", F.transform("_l", lambda e: e["bbox"]).alias("bboxes"))
+    boxes = annotations.select(*key, "pos", "annotation_id", F.col("bbox").cast(BBOX).alias("bbox"))
+    ranked = rank_within_groups(boxes, key, ["pos", "annotation_id", "bbox"], out="position")
+    return images.select("split", "coco_image_id", "image_id").join(ranked, key).select(
+        "split", "coco_image_id", "image_id", "position", "bbox"
     )
+
+
+def image_bboxes(images: DataFrame, annotations: DataFrame) -> DataFrame:
+    """One row per image with its boxes in document order; images without
+    boxes get []."""
+    key = ["split", "coco_image_id"]
+    boxes = image_box_rows(images, annotations).groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.struct("position", "bbox"))).alias("_l")
+    ).select(*key, F.transform("_l", lambda e: e["bbox"]).alias("bboxes"))
     empty = F.array().cast(T.ArrayType(BBOX))
-    return images.select("split", "coco_image_id", "image_id").join(boxes, key, "left").select(
-        "split", "coco_image_id", "image_id",
-        F.coalesce("chunk", F.lit(0).cast("long")).alias("chunk"),
-        F.coalesce("bboxes", empty).alias("bboxes"),
+    return images.select(*key, "image_id").join(boxes, key, "left").select(
+        *key, "image_id", F.coalesce("bboxes", empty).alias("bboxes")
     )
 
 
@@ -62,8 +65,9 @@ def mask_rects(images: DataFrame, annotations: DataFrame, padding: int = MASK_PA
     return r.where(F.col("r").isNotNull()).select(*key, "annotation_id", "r.x1", "r.y1", "r.x2", "r.y2")
 
 
-def split_path_lookup(files: DataFrame, split_prefixes: dict[str, str]) -> DataFrame:
-    """(split, basename, path) for files under '<prefix>/data/' of each split."""
+def split_path_lookup(files: DataFrame, split_prefixes: dict[str, str], strict: bool = True) -> DataFrame:
+    """(split, basename, path) for files under '<prefix>/data/' of each split.
+    A basename found twice in a split is an error in strict mode."""
     parts = []
     for split, prefix in split_prefixes.items():
         base = f"{prefix}/data/"
@@ -75,12 +79,15 @@ def split_path_lookup(files: DataFrame, split_prefixes: dict[str, str]) -> DataF
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if strict:
+        enforce(check_duplicates(out, ["split", "basename"]), "two files of one split share a name")
     return out
 
 
-def resolve_paths(index: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Index rows with their file path; unresolved rows keep a null path
-    (``check_unmatched`` lists them)."""
-    return index.join(
-        lookup.select("split", F.col("basename").alias("file_name"), "path"), ["split", "file_name"], "left"
-    )
+def resolve_paths(index: DataFrame, lookup: DataFrame, strict: bool = True) -> DataFrame:
+    """Index rows with their file path. A row whose split is unknown or whose
+    file is missing is an error in strict mode, else its path is null."""
+    named = lookup.select("split", F.col("basename").alias("file_name"), "path")
+    if strict:
+        enforce(check_unmatched(index, named, ["split", "file_name"]), "image without a file")
+    return index.join(named, ["split", "file_name"], "left")

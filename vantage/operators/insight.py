@@ -18,8 +18,10 @@ def coerce_metrics(df: DataFrame) -> DataFrame:
     out = df
     for c in METRIC_NUMERIC_COLUMNS:
         if c in out.columns:
-            target = "long" if c in INTEGER_METRICS else "double"
-            out = out.withColumn(c, F.col(c).try_cast(target))
+            # whole numbers may be written as 3.0 or 3e0
+            number = F.col(c).try_cast("double")
+            whole = F.coalesce(F.col(c).try_cast("long"), number.try_cast("long"))
+            out = out.withColumn(c, whole if c in INTEGER_METRICS else number)
     if "class_distribution_vector" in out.columns:
         out = out.withColumn("class_distribution_vector",
                              F.coalesce(F.col("class_distribution_vector"), F.lit("{}")))
@@ -31,7 +33,7 @@ def read_metrics_jsonl(spark: SparkSession, path: str) -> DataFrame:
     an empty input is an error."""
     df = spark.read.schema(METRICS_JSONL_TEXT).option("mode", "FAILFAST").json(path)
     if df.isEmpty():
-        raise ValueError("No rows found in analytics JSONL.")
+        raise ValueError(f"{path}: no metric records")
     return coerce_metrics(df)
 
 
@@ -109,9 +111,7 @@ CLASS_VECTOR = T.MapType(T.StringType(), T.DoubleType())
 
 
 def class_vector_explode(df: DataFrame, column: str = "class_distribution_vector") -> DataFrame:
-    """The JSON class vector as (viewpoint_id, class_name, share) rows, largest
-    share first; empty or invalid JSON gives no rows."""
+    """The JSON class vector as (viewpoint_id, class_name, share) rows; empty or
+    invalid JSON gives no rows. Sort one viewpoint's rows for display."""
     parsed = df.select("viewpoint_id", F.from_json(F.col(column), CLASS_VECTOR).alias("_m"))
-    return parsed.select("viewpoint_id", F.explode("_m").alias("class_name", "share")).orderBy(
-        F.col("share").desc(), "viewpoint_id", "class_name"
-    )
+    return parsed.select("viewpoint_id", F.explode("_m").alias("class_name", "share"))

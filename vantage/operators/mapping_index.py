@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vantage.constants import SMOKE_MAX_IMAGES, SMOKE_MAX_VIEWPOINTS
-from vantage.operators.ranking import DEFAULT_CHUNK, chunked_lists, rank_within_groups
+from vantage.operators.ranking import ordered_lists, rank_within_groups
 
 
 def image_sort_key(image_id: str | Column, seq: str | Column | None = None) -> list[Column]:
@@ -33,20 +33,21 @@ def viewpoint_sizes(mapping: DataFrame) -> DataFrame:
     return mapping.groupBy("viewpoint_id").agg(F.count(F.lit(1)).alias("image_count"))
 
 
-def grouped_mapping(mapping: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """viewpoint -> (image_count, ordered image ids), duplicates kept, sorted by viewpoint.
-
-    Lists are cut into chunks of ``chunk`` ids (column ``chunk``); a viewpoint
-    with fewer images is a single row with chunk 0.
-    """
+def mapping_ranks(mapping: DataFrame) -> DataFrame:
+    """Mapping rows with their place in their viewpoint's ordered image list:
+    (viewpoint_id, position, image_id). The form for viewpoints of any size."""
     m = mapping.select("viewpoint_id", "image_id", *(["seq"] if "seq" in mapping.columns else []))
     order = image_sort_key("image_id", "seq" if "seq" in m.columns else None)
     keyed = m.select("viewpoint_id", "image_id", *[o.alias(f"_k{i}") for i, o in enumerate(order)])
-    ranked = rank_within_groups(keyed, ["viewpoint_id"], [f"_k{i}" for i in range(len(order))])
-    lists = chunked_lists(ranked, ["viewpoint_id"], "image_id", chunk=chunk, out="image_ids")
-    return lists.join(viewpoint_sizes(m), "viewpoint_id").select(
-        "viewpoint_id", "image_count", "chunk", "image_ids"
-    )
+    ranked = rank_within_groups(keyed, ["viewpoint_id"], [f"_k{i}" for i in range(len(order))], out="position")
+    return ranked.select("viewpoint_id", "position", "image_id")
+
+
+def grouped_mapping(mapping: DataFrame) -> DataFrame:
+    """viewpoint -> (image_count, ordered image ids), duplicates kept: one row
+    per viewpoint."""
+    lists = ordered_lists(mapping_ranks(mapping), ["viewpoint_id"], "image_id", "position", "image_ids")
+    return lists.select("viewpoint_id", F.size("image_ids").cast("long").alias("image_count"), "image_ids")
 
 
 # --- balanced buckets -----------------------------------------------------
@@ -126,16 +127,24 @@ def bucket_assignment(mapping: DataFrame, num_buckets: int) -> DataFrame:
     )
 
 
-def bucket_summary(assignment: DataFrame, num_buckets: int, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Per bucket: viewpoint count, image count, sorted viewpoint ids (chunked);
-    empty buckets are kept with 0 and an empty list."""
+def bucket_members(assignment: DataFrame) -> DataFrame:
+    """Viewpoints of each bucket numbered by id: (bucket_id, position,
+    viewpoint_id). The form for buckets of any size."""
+    rows = assignment.select("bucket_id", "viewpoint_id")
+    return rank_within_groups(rows, ["bucket_id"], ["viewpoint_id"], out="position").select(
+        "bucket_id", "position", "viewpoint_id"
+    )
+
+
+def bucket_summary(assignment: DataFrame, num_buckets: int) -> DataFrame:
+    """Per bucket: viewpoint count, image count, sorted viewpoint ids; empty
+    buckets are kept with 0 and an empty list."""
     spark = assignment.sparkSession
     buckets = spark.range(num_buckets).select(F.col("id").cast("int").alias("bucket_id"))
     totals = assignment.groupBy("bucket_id").agg(
         F.count(F.lit(1)).alias("viewpoint_count"), F.sum("image_count").alias("image_count")
     )
-    ranked = rank_within_groups(assignment.select("bucket_id", "viewpoint_id"), ["bucket_id"], ["viewpoint_id"])
-    lists = chunked_lists(ranked, ["bucket_id"], "viewpoint_id", chunk=chunk, out="viewpoint_ids")
+    lists = ordered_lists(bucket_members(assignment), ["bucket_id"], "viewpoint_id", "position", "viewpoint_ids")
     empty = F.array().cast(T.ArrayType(T.LongType()))
     return (
         buckets.join(totals, "bucket_id", "left")
@@ -144,7 +153,6 @@ def bucket_summary(assignment: DataFrame, num_buckets: int, chunk: int = DEFAULT
             "bucket_id",
             F.coalesce("viewpoint_count", F.lit(0).cast("long")).alias("viewpoint_count"),
             F.coalesce("image_count", F.lit(0).cast("long")).alias("image_count"),
-            F.coalesce("chunk", F.lit(0).cast("long")).alias("chunk"),
             F.coalesce("viewpoint_ids", empty).alias("viewpoint_ids"),
         )
     )
@@ -170,14 +178,11 @@ def representative_image(mapping: DataFrame) -> DataFrame:
 
 
 def with_buckets(df: DataFrame, assignment: DataFrame, repartition: bool = False) -> DataFrame:
-    """Attach ``bucket_id`` to any viewpoint-keyed table; optionally
-    hash-partition by it so every bucket sits whole in one partition.
-    Buckets are balanced by image count, so a partition holds whole buckets
-    of about images / buckets rows each; to store them apart, write with
+    """Attach ``bucket_id`` to any viewpoint-keyed table; optionally lay it out
+    by bucket and viewpoint. Ranges of (bucket, viewpoint) are cut by row
+    count, so buckets don't share partitions by chance, and a bucket larger
+    than a partition spans several. To store buckets apart, write with
     ``partitionBy("bucket_id")``.
     """
     out = df.join(assignment.select("viewpoint_id", "bucket_id"), "viewpoint_id", "left")
-    if repartition:
-        n = assignment.agg(F.max("bucket_id").alias("m")).first()["m"]
-        out = out.repartition(int(n or 0) + 1, "bucket_id")
-    return out
+    return out.repartitionByRange("bucket_id", "viewpoint_id") if repartition else out

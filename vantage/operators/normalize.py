@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.functions import bbox_area, file_stem
+from vantage.functions import bbox_area, file_stem, to_integer
 
 SPLIT_RANK = {"train": 0, "val": 1}
 
@@ -30,7 +30,7 @@ def normalize_images(raw: DataFrame) -> DataFrame:
     out = raw.select(
         *_split_cols(raw),
         F.col("pos").cast("long").alias("pos"),
-        F.col("id").try_cast("long").alias("coco_image_id"),
+        to_integer("id").alias("coco_image_id"),
         F.col("file_name").cast("string").alias("file_name"),
         F.col("width").try_cast("double").alias("width"),
         F.col("height").try_cast("double").alias("height"),
@@ -44,11 +44,11 @@ def normalize_annotations(raw: DataFrame) -> DataFrame:
     typed = raw.select(
         *_split_cols(raw),
         F.col("pos").cast("long").alias("pos"),
-        F.col("id").try_cast("long").alias("annotation_id"),
-        F.col("image_id").try_cast("long").alias("coco_image_id"),
-        F.col("category_id").try_cast("long").alias("category_id"),
+        to_integer("id").alias("annotation_id"),
+        to_integer("image_id").alias("coco_image_id"),
+        to_integer("category_id").alias("category_id"),
         F.col("area").try_cast("double").alias("_area"),
-        F.col("bbox").alias("bbox"),
+        F.transform("bbox", lambda x: x.try_cast("double")).alias("bbox"),
     )
     return typed.withColumn("bbox_area", bbox_area("_area", "bbox")).drop("_area")
 
@@ -57,7 +57,7 @@ def normalize_categories(raw: DataFrame) -> DataFrame:
     return raw.select(
         *_split_cols(raw),
         F.col("pos").cast("long").alias("pos"),
-        F.col("id").try_cast("long").alias("category_id"),
+        to_integer("id").alias("category_id"),
         F.col("name").cast("string").alias("category_name"),
     )
 

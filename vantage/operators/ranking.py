@@ -1,4 +1,4 @@
-"""Ranks and bounded lists inside groups that may be arbitrarily large.
+"""Ranks and lists inside groups that may be arbitrarily large.
 
 A window partitioned by the group key puts a whole group into one task; a
 group holding a third of all rows would then run on one core. Instead rows
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from vantage.operators.util import broadcast_if_small
 from vantage.session import checkpoint_root
 
-DEFAULT_CHUNK = 10_000
-
 
 def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
                        out: str = "rank") -> DataFrame:
@@ -46,13 +44,11 @@ def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[st
     )
 
 
-def chunked_lists(ranked: DataFrame, group_cols: list[str], value: str, rank: str = "rank",
-                  chunk: int = DEFAULT_CHUNK, out: str = "values") -> DataFrame:
-    """Values of each group as ordered arrays of at most ``chunk`` elements:
-    one row per (group, chunk). A group below the chunk size is one row."""
-    return (
-        ranked.withColumn("chunk", F.floor(F.col(rank) / chunk).cast("long"))
-        .groupBy(*group_cols, "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(value).alias("v")))).alias("_l"))
-        .select(*group_cols, "chunk", F.transform("_l", lambda e: e["v"]).alias(out))
-    )
+def ordered_lists(ranked: DataFrame, group_cols: list[str], value: str, rank: str = "rank",
+                  out: str = "values") -> DataFrame:
+    """The values of each group as one array in rank order: one row per group,
+    whatever its size. For outputs whose format is a list per row; groups that
+    may outgrow a row are kept as the ranked rows themselves."""
+    return ranked.groupBy(*group_cols).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(value).alias("v")))).alias("_l")
+    ).select(*group_cols, F.transform("_l", lambda e: e["v"]).alias(out))

@@ -3,9 +3,10 @@ progress, alignment checks and the CSV source/sink of the review files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vantage.operators.ranking import rank_within_groups
 from vantage.schemas import PAIR_COLUMNS, PAIR_CSV
 
 DECISIONS = ("merge", "no_merge")
@@ -19,17 +20,13 @@ def pairs_with_images(pairs: DataFrame, representatives: DataFrame, paths: DataF
                       strict: bool = True) -> DataFrame:
     """Candidate rows: each pair with both viewpoints' first image and its path.
 
-    ``pairs`` (id_a, id_b, similarity) is the capped candidate list, so the big
-    tables are only semi-joined against the ids it needs (broadcast, bounded by
-    twice the cap) before the small joins. ``strict`` raises when an image or a
-    path is missing.
+    ``pairs`` (id_a, id_b, similarity) is read twice (three times in strict
+    mode): pass a written table where it is costly. ``strict`` raises when an
+    image or a path is missing.
     """
-    ids = pairs.select(F.col("id_a").alias("viewpoint_id")).union(
-        pairs.select(F.col("id_b").alias("viewpoint_id"))).distinct()
-    reps = representatives.select("viewpoint_id", "image_id").join(F.broadcast(ids), "viewpoint_id", "left_semi")
-    need = reps.select("image_id").distinct()
-    where = paths.select("image_id", "path").join(F.broadcast(need), "image_id", "left_semi")
-    side = reps.join(where, "image_id", "left")
+    ids = pairs.select(F.explode(F.array("id_a", "id_b")).alias("viewpoint_id")).distinct()
+    reps = representatives.select("viewpoint_id", "image_id").join(ids, "viewpoint_id", "left_semi")
+    side = reps.join(paths.select("image_id", "path"), "image_id", "left")
     a = side.select(F.col("viewpoint_id").alias("id_a"), F.col("image_id").alias("image_id_a"),
                     F.col("path").alias("image_path_a"))
     b = side.select(F.col("viewpoint_id").alias("id_b"), F.col("image_id").alias("image_id_b"),
@@ -43,28 +40,28 @@ def pairs_with_images(pairs: DataFrame, representatives: DataFrame, paths: DataF
     if strict:
         bad = out.where(F.col("image_path_a").isNull() | F.col("image_path_b").isNull())
         if not bad.isEmpty():
-            raise ReviewFileError("Representative image or path missing for a candidate pair.")
+            raise ReviewFileError("a candidate pair has a viewpoint without image or file")
     return out
 
 
 def with_candidate_order(candidates: DataFrame) -> DataFrame:
-    """0-based row position of the (capped) candidate list: similarity desc,
-    then ids. The list is bounded by the candidate cap."""
-    w = Window.orderBy(F.col("centroid_similarity").desc(), "viewpoint_id_a", "viewpoint_id_b")
-    return candidates.withColumn("seq", (F.row_number().over(w) - 1).cast("long"))
+    """0-based row position of the candidate list: similarity desc, then ids
+    (a distributed rank, the list may be long)."""
+    keyed = candidates.withColumn("_down", -F.col("centroid_similarity"))
+    return rank_within_groups(keyed, [], ["_down", "viewpoint_id_a", "viewpoint_id_b"], out="seq").drop("_down")
 
 
-def apply_decisions(candidates: DataFrame, events: DataFrame) -> DataFrame:
+def apply_decisions(candidates: DataFrame, events: DataFrame, keep: bool = False) -> DataFrame:
     """Latest decision per pair (events: viewpoint_id_a, viewpoint_id_b,
     merge_decision, notes, event_seq) written onto the candidate rows; pairs
-    without a decision keep ''."""
+    without one get '' or, with ``keep``, keep theirs."""
     latest = events.groupBy("viewpoint_id_a", "viewpoint_id_b").agg(
         F.max_by(F.struct("merge_decision", "notes"), "event_seq").alias("d")
     )
-    return candidates.drop("merge_decision", "notes").join(latest, ["viewpoint_id_a", "viewpoint_id_b"], "left") \
-        .select(*[c for c in candidates.columns if c not in ("merge_decision", "notes")],
-                F.coalesce(F.col("d.merge_decision"), F.lit("")).alias("merge_decision"),
-                F.coalesce(F.col("d.notes"), F.lit("")).alias("notes"))
+    joined = candidates.join(latest, ["viewpoint_id_a", "viewpoint_id_b"], "left")
+    new = {c: F.coalesce(F.col(f"d.{c}"), F.when(F.col("d").isNull() & F.lit(keep), F.col(c)), F.lit(""))
+           for c in ("merge_decision", "notes")}
+    return joined.withColumns(new).select(*candidates.columns)
 
 
 def review_progress(decided: DataFrame) -> DataFrame:
@@ -101,9 +98,9 @@ def read_pair_csv(spark: SparkSession, path: str) -> DataFrame:
     Doubled quotes are the escape, as the csv module writes them."""
     raw = spark.read.option("header", "true").option("escape", '"').csv(path)
     if tuple(raw.columns) != PAIR_COLUMNS:
-        raise ReviewFileError("Unexpected input CSV schema.")
+        raise ReviewFileError(f"{path}: the header is not that of a review file")
     if raw.isEmpty():
-        raise ReviewFileError("No rows found in input review CSV.")
+        raise ReviewFileError(f"{path}: no candidate rows")
     from vantage.sources.mapping import with_file_order
 
     typed = with_file_order(spark.read.schema(PAIR_CSV).option("header", "true").option("escape", '"').csv(path))
@@ -126,6 +123,8 @@ def pair_csv_rows(candidates: DataFrame) -> DataFrame:
 
 
 def write_pair_csv(candidates: DataFrame, path: str) -> None:
-    ordered = candidates.orderBy(F.col("centroid_similarity").desc(), "viewpoint_id_a", "viewpoint_id_b")
-    pair_csv_rows(ordered).coalesce(1).write.mode("overwrite").option("header", "true") \
+    """The rows in their file order (``seq``) where they have one, else by
+    similarity and ids."""
+    order = ["seq"] if "seq" in candidates.columns else [F.col("centroid_similarity").desc(), "viewpoint_id_a", "viewpoint_id_b"]
+    pair_csv_rows(candidates.orderBy(*order)).write.mode("overwrite").option("header", "true") \
         .option("escape", '"').option("emptyValue", "").csv(path)

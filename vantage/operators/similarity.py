@@ -1,13 +1,16 @@
 """Vector similarity joins on unit vectors (cosine = dot product).
 
-Exact threshold and nearest-neighbour joins are computed on a grid of hash
-blocks: each side is cut into blocks of about ``block_rows`` vectors by a
-hash of the id; every vector is copied to the grid cells of its block; one
-task per cell multiplies the two blocks with NumPy (Arrow batches in and
-out) and emits only what survives (pairs above the threshold, or the top k
-per row). Work per task is bounded by the block size whatever the key
-distribution, and nothing passes through the driver. Self joins use only
-cells (g, h) with g <= h so each pair is seen once.
+``similar_pairs`` cuts the vectors into blocks of about ``block_rows`` and
+multiplies two blocks per task with NumPy (Arrow batches in and out); only
+pairs above the threshold leave a task. Which blocks meet is decided by angle
+cells (exact pruning, see ``block_pairs``); cells, blocks and their meetings
+are DataFrames, so nothing is enumerated on the driver. Each pair of blocks is
+visited once. With ``pivots=0`` every block meets every block: V vectors are
+then copied V / block_rows times, which only suits small tables.
+
+``nearest_neighbours`` streams the left side past the right side when that is
+one block (the usual registry): no exchange at all. A larger right side is cut
+into blocks and the results of the blocks are merged.
 """
 
 from __future__ import annotations
@@ -20,8 +23,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.constants import MAX_CANDIDATES
+from vantage.operators.util import broadcast_if_small
 
 DEFAULT_BLOCK_ROWS = 4096
+DEFAULT_PIVOTS = 4
 
 PAIR_SCHEMA = "id_a long, id_b long, similarity double"
 NEIGHBOUR_SCHEMA = "left_id long, right_id long, similarity double"
@@ -37,7 +42,7 @@ def _unit_matrix(vectors: pd.Series) -> np.ndarray:
     m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
     norms = np.linalg.norm(m, axis=1)
     if np.any(norms <= 0):
-        raise ValueError("Vector norm must be > 0 for normalization.")
+        raise ValueError("a vector without length has no direction")
     return m / norms[:, None]
 
 
@@ -46,20 +51,20 @@ def _block_of(id_col: str, blocks: int) -> F.Column:
 
 
 def _pair_cell(threshold: float):
-    """Task body for one grid unit: rows of block ``cg`` and block ``ch``
-    (one block when equal); emits pairs at or above the threshold."""
+    """Task body for one pair of blocks ``cg`` and ``ch`` (one block when
+    equal); emits pairs at or above the threshold."""
 
     def cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        cg, ch = int(pdf["cg"].iloc[0]), int(pdf["ch"].iloc[0])
-        a = pdf[pdf["blk"] == cg]
+        cg, ch = pdf["cg"].iloc[0], pdf["ch"].iloc[0]
+        a = pdf[[x == cg for x in pdf["blk"]]]
         ids_a = a["id"].to_numpy()
-        ma = _unit_matrix(a["v"]) if len(a) else np.zeros((0, 0))
+        ma = _unit_matrix(a["v"])
         if cg == ch:
             s = ma @ ma.T
             i, j = np.nonzero(np.triu(s >= threshold, k=1))
             ids_b = ids_a
         else:
-            b = pdf[pdf["blk"] == ch]
+            b = pdf[[x == ch for x in pdf["blk"]]]
             if len(a) == 0 or len(b) == 0:  # a hash block may be empty
                 return pd.DataFrame({"id_a": [], "id_b": [], "similarity": []})
             ids_b = b["id"].to_numpy()
@@ -73,46 +78,38 @@ def _pair_cell(threshold: float):
 
 def similar_pairs(vectors: DataFrame, threshold: float, id_col: str = "viewpoint_id",
                   vec_col: str = "centroid", block_rows: int = DEFAULT_BLOCK_ROWS,
-                  pivots: int = 0, seed: int = 42) -> DataFrame:
-    """All pairs a < b with cosine(a, b) >= threshold: (id_a, id_b, similarity).
-
-    With ``pivots`` > 0 the grid is pruned exactly (see ``pivot_units``):
-    worth it for high thresholds on clustered vectors, where most cell pairs
-    cannot hold a match.
-    """
+                  pivots: int = DEFAULT_PIVOTS, seed: int = 42) -> DataFrame:
+    """All pairs a < b with cosine(a, b) >= threshold: (id_a, id_b, similarity)."""
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-    if pivots > 0:
-        rep = pivot_units(v, threshold, pivots, block_rows, seed)
-    else:
-        g = _n_blocks(vectors, block_rows)
-        v = v.withColumn("blk", _block_of("id", g))
-        rep = v.select("id", "v", "blk", F.explode(F.sequence(F.lit(0), F.lit(g - 1))).alias("other")).select(
-            "id", "v", "blk", F.least("blk", "other").alias("cg"), F.greatest("blk", "other").alias("ch")
-        )
+    celled = angle_cells(v, threshold, pivots, seed)
+    routes, sizes = block_pairs(celled, threshold, pivots, block_rows)
+    blocked = celled.join(sizes, "cell").withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    blk = F.struct("cell", "b")
+    rep = blocked.select("id", "v", blk.alias("blk")).join(routes, "blk")
     return rep.groupBy("cg", "ch").applyInPandas(_pair_cell(threshold), PAIR_SCHEMA)
 
 
-def pivot_units(v: DataFrame, threshold: float, pivots: int, block_rows: int, seed: int = 42) -> DataFrame:
-    """Rows (id, v, blk, cg, ch) of an exactly pruned grid.
+def _radix(threshold: float) -> tuple[float, int]:
+    """Bucket width of an angle, and the numbers a bucket can take with room
+    for a neighbour on each side."""
+    width = max(float(np.arccos(np.clip(threshold, -1.0, 1.0))), 1e-12)
+    return width, int(np.ceil(np.pi / width)) + 3
+
+
+def angle_cells(v: DataFrame, threshold: float, pivots: int, seed: int = 42) -> DataFrame:
+    """Adds ``cell``: the buckets of the vector's angles to ``pivots`` vectors
+    of the data, as one number.
 
     Angles between unit vectors are a metric, so cos(a, b) >= t implies
-    |angle(a, p) - angle(b, p)| <= arccos(t) for every pivot p. Each vector
-    gets the cell of its angle buckets (width arccos(t)) to ``pivots`` pivot
-    vectors sampled from the data; a matching pair lies in the same or
-    adjacent cells in every coordinate. Each non-empty cell is cut into hash
-    blocks of about ``block_rows``; a unit pairs two blocks of neighbouring
-    cells. Only the cell histogram (bounded by the bucket grid) and the
-    pivots (``pivots`` vectors) reach the driver.
+    |angle(a, p) - angle(b, p)| <= arccos(t) for every pivot p. Buckets are
+    arccos(t) wide, so a matching pair lies in the same or in adjacent buckets
+    in every coordinate. Only the pivots reach the driver.
     """
-    spark = v.sparkSession
-    width = float(np.arccos(np.clip(threshold, -1.0, 1.0)))
-    if width <= 0:
-        width = 1e-12
-    radix = int(np.ceil(np.pi / width)) + 1
-    piv_rows = v.orderBy(F.xxhash64(F.col("id"), F.lit(seed)), "id").limit(int(pivots)).collect()
-    if not piv_rows:
-        return v.select("id", "v", F.lit(0).alias("blk"), F.lit(0).alias("cg"), F.lit(0).alias("ch")).limit(0)
-    piv = _unit_matrix(pd.Series([r["v"] for r in piv_rows]))
+    width, radix = _radix(threshold)
+    chosen = v.orderBy(F.xxhash64(F.col("id"), F.lit(seed)), "id").limit(pivots).collect() if pivots else []
+    if not chosen:
+        return v.withColumn("cell", F.lit(0).cast("long"))
+    piv = _unit_matrix(pd.Series([r["v"] for r in chosen]))
 
     def cells(batches):
         for pdf in batches:
@@ -120,70 +117,82 @@ def pivot_units(v: DataFrame, threshold: float, pivots: int, block_rows: int, se
                 yield pdf.assign(cell=pd.Series(dtype="int64"))
                 continue
             ang = np.arccos(np.clip(_unit_matrix(pdf["v"]) @ piv.T, -1.0, 1.0))
-            buckets = np.minimum((ang / width).astype(np.int64), radix - 1)
             code = np.zeros(len(pdf), dtype=np.int64)
-            for k in range(buckets.shape[1]):
-                code = code * radix + buckets[:, k]
+            for k in range(ang.shape[1]):
+                code = code * radix + np.minimum((ang[:, k] / width).astype(np.int64), radix - 3) + 1
             yield pdf.assign(cell=code)
 
-    keyed = v.mapInPandas(cells, "id long, v array<float>, cell long" if _is_float(v) else
-                          "id long, v array<double>, cell long")
-    hist = {int(r["cell"]): int(r["n"]) for r in
-            keyed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # blocks per cell and their global index
-    base, blocks, nxt = {}, {}, 0
-    for c in sorted(hist):
-        blocks[c] = max(1, int(np.ceil(hist[c] / block_rows)))
-        base[c] = nxt
-        nxt += blocks[c]
-    digits = {c: _digits(c, radix, len(piv)) for c in hist}
-    by_digits = {d: c for c, d in digits.items()}
-    offsets = np.array(np.meshgrid(*[[-1, 0, 1]] * len(piv), indexing="ij")).reshape(len(piv), -1).T
-    routes = []
-    for c in hist:
-        d = np.array(digits[c])
-        near = [by_digits.get(tuple(int(x) for x in d + o)) for o in offsets]
-        near = [n for n in near if n is not None]
-        for g in range(blocks[c]):
-            me = base[c] + g
-            for n in near:
-                for h in range(blocks[n]):
-                    other = base[n] + h
-                    routes.append((me, min(me, other), max(me, other)))
-    route_df = spark.createDataFrame(routes, "blk int, cg int, ch int")
-    info = spark.createDataFrame([(c, base[c], blocks[c]) for c in hist], "cell long, base int, nblk int")
-    with_blk = keyed.join(F.broadcast(info), "cell").select(
-        "id", "v", (F.col("base") + F.pmod(F.xxhash64("id"), F.col("nblk")).cast("int")).alias("blk"))
-    from vantage.operators.util import broadcast_if_small
-
-    return with_blk.join(broadcast_if_small(route_df, probe=None), "blk").select("id", "v", "blk", "cg", "ch")
-
-
-def _digits(code: int, radix: int, n: int) -> tuple[int, ...]:
-    out = []
-    for _ in range(n):
-        out.append(code % radix)
-        code //= radix
-    return tuple(reversed(out))
+    vector = "array<float>" if _is_float(v) else "array<double>"
+    return v.mapInPandas(cells, f"id long, v {vector}, cell long")
+
+
+def block_pairs(celled: DataFrame, threshold: float, pivots: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(routes, sizes). ``sizes``: blocks of each cell (about ``block_rows``
+    vectors each). ``routes``: for each block ``blk`` the pairs (cg, ch) of
+    blocks it takes part in, cg <= ch, of the same or neighbouring cells."""
+    _, radix = _radix(threshold)
+    counts = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
+    steps = [0]
+    for k in range(pivots):
+        steps = [s + o * radix**k for s in steps for o in (-1, 0, 1)]
+    ahead = [s for s in steps if s >= 0]  # each pair of cells once
+    near = sizes.select("cell", "blocks", F.explode(F.array(*[F.lit(s).cast("long") for s in ahead])).alias("o"))
+    other = sizes.select(F.col("cell").alias("ocell"), F.col("blocks").alias("oblocks"))
+    met = near.join(other, F.col("cell") + F.col("o") == F.col("ocell"))
+    mine = met.select("cell", "ocell", "oblocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+    both = mine.select("cell", "b", "ocell", F.explode(F.sequence(F.lit(0), F.col("oblocks") - 1)).alias("ob"))
+    both = both.where((F.col("cell") < F.col("ocell")) | (F.col("b") <= F.col("ob")))
+    pair = both.select(F.struct("cell", "b").alias("cg"), F.struct(F.col("ocell").alias("cell"), F.col("ob").alias("b")).alias("ch"))
+    routes = pair.select(F.col("cg").alias("blk"), "cg", "ch").unionByName(
+        pair.where("cg <> ch").select(F.col("ch").alias("blk"), "cg", "ch"))
+    return routes, sizes
 
 
 def _is_float(df: DataFrame) -> bool:
     return df.schema["v"].dataType.elementType.typeName() == "float"
 
 
+def _best(left_ids, ml: np.ndarray, right_ids: np.ndarray, mr: np.ndarray, k: int, threshold: float | None) -> pd.DataFrame:
+    """The k best right rows of each left row; right rows come in id order, so
+    that a stable sort keeps the lower id first among equal scores."""
+    s = ml @ mr.T
+    kk = min(k, s.shape[1])
+    order = np.argmax(s, axis=1)[:, None] if kk == 1 else np.argsort(-s, axis=1, kind="stable")[:, :kk]
+    rows = np.repeat(np.arange(s.shape[0]), kk)
+    cols = order.ravel()
+    sims = s[rows, cols]
+    keep = sims >= threshold if threshold is not None else np.ones_like(sims, dtype=bool)
+    return pd.DataFrame({"left_id": np.asarray(left_ids)[rows][keep], "right_id": right_ids[cols][keep], "similarity": sims[keep]})
+
+
 def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 1, threshold: float | None = None,
                        left_id: str = "seq", left_vec: str = "embedding",
                        right_id: str = "viewpoint_id", right_vec: str = "centroid",
-                       block_rows: int = DEFAULT_BLOCK_ROWS, left_rows: int | None = None,
-                       right_rows: int | None = None) -> DataFrame:
+                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """For each left vector the k most similar right vectors (ties: lower
     right id), optionally only those >= threshold, with their rank (1 = best).
-    Left rows without a candidate are absent. Known row counts skip the
-    counting jobs that size the grid."""
-    gl = max(1, math.ceil(left_rows / block_rows)) if left_rows is not None else _n_blocks(left, block_rows)
-    gr = max(1, math.ceil(right_rows / block_rows)) if right_rows is not None else _n_blocks(right, block_rows)
+    Left rows without a candidate are absent."""
     lv = left.select(F.col(left_id).cast("long").alias("id"), F.col(left_vec).alias("v"))
     rv = right.select(F.col(right_id).cast("long").alias("id"), F.col(right_vec).alias("v"))
+    head = rv.limit(block_rows + 1).collect()  # one block at most
+    if len(head) <= block_rows:
+        head = sorted(head, key=lambda r: r["id"])
+        if not head:
+            return left.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA + ", rank int")
+        ids = np.array([r["id"] for r in head], np.int64)
+        matrix = _unit_matrix(pd.Series([r["v"] for r in head]))
+
+        def stream(batches):
+            for pdf in batches:
+                if len(pdf):
+                    found = _best(pdf["id"], _unit_matrix(pdf["v"]), ids, matrix, k, threshold)
+                    yield found.assign(rank=(found.groupby("left_id").cumcount() + 1).astype("int32"))
+
+        return lv.mapInPandas(stream, NEIGHBOUR_SCHEMA + ", rank int")
+
+    gr = _n_blocks(right, block_rows)
+    gl = _n_blocks(left, block_rows)
     lrep = lv.select("id", "v", _block_of("id", gl).alias("bl"),
                      F.explode(F.sequence(F.lit(0), F.lit(gr - 1))).alias("br"))
     rrep = rv.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(gl - 1))).alias("bl"),
@@ -193,21 +202,13 @@ def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 1, threshold:
         if len(lp) == 0 or len(rp) == 0:
             return pd.DataFrame({"left_id": [], "right_id": [], "similarity": []})
         rp = rp.sort_values("id")
-        s = _unit_matrix(lp["v"]) @ _unit_matrix(rp["v"]).T
-        kk = min(k, s.shape[1])
-        # stable sort on -s keeps the lower right id first among equal scores
-        order = np.argsort(-s, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(s.shape[0]), kk)
-        cols = order.ravel()
-        sims = s[rows, cols]
-        keep = sims >= threshold if threshold is not None else np.ones_like(sims, dtype=bool)
-        return pd.DataFrame({
-            "left_id": lp["id"].to_numpy()[rows][keep],
-            "right_id": rp["id"].to_numpy()[cols][keep],
-            "similarity": sims[keep],
-        })
+        return _best(lp["id"], _unit_matrix(lp["v"]), rp["id"].to_numpy(), _unit_matrix(rp["v"]), k, threshold)
 
     cand = lrep.groupBy("bl", "br").cogroup(rrep.groupBy("bl", "br")).applyInPandas(cell, NEIGHBOUR_SCHEMA)
+    if k == 1:
+        top = F.max(F.struct("similarity", (-F.col("right_id")).alias("col2"))).alias("m")  # combined before the shuffle
+        return cand.groupBy("left_id").agg(top).select(
+            "left_id", (-F.col("m.col2")).alias("right_id"), "m.similarity", F.lit(1).alias("rank"))
     # at most gr * k candidates per left row reach this window
     w = Window.partitionBy("left_id").orderBy(F.col("similarity").desc(), F.col("right_id").asc())
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -247,7 +248,7 @@ def label_cosine(embeddings: DataFrame, centroids: DataFrame) -> DataFrame:
 
     e = embeddings.select("seq", "label", l2_normalize("embedding").alias("u"))
     c = centroids.select(F.col("viewpoint_id").alias("label"), l2_normalize("centroid").alias("c"))
-    return e.join(c, "label").select(
+    return e.join(broadcast_if_small(c), "label").select(
         "seq", "label", cosine_of_units("u", "c").alias("cosine")
     )
 

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 # Largest row count we are willing to ship to every task as a broadcast.
 DEFAULT_BROADCAST_ROWS = 200_000
+# Largest size of those rows, as JSON text, that we are willing to ship.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -15,6 +17,13 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is within both bounds (reads at most max_rows+1 rows per task)."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    n, total = df.limit(max_rows + 1).select(size.alias("b")).agg(F.count(F.lit(1)), F.sum("b")).first()
+    return n <= max_rows and (total or 0) <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                        probe: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only behind a checked size; otherwise leave the join to
@@ -23,7 +32,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     ``probe`` is a cheaper frame with at least as many rows as ``df`` (e.g. the
     raw table a dedupe is computed from).
     """
-    return F.broadcast(df) if has_at_most(probe if probe is not None else df, max_rows) else df
+    return F.broadcast(df) if is_small(probe if probe is not None else df, max_rows) else df
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

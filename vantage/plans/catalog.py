@@ -29,7 +29,6 @@ from vantage.operators.normalize import (
 from vantage.operators.util import round_doubles
 from vantage.session import scratch_path
 from vantage.sources import driver_tables as D
-from vantage.streaming import online as O
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,7 +132,7 @@ SMOKE_IMAGES = 100
 
 def q_grouped_mapping(spark, d):
     g = MI.grouped_mapping(D.mapping(spark, d))
-    return g.select("viewpoint_id", "image_count", "chunk", json_list_text("image_ids").alias("image_ids_json"))
+    return g.select("viewpoint_id", "image_count", json_list_text("image_ids").alias("image_ids_json"))
 
 
 def q_bucket_assignment(spark, d):
@@ -142,10 +141,18 @@ def q_bucket_assignment(spark, d):
 
 def q_bucket_summary(spark, d):
     b = MI.bucket_summary(MI.bucket_assignment(D.mapping(spark, d), NUM_BUCKETS), NUM_BUCKETS)
-    return b.select("bucket_id", "viewpoint_count", "image_count", "chunk",
+    return b.select("bucket_id", "viewpoint_count", "image_count",
                     json_list_text("viewpoint_ids").alias("viewpoint_ids_json"))
 
 
+def q_mapping_ranks(spark, d):
+    return MI.mapping_ranks(D.mapping(spark, d))
+
+
+def q_bucket_members(spark, d):
+    return MI.bucket_members(MI.bucket_assignment(D.mapping(spark, d), NUM_BUCKETS))
+
+
 def q_smoke_subset(spark, d):
     return MI.smoke_subset(D.mapping(spark, d), SMOKE_VIEWPOINTS, SMOKE_IMAGES)
 
@@ -159,20 +166,9 @@ def q_representative_image(spark, d):
 MIN_IMAGES, MAX_ENTROPY, TOP_N, BINS = 5, 5.0, 20, 40
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
-
-
 def metrics_table(spark: SparkSession, d: str) -> DataFrame:
-    """The viewpoint metrics as the insight queries read them: written once
-    per session and input folder to the shared checkpoint folder (as the
-    metrics job writes its Parquet output), then read back."""
-    key = (spark.sparkContext.applicationId, d)
-    path = _MATERIALIZED.get(key)
-    if path is None:
-        path = scratch_path(spark, "viewpoint-metrics")
-        viewpoint_metrics(spark, d).write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+    """The viewpoint metrics as the insight queries read them."""
+    return viewpoint_metrics(spark, d)
 
 
 def filtered_metrics(spark, d):
@@ -180,7 +176,12 @@ def filtered_metrics(spark, d):
 
 
 def q_coerce_metrics(spark, d):
-    text = metrics_table(spark, d).select(F.to_json(F.struct("*")).alias("value"))
+    # planted: whole numbers written with a fraction, and text that is no number
+    m = metrics_table(spark, d).withColumns({
+        "total_images": F.concat(F.col("total_images").cast("string"), F.lit(".0")),
+        "total_vehicles": F.when(F.col("viewpoint_id") % 7 == 0, F.lit("n/a")).otherwise(F.col("total_vehicles").cast("string")),
+    })
+    text = m.select(F.to_json(F.struct("*")).alias("value"))
     return round_doubles(I.metrics_from_json_text(text))
 
 
@@ -215,7 +216,6 @@ def q_class_vector_explode(spark, d):
 # --- vectors -------------------------------------------------------------------
 
 PAIR_THRESHOLD = D.DRIVER_PAIR_THRESHOLD
-from vantage.constants import MAX_CANDIDATES  # noqa: E402
 
 
 def q_l2_normalize(spark, d):
@@ -234,12 +234,20 @@ def q_nearest_centroid(spark, d):
 
 
 def candidate_pairs(spark, d):
+    """All pairs, written once: the queries below read them several times."""
     pairs = S.similar_pairs(D.embedding_registry(spark, d), PAIR_THRESHOLD)
-    return S.top_candidate_pairs(pairs, MAX_CANDIDATES)
+    return stored(pairs, "pairs")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def q_similar_pairs(spark, d):
-    return round_doubles(candidate_pairs(spark, d).select(
+    return round_doubles(S.similar_pairs(D.embedding_registry(spark, d), PAIR_THRESHOLD).select(
         F.col("id_a").alias("viewpoint_id_a"), F.col("id_b").alias("viewpoint_id_b"),
         F.col("similarity").alias("centroid_similarity")))
 
@@ -262,49 +270,36 @@ def q_ordered_index(spark, d):
     return X.ordered_index(normalize_images(D.raw_images(spark, d)))
 
 
-def q_image_bboxes(spark, d):
-    out = X.image_bboxes(normalize_images(D.raw_images(spark, d)), normalize_annotations(D.raw_annotations(spark, d)))
-    return out.select("split", "coco_image_id", "image_id", "chunk", F.to_json("bboxes").alias("bboxes_json"))
-
-
-def q_mask_rects(spark, d):
-    return X.mask_rects(normalize_images(D.raw_images(spark, d)), normalize_annotations(D.raw_annotations(spark, d)),
-                        MASK_PADDING_DRIVER)
-
-
-# --- online assignment, review ---------------------------------------------------
+def file_wide_annotations(spark, d):
+    """Annotations whose positions run over the whole document, as in COCO
+    files, instead of from 1 in each image."""
+    raw = D.raw_annotations(spark, d).withColumn("pos", F.col("image_id") * 8 + F.col("pos"))
+    return normalize_annotations(raw)
 
-ASSIGN_BATCH = 256
-
-
-_ONLINE: dict[tuple[str, str], str] = {}
 
+def q_image_bboxes(spark, d):
+    out = X.image_bboxes(normalize_images(D.raw_images(spark, d)), file_wide_annotations(spark, d))
+    return out.select("split", "coco_image_id", "image_id", F.to_json("bboxes").alias("bboxes_json"))
 
-def online_run(spark, d):
-    """Run (or, within one session, reuse) the ordered assignment over the
-    driver embeddings; its committed state lives in the shared folder."""
-    key = (spark.sparkContext.applicationId, d)
-    root = _ONLINE.get(key) or scratch_path(spark, "online-assign")
-    out = O.run_online_assignment(spark, D.embeddings(spark, d), root,
-                                  threshold=D.DRIVER_ASSIGN_THRESHOLD, batch_size=ASSIGN_BATCH)
-    _ONLINE[key] = root
-    return out
 
+def q_image_box_rows(spark, d):
+    out = X.image_box_rows(normalize_images(D.raw_images(spark, d)), file_wide_annotations(spark, d))
+    return out.select("split", "coco_image_id", "image_id", "position", F.to_json("bbox").alias("bbox_json"))
 
-def q_online_assign(spark, d):
-    mapping, _ = online_run(spark, d)
-    return mapping
 
+def q_mask_rects(spark, d):
+    # planted: corners off the origin, some outside the image, with halves
+    box = F.col("bbox")
+    shift = (F.col("id") % 9).cast("double") * 1.25 - 2.5
+    raw = D.raw_annotations(spark, d).withColumn(
+        "bbox", F.array(shift, shift - 0.25, F.get(box, 2) + 0.5, F.get(box, 3) + 0.25))
+    return X.mask_rects(normalize_images(D.raw_images(spark, d)), normalize_annotations(raw), MASK_PADDING_DRIVER)
 
-def q_centroid_update(spark, d):
-    _, registry = online_run(spark, d)
-    return registry.select("viewpoint_id", "count", F.to_json(
-        F.transform("centroid", lambda x: F.round(x, 6))).alias("centroid_json"))
 
+# --- registry, review --------------------------------------------------------------
 
 def q_registry_totals(spark, d):
-    reg = D.centroids_by_label(spark, d)
-    return reg.agg(F.count(F.lit(1)).alias("viewpoints"), F.sum("count").alias("images"))
+    return D.label_counts(spark, d).agg(F.count(F.lit(1)).alias("viewpoints"), F.sum("count").alias("images"))
 
 
 def decided_candidates(spark, d):
@@ -356,16 +351,120 @@ def q_check_unmatched(spark, d):
 
 
 def q_check_resume(spark, d):
+    """Planted: a dataset that lacks its last images and holds two in each
+    other's place, a count too many and a last index too low."""
     index = X.ordered_index(normalize_images(D.raw_images(spark, d))).select("seq", "image_id")
+    short = index.where(F.col("seq") % 50 != 49)
     mapping = D.mapping(spark, d)
-    registry = MI.viewpoint_sizes(mapping).withColumnRenamed("image_count", "count")
-    return C.check_resume(index, mapping, registry, mapping.count())
+    registry = MI.viewpoint_sizes(mapping).select("viewpoint_id", (F.col("image_count") + 1).alias("count"))
+    return C.check_resume(short, mapping, registry, mapping.count() - 3)
 
 
 def q_check_conservation(spark, d):
+    """Planted: rows without assignment, rows assigned twice, rows that the
+    dataset doesn't have."""
     e = D.embeddings(spark, d)
-    centroids = D.centroids_by_label(spark, d)
-    return C.check_conservation(e, S.nearest_centroid(e, centroids), centroids)
+    found = S.nearest_centroid(e, D.centroids_by_label(spark, d)).select("seq", "viewpoint_id")
+    lost = found.where(F.col("seq") % 11 != 3)
+    twice = found.where(F.col("seq") % 13 == 5)
+    foreign = found.where(F.col("seq") % 17 == 1).withColumn("seq", -F.col("seq"))
+    mapping = stored(lost.unionByName(twice).unionByName(foreign), "assignments")
+    return C.check_conservation(e, mapping, D.label_counts(spark, d))
+
+
+def q_check_registry(spark, d):
+    """Planted: one fault of each kind by label."""
+    r = D.centroids_by_label(spark, d)
+    v = F.col("viewpoint_id")
+    bad = r.select(
+        F.when(v == 1, None).otherwise(v).alias("viewpoint_id"),
+        F.when(v == 2, None).when(v == 3, F.slice("centroid", 1, 5)).otherwise(F.col("centroid")).alias("centroid"),
+        F.when(v == 4, None).when(v == 5, F.lit(0).cast("long")).otherwise(F.col("count")).alias("count"),
+    )
+    return C.check_registry(bad, D.VECTOR_DIMS, -1)
+
+
+def q_check_alignment(spark, d):
+    """Planted: a decision list that lost its first row and some later ids."""
+    from vantage.operators import review as R
+
+    c = stored(decided_candidates(spark, d), "candidates")
+    moved = c.withColumn("seq", F.col("seq") - 1).where("seq >= 0")
+    same = c.where("seq % 2 = 0").withColumn("viewpoint_id_b", F.col("viewpoint_id_b") + (F.col("seq") % 3))
+    return R.check_alignment(c, same.unionByName(moved.where("seq % 2 = 1")))
+
+
+# --- casts, names, paths (on planted values) ----------------------------------------
+
+def q_mapping_cast(spark, d):
+    """Viewpoint ids as the lenient mapping read casts them."""
+    from vantage.functions import to_integer
+
+    m = D.mapping(spark, d)
+    v = F.col("viewpoint_id").cast("string")
+    k = F.col("seq") % 5
+    text = F.when(k == 0, F.concat(v, F.lit(".0"))).when(k == 1, F.concat(F.lit(" "), v, F.lit(" "))) \
+        .when(k == 2, F.concat(v, F.lit("x"))).when(k == 3, F.concat(v, F.lit(".9"))).otherwise(v)
+    return m.select("image_id", "seq", to_integer(text).alias("viewpoint_id")).dropna(subset=["viewpoint_id"])
+
+
+def q_mapping_trimmed(spark, d):
+    m = D.mapping(spark, d)
+    padded = F.concat(F.lit("  "), F.col("image_id"), F.lit(" "))
+    return m.select(F.trim(padded).alias("image_id"), F.trim(F.concat(F.col("viewpoint_id").cast("string"), F.lit(" "))).cast("long").alias("viewpoint_id"), "seq")
+
+
+def q_unknown_categories(spark, d):
+    """Class counts when every tenth category is missing."""
+    t = traffic_inputs(spark, d)
+    t.categories = t.categories.where(F.col("category_id") % 10 != 0)
+    return M.class_counts(t)
+
+
+def q_conflicting_categories(spark, d):
+    """One name per id when the splits disagree: the train name wins."""
+    from vantage.operators.normalize import distinct_categories
+
+    raw = D.raw_categories(spark, d)
+    train = raw.where(F.col("id") % 3 != 0).withColumn("split", F.lit("train"))
+    val = raw.withColumns({"split": F.lit("val"), "name": F.concat(F.lit("val "), F.col("name"))})
+    return distinct_categories(normalize_categories(train.unionByName(val)))
+
+
+def q_split_image_join(spark, d):
+    """The join on (split, image id) when both splits use the same ids."""
+    images = D.raw_images(spark, d)
+    other = images.withColumns({
+        "split": F.when(F.col("split") == "val", "train").otherwise("val"),
+        "file_name": F.concat(F.lit("other/"), F.col("id").cast("string"), F.lit("b.png")),
+    })
+    ann = D.raw_annotations(spark, d).withColumn("split", F.when(F.col("id") % 3 == 0, "val").otherwise("train"))
+    m = D.mapping(spark, d)
+    both = m.unionByName(m.withColumn("image_id", F.concat("image_id", F.lit("b"))))
+    t = M.TrafficInputs(normalize_images(images.unionByName(other)), normalize_annotations(ann),
+                        normalize_categories(D.raw_categories(spark, d)), both, rules=DRIVER_RULES)
+    return M.annotation_join(t).select("split", "annotation_id", "image_id", "viewpoint_id")
+
+
+def q_resolve_paths(spark, d):
+    """Index rows with their file path; a val image ending in 9 has no file."""
+    images = normalize_images(D.raw_images(spark, d))
+    name = F.regexp_extract("file_name", r"([^/]*)$", 1)
+    files = images.where(~((F.col("split") == "val") & F.col("image_id").endswith("9"))).select(
+        F.concat(F.lit("root-"), F.col("split"), F.lit("/data/"), name).alias("path"))
+    lookup = X.split_path_lookup(files, {"train": "root-train", "val": "root-val"})
+    return X.resolve_paths(images.select("split", name.alias("file_name"), "image_id"), lookup, strict=False)
+
+
+def q_pair_csv_rows(spark, d):
+    """The text columns of the review file."""
+    from vantage.operators.review import pair_csv_rows
+
+    return pair_csv_rows(decided_candidates(spark, d))
+
+
+def q_viewpoint_ids(spark, d):
+    return I.viewpoint_ids(filtered_metrics(spark, d))
 
 
 QUERIES: dict[str, Query] = {
@@ -404,8 +503,6 @@ QUERIES: dict[str, Query] = {
     "ordered_index": q_ordered_index,
     "image_bboxes": q_image_bboxes,
     "mask_rects": q_mask_rects,
-    "online_assign": q_online_assign,
-    "centroid_update": q_centroid_update,
     "registry_totals": q_registry_totals,
     "review_progress": q_review_progress,
     "check_bbox": q_check_bbox,
@@ -414,4 +511,17 @@ QUERIES: dict[str, Query] = {
     "check_unmatched": q_check_unmatched,
     "check_resume": q_check_resume,
     "check_conservation": q_check_conservation,
+    "check_registry": q_check_registry,
+    "check_alignment": q_check_alignment,
+    "mapping_ranks": q_mapping_ranks,
+    "bucket_members": q_bucket_members,
+    "image_box_rows": q_image_box_rows,
+    "mapping_cast": q_mapping_cast,
+    "mapping_trimmed": q_mapping_trimmed,
+    "unknown_categories": q_unknown_categories,
+    "conflicting_categories": q_conflicting_categories,
+    "split_image_join": q_split_image_join,
+    "resolve_paths": q_resolve_paths,
+    "pair_csv_rows": q_pair_csv_rows,
+    "viewpoint_ids": q_viewpoint_ids,
 }

@@ -4,7 +4,9 @@
         --output-dir out/ [--preview-jsonl p/ --preview-limit 20] [--skip-output-write]
     spark-submit vantage/plans/job.py mapping-index --input-csv m.csv --output-dir out/ --num-node-buckets 2
     spark-submit vantage/plans/job.py smoke --input-csv m.csv --output-csv out/ --max-viewpoints 10 --max-images 100
-    spark-submit vantage/plans/job.py assign --embeddings e.parquet --state-dir s/ [--threshold 0.9 --batch-size 128]
+    spark-submit vantage/plans/job.py stage --train-json t.json --val-json v.json --output-dir tables/
+    spark-submit vantage/plans/job.py metrics --mapping-csv m.csv --tables tables/ --output-dir out/
+    spark-submit vantage/plans/job.py decide --candidates-csv c.csv --events-csv e.csv --output-csv d/
     spark-submit vantage/plans/job.py near-duplicates --registry r/ --mapping-csv m.csv --images-dir d/ --output-csv o/
     spark-submit vantage/plans/job.py review --candidates-csv c.csv [--decisions-csv d.csv]
     spark-submit vantage/plans/job.py insight --metrics out/ --output-dir insight/ [--min-images 1 --max-entropy 5]
@@ -47,8 +49,9 @@ def build_parser() -> argparse.ArgumentParser:
     m = sub.add_parser("metrics", help="per-viewpoint traffic metrics")
     _common(m)
     m.add_argument("--mapping-csv", required=True)
-    m.add_argument("--train-json", required=True)
-    m.add_argument("--val-json", required=True)
+    m.add_argument("--train-json", default=None)
+    m.add_argument("--val-json", default=None)
+    m.add_argument("--tables", default=None, help="folder of a stage run, instead of the two documents")
     m.add_argument("--output-dir", required=True)
     m.add_argument("--skip-output-write", action="store_true")
     m.add_argument("--preview-jsonl", default=None)
@@ -68,17 +71,16 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--max-viewpoints", type=int, default=K.SMOKE_MAX_VIEWPOINTS)
     s.add_argument("--max-images", type=int, default=K.SMOKE_MAX_IMAGES)
 
-    a = sub.add_parser("assign", help="ordered online viewpoint assignment")
-    _common(a)
-    a.add_argument("--embeddings", required=True, help="Parquet with seq, image_id, embedding")
-    a.add_argument("--state-dir", required=True)
-    a.add_argument("--threshold", type=float, default=K.ASSIGN_THRESHOLD)
-    a.add_argument("--batch-size", type=int, default=K.ASSIGN_BATCH_SIZE)
-    a.add_argument("--mapping-csv", default=None, help="also write the mapping CSV here")
+    t = sub.add_parser("stage", help="explode COCO documents once into Parquet tables")
+    _common(t)
+    t.add_argument("--train-json", required=True)
+    t.add_argument("--val-json", required=True)
+    t.add_argument("--output-dir", required=True)
 
     n = sub.add_parser("near-duplicates", help="candidate viewpoint pairs for review")
     _common(n)
-    n.add_argument("--registry", required=True, help="registry Parquet (viewpoint_id, centroid, count)")
+    n.add_argument("--registry", required=True, help="registry folder (viewpoints and state tables)")
+    n.add_argument("--dim", type=int, default=K.EMBEDDING_DIM, help="length of the centroids")
     n.add_argument("--mapping-csv", required=True)
     n.add_argument("--images-dir", required=True, nargs="+")
     n.add_argument("--output-csv", required=True)
@@ -91,6 +93,13 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--candidates-csv", required=True)
     r.add_argument("--decisions-csv", default=None, help="absent: nothing decided yet")
 
+    d = sub.add_parser("decide", help="write decisions onto the candidates, in candidate order")
+    _common(d)
+    d.add_argument("--candidates-csv", required=True)
+    d.add_argument("--events-csv", required=True,
+                   help="header viewpoint_id_a,viewpoint_id_b,merge_decision,notes; a later row of a pair wins")
+    d.add_argument("--output-csv", required=True)
+
     i = sub.add_parser("insight", help="the tables behind the insight page")
     _common(i)
     i.add_argument("--metrics", required=True, help="metrics Parquet folder or JSON-lines file")
@@ -125,16 +134,21 @@ def write_manifest(spark: SparkSession, path: str, facts: dict) -> None:
 def run_metrics(args) -> dict:
     from vantage.operators import metrics as M
     from vantage.operators.normalize import normalize_annotations, normalize_categories, normalize_images
-    from vantage.sources.coco import read_coco_splits
+    from vantage.sources.coco import read_coco_splits, read_staged
     from vantage.sources.mapping import read_mapping_csv
     from vantage.sources.sinks import write_preview_jsonl
 
     spark = session_for(args)
     t0 = time.time()
-    images, anns, cats = read_coco_splits(spark, {"train": args.train_json, "val": args.val_json},
-                                          partitions=args.shuffle_partitions)
+    if args.tables:
+        images, anns, cats = read_staged(spark, args.tables)
+    elif args.train_json and args.val_json:
+        images, anns, cats = read_coco_splits(spark, {"train": args.train_json, "val": args.val_json},
+                                              partitions=args.shuffle_partitions)
+    else:
+        raise SystemExit("metrics needs --tables, or --train-json and --val-json")
     obs = {k: Observation(k) for k in ("mapping", "joined", "images", "viewpoints")}
-    mapping = read_mapping_csv(spark, args.mapping_csv).observe(obs["mapping"], F.count(F.lit(1)).alias("rows"))
+    mapping = read_mapping_csv(spark, args.mapping_csv, ordered=False).observe(obs["mapping"], F.count(F.lit(1)).alias("rows"))
     inputs = M.TrafficInputs(normalize_images(images), normalize_annotations(anns), normalize_categories(cats),
                              mapping, observations={k: obs[k] for k in ("joined", "images")})
     result = M.viewpoint_metrics(inputs)
@@ -183,40 +197,61 @@ def run_smoke(args) -> dict:
     return {"rows": subset.count()}
 
 
-def run_assign(args) -> dict:
-    from vantage.sources.sinks import write_mapping_csv
-    from vantage.streaming.online import run_online_assignment
+def run_stage(args) -> dict:
+    from vantage.operators.checks import enforce
+    from vantage.operators.dataset_index import check_bboxes
+    from vantage.operators.normalize import normalize_annotations
+    from vantage.sources.coco import read_staged, stage_coco
 
     spark = session_for(args)
-    emb = spark.read.parquet(args.embeddings).select("seq", "image_id", "embedding")
-    mapping, registry = run_online_assignment(spark, emb, args.state_dir, args.threshold, args.batch_size)
-    if args.mapping_csv:
-        write_mapping_csv(mapping, args.mapping_csv)
-    facts = {"rows": mapping.count(), "viewpoints": registry.count()}
-    write_manifest(spark, args.manifest_dir or f"{args.state_dir.rstrip('/')}/_manifest", facts)
-    return facts
+    stage_coco(spark, {"train": args.train_json, "val": args.val_json}, args.output_dir, args.shuffle_partitions)
+    images, anns, cats = read_staged(spark, args.output_dir)
+    boxed = anns.where(F.col("bbox").isNotNull())
+    enforce(check_bboxes(normalize_annotations(boxed)), "a box is not a list of four numbers")
+    return {"images": images.count(), "annotations": anns.count(), "categories": cats.count()}
 
 
 def run_near_duplicates(args) -> dict:
     from vantage.operators import mapping_index as MI
     from vantage.operators import review as R
     from vantage.operators import similarity as S
+    from vantage.operators.checks import require_nonempty
+    from vantage.session import scratch_path
     from vantage.sources.files import image_path_map
     from vantage.sources.mapping import read_mapping_strict
+    from vantage.sources.registry import load_registry
 
     spark = session_for(args)
-    registry = spark.read.parquet(args.registry)
-    pairs = S.top_candidate_pairs(S.similar_pairs(registry, args.threshold, pivots=args.pivots),
-                                  args.max_candidates)
-    from vantage.operators.checks import require_nonempty
-
+    registry, _ = load_registry(spark, args.registry, args.dim, missing_ok=False)
+    require_nonempty(registry, "the registry")
     mapping = read_mapping_strict(spark, args.mapping_csv)
     require_nonempty(mapping, "the mapping")
-    reps = MI.representative_image(mapping)
-    paths = image_path_map(spark, args.images_dir)
-    rows = R.pairs_with_images(pairs, reps, paths, strict=True)
+    found = scratch_path(spark, "near-duplicates")  # the search runs once
+    S.similar_pairs(registry, args.threshold, pivots=args.pivots).write.parquet(found)
+    every = spark.read.parquet(found)
+    total = every.count()
+    pairs = every if args.max_candidates <= 0 else S.top_candidate_pairs(every, args.max_candidates)
+    rows = R.pairs_with_images(pairs, MI.representative_image(mapping), image_path_map(spark, args.images_dir), strict=True)
     R.write_pair_csv(rows, args.output_csv)
-    return {"pairs": rows.count()}
+    kept = total if args.max_candidates <= 0 else min(total, args.max_candidates)
+    facts = {"pairs": kept, "left_out": total - kept}
+    write_manifest(spark, args.manifest_dir or f"{args.output_csv.rstrip('/')}_manifest", facts)
+    return facts
+
+
+def run_decide(args) -> dict:
+    from vantage.operators import review as R
+    from vantage.sources.mapping import with_file_order
+
+    spark = session_for(args)
+    candidates = R.read_pair_csv(spark, args.candidates_csv)
+    events = with_file_order(spark.read.option("header", "true").option("escape", '"').csv(args.events_csv))
+    events = events.select(
+        F.col("viewpoint_id_a").cast("long"), F.col("viewpoint_id_b").cast("long"), "merge_decision", "notes",
+        F.col("seq").alias("event_seq"))
+    decided = R.apply_decisions(candidates, events, keep=True)
+    R.write_pair_csv(decided, args.output_csv)
+    return {k: int(v) for k, v in R.review_progress(decided).first().asDict().items()}
 
 
 def run_review(args) -> dict:
@@ -245,7 +280,7 @@ def run_insight(args) -> dict:
         metrics = I.coerce_metrics(spark.read.parquet(args.metrics))
     filtered = I.filter_metrics(metrics, args.min_images, args.max_entropy)
     if filtered.isEmpty():
-        return {"viewpoints": 0, "note": "No viewpoints match current filters."}
+        return {"viewpoints": 0, "note": "the filters leave no viewpoint"}
     out = args.output_dir.rstrip("/")
     write_table(I.kpi_summary(filtered), f"{out}/kpis")
     write_table(I.top_congestion(filtered, args.top_n), f"{out}/top_congestion")
@@ -262,9 +297,10 @@ COMMANDS = {
     "metrics": run_metrics,
     "mapping-index": run_mapping_index,
     "smoke": run_smoke,
-    "assign": run_assign,
+    "stage": run_stage,
     "near-duplicates": run_near_duplicates,
     "review": run_review,
+    "decide": run_decide,
     "insight": run_insight,
 }
 

@@ -141,7 +141,7 @@ filt AS (SELECT * FROM mraw WHERE total_images >= {MIN_IMAGES} AND entropy <= {M
 bounds AS (SELECT min(congestion_index) AS lo, max(congestion_index) AS hi FROM filt)"""
 
 
-PAIR_THRESHOLD, MAX_CANDIDATES = 0.40, 2000
+PAIR_THRESHOLD = 0.40
 VECTORS = """
 e_x AS (SELECT vec_id AS seq, CAST(label AS BIGINT) AS label, unnest(range(len(embedding))) AS d,
                CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
@@ -153,8 +153,7 @@ c_u AS (SELECT r.label, r.d, r.m / n.n AS c FROM c_raw r JOIN c_n n ON r.label =
 PAIRS = f"""
 pairs AS (SELECT a.seq AS viewpoint_id_a, b.seq AS viewpoint_id_b, sum(a.u * b.u) AS sim
           FROM e_u a JOIN e_u b ON a.d = b.d AND a.seq < b.seq
-          GROUP BY a.seq, b.seq HAVING sum(a.u * b.u) >= {PAIR_THRESHOLD}
-          ORDER BY sim DESC, viewpoint_id_a, viewpoint_id_b LIMIT {MAX_CANDIDATES})"""
+          GROUP BY a.seq, b.seq HAVING sum(a.u * b.u) >= {PAIR_THRESHOLD})"""
 
 
 def _with(ctes: str, body: str) -> str:
@@ -199,7 +198,7 @@ SELECT viewpoint_id, category_name AS class_name, round(class_prob, 6) AS share
     "viewpoint_metrics": _with(ALL_METRICS, "SELECT * FROM metrics"),
     "preview_top": _with(ALL_METRICS, "SELECT * FROM metrics ORDER BY viewpoint_id LIMIT 20"),
     "grouped_mapping": _with(MAPPING, """
-SELECT viewpoint_id, count(*) AS image_count, CAST(0 AS BIGINT) AS chunk,
+SELECT viewpoint_id, count(*) AS image_count,
        '[' || array_to_string(list_transform(
             list(image_id ORDER BY CASE WHEN regexp_full_match(image_id, '[0-9]+') THEN 0 ELSE 1 END,
                  TRY_CAST(image_id AS DECIMAL(38, 0)), image_id, seq),
@@ -209,7 +208,7 @@ FROM map_v GROUP BY viewpoint_id"""),
 SELECT viewpoint_id, bucket_id, image_count FROM assign""",
     "bucket_summary": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + f"""
 SELECT CAST(r.range AS INTEGER) AS bucket_id, CAST(count(a.viewpoint_id) AS BIGINT) AS viewpoint_count,
-       CAST(coalesce(sum(a.image_count), 0) AS BIGINT) AS image_count, CAST(0 AS BIGINT) AS chunk,
+       CAST(coalesce(sum(a.image_count), 0) AS BIGINT) AS image_count,
        '[' || coalesce(array_to_string(list(CAST(a.viewpoint_id AS VARCHAR) ORDER BY a.viewpoint_id)
                              FILTER (WHERE a.viewpoint_id IS NOT NULL), ', '), '') || ']' AS viewpoint_ids_json
 FROM range({NUM_BUCKETS}) r LEFT JOIN assign a ON a.bucket_id = r.range
@@ -220,7 +219,8 @@ SELECT image_id, viewpoint_id, seq FROM map_v
 WHERE viewpoint_id IN (SELECT viewpoint_id FROM firsts) ORDER BY seq LIMIT 100"""),
     "representative_image": _with(MAPPING, """
 SELECT viewpoint_id, arg_min(image_id, seq) AS image_id, min(seq) AS seq FROM map_v GROUP BY viewpoint_id"""),
-    "coerce_metrics": _with(ALL_METRICS, "SELECT * FROM metrics"),
+    "coerce_metrics": _with(ALL_METRICS, """SELECT * REPLACE (
+  CASE WHEN viewpoint_id % 7 = 0 THEN NULL ELSE total_vehicles END AS total_vehicles) FROM metrics"""),
     "filter_metrics": _with(ALL_METRICS + "," + FILTERED, f"""
 SELECT viewpoint_id, total_images, total_vehicles, {ROUNDED}, class_distribution_vector FROM filt"""),
     "kpi_summary": _with(ALL_METRICS + "," + FILTERED, """
@@ -278,17 +278,22 @@ raw_ann AS (SELECT l_orderkey AS coco_image_id, CAST(l_linenumber AS BIGINT) AS
                    [0.0, 0.0, CAST(l_quantity AS DOUBLE), CAST(l_linenumber AS DOUBLE)] AS bbox FROM lineitem),
 lists AS (SELECT coco_image_id, CAST(to_json(list(bbox ORDER BY pos, bbox)) AS VARCHAR) AS bboxes_json
           FROM raw_ann GROUP BY coco_image_id)
-SELECT i.split, i.coco_image_id, i.image_id, CAST(0 AS BIGINT) AS chunk, coalesce(l.bboxes_json, '[]') AS bboxes_json
+SELECT i.split, i.coco_image_id, i.image_id, coalesce(l.bboxes_json, '[]') AS bboxes_json
 FROM images_v i LEFT JOIN lists l ON i.coco_image_id = l.coco_image_id"""),
     "mask_rects": _with(IMAGES, """,
+boxes AS (
+  SELECT l_orderkey * 8 + l_linenumber AS annotation_id, l_orderkey AS coco_image_id, i.width, i.height,
+         CAST((l_orderkey * 8 + l_linenumber) % 9 AS DOUBLE) * 1.25 - 2.5 AS x,
+         CAST((l_orderkey * 8 + l_linenumber) % 9 AS DOUBLE) * 1.25 - 2.75 AS y,
+         CAST(l_quantity AS DOUBLE) + 0.5 AS w, CAST(l_linenumber AS DOUBLE) + 0.25 AS h
+  FROM lineitem JOIN images_v i ON i.coco_image_id = l_orderkey),
 rects AS (
-  SELECT l_orderkey * 8 + l_linenumber AS annotation_id, l_orderkey AS coco_image_id,
-         CAST(l_quantity AS DOUBLE) AS w, CAST(l_linenumber AS DOUBLE) AS h,
-         greatest(0, least(CAST(i.width AS BIGINT), CAST(round_even(0.0 - 0, 0) AS BIGINT))) AS x1,
-         greatest(0, least(CAST(i.height AS BIGINT), CAST(round_even(0.0 - 0, 0) AS BIGINT))) AS y1,
-         greatest(0, least(CAST(i.width AS BIGINT), CAST(round_even(0.0 + l_quantity + 0, 0) AS BIGINT))) AS x2,
-         greatest(0, least(CAST(i.height AS BIGINT), CAST(round_even(0.0 + l_linenumber + 0, 0) AS BIGINT))) AS y2
-  FROM lineitem JOIN images_v i ON i.coco_image_id = l_orderkey)
+  SELECT annotation_id, coco_image_id, w, h,
+         greatest(0, least(CAST(width AS BIGINT), CAST(round_even(x, 0) AS BIGINT))) AS x1,
+         greatest(0, least(CAST(height AS BIGINT), CAST(round_even(y, 0) AS BIGINT))) AS y1,
+         greatest(0, least(CAST(width AS BIGINT), CAST(round_even(x + w, 0) AS BIGINT))) AS x2,
+         greatest(0, least(CAST(height AS BIGINT), CAST(round_even(y + h, 0) AS BIGINT))) AS y2
+  FROM boxes)
 SELECT coco_image_id, annotation_id, x1, y1, x2, y2 FROM rects
 WHERE w > 0 AND h > 0 AND x2 > x1 AND y2 > y1"""),
     "registry_totals": """
@@ -319,19 +324,101 @@ SELECT image_id, viewpoint_id FROM map_v WHERE image_id NOT IN (SELECT image_id
     "check_resume": _with(",".join([IMAGES, MAPPING]), """,
 idx AS (SELECT row_number() OVER (ORDER BY CASE split WHEN 'train' THEN 0 WHEN 'val' THEN 1 ELSE 2 END, pos) - 1
                AS seq, image_id FROM images_v),
-mism AS (SELECT m.seq FROM map_v m LEFT JOIN idx i ON i.seq = m.seq
+short AS (SELECT * FROM idx WHERE seq % 50 <> 49),
+sums AS (SELECT (SELECT count(*) FROM short) AS n, (SELECT count(*) FROM map_v) AS m,
+                (SELECT count(*) + count(DISTINCT viewpoint_id) FROM map_v) AS c),
+mism AS (SELECT m.seq FROM map_v m LEFT JOIN short i ON i.seq = m.seq
          WHERE i.image_id IS NULL OR i.image_id <> m.image_id)
-SELECT 'mapping order mismatch' AS problem, count(*) AS rows, min(seq) AS first_seq FROM mism
-HAVING count(*) > 0"""),
+SELECT 'mapping has more rows than dataset' AS problem, m - n AS rows, CAST(NULL AS BIGINT) AS first_seq
+FROM sums WHERE m > n
+UNION ALL SELECT 'last_index does not match mapping length', 3, NULL
+UNION ALL SELECT 'registry count sum does not match mapping length', abs(c - m), NULL FROM sums WHERE c <> m
+UNION ALL SELECT 'mapping order mismatch', count(*), min(seq) FROM mism HAVING count(*) > 0"""),
     "check_conservation": _with(VECTORS, """,
 sims AS (SELECT e.seq, c.label AS viewpoint_id, sum(e.u * c.c) AS sim
          FROM e_u e JOIN c_u c ON e.d = c.d GROUP BY e.seq, c.label),
 best AS (SELECT seq, viewpoint_id FROM sims
          QUALIFY row_number() OVER (PARTITION BY seq ORDER BY sim DESC, viewpoint_id) = 1),
-mapped AS (SELECT viewpoint_id, count(*) AS mapped FROM best GROUP BY viewpoint_id),
-reg AS (SELECT CAST(label AS BIGINT) AS viewpoint_id, count(*) AS cnt FROM embeddings GROUP BY label)
-SELECT 'registry count differs from mapped rows' AS problem, count(*) AS rows
-FROM reg FULL OUTER JOIN mapped ON reg.viewpoint_id = mapped.viewpoint_id
-WHERE coalesce(reg.cnt, 0) <> coalesce(mapped.mapped, 0)
-HAVING count(*) > 0"""),
+assigned AS (SELECT seq, viewpoint_id FROM best WHERE seq % 11 <> 3
+             UNION ALL SELECT seq, viewpoint_id FROM best WHERE seq % 13 = 5
+             UNION ALL SELECT -seq, viewpoint_id FROM best WHERE seq % 17 = 1),
+mapped AS (SELECT viewpoint_id, count(*) AS mapped FROM assigned GROUP BY viewpoint_id),
+reg AS (SELECT CAST(label AS BIGINT) AS viewpoint_id, count(*) AS cnt FROM embeddings GROUP BY label),
+found AS (
+  SELECT 'dataset row without assignment' AS problem, count(*) AS rows FROM embeddings
+  WHERE vec_id NOT IN (SELECT seq FROM assigned)
+  UNION ALL SELECT 'dataset row assigned more than once', CAST(coalesce(sum(n - 1), 0) AS BIGINT)
+  FROM (SELECT count(*) AS n FROM assigned GROUP BY seq HAVING count(*) > 1)
+  UNION ALL SELECT 'assignment of an unknown row', count(DISTINCT seq) FROM assigned
+  WHERE seq NOT IN (SELECT vec_id FROM embeddings)
+  UNION ALL SELECT 'registry count differs from mapped rows', count(*)
+  FROM reg FULL OUTER JOIN mapped ON reg.viewpoint_id = mapped.viewpoint_id
+  WHERE coalesce(reg.cnt, 0) <> coalesce(mapped.mapped, 0))
+SELECT * FROM found WHERE rows > 0"""),
+    "check_registry": """
+SELECT CASE WHEN label = 1 THEN NULL ELSE CAST(label AS BIGINT) END AS viewpoint_id,
+       CASE label WHEN 1 THEN 'missing viewpoint_id' WHEN 2 THEN 'missing centroid'
+                  WHEN 3 THEN 'centroid dimension' WHEN 4 THEN 'missing count'
+                  ELSE 'count must be > 0' END AS problem
+FROM (SELECT DISTINCT label FROM embeddings WHERE label BETWEEN 1 AND 5)
+UNION ALL SELECT NULL, 'last_index must be >= 0'""",
+    "check_alignment": _with(VECTORS + "," + PAIRS, """,
+c AS (SELECT viewpoint_id_a AS a, viewpoint_id_b AS b,
+             row_number() OVER (ORDER BY sim DESC, viewpoint_id_a, viewpoint_id_b) - 1 AS seq FROM pairs),
+d AS (SELECT a, b + seq % 3 AS b, seq FROM c WHERE seq % 2 = 0
+      UNION ALL SELECT a, b, seq - 1 FROM c WHERE seq >= 1 AND (seq - 1) % 2 = 1)
+SELECT coalesce(c.seq, d.seq) AS seq,
+       CASE WHEN c.a IS NULL THEN 'extra decision row' WHEN d.a IS NULL THEN 'missing decision row'
+            WHEN c.a <> d.a THEN 'viewpoint_id_a mismatch' ELSE 'viewpoint_id_b mismatch' END AS problem
+FROM c FULL OUTER JOIN d ON c.seq = d.seq
+WHERE c.a IS NULL OR d.a IS NULL OR c.a <> d.a OR c.b <> d.b"""),
+    "mapping_ranks": _with(MAPPING, """
+SELECT viewpoint_id, row_number() OVER (PARTITION BY viewpoint_id ORDER BY TRY_CAST(image_id AS DECIMAL(38, 0)), seq) - 1
+       AS position, image_id FROM map_v"""),
+    "bucket_members": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + """
+SELECT bucket_id, row_number() OVER (PARTITION BY bucket_id ORDER BY viewpoint_id) - 1 AS position, viewpoint_id
+FROM assign""",
+    "image_box_rows": _with(IMAGES, """
+SELECT i.split, i.coco_image_id, i.image_id,
+       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) - 1 AS position,
+       CAST(to_json([0.0, 0.0, CAST(l_quantity AS DOUBLE), CAST(l_linenumber AS DOUBLE)]) AS VARCHAR) AS bbox_json
+FROM lineitem JOIN images_v i ON i.coco_image_id = l_orderkey"""),
+    "mapping_cast": _with(MAPPING, """
+SELECT image_id, seq, viewpoint_id FROM map_v WHERE seq % 5 <> 2"""),
+    "mapping_trimmed": _with(MAPPING, """
+SELECT image_id, viewpoint_id, seq FROM map_v"""),
+    "unknown_categories": _with(",".join([
+        IMAGES, ANNOTATIONS, CATEGORIES.replace("FROM part GROUP", "FROM part WHERE p_partkey % 10 <> 0 GROUP"),
+        MAPPING, JOINED, CLASSES]), """
+SELECT viewpoint_id, category_name, class_count FROM cc"""),
+    "conflicting_categories": """
+SELECT p_partkey AS category_id, CASE WHEN p_partkey % 3 = 0 THEN 'val ' || p_name ELSE p_name END AS category_name
+FROM part""",
+    "split_image_join": _with(IMAGES, """,
+both_v AS (SELECT split, coco_image_id, image_id, '' AS mark FROM images_v
+           UNION ALL SELECT CASE WHEN split = 'val' THEN 'train' ELSE 'val' END, coco_image_id, image_id || 'b', 'b'
+           FROM images_v),
+ann AS (SELECT l_orderkey * 8 + l_linenumber AS annotation_id, l_orderkey AS coco_image_id,
+               CASE WHEN (l_orderkey * 8 + l_linenumber) % 3 = 0 THEN 'val' ELSE 'train' END AS split FROM lineitem)
+SELECT a.split, a.annotation_id, i.image_id, o.o_custkey AS viewpoint_id
+FROM ann a JOIN both_v i ON i.split = a.split AND i.coco_image_id = a.coco_image_id
+JOIN orders o ON o.o_orderkey = a.coco_image_id"""),
+    "resolve_paths": _with(IMAGES, """
+SELECT split, image_id || '.png' AS file_name, image_id,
+       CASE WHEN split = 'val' AND image_id LIKE '%9' THEN NULL
+            ELSE 'root-' || split || '/data/' || image_id || '.png' END AS path
+FROM images_v"""),
+    "pair_csv_rows": _with(",".join([IMAGES, MAPPING, VECTORS, PAIRS]), """,
+rep AS (SELECT viewpoint_id, arg_min(image_id, seq) AS image_id FROM map_v GROUP BY viewpoint_id),
+paths AS (SELECT image_id, file_name AS path FROM images_v)
+SELECT CAST(p.viewpoint_id_a AS VARCHAR) AS viewpoint_id_a, ra.image_id AS image_id_a, pa.path AS image_path_a,
+       CAST(p.viewpoint_id_b AS VARCHAR) AS viewpoint_id_b, rb.image_id AS image_id_b, pb.path AS image_path_b,
+       printf('%.6f', p.sim) AS centroid_similarity,
+       CASE (viewpoint_id_a + viewpoint_id_b) % 3 WHEN 0 THEN 'merge' WHEN 1 THEN 'no_merge' ELSE '' END
+         AS merge_decision, '' AS notes
+FROM pairs p
+LEFT JOIN rep ra ON ra.viewpoint_id = p.viewpoint_id_a LEFT JOIN paths pa ON pa.image_id = ra.image_id
+LEFT JOIN rep rb ON rb.viewpoint_id = p.viewpoint_id_b LEFT JOIN paths pb ON pb.image_id = rb.image_id"""),
+    "viewpoint_ids": _with(ALL_METRICS + "," + FILTERED, """
+SELECT viewpoint_id FROM filt"""),
 }

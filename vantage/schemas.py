@@ -4,23 +4,25 @@ job per file."""
 
 from pyspark.sql import types as T
 
+# Numbers of COCO documents are read as text and cast in operators.normalize:
+# documents write ids as numbers or as strings.
 COCO_IMAGE = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),
     T.StructField("file_name", T.StringType()),
-    T.StructField("width", T.DoubleType()),
-    T.StructField("height", T.DoubleType()),
+    T.StructField("width", T.StringType()),
+    T.StructField("height", T.StringType()),
 ])
 
 COCO_ANNOTATION = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("image_id", T.LongType()),
-    T.StructField("category_id", T.LongType()),
-    T.StructField("area", T.DoubleType()),
-    T.StructField("bbox", T.ArrayType(T.DoubleType())),
+    T.StructField("id", T.StringType()),
+    T.StructField("image_id", T.StringType()),
+    T.StructField("category_id", T.StringType()),
+    T.StructField("area", T.StringType()),
+    T.StructField("bbox", T.ArrayType(T.StringType())),
 ])
 
 COCO_CATEGORY = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),
     T.StructField("name", T.StringType()),
 ])
 

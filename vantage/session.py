@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -62,7 +63,8 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts and job state.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) is ``fallback`` (or a fresh folder under /tmp) installed.
+    (local tests) is ``fallback`` (or a fresh folder under /tmp) installed. A
+    cluster without the setting is an error: executors share no local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     installed = spark.sparkContext.getCheckpointDir()
@@ -72,6 +74,9 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     configured = configured or installed
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[[^]]*\])?$", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set and {master} has no folder that all executors share")
     root = fallback or os.path.join("/tmp", f"vantage-ckpt-{uuid.uuid4().hex[:8]}")
     spark.sparkContext.setCheckpointDir(root)
     return root

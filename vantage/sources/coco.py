@@ -10,16 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vantage.operators.checks import enforce
 from vantage.schemas import COCO_DOCUMENT
 
 
 def read_coco_document(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(COCO_DOCUMENT).option("multiLine", "true").json(path)
+    """One row per document; a document that doesn't parse fails the read."""
+    return spark.read.schema(COCO_DOCUMENT).option("multiLine", "true").option("mode", "FAILFAST").json(path)
 
 
 def check_required_sections(doc: DataFrame) -> DataFrame:
     """Rows of documents lacking ``images`` or ``annotations`` (should be empty)."""
-    return doc.where(F.col("images").isNull() | F.col("annotations").isNull()).select(
+    # A sum, not a plain test: a test would be pushed into the reader, which then
+    # stops at the first section and misses what is broken behind it.
+    lacking = F.col("images").isNull().cast("int") + F.col("annotations").isNull().cast("int")
+    return doc.where(lacking > 0).select(
         F.lit("missing images/annotations").alias("problem")
     )
 
@@ -48,7 +53,10 @@ def raw_tables(doc: DataFrame, split: str, partitions: int | None = None
 
 def read_coco_splits(spark: SparkSession, paths: dict[str, str], partitions: int | None = None
                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Read one document per split and union them by name (train first)."""
+    """Read one document per split and union them by name (train first). A
+    document without images or annotations is an error."""
+    for split, path in paths.items():
+        enforce(check_required_sections(read_coco_document(spark, path)), f"{split} document {path}")
     parts = [raw_tables(read_coco_document(spark, p), split, partitions) for split, p in paths.items()]
     images, annotations, categories = parts[0]
     for im, an, ca in parts[1:]:
@@ -64,3 +72,8 @@ def stage_coco(spark: SparkSession, paths: dict[str, str], out_dir: str, partiti
     images.write.mode("overwrite").parquet(f"{out_dir}/images")
     annotations.write.mode("overwrite").parquet(f"{out_dir}/annotations")
     categories.write.mode("overwrite").parquet(f"{out_dir}/categories")
+
+
+def read_staged(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tables ``stage_coco`` has written: images, annotations, categories."""
+    return tuple(spark.read.parquet(f"{folder}/{name}") for name in ("images", "annotations", "categories"))

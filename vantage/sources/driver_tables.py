@@ -130,24 +130,20 @@ def embedding_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(1).cast("long").alias("count"))
 
 
+VECTOR_DIMS = 64
+
+
 def centroids_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A registry-shaped table: one unit centroid per embedding label.
+    """A registry-shaped table: one unit centroid per embedding label. The
+    means of all dimensions are one aggregate, combined before the shuffle."""
+    from vantage.functions import l2_normalize
 
-    The mean is taken element-wise with an explode + groupBy per dimension,
-    then renormalised; a label with many rows is pre-aggregated map-side.
-    """
     e = embeddings(spark, sf_dir)
-    dims = e.select("label", F.posexplode("embedding").alias("d", "x"))
-    means = dims.groupBy("label", "d").agg(F.avg(F.col("x").cast("double")).alias("m"),
-                                           F.count(F.lit(1)).alias("n"))
-    vec = means.groupBy("label").agg(
-        F.array_sort(F.collect_list(F.struct("d", "m"))).alias("parts"),
-        F.max("n").alias("count"),
-    )
-    from vantage.functions import l2_normalize
+    mean = F.array(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(VECTOR_DIMS)])
+    means = e.groupBy("label").agg(mean.alias("m"), F.count(F.lit(1)).alias("count"))
+    return means.select(F.col("label").alias("viewpoint_id"), l2_normalize("m").alias("centroid"), "count")
 
-    return vec.select(
-        F.col("label").alias("viewpoint_id"),
-        l2_normalize(F.transform("parts", lambda s: s["m"])).alias("centroid"),
-        F.col("count").cast("long").alias("count"),
-    )
+
+def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(viewpoint_id, count) of the label registry, without its centroids."""
+    return embeddings(spark, sf_dir).groupBy(F.col("label").alias("viewpoint_id")).agg(F.count(F.lit(1)).alias("count"))

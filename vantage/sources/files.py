@@ -30,7 +30,7 @@ def image_path_map(spark: SparkSession, roots: list[str], pattern: str = "*.png"
     if strict:
         from vantage.operators.checks import check_duplicates, enforce
 
-        enforce(check_duplicates(out, ["image_id"]), "Duplicate image_id in raw data")
+        enforce(check_duplicates(out, ["image_id"]), "two image files share a stem")
         if out.isEmpty():
-            raise ValueError("No images found in raw dataset.")
+            raise ValueError(f"no {pattern} file under {roots}")
     return out

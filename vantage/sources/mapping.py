@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vantage.functions import to_integer
+from vantage.operators.util import broadcast_if_small
+
 MAPPING_COLUMNS = ["image_id", "viewpoint_id"]
 
 
@@ -40,7 +43,7 @@ def dense_sequence(df: DataFrame, group_cols: list[str], order_col: str, out: st
     w_grp = Window.partitionBy(*group_cols).orderBy(order_col)
     ranked = df.withColumn("_rn", F.row_number().over(w_grp))
     return (
-        ranked.join(F.broadcast(offsets), group_cols)
+        ranked.join(broadcast_if_small(offsets), group_cols)
         .withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("long"))
         .drop("_off", "_rn")
     )
@@ -52,12 +55,12 @@ def read_mapping_csv(spark: SparkSession, path: str, ordered: bool = True) -> Da
     raw = spark.read.option("header", "true").option("escape", '"').csv(path)
     missing = [c for c in MAPPING_COLUMNS if c not in raw.columns]
     if missing:
-        raise MappingSchemaError("Input CSV must contain columns: image_id, viewpoint_id")
+        raise MappingSchemaError(f"{path}: image_id and viewpoint_id are both needed, found {raw.columns}")
     if ordered:
         raw = with_file_order(raw)
     out = raw.select(
         F.col("image_id").cast("string").alias("image_id"),
-        F.col("viewpoint_id").try_cast("long").alias("viewpoint_id"),
+        to_integer("viewpoint_id").alias("viewpoint_id"),
         *(["seq"] if ordered else []),
     )
     return out.dropna(subset=["image_id", "viewpoint_id"])
@@ -80,7 +83,7 @@ def read_mapping_strict(spark: SparkSession, path: str, missing_ok: bool = False
             return spark.createDataFrame([], MAPPING)
         raise FileNotFoundError(f"Mapping file not found: {path}") from exc
     if raw.columns != MAPPING_COLUMNS:
-        raise MappingSchemaError("mapping CSV schema mismatch.")
+        raise MappingSchemaError(f"{path}: the header must be exactly {MAPPING_COLUMNS}")
     return with_file_order(raw).select(
         F.col("image_id").cast("string"),
         F.col("viewpoint_id").cast("long"),
@@ -92,7 +95,7 @@ def read_mapping_trimmed(spark: SparkSession, path: str) -> DataFrame:
     """Mapping read that trims both values and fails on a non-integer id."""
     raw = spark.read.option("header", "true").option("escape", '"').csv(path)
     if not set(MAPPING_COLUMNS).issubset(raw.columns):
-        raise MappingSchemaError("Input CSV must contain columns: image_id, viewpoint_id")
+        raise MappingSchemaError(f"{path}: image_id and viewpoint_id are both needed, found {raw.columns}")
     return with_file_order(raw).select(
         F.trim(F.col("image_id")).alias("image_id"),
         F.trim(F.col("viewpoint_id")).cast("long").alias("viewpoint_id"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vantage.functions import l2_normalize
 from vantage.operators.checks import check_registry, enforce
-from vantage.streaming.online import REGISTRY_SCHEMA
+from vantage.schemas import REGISTRY
 
 
 def load_registry(spark: SparkSession, path: str, dim: int, missing_ok: bool = True
@@ -23,12 +23,12 @@ def load_registry(spark: SparkSession, path: str, dim: int, missing_ok: bool = T
         state = spark.read.parquet(f"{path}/state").first()
     except AnalysisException as exc:
         if missing_ok and "PATH_NOT_FOUND" in str(exc):
-            return spark.createDataFrame([], REGISTRY_SCHEMA), 0
+            return spark.createDataFrame([], REGISTRY), 0
         raise
     if state is None:
-        raise ValueError("Registry is corrupted: missing viewpoints/last_index.")
+        raise ValueError(f"{path}: the state table is empty")
     last_index = int(state["last_index"])
-    enforce(check_registry(reg, dim, last_index), "Registry is corrupted")
+    enforce(check_registry(reg, dim, last_index), f"{path}: unsound registry")
     return reg.select("viewpoint_id", l2_normalize("centroid").alias("centroid"), "count"), last_index
 
 
@@ -36,7 +36,7 @@ def save_registry(registry: DataFrame, path: str, last_index: int) -> None:
     """Write the viewpoints, then the state row (a reader that finds the
     state finds complete viewpoints)."""
     if last_index < 0:
-        raise ValueError("last_index must be >= 0.")
+        raise ValueError(f"negative last_index {last_index}")
     spark = registry.sparkSession
     registry.select("viewpoint_id", F.col("centroid").cast("array<double>"), "count") \
         .write.mode("overwrite").parquet(f"{path}/viewpoints")

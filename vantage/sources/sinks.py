@@ -35,19 +35,19 @@ def write_preview_jsonl(metrics: DataFrame, path: str, limit: int = PREVIEW_LIMI
 
 
 def write_grouped_jsonl(grouped: DataFrame, path: str) -> None:
-    grouped.orderBy("viewpoint_id", "chunk").write.mode("overwrite").json(path)
+    grouped.orderBy("viewpoint_id").write.mode("overwrite").json(path)
 
 
 def write_grouped_csv(grouped: DataFrame, path: str) -> None:
-    _csv(grouped.orderBy("viewpoint_id", "chunk").select(
-        "viewpoint_id", "image_count", "chunk", json_list_text("image_ids").alias("image_ids_json")), path)
+    _csv(grouped.orderBy("viewpoint_id").select(
+        "viewpoint_id", "image_count", json_list_text("image_ids").alias("image_ids_json")), path)
 
 
 def write_bucket_files(assignment: DataFrame, summary: DataFrame, out_dir: str) -> None:
     _csv(assignment.orderBy("bucket_id", "viewpoint_id").select("viewpoint_id", "bucket_id", "image_count"),
          f"{out_dir}/viewpoint_bucket_assignment")
-    _csv(summary.orderBy("bucket_id", "chunk").select(
-        "bucket_id", "viewpoint_count", "image_count", "chunk",
+    _csv(summary.orderBy("bucket_id").select(
+        "bucket_id", "viewpoint_count", "image_count",
         json_list_text("viewpoint_ids").alias("viewpoint_ids_json")), f"{out_dir}/bucket_summary")
 
 
