@@ -62,17 +62,21 @@ def join_split(rows: DataFrame, table: DataFrame, key: str, weight: str, total:
     """``rows`` left-joined to ``table`` (unique ``key``) without a hot key.
 
     Keys whose ``weight`` (their rows) exceeds ``share`` of ``total`` rows are
-    joined by broadcast: there are at most 1 / share of them. The others are
-    joined by a shuffle in which no key holds more than that share.
+    joined by broadcast: there are at most 1 / share of them. Their rows then
+    take part in the shuffled join of the others under a salt that matches
+    nothing, so no partition holds more than its share, and ``rows`` is read
+    once.
     """
     hot = F.col(weight) > total * share
-    cols = [F.col(c) for c in table.columns if c != key]
+    cols = [c for c in table.columns if c != key]
     mine = [F.col(c) for c in rows.columns]
-    few = F.broadcast(table.where(hot).withColumnRenamed(key, "_hot"))
-    marked = rows.join(few, F.col(key) == F.col("_hot"), "left")
-    one = marked.where("_hot is not null").select(*mine, *cols)
-    two = marked.where("_hot is null").select(*mine).join(table.where(~hot), key, "left").select(*mine, *cols)
-    return one.unionByName(two)
+    few = table.where(hot).select(F.col(key).alias("_hot"), F.struct(*cols).alias("_few"))
+    rest = table.where(~hot).select(F.col(key).alias("_key"), F.struct(*cols).alias("_rest"), F.lit(0).alias("_zero"))
+    salt = F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)).cast("int"))
+    marked = rows.join(F.broadcast(few), F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt)
+    both = marked.join(rest, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_zero")), "left")
+    found = F.coalesce("_few", "_rest")
+    return both.select(*mine, *[found[c].alias(c) for c in cols])
 
 
 END = b"\xff"  # stands for the end of a text; no UTF-8 text holds this byte
