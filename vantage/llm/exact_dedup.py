@@ -124,8 +124,11 @@ def _decided(rows: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents that stay, all columns."""
     try:
-        where = docs.withColumns({"_f": F.col("_metadata.file_path"), "_r": F.col("_metadata.row_index")})
+        rows = docs.select(
+            F.struct(*docs.columns).alias("row"), F.col("_metadata.file_path").alias("loc_file"),
+            F.col("_metadata.row_index").alias("loc_row"),
+        )
     except AnalysisException:
         return deduplicated(written(docs, "dedup-docs"))
-    kept = decisions(docs).where("kept").select(F.col("loc_file").alias("_f"), F.col("loc_row").alias("_r"))
-    return where.join(kept, ["_f", "_r"], "left_semi").drop("_f", "_r")
+    kept = decisions(docs).where("kept").select("loc_file", "loc_row")
+    return rows.join(kept, ["loc_file", "loc_row"], "left_semi").select("row.*")

@@ -113,22 +113,19 @@ def take(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     that takes it, and the one at the cut is shortened to its taken words
     (with the white space between them). Rows sharing an id and a size share
     the decision; ids are expected to be unique here."""
-    plan = (
-        mix(docs, cfg)
-        .where(F.col("taken") > 0)
-        .groupBy("doc_id", "size")
-        .agg(F.max("taken").alias("_taken"))
-        .withColumnRenamed("doc_id", "_id")
-        .withColumnRenamed("size", "_size")
-    )
-    sized = docs.withColumn("_n", size_of(whole_text()))
-    hit = sized.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size")))
-    copies = F.sequence(F.lit(0), F.ceil(F.col("_taken") / F.col("_n")).cast("int") - 1)
-    each = hit.withColumn("_epoch", F.explode(copies))
-    words = F.least(F.col("_n"), F.col("_taken") - F.col("_epoch") * F.col("_n"))
-    gone = each.withColumn("_words", words)
-    pieces = F.regexp_extract_all("text", F.lit(f"({SPACE})?({WORD})"), F.lit(0))
-    shortened = F.array_join(F.slice(pieces, 1, F.col("_words").cast("int")), "")
-    out = gone.withColumn("text", F.when(F.col("_words") < F.col("_n"), shortened).otherwise(F.col("text")))
-    cols = [F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*cols)
+    plan = mix(docs, cfg).where(F.col("taken") > 0).groupBy("doc_id", "size").agg(F.max("taken").alias("taken"))
+    plan = plan.select(F.col("doc_id").alias("id"), F.col("size").alias("words"), "taken")
+    rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", size_of(whole_text("row.text")).alias("n"))
+    hit = rows.join(plan, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("n") == F.col("words")))
+    copies = F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("n")).cast("int") - 1)
+    each = hit.select("row", "n", "taken", F.explode(copies).alias("epoch"))
+    own = F.least(F.col("n"), F.col("taken") - F.col("epoch") * F.col("n"))
+    pieces = F.regexp_extract_all("row.text", F.lit(f"({SPACE})?({WORD})"), F.lit(0))
+    shortened = F.array_join(F.slice(pieces, 1, F.col("own").cast("int")), "")
+    text = F.when(F.col("own") < F.col("n"), shortened).otherwise(F.col("row.text"))
+    out = each.select("row", "n", own.alias("own")).select("row", text.alias("text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text")}
+    return out.select(*[
+        new[f.name].cast(f.dataType).alias(f.name) if f.name in new else F.col("row").getField(f.name).alias(f.name)
+        for f in docs.schema.fields
+    ])

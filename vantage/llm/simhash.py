@@ -393,7 +393,8 @@ def near_duplicates(docs: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> Da
 
 
 def one_per_group(docs: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> DataFrame:
-    """The documents whose id is their group's component id, all columns (a
-    group without any id keeps all its rows)."""
-    drop = near_duplicates(docs, cfg).where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(drop, F.col("doc_id") == F.col("_id"), "left_anti")
+    """The documents whose id is their group's component id, all columns. A
+    row without an id can't be named and stays."""
+    drop = near_duplicates(docs, cfg).where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return rows.join(drop, F.col("row.doc_id") == F.col("id"), "left_anti").select("row.*")
