@@ -229,8 +229,8 @@ def plan(fps: DataFrame, cfg: SimHashConfig) -> tuple[list[int], list[tuple[int,
     ])
     counts = x.select(F.explode(values).alias("e")).groupBy("e.b", "e.v").agg(F.count(F.lit(1)).alias("n"))
     table = np.zeros((BLOCKS, 1 << WIDTH))
-    for r in counts.toLocalIterator():  # at most 4 * 2**16 rows
-        table[r.b, r.v] = r.n
+    found = counts.toPandas()  # at most 4 * 2**16 rows
+    table[found.b, found.v] = found.n
     pairs = [block_distances(h, cfg.max_bits) for h in table]
     return order, choose_partitions(pairs, int(table[0].sum()), cfg)
 
