@@ -1,0 +1,79 @@
+import re
+
+from llm.data import rows, table, with_extra
+from vantage.llm import pii as P
+
+
+def run(spark, texts, cfg=P.SurrogateConfig()):
+    data = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    return {r.doc_id: r for r in P.replace(with_extra(table(spark, data)), cfg).collect()}
+
+
+def luhn(text):
+    d = [int(c) for c in re.sub(r"\D", "", text)][::-1]
+    return sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])
+
+
+def test_types_formats_and_coreference(spark):
+    got = run(spark, [
+        "Mail und.34@mail7.example.com or X.Y@mail7.example.com, und.34@mail7.example.com!",
+        "UND.34@MAIL7.example.com",
+        "+1 (487) 555-7209, +1-487-555-7209 and +1 (487) 555-7208.",
+        "cards 4111111111111111, 4111 1111 1111 1111, 2390409500648960",
+        "ips 97.51.17.173, 8.8.8.8.",
+        'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"',
+        "IBAN DE89 3704 0044 0532 0130 00",
+    ])
+    a = re.findall(r"\S+@[\w.]+\w", got[0].text)
+    assert len(a) == 3 and a[0] == a[2] != a[1]
+    assert len({x.split("@")[1] for x in a}) == 1 and a[0].endswith(".com")
+    assert re.fullmatch(r"[a-z]{3}\.\d\d@[a-z]{4}\d\.[a-z]{7}\.com", a[0])
+    assert got[1].text.lower() == a[0] and got[1].text.startswith(a[0].split("@")[0].upper())
+    m = re.fullmatch(r"(\+\d \(\d{3}\) \d{3}-\d{4}), (\+\d-\d{3}-\d{3}-\d{4}) and (\+\d \(\d{3}\) \d{3}-\d{4})\.", got[2].text)
+    digits = [re.sub(r"\D", "", x) for x in m.groups()]
+    assert digits[0] == digits[1] != digits[2] and digits[0] != "14875557209"
+    m = re.fullmatch(r"cards (\d{16}), (\d{4} \d{4} \d{4} \d{4}), (\d{16})", got[3].text)
+    assert m[1] == m[2].replace(" ", "") != "4111111111111111" and luhn(m[1]) % 10 == 0
+    ips = re.findall(r"\d+(?:\.\d+){3}", got[4].text)
+    assert all(0 <= int(o) <= 255 for ip in ips for o in ip.split(".")) and "8.8.8.8" not in ips
+    assert [len(o) for o in ips[0].split(".")] == [2, 2, 2, 3]
+    assert re.fullmatch(r'token = "[0-9a-f]{40}"', got[5].text) and "04dbebab" not in got[5].text
+    assert re.fullmatch(r"IBAN DE\d\d( \d{4}){4} \d\d", got[6].text) and "3704" not in got[6].text
+    assert [got[i].n_entities for i in range(7)] == [3, 1, 3, 3, 2, 1, 1]
+
+
+def test_names_by_gender_and_script(spark):
+    got = run(spark, ["Mr. John Smith met Mrs Anna Smith and Mr Smith.", "Frau Müller", "Госпожа Анна Иванова пришла"])
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs (\w+) (\w+) and Mr (\w+)\.", got[0].text)
+    john, s1, anna, s2, s3 = m.groups()
+    assert s1 == s2 == s3 != "Smith" and john != "John" and anna != "Anna"
+    assert john.endswith("n") and anna.endswith("a") and john.istitle() and len(john) == 4
+    assert re.fullmatch(r"Frau [A-Z][a-zà-ÿ]{5}", got[1].text)
+    assert re.fullmatch(r"Госпожа [А-ЯЁ][а-яё]{2}а [А-ЯЁ][а-яё]{6} пришла", got[2].text)
+
+
+def test_rest_of_the_text_stays(spark):
+    texts = [r[1] for r in rows()] + ["no entity, 3.14 and 12:30 and a@b and v1.2.3.4.5", "999.1.1.1"]
+    got = run(spark, texts)
+    assert all(got[i].text == t and got[i].n_entities == 0 for i, t in enumerate(texts))
+    long = ("word " * 30_000) + "und.34@mail7.example.com" + (" word" * 30_000)
+    r = run(spark, [long])[0]
+    assert r.n_email == 1 and len(r.text) == len(long) and r.text.startswith("word " * 30_000)
+
+
+def test_distinct_entities_stay_distinct(spark):
+    """All addresses of one shape: far more collisions than chance leaves room for."""
+    ips = [f"{a}.{b}.1.1" for a in range(1, 10) for b in range(0, 10)]
+    got = run(spark, ips)
+    new = [got[i].text for i in range(len(ips))]
+    assert len(set(new)) == len(ips) and not set(new) & set(ips)
+
+
+def test_key_decides_and_reruns_agree(spark):
+    text = ["und.34@mail7.example.com"]
+    one = run(spark, text)[0].text
+    assert one == run(spark, text)[0].text != run(spark, text, P.SurrogateConfig(key="another"))[0].text
+
+
+def test_empty_table(spark):
+    assert P.replace(table(spark, [])).count() == 0

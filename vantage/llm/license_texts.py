@@ -116,6 +116,7 @@ SPELLINGS = {
     "cancelled": "canceled",
     "centre": "center",
     "copyright owner": "copyright holder",
+    "copyright owners": "copyright holders",
     "favour": "favor",
     "fulfil": "fulfill",
     "initialise": "initialize",
