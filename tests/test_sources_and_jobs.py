@@ -240,6 +240,24 @@ def test_coco_ids_as_text_and_broken_documents(spark, tmp_dir):
         read_coco_splits(spark, {"train": empty})
 
 
+def test_several_documents_of_a_split_follow_each_other(spark, tmp_dir):
+    for k, ids in (("b", [3, 4]), ("a", [1, 2])):
+        images = [{"id": i, "file_name": f"{i}.png", "width": 1, "height": 1} for i in ids]
+        write(f"{tmp_dir}/docs/{k}.json", json.dumps({"images": images, "annotations": [], "categories": []}))
+    images, _, _ = read_coco_splits(spark, {"train": f"{tmp_dir}/docs"})
+    index = X.ordered_index(normalize_images(images)).orderBy("seq").collect()
+    assert [(r.seq, r.coco_image_id) for r in index] == [(0, 1), (1, 2), (2, 3), (3, 4)]
+
+
+def test_boxes_must_be_four_numbers(spark):
+    images = spark.createDataFrame([("train", 7, "t", 9.0, 9.0)], "split string, coco_image_id long, image_id string, width double, height double")
+    anns = spark.createDataFrame([("train", 0, 7, 1, [1.0, 1.0, 1.0])],
+                                 "split string, pos long, coco_image_id long, annotation_id long, bbox array<double>")
+    for make in (X.image_bboxes, X.mask_rects):
+        with pytest.raises(CheckFailed):
+            make(images, anns)
+
+
 def test_decide_job_keeps_the_candidate_order(spark, tmp_dir):
     header = ",".join(["viewpoint_id_a", "image_id_a", "image_path_a", "viewpoint_id_b", "image_id_b",
                        "image_path_b", "centroid_similarity", "merge_decision", "notes"])

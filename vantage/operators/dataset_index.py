@@ -31,9 +31,18 @@ def check_bboxes(annotations: DataFrame) -> DataFrame:
                                          "annotation_id", "coco_image_id", "bbox")
 
 
-def image_box_rows(images: DataFrame, annotations: DataFrame) -> DataFrame:
+def sound_boxes(annotations: DataFrame) -> DataFrame:
+    """The annotations that have a box; one that is not four numbers is an error."""
+    boxed = annotations.where(F.col("bbox").isNotNull())
+    enforce(check_bboxes(boxed), "a box is not a list of four numbers")
+    return boxed
+
+
+def image_box_rows(images: DataFrame, annotations: DataFrame, strict: bool = True) -> DataFrame:
     """Boxes as rows: each image's boxes numbered from 0 in document order,
-    wherever in the document they stand. The form for images of any size."""
+    wherever in the document they stand. The form for images of any size. In
+    strict mode a box that is not four numbers is an error."""
+    annotations = sound_boxes(annotations) if strict else annotations
     key = ["split", "coco_image_id"] if "split" in annotations.columns else ["coco_image_id"]
     boxes = annotations.select(*key, "pos", "annotation_id", F.col("bbox").cast(BBOX).alias("bbox"))
     ranked = rank_within_groups(boxes, key, ["pos", "annotation_id", "bbox"], out="position")
@@ -55,8 +64,10 @@ def image_bboxes(images: DataFrame, annotations: DataFrame) -> DataFrame:
     )
 
 
-def mask_rects(images: DataFrame, annotations: DataFrame, padding: int = MASK_PADDING) -> DataFrame:
-    """Pixel rectangles masked before embedding, one per non-empty box."""
+def mask_rects(images: DataFrame, annotations: DataFrame, padding: int = MASK_PADDING, strict: bool = True) -> DataFrame:
+    """Pixel rectangles masked before embedding, one per non-empty box. In
+    strict mode a box that is not four numbers is an error."""
+    annotations = sound_boxes(annotations) if strict else annotations
     key = ["split", "coco_image_id"] if "split" in annotations.columns else ["coco_image_id"]
     j = annotations.select(*key, "annotation_id", "bbox").join(
         images.select(*key, "width", "height"), key

@@ -7,6 +7,8 @@ Parquet once (``stage_coco``) and read those instead.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,17 +35,24 @@ def raw_tables(doc: DataFrame, split: str, partitions: int | None = None
                ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Explode one split's document into (images, annotations, categories).
 
-    ``pos`` keeps the document order of every element.
+    ``pos`` keeps the document order of every element; several documents of
+    one split follow each other by path.
     """
     split_col = F.lit(split).alias("split")
-    images = doc.select(split_col, F.posexplode("images").alias("pos", "img")).select(
-        "split", "pos", "img.id", "img.file_name", "img.width", "img.height"
+    bare = lambda path: re.sub("^[a-z0-9]+:/*", "/", path)
+    files = sorted(map(bare, doc.inputFiles()))
+    here = F.regexp_replace(F.col("_metadata.file_path"), "^[a-z0-9]+:/*", "/")
+    nth = F.array_position(F.array(*map(F.lit, files)), here) - 1 if len(files) > 1 else F.lit(0)
+    doc = doc.withColumn("_before", nth.cast("long") * F.lit(1 << 32))
+    place = (F.col("_before") + F.col("pos")).alias("pos")
+    images = doc.select(split_col, "_before", F.posexplode("images").alias("pos", "img")).select(
+        "split", place, "img.id", "img.file_name", "img.width", "img.height"
     )
-    annotations = doc.select(split_col, F.posexplode("annotations").alias("pos", "ann")).select(
-        "split", "pos", "ann.id", "ann.image_id", "ann.category_id", "ann.area", "ann.bbox"
+    annotations = doc.select(split_col, "_before", F.posexplode("annotations").alias("pos", "ann")).select(
+        "split", place, "ann.id", "ann.image_id", "ann.category_id", "ann.area", "ann.bbox"
     )
-    categories = doc.select(split_col, F.posexplode("categories").alias("pos", "cat")).select(
-        "split", "pos", "cat.id", "cat.name"
+    categories = doc.select(split_col, "_before", F.posexplode("categories").alias("pos", "cat")).select(
+        "split", place, "cat.id", "cat.name"
     )
     if partitions:
         images = images.repartition(partitions)
