@@ -41,7 +41,7 @@ class MixConfig:
     share: float = 1.5
     max_epochs: float = 2.0
     seed: str = "mix-1"
-    bucket_digits: int = 2
+    bucket_digits: int = 3
 
 
 def size_of(text: Column) -> Column:
