@@ -74,7 +74,7 @@ class SimHashConfig:
 def fingerprint(text: str | None, words_per: int = 3) -> int:
     import xxhash
 
-    words = "".join(text or "").encode("utf-8", "surrogatepass").lower().split()
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
     n = max(1, len(words) - words_per + 1)
