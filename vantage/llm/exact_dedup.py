@@ -37,7 +37,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 # State of one partition stays small, its count is fixed for the life of the
 # state: rows per partition, and the most partitions one state may have.
