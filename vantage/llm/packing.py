@@ -48,7 +48,7 @@ class PackConfig:
     word_penalty: float = 32.0
     word_step: int = 64
     chunk_ids: int = 1 << 18
-    cache_words: int = 1_000_000
+    cache_words: int = 500_000
 
 
 PIECES = (
