@@ -34,8 +34,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences of at most 2,048 ids."""
-    return packing.pack(docs)
+    """Pieces of token sequences of at most 2,048 ids. The word cache is half
+    the usual size: workers keep it while other stages run."""
+    return packing.pack(docs, packing.PackConfig(cache_words=500_000))
 
 
 STAGES = [
