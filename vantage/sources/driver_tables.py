@@ -40,7 +40,6 @@ DRIVER_TWO_WHEELER_KEYWORDS = ("ring", "rod")
 # Similarity thresholds for the driver's 64-d random unit vectors; the
 # application's 0.97 / 0.90 select nothing on them.
 DRIVER_PAIR_THRESHOLD = 0.40
-DRIVER_ASSIGN_THRESHOLD = 0.40
 
 
 # Read schemas of the driver columns the views use. A declared schema skips
