@@ -24,6 +24,7 @@ table gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections import deque
@@ -49,6 +50,7 @@ class PackConfig:
     word_step: int = 64
     chunk_ids: int = 1 << 18
     cache_words: int = 1_000_000
+    encode_bytes: int = 4 << 20
 
 
 PIECES = (
@@ -134,9 +136,11 @@ class WordTokens:
         if len(self.words) > self.most:
             self.clear()
         words = (SPACED_END.join(texts) + SPACED_END).split()
+        gc.disable()  # nothing here is cyclic, and a collection walks the whole cache
         at = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
         if self.words.new:
             self._learn()
+        gc.enable()
         for parts in (self.core, self.tail, self.flat, self.count):
             if len(parts) > 1:
                 parts[:] = [np.concatenate(parts)]
@@ -310,7 +314,7 @@ def pack(docs: DataFrame, cfg: PackConfig = PackConfig(), with_ids: bool = False
                 held_keys.append(key)
                 held.append((text.as_py() or "").encode("utf-8", "surrogatepass"))
                 size += len(held[-1])
-                if size < 1 << 20:
+                if size < cfg.encode_bytes:
                     continue
                 ids = _append(ids, keys, counts, begins, held_keys, tokens.encode(held, cfg.end_id))
                 held, held_keys, size = [], [], 0
