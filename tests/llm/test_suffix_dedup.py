@@ -50,6 +50,33 @@ def test_classes_larger_than_memory_go_by_disk(spark):
     assert as_set(S.without_repeats(table(spark, data), cfg), *COLS) == brute(data)
 
 
+def test_spilled_class_keeps_prefixes_across_blocks(tmp_dir):
+    """One class of many distinct segments with different begins and ends, its
+    queue spilled: blocks of a scan border inside groups of equal suffixes."""
+    rng = random.Random(3)
+    for rows_held in (3, 7, 50):
+        cfg = S.SuffixConfig(length=60, queue_rows=rows_held)
+        sides = [bytes(rng.choice(b"ab") for _ in range(60)) for _ in range(3)]
+        raw, off, windows = [], [], []
+        for _ in range(80):
+            left, right = rng.choice(sides), rng.choice(sides)
+            o = rng.randrange(0, 29)
+            w = rng.randrange(1, o + 2)
+            tail = bytearray(right[: w + 59 - o - 32])
+            if tail and rng.random() < 0.5:
+                tail[rng.randrange(len(tail))] = 99
+            raw.append(left[60 - o :] + b"G" * 32 + bytes(tail))
+            off.append(o)
+            windows.append(w)
+        held = [(k - o, t[k : k + 60]) for t, o, w in zip(raw, off, windows) for k in range(w)]
+        seen = Counter(held)
+        n = len(raw)
+        args = np.zeros(n, np.int64), np.array(off), np.array(windows), np.ones(n, np.int64), np.frombuffer(b"".join(raw), np.uint8), cfg
+        got = np.array(S.repeated_windows(*args, folder=tmp_dir))
+        assert got.tolist() == [seen[x] > 1 for x in held] == S.repeated_windows(*args).tolist()
+        assert 0 < got.sum() < len(got)
+
+
 def test_empty_table(spark):
     assert S.without_repeats(table(spark, [])).count() == 0
 

@@ -51,6 +51,7 @@ from vantage.llm.shared import discard, join_split, written
 
 GRAM = 32  # bytes of an anchor
 MULT = np.uint64(0x9E3779B97F4A7C15)
+NO_PREFIX = np.int32(2**30)  # above every common prefix
 
 
 @dataclass(frozen=True)
@@ -305,12 +306,12 @@ def repeated_windows(
         a, b = np.searchsorted(ends_sorted, [-(x + 1), -x])
         fresh = np.sort(by_end[a:b])
         following = TupleQueue(cfg.queue_rows, folder)
-        carry = Carry()
+        carry, gap = Carry(), Gap()
         for seg, lcp in _in_order(queue, fresh, cls, step, folder is not None):
             alive = low[seg] <= x
             # a suffix that ends its segment's way still separates neighbours
-            if not alive.all():
-                lcp = _merge_gaps(lcp, alive, cls[seg])
+            if folder or not alive.all():
+                lcp = _merge_gaps(lcp, alive, cls[seg], gap)
                 seg = seg[alive]
                 if not len(seg):
                     continue
@@ -321,16 +322,29 @@ def repeated_windows(
     return marks[:total]
 
 
-def _merge_gaps(lcp: np.ndarray, alive: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """Common prefixes among the rows that stay: the smallest one passed over."""
+class Gap:
+    """What the blocks of a scan before this one leave open: the class of the
+    last row that stayed, and the smallest common prefix passed over since."""
+
+    def __init__(self) -> None:
+        self.cls = -1
+        self.least = NO_PREFIX
+
+
+def _merge_gaps(lcp: np.ndarray, alive: np.ndarray, cls: np.ndarray, gap: Gap) -> np.ndarray:
+    """Common prefixes among the rows that stay: the smallest one passed over,
+    0 for the first of a class."""
     kept = np.flatnonzero(alive)
     if not len(kept):
+        gap.least = min(gap.least, lcp.min(initial=NO_PREFIX))
         return lcp[:0]
     bounds = np.empty(2 * len(kept), np.int64)
     bounds[0::2] = np.concatenate([[0], kept[:-1] + 1])
     bounds[1::2] = kept + 1
     out = np.minimum.reduceat(np.append(lcp, np.int32(0)), bounds)[0::2]
-    out[np.diff(cls[kept], prepend=-1) != 0] = 0
+    out[0] = min(out[0], gap.least)
+    out[np.diff(cls[kept], prepend=gap.cls) != 0] = 0
+    gap.cls, gap.least = cls[kept[-1]], lcp[kept[-1] + 1 :].min(initial=NO_PREFIX)
     return out
 
 
