@@ -77,6 +77,28 @@ def test_spilled_class_keeps_prefixes_across_blocks(tmp_dir):
         assert 0 < got.sum() < len(got)
 
 
+def largest_class(spark, data, cfg):
+    met, _ = S.met_places(S.placed(table(spark, data)), cfg)
+    distinct = met.groupBy("gram", "mark").agg({"windows": "first"}).withColumnRenamed("first(windows)", "w")
+    return max(r[0] for r in distinct.groupBy("gram").agg({"w": "sum", "mark": "count"}).selectExpr(f"`sum(w)` + `count(mark)` * {cfg.length - 1}").collect())
+
+
+def test_large_classes_are_cut_by_content(spark):
+    """A line that every document holds, in surroundings of its own."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("äbcdefgh ") for _ in range(n))
+    line = word(190)
+    data = [(i, word(150) + line + word(150), "en", "s", 1) for i in range(60)]
+    shared = word(40)
+    data += [(100 + i, word(100) + shared + line + word(9) + "q" * 210, "en", "s", 1) for i in range(40)]
+    data += [(200 + i, "pq" * 120 + line[: 150 + i], "en", "s", 1) for i in range(9)] + cases()[-10:]
+    bound = 4_000
+    assert largest_class(spark, data, S.SuffixConfig()) > 4 * bound
+    for cfg in (S.SuffixConfig(shard_bytes=bound), S.SuffixConfig(shard_bytes=1)):
+        assert largest_class(spark, data, cfg) <= max(cfg.shard_bytes, cfg.length)
+        assert as_set(S.without_repeats(table(spark, data), cfg), *COLS) == brute(data)
+
+
 def test_empty_table(spark):
     assert S.without_repeats(table(spark, [])).count() == 0
 

@@ -13,6 +13,14 @@ anchor's hash, so all places of a string meet in one shard. Anchors that occur
 once in the corpus have no partner and stay out. Identical segments are sent
 once with their count. Nothing depends on where documents begin or end.
 
+A class (all segments of one anchor) of more than ``shard_bytes`` is cut by
+content: windows whose distance from the anchor lies in one range of ``span``
+values share ``length - span + 1`` bytes around the anchor, so each segment is
+cut at the ranges' borders and each piece goes to the class of its range and
+those bytes. Equal windows meet as before, and equal pieces are again sent once.
+Classes still too large are cut with smaller spans; at span 1 a class is one
+window, a single row with its count.
+
 Inside a shard the segments of one anchor gram are a class, aligned on the
 anchor. Suffixes are sorted by induction from right to left: the order of the
 suffixes that start at distance x from the anchor follows from the order at
@@ -22,9 +30,9 @@ the order at x. The common prefix of neighbours that share that byte is one
 more than the smallest one between them in the order before, which the scan
 carries per byte, also across the blocks it reads. The queue writes sorted
 runs to the task's own temporary folder when it holds more than a set number of
-tuples, and text and marks of a large class are mapped from files there, so a
-class far larger than memory is sorted in bounded memory. These files go when
-the class is done; a lost executor repeats its task.
+tuples, and the marks of a large class are mapped from a file there. The text
+of a class, at most ``shard_bytes``, is in memory. The files go when the class
+is done; a lost executor repeats its task.
 
 Defined results: a null text is empty; texts shorter than ``length`` keep all
 bytes; rows repeated (with or without ids) are documents of their own, so all
@@ -57,12 +65,14 @@ NO_PREFIX = np.int32(2**30)  # above every common prefix
 @dataclass(frozen=True)
 class SuffixConfig:
     """``block_bytes`` of segment text are sorted at a time; a class with more
-    than ``memory_bytes`` goes by disk, ``queue_rows`` tuples in memory."""
+    than ``memory_bytes`` goes by disk, ``queue_rows`` tuples in memory; one with
+    more than ``shard_bytes`` is cut by content first."""
 
     length: int = 200
     scan_bytes: int = 1 << 17
     block_bytes: int = 8 << 20
     memory_bytes: int = 64 << 20
+    shard_bytes: int = 128 << 20
     queue_rows: int = 1 << 21
 
 
@@ -406,28 +416,32 @@ def sorted_shards(texts: DataFrame, cfg: SuffixConfig) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        parts: list[bytes] = []
         size = 0
         for b in batches:
-            gram, mark, off, windows, copies, text = (c.to_pylist() for c in b.columns)
-            for row in zip(gram, mark, off, windows, copies, text):
+            columns = (c.to_pylist() for c in b.columns)
+            for *row, text in zip(*columns):
                 if held and row[0] != held[-1][0] and size >= cfg.block_bytes:
-                    yield _block_result(held, cfg)
+                    yield _block_result(held, parts, cfg)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5])
+                parts.append(text)
+                size += len(text)
         if held:
-            yield _block_result(held, cfg)
+            yield _block_result(held, parts, cfg)
 
     columns = texts.select("gram", "mark", "off", "windows", "copies", "text")
     return columns.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, FOUND)
 
 
-def _block_result(held: list[tuple], cfg: SuffixConfig) -> pa.RecordBatch:
-    gram, mark, off, windows, copies, text = zip(*held)
+def _block_result(held: list[tuple], parts: list[bytes], cfg: SuffixConfig) -> pa.RecordBatch:
+    """The block's runs; empties ``parts``."""
+    gram, mark, off, windows, copies = zip(*held)
     gram = np.array(gram, np.int64)
     cls = np.cumsum(np.diff(gram, prepend=gram[0]) != 0)
     off, windows, copies = (np.array(x, np.int64) for x in (off, windows, copies))
-    raw = np.frombuffer(b"".join(text), np.uint8)
+    raw = np.frombuffer(b"".join(parts), np.uint8)
+    parts.clear()
     names = ["gram", "mark", "copies", "lo", "hi"]
     out = []
     # classes are numbered in 16 bits; a class beyond memory goes by disk alone
@@ -516,13 +530,92 @@ def segment_texts(rows: DataFrame, wanted: DataFrame, cfg: SuffixConfig) -> Data
     return both.mapInArrow(run, "gram long, mark long, off int, windows int, copies long, text binary")
 
 
-def repeats(rows: DataFrame, cfg: SuffixConfig) -> DataFrame:
-    """(f, r, lo, hi): runs of repeated window starts in every row."""
+def spans(length: int) -> list[int]:
+    """Numbers of anchor distances a piece covers, level after level, down to 1."""
+    out = [-(-(length - GRAM + 1) // 2)]
+    while out[-1] > 1:
+        out.append(-(-out[-1] // 4))
+    return out
+
+
+def cut_segment(raw: bytes, gram: int, begin: int, windows: int, off: int, span: int, length: int) -> list[tuple]:
+    """(gram, mark, begin, windows, off) of the segment's pieces."""
+    import xxhash
+
+    out = []
+    anchor = begin + off
+    for part in range((off - windows + 1) // span, off // span + 1):
+        low = part * span  # distances from a window to the anchor: low to high
+        high = min(low + span - 1, length - GRAM)
+        skip = max(0, off - high)
+        n = min(windows, off - low + 1) - skip
+        core = raw[anchor - low : anchor - high + length]
+        new = xxhash.xxh3_64_intdigest(b"%d %d %d " % (gram, span, part) + core)
+        piece = raw[begin + skip : begin + skip + n + length - 1]
+        mark = xxhash.xxh3_64_intdigest(piece, seed=off - skip)
+        out.append((_signed(new), _signed(mark), begin + skip, n, off - skip))
+    return out
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def pieces(rows: DataFrame, large: DataFrame, span: int, cfg: SuffixConfig) -> DataFrame:
+    """Places of the pieces of the segments at the places ``large``."""
+    own = large.groupBy("f", "r").agg(F.collect_list(F.struct("gram", "begin", "windows", "off")).alias("s"))
+    both = packed(rows).join(own, ["f", "r"]).select("f", "r", "z", "s.gram", "s.begin", "s.windows", "s.off")
+    names = ["f", "r", "gram", "mark", "begin", "windows", "off"]
+    types = [pa.int64()] * 4 + [pa.int32()] * 3
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                f, r, z, *segment = (c[i].as_py() for c in b.columns)
+                raw = _unpacked(z)
+                cut = [(f, r, *x) for s in zip(*segment) for x in cut_segment(raw, *s, span, cfg.length)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cut), types)], names=names)
+
+    return both.mapInArrow(run, f"{PLACE}, {SEGMENT}")
+
+
+def met_again(every: DataFrame, total: int, cfg: SuffixConfig) -> tuple[DataFrame, DataFrame]:
+    """The places whose gram occurs more than once, and the grams whose
+    distinct segments hold more than ``shard_bytes``."""
+    size = F.sum(F.col("windows") + F.lit(cfg.length - 1))
+    grams = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), size.alias("size"))
+    again = written(grams.where("n > 1"), "suffix-grams")
+    met = join_split(every, again.drop("size"), "gram", "n", total).where("n > 1").drop("n")
+    met = written(met, "suffix-met", compression="zstd")
+    large = again.where(F.col("size") > cfg.shard_bytes).select("gram")
+    if large.isEmpty():
+        return met, large
+    some = met.join(F.broadcast(large), "gram", "left_semi").groupBy("gram", "mark").agg(F.first("windows").alias("windows"))
+    large = some.groupBy("gram").agg(size.alias("size")).where(F.col("size") > cfg.shard_bytes)
+    return met, written(large.select("gram"), "suffix-large")
+
+
+def met_places(rows: DataFrame, cfg: SuffixConfig) -> tuple[DataFrame, int]:
+    """The places of segments (or pieces) that have a partner, in classes of
+    at most ``shard_bytes`` of distinct text, and the number of segments."""
     every = written(segments(rows, cfg), "suffix-segments", compression="zstd")
     total = max(1, every.count())
-    again = written(every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-grams")
-    met = written(join_split(every, again, "gram", "n", total).where("n > 1").drop("n"), "suffix-met", compression="zstd")
+    met, large = met_again(every, total, cfg)
     discard(every)
+    for span in spans(cfg.length):
+        if large.isEmpty():
+            break
+        small = met.join(F.broadcast(large), "gram", "left_anti")
+        cut = pieces(rows, met.join(F.broadcast(large), "gram", "left_semi"), span, cfg)
+        cut = written(cut, "suffix-pieces", compression="zstd")
+        cut, large = met_again(cut, max(1, cut.count()), cfg)
+        met = small.unionByName(cut)
+    return met, total
+
+
+def repeats(rows: DataFrame, cfg: SuffixConfig) -> DataFrame:
+    """(f, r, lo, hi): runs of repeated window starts in every row."""
+    met, total = met_places(rows, cfg)
     first = F.min(F.struct("f", "r", "begin", "off", "windows")).alias("one")
     distinct = met.groupBy("gram", "mark").agg(F.count(F.lit(1)).alias("copies"), first)
     distinct = distinct.select("gram", "mark", "copies", "one.*")
@@ -562,7 +655,7 @@ def without_repeats(docs: DataFrame, cfg: SuffixConfig = SuffixConfig(), with_by
                     gone = np.cumsum(edge[:-1]) > 0
                     spans = len(_runs(gone)[0])
                     kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                out.append((len(raw), len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
+                out.append((len(raw), len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept if with_bytes else None))
             cols = list(zip(*out)) or [()] * 5
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             arrays = [b.column(0), *(pa.array(c, t) for c, t in zip(cols, types))]
