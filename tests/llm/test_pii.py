@@ -1,4 +1,5 @@
 import re
+import unicodedata
 
 from llm.data import rows, table, with_extra
 from vantage.llm import pii as P
@@ -69,6 +70,32 @@ def test_distinct_entities_stay_distinct(spark):
     assert len(set(new)) == len(ips) and not set(new) & set(ips)
 
 
+def test_full_shapes_grow(spark):
+    """More people than a shape has forms, and every form of some occurs."""
+    letters = "bcdfghjklmnpqrstvwxz"
+    names = [f"Mr {c.upper()}o Smith" for c in letters] + ["Mr BO Smith"]
+    mails = [f"{c}@mail7.example.com" for c in letters] + [f"b@mail{i}.example.com" for i in range(7)]
+    ips = [f"{a}.1.1.{b}" for a in range(10) for b in range(2)]
+    texts = names + mails + ips
+    got = run(spark, texts, P.SurrogateConfig(max_rounds=3))
+    new = [got[i].text for i in range(len(texts))]
+    assert len({x.lower() for x in new}) == len(texts) - 1 and not {x.lower() for x in new} & {x.lower() for x in texts}
+    people = new[: len(names)]
+    assert all(re.fullmatch(r"Mr [A-Z][a-z]*o [A-Z][a-z]{4}", x) for x in people[:-1])
+    assert people[-1].split()[1] == people[0].split()[1].upper()
+    assert all(re.fullmatch(r"[a-z]+@[a-z]{4}\d\.[a-z]{7}\.com", x) for x in new[len(names) : -len(ips)])
+
+
+def test_letters_of_any_script_move(spark):
+    texts = ["张伟@mail7.example.com", "שלום@mail7.example.com", "محمد@mail7.example.com", "ram٣@mail7.example.com", "łőśğ@mail7.example.com"]
+    got = run(spark, texts)
+    for i, t in enumerate(texts):
+        old, new = t.split("@")[0], got[i].text.split("@")[0]
+        assert len(old) == len(new) and old != new and got[i].n_email == 1
+        script = lambda c: unicodedata.name(c).split()[0]
+        assert [(script(c), unicodedata.category(c)) for c in old] == [(script(c), unicodedata.category(c)) for c in new]
+
+
 def test_key_decides_and_reruns_agree(spark):
     text = ["und.34@mail7.example.com"]
     one = run(spark, text)[0].text

@@ -14,7 +14,11 @@ addresses, family names, first names by gender.
 Distinctness is checked over the corpus: two entities of a kind must not share
 a surrogate, and no surrogate may equal an entity that occurs. Losers are
 hashed again with the next counter until none is left; entities that are not
-involved keep their surrogate.
+involved keep their surrogate. Where a shape is (nearly) full, losers after
+``max_rounds`` get one character more a round behind their first, IP addresses
+octets of any length; an entity still without a surrogate is an error. Letters
+and digits outside the fixed classes move inside their script (the letters or
+digits of their 16 code points; CJK and Hangul inside their whole range).
 
 DataFrame operations only. Texts without an entity never leave their task.
 Entities are counted before they are shuffled, and frequent ones are joined by
@@ -54,6 +58,11 @@ CLASSES = (
     "βγδζθκλμνξπρστφχψ",
 )
 HEX_CLASSES = ("0123456789", "abcdef")
+# Ranges of code points that are letters throughout (fixed values).
+RANGES = ((0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+# Kinds that may grow, and rounds in which they do.
+GROWING = ("email", "domain", "family", "given_m", "given_f", "given_n", "phone")
+GROWTH_ROUNDS = 32
 
 EDGE = r"[\p{L}\p{N}]"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -127,8 +136,26 @@ def parts_of(kind: Column, m: Column) -> Column:
     )
 
 
+def _code_point(n: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32")
+
+
+def _shift_in_script(ch: Column, step: Column) -> Column:
+    point = F.ascii(ch)
+    begin = point - F.pmod(point, F.lit(16))
+    near = F.transform(F.sequence(begin, begin + 15), _code_point)
+    digits = F.filter(near, lambda x: x.rlike(r"^\p{N}$"))
+    letters = F.filter(near, lambda x: x.rlike(r"^[\p{L}&&[^\p{Lu}\p{Lt}]]$"))
+    pick = lambda cls: F.get(cls, F.pmod(F.array_position(cls, ch) - 1 + step, F.size(cls)).cast("int"))
+    out = F.when(ch.rlike(r"^\p{N}$"), pick(digits)).when(ch.rlike(r"^\p{L}$") & F.array_contains(letters, ch), pick(letters))
+    for low, high in RANGES:
+        moved = _code_point(F.pmod(point - low + step, F.lit(high - low + 1)) + low)
+        out = F.when(point.between(low, high), moved).otherwise(out)
+    return F.coalesce(out, ch)
+
+
 def _shift(ch: Column, step: Column, classes: tuple[str, ...]) -> Column:
-    out = ch
+    out = _shift_in_script(ch, step) if classes is CLASSES else ch
     for cls in classes:
         at = F.instr(F.lit(cls), ch)
         moved = F.substring(F.lit(cls), (F.pmod(at - 1 + step, F.lit(len(cls))) + 1).cast("int"), F.lit(1))
@@ -143,8 +170,9 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, d: (a + F.when(d > 9, d - 9).otherwise(d)).cast("int"))
 
 
-def surrogate(kind: Column, key: Column, counter: Column, secret: str) -> Column:
-    """The replacement of an entity part, in the letters and digits of its key."""
+def surrogate(kind: Column, key: Column, counter: Column, secret: str, max_rounds: int) -> Column:
+    """The replacement of an entity part, in the letters and digits of its key;
+    longer, or with octets of any length, from counter ``max_rounds`` on."""
     hashed = F.sha2(F.concat_ws("\x1f", F.lit(secret), kind, key, counter.cast("string")), 512)
 
     def step(i: Column) -> Column:
@@ -169,10 +197,13 @@ def surrogate(kind: Column, key: Column, counter: Column, secret: str) -> Column
         .otherwise(step(i) % low[3][1] + low[3][0])
         .cast("string"),
     )
+    more = F.greatest(counter - max_rounds + 1, F.lit(0))
+    octets = F.when(more > 0, F.transform(F.split(base, r"\."), lambda o, i: (step(i) % 256).cast("string"))).otherwise(octets)
+    extra = F.array_join(F.transform(F.sequence(F.lit(1), more), lambda j: _shift(chars[0], step(32 - j), CLASSES)), "")
     body = F.slice(shifted, 1, F.greatest(n - 1, F.lit(0)))
     check = ((10 - _luhn(F.concat(body, F.array(F.lit("0")))) % 10) % 10).cast("string")
     card = F.when(_luhn(chars) % 10 == 0, F.concat(F.array_join(body, ""), check)).otherwise(plain)
-    return (
+    same_length = (
         F.when(kind == "ip", F.array_join(octets, "."))
         .when(kind == "card", card)
         .when(kind == "secret", secret_key)
@@ -181,11 +212,19 @@ def surrogate(kind: Column, key: Column, counter: Column, secret: str) -> Column
         .when(kind.startswith("given_"), given)
         .otherwise(plain)
     )
+    grown = F.when((more > 0) & kind.isin(*GROWING), extra).otherwise("")
+    return F.regexp_replace(same_length, F.lit("(?<=^.)"), grown)
 
 
 def rendered(form: Column, new: Column) -> Column:
-    """``new`` in the layout and case of ``form``."""
-    signs = F.regexp_replace(new, r"[^\p{L}\p{N}]", "")
+    """``new`` in the layout and case of ``form``; what it is longer than
+    ``form`` stands behind the first character."""
+    every = F.regexp_replace(new, r"[^\p{L}\p{N}]", "")
+    places = F.length(F.regexp_replace(form, r"[^\p{L}\p{N}]", ""))
+    over = F.greatest(F.length(every) - places, F.lit(0))
+    extra = F.substring(every, F.lit(2), over)
+    extra = F.when((form == F.upper(form)) & (places > 1), F.upper(extra)).otherwise(extra)
+    signs = F.concat(F.substring(every, 1, 1), F.substring(every, over + 2, F.length(every)))
     chars = F.split(form, "")
 
     def one(c: Column, i: Column) -> Column:
@@ -193,6 +232,7 @@ def rendered(form: Column, new: Column) -> Column:
         s = F.substring(signs, nth, F.lit(1))
         s = F.when(s == "", "x").otherwise(s)
         s = F.when(c.rlike(r"\p{Lu}"), F.upper(s)).otherwise(s)
+        s = F.when(nth == 1, F.concat(s, extra)).otherwise(s)
         return F.when(c.rlike(r"[\p{L}\p{N}]"), s).otherwise(c)
 
     return F.array_join(F.transform(chars, one), "")
@@ -203,9 +243,9 @@ def assign(entities: DataFrame, cfg: SurrogateConfig) -> DataFrame:
     inside each kind and with the entities themselves."""
     base = F.when(F.col("kind") == "email", F.substring_index("key", "@", 1)).otherwise(F.col("key"))
     now = entities.withColumns({"base": base, "counter": F.lit(0)})
-    now = written(now.withColumn("new", surrogate(F.col("kind"), F.col("key"), F.col("counter"), cfg.key)), "pii-map")
+    now = written(now.withColumn("new", surrogate(F.col("kind"), F.col("key"), F.col("counter"), cfg.key, cfg.max_rounds)), "pii-map")
     taken = now.select("kind", F.col("base").alias("new")).distinct()
-    for _ in range(cfg.max_rounds):
+    for _ in range(cfg.max_rounds + GROWTH_ROUNDS):
         # the part entered longest ago (lowest counter, then key) keeps the surrogate
         owner = now.groupBy("kind", "new").agg(F.min(F.struct("counter", "key")).alias("o"), F.count(F.lit(1)).alias("c"))
         bad = owner.where("c > 1").join(now, ["kind", "new"]).where("key <> o.key").select("kind", "key")
@@ -215,9 +255,11 @@ def assign(entities: DataFrame, cfg: SurrogateConfig) -> DataFrame:
             break
         mark = bad.withColumn("again", F.lit(1))
         nxt = now.join(mark, ["kind", "key"], "left").withColumn("counter", F.col("counter") + F.coalesce("again", F.lit(0)))
-        fresh = surrogate(F.col("kind"), F.col("key"), F.col("counter"), cfg.key)
+        fresh = surrogate(F.col("kind"), F.col("key"), F.col("counter"), cfg.key, cfg.max_rounds)
         nxt = nxt.withColumn("new", F.when(F.col("again") == 1, fresh).otherwise(F.col("new"))).drop("again")
         now = written(nxt, "pii-map")
+    else:
+        raise RuntimeError(f"{bad.count()} entities are left without a surrogate of their own")
     return now.select("kind", "key", "n", "new")
 
 
@@ -239,7 +281,7 @@ def replace(docs: DataFrame, cfg: SurrogateConfig = SurrogateConfig()) -> DataFr
     known = assign(entities, cfg).select(F.struct("kind", "key").alias("id"), "n", "new")
     placed_parts = part.withColumn("id", F.struct("kind", "key"))
     new = join_split(placed_parts, known, "id", "n", max(1, part.count()))
-    text = F.concat("pre", rendered(F.col("form"), F.col("new")))
+    text = F.concat("pre", F.when(F.col("kind") == "ip", F.col("new")).otherwise(rendered(F.col("form"), F.col("new"))))
     per_doc = new.groupBy("f", "r").agg(
         F.array_sort(F.collect_list(F.struct("m", "p", text.alias("text"), "type"))).alias("parts")
     )
