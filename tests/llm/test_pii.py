@@ -96,6 +96,22 @@ def test_letters_of_any_script_move(spark):
         assert [(script(c), unicodedata.category(c)) for c in old] == [(script(c), unicodedata.category(c)) for c in new]
 
 
+def test_national_phone_layouts(spark):
+    same = ["+1 (487) 555-7209", "(487) 555-7209", "487-555-7209", "487.555.7209", "487 555 7209", "1-487-555-7209", "+14875557209"]
+    other = ["0171 1234567", "+49 171 1234567", "(020) 7946 0958", "01 23 45 67 89", "030/12345678", "912-345-678", "91-9876-5432"]
+    got = run(spark, [f"Call {t}, or not. " for t in same + other])
+    new = [got[i].text[5:-10] for i in range(len(same + other))]
+    assert all(r.n_phone == r.n_entities == 1 for r in got.values())
+    shape = lambda t: re.sub(r"\d", "9", t)
+    assert [shape(t) for t in new] == [shape(t) for t in same + other] and not set(new) & set(same + other)
+    assert len({re.sub(r"\D", "", t)[-10:] for t in new[: len(same)]}) == 1
+    assert new[len(same)][1:].replace(" ", "") == new[len(same) + 1][4:].replace(" ", "")
+    clean = ["2024-01-15 10:30", "01.02.2024 1030", "12-05-2024", "123 456 789", "1.234.567.890", "123,456,789", "0.123456789",
+             "487555720", "f(123) 4567", "3-16-148410", "5 of 10 (2024) 100", "1000 2000 3000", "3-16-148410-0", "2024-01-15-10"]
+    got = run(spark, clean)
+    assert [r.text for r in got.values() if r.n_entities] == []
+
+
 def test_key_decides_and_reruns_agree(spark):
     text = ["und.34@mail7.example.com"]
     one = run(spark, text)[0].text

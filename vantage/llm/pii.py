@@ -6,8 +6,8 @@ script and format: every character is shifted inside its class (digit, vowel
 or consonant of its script) by a keyed hash of the whole entity, so a surrogate
 looks like its original, a valid card number stays valid, octets stay octets,
 first names keep the ending that carries their gender, and text in any layout
-("+1 (222) 555-0000", "+1-222-555-0000") of one number becomes the same new
-number in that layout. One entity has one surrogate in the whole corpus
+("+1 (222) 555-0000", "222-555-0000") of one number becomes the same new
+number in that layout, country code and leading zeros kept. One entity has one surrogate in the whole corpus
 (coreference); parts that entities share are keyed on their own: the domain of
 addresses, family names, first names by gender.
 
@@ -68,12 +68,23 @@ EDGE = r"[\p{L}\p{N}]"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
+# National phone numbers, 9 to 12 digits: area code in brackets, three-three-four,
+# a leading 0, or groups with hyphens. Not dates, not parts of longer numbers.
+_BRACKETED = r"\((?=\d(?:[) .-]{0,2}\d){8,11})\d{2,5}\)[ .-]?(?:\d{3}[ .-]?\d{4}|(?:\d{2}[ .-]){3}\d{2}|\d{6,8}|\d{2,4}[ .-]\d{2,4}(?:[ .-]\d{2,4})?)"
+_THREES = r"(?:1[ .-])?[2-9]\d{2}(?<sep>[ .-])[2-9]\d{2}\k<sep>\d{4}"
+_ZERO = r"(?=0\d(?:[ /-]?\d){7,10}(?![ /-]?\d))0\d{1,4}(?:[ /-]\d{2,8}){1,4}"
+_HYPHENS = r"(?=\d(?:-?\d){8,11}(?!-?\d))\d{2,4}(?:-\d{2,4}){2,4}"
+_DATE = r"(?:(?:19|20)\d{2}[ ./-][01]\d[ ./-][0-3]\d|[0-3]\d[ ./-][0-3]\d[ ./-](?:19|20)\d{2})(?!\d)"
+_NATIONAL = rf"(?<!\d[.,:/ -])(?!{_DATE})(?:{_BRACKETED}|{_THREES}|{_ZERO}|{_HYPHENS})(?![.,:/-]\d)(?! \d{{3}})"
+# What a phone number keeps: country code, leading zeros, signs between.
+_CODE = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
+PREFIX = rf"^(?:\+ ?(?:{_CODE})[ .-]*\(?0*|\(?0+[ ./-]*|1[ .-]+|\()"
 PATTERNS = {
     "email": rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}._%+-]*+@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+)+",
     "secret": rf"(?<!{EDGE})[0-9a-fA-F]{{32,64}}(?!{EDGE})",
     "iban": rf"(?<!{EDGE})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{EDGE})",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?{EDGE})",
-    "phone": rf"(?<!{EDGE})(?:\+\d{{1,3}}[ .-]?)(?:\(\d{{2,4}}\)|\d{{2,4}})(?:[ .-]?\d{{2,4}}){{2,4}}(?!{EDGE})",
+    "phone": rf"(?<!{EDGE})(?:(?:\+\d{{1,3}}[ .-]?)(?:\(\d{{2,4}}\)|\d{{2,4}})(?:[ .-]?\d{{2,4}}){{2,4}}|{_NATIONAL})(?!{EDGE})",
     "card": rf"(?<!{EDGE})\d(?:[ -]?\d){{12,18}}(?!{EDGE})",
     "name": rf"(?<!{EDGE})(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
 }
@@ -120,6 +131,9 @@ def parts_of(kind: Column, m: Column) -> Column:
         _part(empty, F.lit("email"), F.lower(m), local), _part(F.lit("@"), F.lit("domain"), F.lower(domain), domain)
     )
     bare = F.lower(F.regexp_replace(m, r"[^\p{L}\p{N}]", ""))
+    prefix = F.regexp_extract(m, PREFIX, 0)
+    rest = F.substring(m, F.length(prefix) + 1, F.length(m))
+    phone = F.array(_part(prefix, F.lit("phone"), F.regexp_replace(rest, r"\D", ""), rest))
     words = F.split(m, " ")
     title = F.regexp_replace(words[0], r"\.$", "")
     gender = F.when(title.isin(*TITLES["m"]), "m").when(title.isin(*TITLES["f"]), "f").otherwise("n")
@@ -131,6 +145,7 @@ def parts_of(kind: Column, m: Column) -> Column:
     return (
         F.when(kind == "email", email)
         .when(kind == "name", F.when(F.size(words) > 2, two).otherwise(one))
+        .when(kind == "phone", phone)
         .when(kind == "ip", F.array(_part(empty, kind, m, m)))
         .otherwise(F.array(_part(empty, kind, bare, m)))
     )
