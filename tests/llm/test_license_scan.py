@@ -19,6 +19,24 @@ def test_known_texts_in_other_clothes(spark, name):
     assert [got[i].license for i in range(5)] == [name, name, name, None, None]
 
 
+def test_usual_files(spark):
+    """Headings, reservations of rights, long licences with and without how to apply them."""
+    c = "Copyright (c) 2020 Some Body\n"
+    texts = [
+        ("MIT", "MIT License\n\n" + c + "\n" + TEXTS["MIT"]), ("MIT", "The MIT License (MIT)\n" + c + "All rights reserved.\n" + TEXTS["MIT"]),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\n" + c + "All rights reserved.\n" + TEXTS["BSD-3-Clause"]),
+        ("BSD-2-Clause (bullets)", c + TEXTS["BSD-2-Clause"].replace("1. ", "* ").replace("2. ", "* ")),
+        ("ISC", "# ISC License\r\n" + c + TEXTS["ISC"]), ("0BSD", "BSD Zero Clause License\n" + TEXTS["0BSD"]),
+        ("Apache-2.0", TEXTS["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2021 Some Body")),
+        ("GPL-3.0", TEXTS["GPL-3.0"].replace("https:", "http:")), ("GPL-3.0 (terms only)", TEXTS["GPL-3.0"].split("How to Apply")[0]),
+        (None, "We all love the MIT License\n" + TEXTS["MIT"]),
+    ]
+    got = run(spark, [t for _, t in texts])
+    assert [got[i].license for i in range(len(texts))] == [name for name, _ in texts]
+    header = """// Licensed under the Apache License, Version 2.0 (the "License");\n// SPDX-License-Identifier: GPL-2.0-or-later"""
+    assert run(spark, [header])[0].notices == "Apache-2.0,GPL-2.0"
+
+
 def test_notices(spark):
     got = run(spark, ["Some prose.\nReleased under the MIT Licence.\nLicensed under CC BY-NC 4.0\nreleased under the mit license",
                       "We talk about the MIT License.", None, ""])

@@ -1,6 +1,7 @@
 """Licence scan by canonical digests.
 
-A text's canonical form is lower case, without copyright lines, with every run
+A text's canonical form is lower case, without copyright lines (nor the lines
+'All rights reserved.' and 'MIT License' or the like), with every run
 of signs and white space as one space, and with equivalent spellings unified.
 Its SHA-256 is joined to the digests of known licence texts: a document is a
 licence when its whole text is one in this sense. Lines are looked up in the
@@ -26,8 +27,13 @@ from vantage.llm.shared import whole_text
 
 SIGNS = r"[^\p{L}\p{N}]+"
 # A copyright line: the mark, perhaps behind comment signs, and then a year, a
-# (c) or a name in brackets somewhere in the line.
-COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n©(]*(?:copyright|©|\(c\))[^\n]*(?:\(c\)|©|[0-9]{4}|<|\[)[^\n]*$"
+# (c) or a name in brackets somewhere in the line. The lines around it are the
+# reservation of rights and the heading of a short licence.
+_LINE = r"[^\p{L}\p{N}\n©(]*(?:copyright|©|\(c\))[^\n]*(?:\(c\)|©|[0-9]{4}|<|\[)[^\n]*"
+_BSD = r"(?:(?:new|simplified|modified|revised|original) )?(?:(?:[023]-clause|zero-clause) bsd|bsd(?: (?:[023][ -]clause|zero clause))?)"
+_NEW = r"(?: \x22(?:new|revised|modified|simplified)\x22(?: or \x22(?:new|revised|modified|simplified)\x22)?)?"
+_HEADING = rf"(?:the )?(?:mit|isc|zlib|zlib/libpng|{_BSD}){_NEW} licen[cs]e(?: \((?:mit|isc|zlib|0bsd|bsd)\))?|zero-clause bsd"
+COPYRIGHT = rf"(?m)^(?:{_LINE}|[^\p{{L}}\p{{N}}\n]*(?:all rights reserved|{_HEADING})[^\p{{L}}\p{{N}}\n]*)$"
 KNOWN_ROWS = 10_000
 
 

@@ -1,9 +1,15 @@
 """Public licence texts and notices the licence scan knows (fixed values).
 
-Texts are given without their copyright line, which the canonical form drops.
-More can be passed to ``license_scan.scan`` as a table.
+Texts are given without their copyright line, which the canonical form drops
+like 'All rights reserved.' and the heading lines of short licences. A name
+followed by a variant in brackets is that form of the licence. More can be
+passed to ``license_scan.scan`` as a table.
 """
 
+import re
+
+from vantage.llm.license_files import FILES
+
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
@@ -89,6 +95,18 @@ freely, subject to the following restrictions:
 """,
 }
 
+# Whole files, and their usual forms: without the part on how to apply them,
+# without a title, the conditions of BSD texts with bullets instead of numbers.
+TEXTS |= FILES
+_END = "END OF TERMS AND CONDITIONS"
+TEXTS |= {
+    f"{name} (terms only)": FILES[name].split(_END)[0] + _END + "\n"
+    for name in ("Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1")
+}
+TEXTS["CC0-1.0 (no heading)"] = FILES["CC0-1.0"].partition("CC0 1.0 Universal\n")[2]
+TEXTS["BSL-1.0 (no heading)"] = FILES["BSL-1.0"].partition("\n\n")[2]
+TEXTS |= {f"{name} (bullets)": re.sub(r"(?m)^[123]\. ", "* ", TEXTS[name]) for name in ("BSD-2-Clause", "BSD-3-Clause")}
+
 # One-line notices: a line that is one of these as a whole.
 NOTICES = {
     "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
@@ -106,6 +124,32 @@ NOTICES = {
     "SPDX-License-Identifier: MIT": "MIT",
 }
 
+NOTICES |= {
+    'Licensed under the Apache License, Version 2.0 (the "License");': "Apache-2.0",
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.': "Apache-2.0",
+    "Licensed under the Apache License, Version 2.0": "Apache-2.0",
+    "Licensed under the Apache License 2.0": "Apache-2.0",
+    "Distributed under the MIT License.": "MIT",
+    "This project is licensed under the MIT License.": "MIT",
+    "This project is licensed under the Apache License 2.0.": "Apache-2.0",
+    "Use of this source code is governed by a BSD-style license that can be": "BSD-style",
+    "Use of this source code is governed by an MIT-style license that can be": "MIT-style",
+    "it under the terms of the GNU General Public License as published by": "GPL",
+    "it under the terms of the GNU Lesser General Public License as published by": "LGPL",
+    "it under the terms of the GNU Affero General Public License as published by": "AGPL",
+    "modify it under the terms of the GNU General Public License": "GPL",
+    "modify it under the terms of the GNU Lesser General Public": "LGPL",
+    "License, v. 2.0. If a copy of the MPL was not distributed with this": "MPL-2.0",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
+}
+_GNU = [(f"{x}{end}", x) for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for end in ("", "+", "-only", "-or-later")]
+_SPDX = ("0BSD", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "MPL-2.0", "Unlicense", "Zlib")
+NOTICES |= {f"SPDX-License-Identifier: {x}": name for x, name in [*_GNU, *((x, x) for x in _SPDX)]}
+
 # Spellings taken as one (fixed values): as found -> as kept.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",
@@ -119,6 +163,7 @@ SPELLINGS = {
     "copyright owners": "copyright holders",
     "favour": "favor",
     "fulfil": "fulfill",
+    "https": "http",
     "initialise": "initialize",
     "judgement": "judgment",
     "labelling": "labeling",
