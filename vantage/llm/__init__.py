@@ -12,6 +12,10 @@ One module per operator; nothing outside this package imports it.
   packing         order-preserving packing by dynamic programming
   language_id     word-level language labels (linear-chain CRF)
   quality_rules   line-first cleaning
+  embedding_dedup near-duplicate vectors (PCA-ordered tiled comparison)
+  vector_codes    product codes, nearest entries by GNAT
+  sphere_clusters centroid clusters with geometric drift bounds
+  vectors         vector columns as matrices
   components      connected components of an edge table
   queries, sql    registered queries and their DuckDB SQL
 """

@@ -2,8 +2,23 @@
 
 from __future__ import annotations
 
-from vantage.llm import exact_dedup, language_id, license_scan, mixing, packing, pii, quality_rules, simhash, suffix_dedup, toxicity
+from vantage.llm import (
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    sphere_clusters,
+    suffix_dedup,
+    toxicity,
+    vector_codes,
+)
 from vantage.llm.shared import documents
+from vantage.llm.vectors import embeddings
 
 
 def op1_mix_sources(spark, sf_dir):
@@ -47,6 +62,18 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(documents(spark, sf_dir))
 
 
+def op11_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(embeddings(spark, sf_dir))
+
+
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.compress(embeddings(spark, sf_dir))
+
+
+def op13_centroid_clusters(spark, sf_dir):
+    return sphere_clusters.cluster_table(embeddings(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -58,4 +85,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }

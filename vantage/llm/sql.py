@@ -146,9 +146,117 @@ SELECT c.doc_id, c.canonical_sha256, k.name AS license,
 FROM canon c LEFT JOIN known k ON c.canonical_sha256 = k.digest LEFT JOIN hits h USING (row)
 """
 
+FINITE = "len(list_filter({0}, lambda c: c IS NULL OR NOT isfinite(c))) = 0"
+
+OP11 = f"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), u AS (
+  SELECT r, vec_id, e, sqrt(list_sum(list_transform(e, lambda c: c * c))) AS norm FROM v
+  WHERE e IS NOT NULL AND {FINITE.format('e')}
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.r <> b.r AND a.norm > 0 AND b.norm > 0
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95 ELSE false END
+), reach(a, b) AS (
+  SELECT r, r FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+), least AS (
+  SELECT reach.a, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a
+)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+       v.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least ON least.a = v.r LEFT JOIN counts ON counts.a = v.r
+"""
+
+# floor of a quotient of whole numbers, the divisor positive
+FLOOR = "CAST(({0} - ((({0} % {1}) + {1}) % {1})) // {1} AS BIGINT)"
+
+
+def _code_rounds(rounds: int) -> str:
+    """CTEs near<k> (nearest entries) and book<k + 1> of each round; near<rounds> comes last."""
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"""dist{k} AS MATERIALIZED (
+  SELECT x.r, x.part, b.entry, CAST(sum((x.c - b.c) * (x.c - b.c)) AS BIGINT) AS d
+  FROM x JOIN book{k} b ON b.part = x.part AND b.pos = x.pos GROUP BY x.r, x.part, b.entry
+), near{k} AS MATERIALIZED (
+  SELECT r, part, entry, d FROM dist{k}
+  QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1
+)""")
+        if k < rounds:
+            out.append(f"""mean{k} AS (
+  SELECT n.part, n.entry, x.pos, {FLOOR.format('sum(x.c)', 'count(*)')} AS c
+  FROM near{k} n JOIN x ON x.r = n.r AND x.part = n.part GROUP BY n.part, n.entry, x.pos
+), book{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m USING (part, entry, pos)
+)""")
+    return ", ".join(out)
+
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
+         row_number() OVER (ORDER BY vec_id ASC NULLS LAST, embedding) AS r
+  FROM embeddings WHERE embedding IS NOT NULL AND {FINITE.format('embedding')}
+), flat AS (
+  SELECT r, len(e) // 16 AS w, unnest(e) AS c, generate_subscripts(e, 1) - 1 AS i FROM kept
+), x AS MATERIALIZED (
+  SELECT r, i // w AS part, i % w AS pos, CAST(floor(256 * c) AS BIGINT) AS c FROM flat
+), book0 AS MATERIALIZED (
+  SELECT part, r - 1 AS entry, pos, c FROM x WHERE r <= 64
+), {_code_rounds(2)}, coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near2 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book2) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+
+
+def _cluster_rounds(rounds: int) -> str:
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"""near{k} AS MATERIALIZED (
+  SELECT x.r, m.cluster, CAST(sum((x.c - m.c) * (x.c - m.c)) AS BIGINT) AS d
+  FROM x JOIN mid{k} m ON m.pos = x.pos GROUP BY x.r, m.cluster
+  QUALIFY row_number() OVER (PARTITION BY x.r ORDER BY d, m.cluster) = 1
+)""")
+        if k < rounds:
+            out.append(f"""mean{k} AS (
+  SELECT n.cluster, x.pos, {FLOOR.format('sum(x.c)', 'count(*)')} AS c FROM near{k} n JOIN x ON x.r = n.r GROUP BY n.cluster, x.pos
+), mid{k + 1} AS MATERIALIZED (
+  SELECT m.cluster, m.pos, coalesce(a.c, m.c) AS c FROM mid{k} m LEFT JOIN mean{k} a USING (cluster, pos)
+)""")
+    return ", ".join(out)
+
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+         row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) ASC NULLS LAST, embedding) AS r
+  FROM embeddings WHERE len(embedding) = 64 AND {FINITE.format('embedding')}
+), flat AS (
+  SELECT r, unnest(e) AS c, generate_subscripts(e, 1) - 1 AS pos FROM kept
+), x AS MATERIALIZED (
+  SELECT r, pos, CAST(floor(64 * c) AS BIGINT) AS c FROM flat
+), mid0 AS MATERIALIZED (
+  SELECT r - 1 AS cluster, pos, c FROM x WHERE r <= 16
+), {_cluster_rounds(3)}, facts AS (
+  SELECT cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY pos)) AS centroid_sha256 FROM mid3 GROUP BY cluster
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near3 JOIN kept USING (r) JOIN facts USING (cluster)
+"""
+
 SQL = {
     "op1_mix_sources": OP1,
     "op4_exact_dedup": OP4,
     "op6_license_scan": OP6,
     "op10_quality_rules": OP10,
+    "op11_embedding_dedup": OP11,
+    "op12_vector_codes": OP12,
+    "op13_centroid_clusters": OP13,
 }
