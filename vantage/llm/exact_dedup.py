@@ -38,6 +38,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    # Executors unload the stores of an ended stream at the next maintenance.
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
 }
 # State of one partition stays small, its count is fixed for the life of the
 # state: rows per partition, and the most partitions one state may have.

@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from vantage.llm.shared import slices
+
 SYMBOLS = b"#*$%&|<>"
 
 # Phrases that mark page furniture (fixed values, lower case).
@@ -155,13 +157,14 @@ def verdicts(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.int64()] * 3
-        for b in batches:
-            rows = [judge(t, rules)[0] for t in _texts(b.column(1))]
-            cols = list(zip(*rows)) or [()] * 10
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(cols, types))],
-                names=[f.split(" ")[0] for f in VERDICT_SCHEMA.split(", ")],
-            )
+        for whole in batches:
+            for b in slices(whole, 1):
+                rows = [judge(t, rules)[0] for t in _texts(b.column(1))]
+                cols = list(zip(*rows)) or [()] * 10
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(cols, types))],
+                    names=[f.split(" ")[0] for f in VERDICT_SCHEMA.split(", ")],
+                )
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, VERDICT_SCHEMA)
 
@@ -171,19 +174,20 @@ def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     (``n_chars``, where present, follows the new text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = b.schema.get_field_index("text")
-            texts, rows = [], []
-            for i, t in enumerate(_texts(b.column(at))):
-                verdict, stay = judge(t, rules)
-                if verdict[6]:
-                    rows.append(i)
-                    texts.append(b"\n".join(stay).decode("utf-8", "surrogatepass") if verdict[8] else t)
-            out = b.take(pa.array(rows, pa.int64()))
-            out = out.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
-            if (k := b.schema.get_field_index("n_chars")) >= 0:
-                out = out.set_column(k, b.schema.field(k), pa.array([len(t) for t in texts], b.schema.field(k).type))
-            yield out
+        for whole in batches:
+            at = whole.schema.get_field_index("text")
+            for b in slices(whole, at):
+                texts, rows = [], []
+                for i, t in enumerate(_texts(b.column(at))):
+                    verdict, stay = judge(t, rules)
+                    if verdict[6]:
+                        rows.append(i)
+                        texts.append(b"\n".join(stay).decode("utf-8", "surrogatepass") if verdict[8] else t)
+                out = b.take(pa.array(rows, pa.int64()))
+                out = out.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
+                if (k := b.schema.get_field_index("n_chars")) >= 0:
+                    out = out.set_column(k, b.schema.field(k), pa.array([len(t) for t in texts], b.schema.field(k).type))
+                yield out
 
     return docs.mapInArrow(run, docs.schema)
 

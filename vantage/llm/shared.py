@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,17 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_locators(docs: DataFrame) -> DataFrame:
+    """(row, loc_file, loc_row): each row as a struct, with its place in the
+    files it comes from, which names it even where ids repeat or are null.
+    Rows that don't come straight from files are written first."""
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    try:
+        return docs.select(row, F.col("_metadata.file_path").alias("loc_file"), F.col("_metadata.row_index").alias("loc_row"))
+    except AnalysisException:
+        return with_locators(written(docs, "located"))
+
+
 def discard(df: DataFrame) -> None:
     """Removes the files of a ``written`` table that nothing needs any more,
     and lets the driver forget the shuffles of finished jobs."""
@@ -92,6 +105,19 @@ def numbered_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return list(numbers), at
 
 
+def slices(b: pa.RecordBatch, at: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows holding about ``size`` bytes of its text
+    column ``at`` (one row at least), so that what is built from a run stays
+    small whatever the batch."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    k = 0
+    while k < len(b):
+        before = int(ends[k - 1]) if k else 0
+        to = max(k + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield b.slice(k, to - k)
+        k = to
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list[str | None]]]:
     """(first column, texts of the second) in blocks of about ``size`` bytes,
     so that memory doesn't follow the batch size."""
