@@ -79,3 +79,16 @@ def test_without_words(spark, data):
     got = M.mix(table(spark, data)).collect()
     assert len(got) == len(data) and all(r.taken == 0 for r in got)
     assert M.take(table(spark, data)).count() == 0
+
+
+def test_take_keeps_to_the_plan_under_repeated_ids(spark):
+    """Rows that repeat an id, with equal and other sizes, are told apart."""
+    data = [(k % 5, " ".join(f"w{k}x{j}" for j in range(10 + k % 3)), "en", f"s{k % 2}", 0) for k in range(60)]
+    data += [(None, "a b c", "en", "s0", 0)] * 4
+    docs = table(spark, data)
+    planned, given = Counter(), Counter()
+    for r in M.mix(docs).collect():
+        planned[r.source] += r.taken
+    for r in M.take(docs).collect():
+        given[r.source] += len(WORD.findall(r.text))
+    assert given == planned

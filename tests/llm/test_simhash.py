@@ -110,3 +110,48 @@ def test_one_per_group(spark):
     docs = table(spark, data)
     kept = {r.doc_id for r in S.one_per_group(docs).collect()}
     assert kept == {r.component_id for r in S.near_duplicates(docs).collect()}
+
+
+def test_one_per_group_with_repeated_and_null_ids(spark):
+    """A row that shares its id with a row of another group stays."""
+    a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "red green blue white black grey"
+    data = [(1, a, "e", "s", 1), (2, a, "e", "s", 2), (2, b, "e", "s", 3), (None, b, "e", "s", 4), (None, c, "e", "s", 5), (None, c, "e", "s", 6), (7, a, "e", "s", 7), (1, a, "e", "s", 8)]
+    got = S.one_per_group(table(spark, data)).collect()
+    assert sorted(r.text for r in got) == sorted([a, b, c])
+    assert {r.doc_id for r in got} == {1, 2, None}
+
+
+def test_hot_keys_are_split_below_the_bound(spark):
+    """20,000 fingerprints under one block value, and the dense case where
+    only 15 bits vary: every key ends below the bound."""
+    rng = np.random.default_rng(5)
+    cfg = S.SimHashConfig(split_share=1e-9)
+    parts = [(0, 16, 0), (16, 16, 0), (32, 16, 0), (48, 16, 0)]
+    for fps in (rng.integers(0, 1 << 48, 20_000, dtype=np.int64) << 16, rng.permutation(1 << 15)[:20_000].astype(np.int64) << 7):
+        x = spark.createDataFrame([(int(f),) for f in np.unique(fps)], "x long")
+        rows = S.split_hot(S.keys(x, parts), cfg)
+        assert rows.groupBy("key").count().agg({"count": "max"}).first()[0] <= cfg.split_least
+
+
+def test_split_keys_lose_no_link(spark):
+    rng = random.Random(11)
+    fps = sorted({(rng.getrandbits(12) << 20) | 5 for _ in range(300)})  # one hot block, 12 varying bits
+    cfg = S.SimHashConfig(split_least=4, split_share=1e-9, max_bits=2)
+    got = dict(_linked(spark, fps, [(0, 16, 0), (16, 16, 0), (32, 32, 0)], cfg))
+    comp = brute_components(fps, 2)
+    back = {}
+    for node, root in got.items():
+        back.setdefault(root, set()).add(node)
+    want = {}
+    for f, c in zip(fps, comp):
+        want.setdefault(c, set()).add(f)
+    assert {frozenset(g) for g in back.values()} == {frozenset(g) for g in want.values() if len(g) > 1}
+
+
+@pytest.mark.parametrize("bits", [0, 1, 8, 12, 16])
+def test_any_number_of_bits_has_a_plan(bits):
+    rng = np.random.default_rng(bits)
+    cfg = S.SimHashConfig(max_bits=bits)
+    pairs = [S.block_distances(rng.integers(0, 3, 1 << 16).astype(float), bits) for _ in range(4)]
+    parts = S.choose_partitions(pairs, 1000, cfg)
+    assert sum(t + 1 for _, _, t in parts) == bits + 1

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.shared import SPACE, WORD, whole_text, written
+from vantage.llm.shared import SPACE, WORD, whole_text, with_locators, written
 
 
 @dataclass(frozen=True)
@@ -75,12 +75,13 @@ def source_targets(sizes: DataFrame, cfg: MixConfig) -> DataFrame:
     return per.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
+def mix(docs: DataFrame, cfg: MixConfig = MixConfig(), keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document row: doc_id, source, size, source_size, target,
-    taken (words of this document in the mix, repeats counted), hash_key."""
+    taken (words of this document in the mix, repeats counted), hash_key, and
+    the columns ``keep``, which also order rows that repeat an id."""
     key = F.md5(F.concat(F.lit(cfg.seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     sizes = written(
-        docs.select("doc_id", "source", size_of(whole_text()).alias("size"), key.alias("hash_key")),
+        docs.select("doc_id", "source", size_of(whole_text()).alias("size"), key.alias("hash_key"), *keep),
         "mix-sizes",
     )
     targets = source_targets(sizes, cfg)
@@ -93,7 +94,7 @@ def mix(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     offsets = sums.join(targets, F.col("source").eqNullSafe(F.col("t_source")), "left").select(
         F.col("source").alias("o_source"), F.col("bucket").alias("o_bucket"), "ahead", "source_size", "target"
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("hash_key", "doc_id", "size")
+    inside = Window.partitionBy("source", "bucket").orderBy("hash_key", "doc_id", "size", *keep)
     run = sizes.withColumn("run", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     own = F.col("source").eqNullSafe(F.col("o_source")) & (F.col("bucket") == F.col("o_bucket"))
     at = run.join(offsets, own, "left")
@@ -104,19 +105,19 @@ def mix(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - start))
     taken = (epochs * F.col("size") + part).cast("long")
     return at.select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "hash_key"
+        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "hash_key", *keep
     )
 
 
 def take(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     """The mix as documents, same columns: a document stands once per epoch
     that takes it, and the one at the cut is shortened to its taken words
-    (with the white space between them). Rows sharing an id and a size share
-    the decision; ids are expected to be unique here."""
-    plan = mix(docs, cfg).where(F.col("taken") > 0).groupBy("doc_id", "size").agg(F.max("taken").alias("taken"))
-    plan = plan.select(F.col("doc_id").alias("id"), F.col("size").alias("words"), "taken")
-    rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", size_of(whole_text("row.text")).alias("n"))
-    hit = rows.join(plan, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("n") == F.col("words")))
+    (with the white space between them). Rows are told apart by their place in
+    the files, so repeated ids keep to the budget."""
+    rows = with_locators(docs)
+    at = ("loc_file", "loc_row")
+    plan = mix(rows.select("row.doc_id", "row.source", "row.text", *at), cfg, at).where(F.col("taken") > 0)
+    hit = rows.join(plan.select(*at, F.col("size").alias("n"), "taken"), list(at))
     copies = F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("n")).cast("int") - 1)
     each = hit.select("row", "n", "taken", F.explode(copies).alias("epoch"))
     own = F.least(F.col("n"), F.col("taken") - F.col("epoch") * F.col("n"))

@@ -22,8 +22,9 @@ Candidate search on distinct fingerprints:
    64 bits inside the task; a task passes on a spanning star per linked set,
    never all pairs.
 
-Keys with very many members are split by pieces of the remaining bits before
-the shuffle (again by pigeonhole, so no link is lost).
+Keys with very many members are split before the shuffle by pieces of the bits
+that vary among them, again by pigeonhole, so no link is lost, and again as long
+as a key stays too large.
 
 Defined results: a text without words has fingerprint 0 and is linked like any
 other; fewer words than the shingle length give one shingle; null ids are kept
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.llm.components import connected_components
-from vantage.llm.shared import join_split, written
+from vantage.llm.shared import join_split, with_locators, written
 
 BLOCKS, WIDTH = 4, 16  # the 64 bits as four blocks
 PAIRS_AT_ONCE = 1 << 18  # candidates a task holds while it verifies them
@@ -65,7 +66,7 @@ class SimHashConfig:
     # Costs are compared for this many fingerprints with the distances found,
     # so that the choice doesn't change while a corpus grows.
     design_rows: float = 1e9
-    # A key with more than this share of all keys (4096 keys at least) is
+    # A key with more than this share of all rows (4096 rows at least) is
     # split; at most 1 / share keys are.
     split_share: float = 1e-4
     split_least: int = 4096
@@ -78,29 +79,33 @@ def fingerprint(text: str | None, words_per: int = 3) -> int:
     if not words:
         return 0
     n = max(1, len(words) - words_per + 1)
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
-    stops = ends[words_per - 1 :].tolist() if len(words) >= words_per else [len(joined)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], HASH_SEED) for a, b in zip(starts, stops)), np.uint64, n)
     ones = np.zeros(64, np.int64)
-    for k in range(0, n, 1 << 16):
-        part = hashes[k : k + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
+    for k in range(0, n, 1 << 14):  # shingles at a time
+        some = words[k : k + (1 << 14) + words_per - 1]
+        joined = b" ".join(some)
+        ends = np.cumsum([len(w) + 1 for w in some]) - 1
+        m = max(1, len(some) - words_per + 1)
+        starts = np.concatenate([[0], ends[:-1] + 1])[:m].tolist()
+        stops = ends[words_per - 1 :].tolist() if len(some) >= words_per else [len(joined)]
+        hashes = np.fromiter((digest(joined[a:b], HASH_SEED) for a, b in zip(starts, stops)), np.uint64, m)
+        part = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words_per: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long), one row per document row."""
+def fingerprints(docs: DataFrame, words_per: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) and the columns ``keep``, one
+    row per document row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), words_per) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *keep])
 
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
+    more = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(run, f"doc_id long, fp long{more}")
 
 
 # --- statistics and the choice of partitions ---------------------------------
@@ -184,6 +189,13 @@ def choose_partitions(pairs: list[np.ndarray], found: int, cfg: SimHashConfig) -
     fingerprints, each with itself included. Dynamic programming over blocks
     and credits used (a partition of threshold t uses t + 1).
     """
+    most = cfg.max_keys
+    while (chosen := _cheapest(pairs, found, cfg, most)) is None:
+        most *= 2  # many bits need more keys than asked for
+    return chosen
+
+
+def _cheapest(pairs: list[np.ndarray], found: int, cfg: SimHashConfig, most: int) -> list[tuple[int, int, int]] | None:
     n = cfg.design_rows
     # Share of pairs of different fingerprints at each distance in a block,
     # drawn towards that of random bits by as many pairs as a block has values.
@@ -207,7 +219,7 @@ def choose_partitions(pairs: list[np.ndarray], found: int, cfg: SimHashConfig) -
                     cost = 0.0
                     if t >= 0:
                         each = 1 + _masks(width, t) / 2
-                        if each > cfg.max_keys and t > 0:
+                        if each > most and t > 0:
                             continue
                         keys = n * each
                         met = n * (n - 1) / 2 * dist[: t + 1].sum()
@@ -217,7 +229,7 @@ def choose_partitions(pairs: list[np.ndarray], found: int, cfg: SimHashConfig) -
                     options.append((before + cost, parts + part))
             if options:
                 best[end, used] = min(options, key=lambda o: (o[0], o[1]))
-    return best[BLOCKS, spend][1]
+    return best[BLOCKS, spend][1] if (BLOCKS, spend) in best else None
 
 
 def plan(fps: DataFrame, cfg: SimHashConfig) -> tuple[list[int], list[tuple[int, int, int]]]:
@@ -278,25 +290,49 @@ def _key_rows(k: int, value: np.ndarray, probe: np.ndarray, x: np.ndarray) -> pa
     return pa.RecordBatch.from_arrays([pa.array(key), pa.array(probe), pa.array(x.view(np.int64))], names=["key", "probe", "x"])
 
 
+def _pieces(varying: int, n: int) -> list[int]:
+    """The set bits of ``varying`` dealt into ``n`` masks, as signed longs."""
+    bits = [b for b in range(64) if varying >> b & 1]
+    masks = [sum(1 << b for b in bits[i::n]) for i in range(n)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
+def split_hot(rows: DataFrame, cfg: SimHashConfig) -> DataFrame:
+    """(key, probe, x) with the keys of very many rows split, level by level.
+
+    The two sides of a link differ by at most max_bits bits, all of them among
+    the bits that vary inside the key. These bits are dealt into max_bits + 1
+    pieces, so one piece is equal on both sides, and each row goes under
+    (key, piece, value of the piece). The bits of a piece are constant inside
+    the new key, so every level has fewer varying bits; as the rows of a key are
+    distinct fingerprints, a key that is still too large has bits to split by.
+    """
+    out, now, level = None, rows, 0
+    limit = cfg.split_least
+    while True:
+        facts = now.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_or("x").alias("any"), F.bit_and("x").alias("all"))
+        large = written(facts.where(F.col("n") > limit), "simhash-hot")
+        if level == 0 and not large.isEmpty():
+            limit = max(limit, now.count() * cfg.split_share)  # at most 1 / split_share keys are above
+        plan = []
+        for r in large.where(F.col("n") > limit).collect():
+            varying = (r["any"] ^ r["all"]) & ((1 << 64) - 1)
+            if varying.bit_count() > cfg.max_bits:  # else all are within max_bits of each other, and few
+                plan.append((r["key"], _pieces(varying, cfg.max_bits + 1)))
+        if not plan:
+            return now if out is None else out.unionByName(now)
+        hot = now.sparkSession.createDataFrame(plan, "h long, masks array<long>")
+        marked = now.join(F.broadcast(hot), F.col("key") == F.col("h"), "left")
+        cold = marked.where("h is null").select("key", "probe", "x")
+        out = cold if out is None else out.unionByName(cold)
+        pieces = F.transform("masks", lambda m, i: F.xxhash64("key", F.lit(level), i, F.col("x").bitwiseAND(m)))
+        now = written(marked.where("h is not null").select(F.explode(pieces).alias("key"), "probe", "x"), "simhash-split")
+        level += 1
+
+
 def links(x: DataFrame, parts: list[tuple[int, int, int]], cfg: SimHashConfig) -> DataFrame:
     """(u, v): spanning stars of the linked fingerprints found in each task."""
-    rows = keys(x, parts)
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    stored = written(sizes.where(F.col("n") > cfg.split_least), "simhash-hot")
-    total = rows.count() if not stored.isEmpty() else 0
-    if total:
-        # at most 1 / split_share keys
-        hot = F.broadcast(stored.where(F.col("n") > total * cfg.split_share).select(F.col("key").alias("h")))
-        marked = rows.join(hot, F.col("key") == F.col("h"), "left")
-        # The other side of a link differs by at most max_bits bits, so of
-        # max_bits + 1 pieces of the whole fingerprint one is equal.
-        n = cfg.max_bits + 1
-        w = -(-64 // n)
-        pieces = F.array(*[
-            F.xxhash64("key", F.lit(i), F.shiftrightunsigned("x", i * w).bitwiseAND(F.lit((1 << w) - 1))) for i in range(n)
-        ])
-        split = F.when(F.col("h").isNull(), F.array("key")).otherwise(pieces)
-        rows = marked.select(F.explode(split).alias("key"), "probe", "x")
+    rows = split_hot(keys(x, parts), cfg)
     bound = cfg.max_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,9 +411,10 @@ def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[move], nodes[label[move]]
 
 
-def near_duplicates(docs: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id, one row per row."""
-    rows = written(fingerprints(docs, cfg.shingle_words), "simhash-rows")
+def groups(docs: DataFrame, cfg: SimHashConfig, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp, root (a fingerprint that names the group), component_id and
+    the columns ``keep``, one row per row."""
+    rows = written(fingerprints(docs, cfg.shingle_words, keep), "simhash-rows")
     fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "simhash-fps")
     order, parts = plan(fps, cfg)
     x = written(reordered(fps, order), "simhash-bits")
@@ -386,15 +423,23 @@ def near_duplicates(docs: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> Da
     member = written(fps.join(member, "fp"), "simhash-member")
     least = member.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("fps"))
     named = join_split(member, least, "root", "fps", max(1, fps.count()))
-    named = named.select("fp", "copies", "component_id")
-    out = join_split(rows, named, "fp", "copies", max(1, rows.count()))
+    named = named.select("fp", "root", "copies", "component_id")
+    return join_split(rows, named, "fp", "copies", max(1, rows.count()))
+
+
+def near_duplicates(docs: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id, one row per row."""
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return out.select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return groups(docs, cfg).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
 def one_per_group(docs: DataFrame, cfg: SimHashConfig = SimHashConfig()) -> DataFrame:
-    """The documents whose id is their group's component id, all columns. A
-    row without an id can't be named and stays."""
-    drop = near_duplicates(docs, cfg).where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    return rows.join(drop, F.col("row.doc_id") == F.col("id"), "left_anti").select("row.*")
+    """One row of each group, all columns: that of the smallest id (rows
+    without one come last), and of rows repeating that id the first by file and
+    row. Rows are told apart by their place, so a repeated id never takes a row
+    of another group along."""
+    rows = with_locators(docs)
+    found = groups(rows.select("row.doc_id", "row.text", "loc_file", "loc_row"), cfg, ("loc_file", "loc_row"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "loc_file", "loc_row")).alias("f")
+    stay = found.groupBy("root").agg(first).select("f.loc_file", "f.loc_row")
+    return rows.join(stay, ["loc_file", "loc_row"], "left_semi").select("row.*")
