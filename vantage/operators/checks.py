@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vantage.functions import vector_norm
@@ -21,20 +21,51 @@ def enforce(violations: DataFrame, message: str) -> None:
         raise CheckFailed(f"{message}: {first}")
 
 
+class RuleCounters:
+    """Counts broken rules, and rows, while a table passes to its sink: no pass
+    of its own. ``rules`` maps a problem to the condition of a row that has it.
+
+        rules = RuleCounters("images", {"no id": F.col("id").isNull()})
+        rules.watch(images).write.parquet(path)
+        rules.enforce("images")        # before the result is committed
+    """
+
+    def __init__(self, name: str, rules: dict[str, Column]):
+        self.rules = rules
+        self.seen = Observation(name)
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        counts = [F.count(F.when(bad, 1)).alias(f"r{k}") for k, bad in enumerate(self.rules.values())]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    @property
+    def rows(self) -> int:
+        return self.seen.get["rows"]
+
+    def broken(self) -> dict[str, int]:
+        """Rows by broken rule; needs the watched table's action to have run."""
+        found = self.seen.get
+        return {p: found[f"r{k}"] for k, p in enumerate(self.rules) if found[f"r{k}"]}
+
+    def enforce(self, message: str) -> None:
+        if self.broken():
+            raise CheckFailed(f"{message}: {self.broken()}")
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], exact: bool = False) -> None:
     """The header must contain (or, exact, equal) ``columns``."""
     cols = list(columns)
     if exact and df.columns != cols:
-        raise CheckFailed(f"schema mismatch: expected {cols}, got {df.columns}")
+        raise CheckFailed(f"the header is {df.columns}, not {cols}")
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise CheckFailed(f"missing columns: {missing}")
+        raise CheckFailed(f"the table lacks {missing}")
 
 
 def require_nonempty(df: DataFrame, what: str) -> None:
     """C2."""
     if df.isEmpty():
-        raise CheckFailed(f"No rows found in {what}.")
+        raise CheckFailed(f"{what}: the table is empty")
 
 
 def check_vectors(df: DataFrame, vec_col: str, dim: int, id_col: str = "seq") -> DataFrame:
@@ -59,16 +90,16 @@ def check_registry(registry: DataFrame, dim: int, last_index: int | None = None)
     """Registry rows without id, centroid or count, with a centroid of the
     wrong size, or a non-positive count; a negative last_index."""
     problem = (
-        F.when(F.col("viewpoint_id").isNull(), F.lit("missing viewpoint_id"))
-        .when(F.col("centroid").isNull(), F.lit("missing centroid"))
-        .when(F.size("centroid") != dim, F.lit("centroid dimension"))
-        .when(F.col("count").isNull(), F.lit("missing count"))
-        .when(F.col("count") <= 0, F.lit("count must be > 0"))
+        F.when(F.col("viewpoint_id").isNull(), F.lit("no id"))
+        .when(F.col("centroid").isNull(), F.lit("no centroid"))
+        .when(F.size("centroid") != dim, F.lit("centroid of another length"))
+        .when(F.col("count").isNull(), F.lit("no count"))
+        .when(F.col("count") <= 0, F.lit("count below one"))
     )
     out = registry.select("viewpoint_id", problem.alias("problem")).where(F.col("problem").isNotNull())
     if last_index is not None and last_index < 0:
         spark = registry.sparkSession
-        out = out.unionByName(spark.createDataFrame([(None, "last_index must be >= 0")],
+        out = out.unionByName(spark.createDataFrame([(None, "negative last index")],
                                                     "viewpoint_id long, problem string"))
     return out
 
@@ -86,11 +117,11 @@ def check_resume(dataset: DataFrame, mapping: DataFrame, registry: DataFrame, la
     c = int(registry.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("c")).first()["c"])
     found = []
     if m > n:
-        found.append(("mapping has more rows than dataset", m - n, None))
+        found.append(("saved mapping is longer than the dataset", m - n, None))
     if last_index != m:
-        found.append(("last_index does not match mapping length", abs(last_index - m), None))
+        found.append(("last index is not the number of mapped rows", abs(last_index - m), None))
     if c != m:
-        found.append(("registry count sum does not match mapping length", abs(c - m), None))
+        found.append(("registry counts do not add up to the mapped rows", abs(c - m), None))
     head = _problems(spark, found)
     mism = (
         mapping.select("seq", F.col("image_id").alias("saved"))
@@ -98,7 +129,7 @@ def check_resume(dataset: DataFrame, mapping: DataFrame, registry: DataFrame, la
         .where(F.col("expected").isNull() | (F.col("saved") != F.col("expected")))
         .agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first_seq"))
         .where(F.col("rows") > 0)
-        .select(F.lit("mapping order mismatch").alias("problem"), "rows", "first_seq")
+        .select(F.lit("saved mapping leaves the dataset order").alias("problem"), "rows", "first_seq")
     )
     return head.unionByName(mism)
 
@@ -126,8 +157,8 @@ def check_conservation(dataset: DataFrame, mapping: DataFrame, registry: DataFra
     )
     one = rows.crossJoin(views)  # one row each
     rules = {
-        "total_viewpoints must be > 0": F.when(F.col("v") == 0, 1).otherwise(0),
-        "registry count sum does not match dataset size": F.abs(F.col("c") - F.col("n")),
+        "no viewpoint": F.when(F.col("v") == 0, 1).otherwise(0),
+        "registry counts do not add up to the dataset": F.abs(F.col("c") - F.col("n")),
         "dataset row without assignment": F.col("missing"),
         "dataset row assigned more than once": F.col("again"),
         "assignment of an unknown row": F.col("foreign"),

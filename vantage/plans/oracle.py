@@ -329,11 +329,11 @@ sums AS (SELECT (SELECT count(*) FROM short) AS n, (SELECT count(*) FROM map_v)
                 (SELECT count(*) + count(DISTINCT viewpoint_id) FROM map_v) AS c),
 mism AS (SELECT m.seq FROM map_v m LEFT JOIN short i ON i.seq = m.seq
          WHERE i.image_id IS NULL OR i.image_id <> m.image_id)
-SELECT 'mapping has more rows than dataset' AS problem, m - n AS rows, CAST(NULL AS BIGINT) AS first_seq
+SELECT 'saved mapping is longer than the dataset' AS problem, m - n AS rows, CAST(NULL AS BIGINT) AS first_seq
 FROM sums WHERE m > n
-UNION ALL SELECT 'last_index does not match mapping length', 3, NULL
-UNION ALL SELECT 'registry count sum does not match mapping length', abs(c - m), NULL FROM sums WHERE c <> m
-UNION ALL SELECT 'mapping order mismatch', count(*), min(seq) FROM mism HAVING count(*) > 0"""),
+UNION ALL SELECT 'last index is not the number of mapped rows', 3, NULL
+UNION ALL SELECT 'registry counts do not add up to the mapped rows', abs(c - m), NULL FROM sums WHERE c <> m
+UNION ALL SELECT 'saved mapping leaves the dataset order', count(*), min(seq) FROM mism HAVING count(*) > 0"""),
     "check_conservation": _with(VECTORS, """,
 sims AS (SELECT e.seq, c.label AS viewpoint_id, sum(e.u * c.c) AS sim
          FROM e_u e JOIN c_u c ON e.d = c.d GROUP BY e.seq, c.label),
@@ -357,11 +357,11 @@ found AS (
 SELECT * FROM found WHERE rows > 0"""),
     "check_registry": """
 SELECT CASE WHEN label = 1 THEN NULL ELSE CAST(label AS BIGINT) END AS viewpoint_id,
-       CASE label WHEN 1 THEN 'missing viewpoint_id' WHEN 2 THEN 'missing centroid'
-                  WHEN 3 THEN 'centroid dimension' WHEN 4 THEN 'missing count'
-                  ELSE 'count must be > 0' END AS problem
+       CASE label WHEN 1 THEN 'no id' WHEN 2 THEN 'no centroid'
+                  WHEN 3 THEN 'centroid of another length' WHEN 4 THEN 'no count'
+                  ELSE 'count below one' END AS problem
 FROM (SELECT DISTINCT label FROM embeddings WHERE label BETWEEN 1 AND 5)
-UNION ALL SELECT NULL, 'last_index must be >= 0'""",
+UNION ALL SELECT NULL, 'negative last index'""",
     "check_alignment": _with(VECTORS + "," + PAIRS, """,
 c AS (SELECT viewpoint_id_a AS a, viewpoint_id_b AS b,
              row_number() OVER (ORDER BY sim DESC, viewpoint_id_a, viewpoint_id_b) - 1 AS seq FROM pairs),

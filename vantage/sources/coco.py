@@ -1,8 +1,10 @@
 """COCO annotation files as three raw tables.
 
-A multi-line JSON document is read by a single task, so the exploded rows are
-repartitioned before any further work; at scale, stage the exploded tables as
-Parquet once (``stage_coco``) and read those instead.
+``read_coco_splits`` reads documents of any size: a document is cut into its
+elements in parallel (``json_arrays``), each element is parsed once, and the
+parsed elements are kept under the checkpoint folder, apart by section.
+``stage_coco`` writes them as Parquet tables for good. ``read_coco_document``
+with ``raw_tables`` is the plain form for small documents, one task each.
 """
 
 from __future__ import annotations
@@ -12,8 +14,13 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.operators.checks import enforce
-from vantage.schemas import COCO_DOCUMENT
+from vantage.operators.checks import RuleCounters
+from vantage.schemas import COCO_ANNOTATION, COCO_CATEGORY, COCO_DOCUMENT, COCO_IMAGE
+from vantage.session import scratch_path
+from vantage.sources.json_arrays import parsed, read_sections
+
+SECTIONS = {"images": COCO_IMAGE, "annotations": COCO_ANNOTATION, "categories": COCO_CATEGORY}
+REQUIRED = {"images": True, "annotations": True, "categories": False}
 
 
 def read_coco_document(spark: SparkSession, path: str) -> DataFrame:
@@ -31,58 +38,73 @@ def check_required_sections(doc: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(doc: DataFrame, split: str, partitions: int | None = None
-               ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Explode one split's document into (images, annotations, categories).
-
-    ``pos`` keeps the document order of every element; several documents of
-    one split follow each other by path.
-    """
-    split_col = F.lit(split).alias("split")
-    bare = lambda path: re.sub("^[a-z0-9]+:/*", "/", path)
-    files = sorted(map(bare, doc.inputFiles()))
+def raw_tables(doc: DataFrame, split: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Explode one split's documents, read whole, into (images, annotations,
+    categories). ``pos`` keeps the document order of every element; several
+    documents of one split follow each other by path."""
+    files = sorted(re.sub("^[a-z0-9]+:/*", "/", path) for path in doc.inputFiles())
     here = F.regexp_replace(F.col("_metadata.file_path"), "^[a-z0-9]+:/*", "/")
     nth = F.array_position(F.array(*map(F.lit, files)), here) - 1 if len(files) > 1 else F.lit(0)
     doc = doc.withColumn("_before", nth.cast("long") * F.lit(1 << 32))
-    place = (F.col("_before") + F.col("pos")).alias("pos")
-    images = doc.select(split_col, "_before", F.posexplode("images").alias("pos", "img")).select(
-        "split", place, "img.id", "img.file_name", "img.width", "img.height"
-    )
-    annotations = doc.select(split_col, "_before", F.posexplode("annotations").alias("pos", "ann")).select(
-        "split", place, "ann.id", "ann.image_id", "ann.category_id", "ann.area", "ann.bbox"
-    )
-    categories = doc.select(split_col, "_before", F.posexplode("categories").alias("pos", "cat")).select(
-        "split", place, "cat.id", "cat.name"
-    )
-    if partitions:
-        images = images.repartition(partitions)
-        annotations = annotations.repartition(partitions)
-    return images, annotations, categories
-
-
-def read_coco_splits(spark: SparkSession, paths: dict[str, str], partitions: int | None = None
-                     ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Read one document per split and union them by name (train first). A
-    document without images or annotations is an error."""
+    out = []
+    for name, schema in SECTIONS.items():
+        rows = doc.select("_before", F.posexplode(name).alias("pos", "e"))
+        out.append(rows.select(F.lit(split).alias("split"), (F.col("_before") + F.col("pos")).alias("pos"),
+                               *[F.col(f"e.{f}") for f in schema.names]))
+    return tuple(out)
+
+
+def _kept(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_coco_splits(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents of all splits as (images, annotations, categories), train
+    first. A document without images or annotations, or one that isn't JSON, is
+    an error. Several documents of a split follow each other by path."""
+    found = None
     for split, path in paths.items():
-        enforce(check_required_sections(read_coco_document(spark, path)), f"{split} document {path}")
-    parts = [raw_tables(read_coco_document(spark, p), split, partitions) for split, p in paths.items()]
-    images, annotations, categories = parts[0]
-    for im, an, ca in parts[1:]:
-        images = images.unionByName(im)
-        annotations = annotations.unionByName(an)
-        categories = categories.unionByName(ca)
-    return images, annotations, categories
-
-
-def stage_coco(spark: SparkSession, paths: dict[str, str], out_dir: str, partitions: int = 64) -> None:
-    """Explode the documents once and keep the three tables as Parquet."""
-    images, annotations, categories = read_coco_splits(spark, paths, partitions)
-    images.write.mode("overwrite").parquet(f"{out_dir}/images")
-    annotations.write.mode("overwrite").parquet(f"{out_dir}/annotations")
-    categories.write.mode("overwrite").parquet(f"{out_dir}/categories")
+        rows = read_sections(spark, path, REQUIRED, _kept).withColumn("split", F.lit(split))
+        found = rows if found is None else found.unionByName(rows)
+    element = [F.when(F.col("section") == name, parsed(F.col("text"), schema)).alias(f"e_{name}") for name, schema in SECTIONS.items()]
+    elements = _kept(found.select("split", "pos", *element, "section"), "coco-elements", "section")
+    return tuple(
+        elements.where(F.col("section") == name).select("split", "pos", f"e_{name}.*") for name in SECTIONS)
+
+
+def box_rules() -> dict:
+    """What a given box must satisfy, as conditions of a broken row."""
+    given = F.col("bbox").isNotNull()
+    return {"a box is not a list of four numbers": given & (
+        (F.size("bbox") != 4) | F.exists("bbox", lambda x: x.try_cast("double").isNull()))}
+
+
+def stage_coco(spark: SparkSession, paths: dict[str, str], out_dir: str, partitions: int | None = None,
+               strict: bool = False) -> dict[str, int]:
+    """Writes the three tables as Parquet, counting rows and broken rules on
+    the way, and last a record that the staging is whole. Returns the row
+    counts; in strict mode broken rows are an error and leave the staging
+    without record. ``partitions`` sets the number of files, else the elements stay where they
+    were parsed."""
+    facts = {}
+    spark.createDataFrame([], "fact string, value long").write.mode("overwrite").parquet(f"{out_dir}/staged")
+    for name, rows in zip(SECTIONS, read_coco_splits(spark, paths)):
+        rules = RuleCounters(f"stage-{name}", box_rules() if name == "annotations" else {})
+        rows = rules.watch(rows.repartition(partitions) if partitions else rows)
+        rows.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+        if strict:
+            rules.enforce(f"{out_dir}/{name}")
+        facts[name] = rules.rows
+    spark.createDataFrame(list(facts.items()), "fact string, value long").coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/staged")
+    return facts
 
 
 def read_staged(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The tables ``stage_coco`` has written: images, annotations, categories."""
-    return tuple(spark.read.parquet(f"{folder}/{name}") for name in ("images", "annotations", "categories"))
+    """The tables ``stage_coco`` has written: images, annotations, categories.
+    A staging that did not end well is an error."""
+    if spark.read.schema("fact string, value long").parquet(f"{folder}/staged").isEmpty():
+        raise ValueError(f"{folder}: the staging did not end")
+    return tuple(spark.read.parquet(f"{folder}/{name}") for name in SECTIONS)

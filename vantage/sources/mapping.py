@@ -81,7 +81,7 @@ def read_mapping_strict(spark: SparkSession, path: str, missing_ok: bool = False
             raise
         if missing_ok:
             return spark.createDataFrame([], MAPPING)
-        raise FileNotFoundError(f"Mapping file not found: {path}") from exc
+        raise FileNotFoundError(f"{path}: there is no mapping") from exc
     if raw.columns != MAPPING_COLUMNS:
         raise MappingSchemaError(f"{path}: the header must be exactly {MAPPING_COLUMNS}")
     return with_file_order(raw).select(
