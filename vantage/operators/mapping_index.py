@@ -103,9 +103,15 @@ def bucket_assignment(mapping: DataFrame, num_buckets: int) -> DataFrame:
     joins the two on (size, rank).
     """
     if num_buckets <= 0:
-        raise ValueError("num_buckets must be > 0")
-    spark = mapping.sparkSession
-    sizes = viewpoint_sizes(mapping)
+        raise ValueError(f"{num_buckets} buckets cannot hold anything")
+    return assign_sizes(viewpoint_sizes(mapping), num_buckets)
+
+
+def assign_sizes(sizes: DataFrame, num_buckets: int) -> DataFrame:
+    """``bucket_assignment`` over (viewpoint_id, image_count); read twice."""
+    if num_buckets <= 0:
+        raise ValueError(f"{num_buckets} buckets cannot hold anything")
+    spark = sizes.sparkSession
     hist = [(r["image_count"], r["n"]) for r in
             sizes.groupBy("image_count").agg(F.count(F.lit(1)).alias("n")).collect()]
     plan = bucket_plan(hist, num_buckets)
@@ -136,26 +142,24 @@ def bucket_members(assignment: DataFrame) -> DataFrame:
     )
 
 
-def bucket_summary(assignment: DataFrame, num_buckets: int) -> DataFrame:
-    """Per bucket: viewpoint count, image count, sorted viewpoint ids; empty
-    buckets are kept with 0 and an empty list."""
-    spark = assignment.sparkSession
-    buckets = spark.range(num_buckets).select(F.col("id").cast("int").alias("bucket_id"))
+def bucket_totals(assignment: DataFrame, num_buckets: int) -> DataFrame:
+    """(bucket_id, viewpoint_count, image_count), empty buckets with 0."""
+    buckets = assignment.sparkSession.range(num_buckets).select(F.col("id").cast("int").alias("bucket_id"))
     totals = assignment.groupBy("bucket_id").agg(
         F.count(F.lit(1)).alias("viewpoint_count"), F.sum("image_count").alias("image_count")
     )
+    zero = F.lit(0).cast("long")
+    return buckets.join(totals, "bucket_id", "left").select(
+        "bucket_id", F.coalesce("viewpoint_count", zero).alias("viewpoint_count"), F.coalesce("image_count", zero).alias("image_count"))
+
+
+def bucket_summary(assignment: DataFrame, num_buckets: int) -> DataFrame:
+    """Per bucket: viewpoint count, image count, sorted viewpoint ids; empty
+    buckets are kept with 0 and an empty list."""
     lists = ordered_lists(bucket_members(assignment), ["bucket_id"], "viewpoint_id", "position", "viewpoint_ids")
     empty = F.array().cast(T.ArrayType(T.LongType()))
-    return (
-        buckets.join(totals, "bucket_id", "left")
-        .join(lists, "bucket_id", "left")
-        .select(
-            "bucket_id",
-            F.coalesce("viewpoint_count", F.lit(0).cast("long")).alias("viewpoint_count"),
-            F.coalesce("image_count", F.lit(0).cast("long")).alias("image_count"),
-            F.coalesce("viewpoint_ids", empty).alias("viewpoint_ids"),
-        )
-    )
+    return bucket_totals(assignment, num_buckets).join(lists, "bucket_id", "left").withColumn(
+        "viewpoint_ids", F.coalesce("viewpoint_ids", empty))
 
 
 def smoke_subset(mapping: DataFrame, max_viewpoints: int = SMOKE_MAX_VIEWPOINTS,

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.constants import PREVIEW_LIMIT
-from vantage.functions import json_list_text
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "emptyValue": ""}
 
@@ -34,21 +33,83 @@ def write_preview_jsonl(metrics: DataFrame, path: str, limit: int = PREVIEW_LIMI
     preview.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_grouped_jsonl(grouped: DataFrame, path: str) -> None:
-    grouped.orderBy("viewpoint_id").write.mode("overwrite").json(path)
+# --- lists of any length --------------------------------------------------
+#
+# A list is written in pieces of CHUNK_VALUES values, one row a piece, so no
+# row, buffer or task holds a whole list. The pieces of a key stand in one file
+# in order: they are sorted by (key, piece) in the task that streams them out.
 
+CHUNK_VALUES = 10_000
 
-def write_grouped_csv(grouped: DataFrame, path: str) -> None:
-    _csv(grouped.orderBy("viewpoint_id").select(
-        "viewpoint_id", "image_count", json_list_text("image_ids").alias("image_ids_json")), path)
 
+def list_pieces(members: DataFrame, key: str, value: str, chunk: int = CHUNK_VALUES) -> DataFrame:
+    """(key, piece, body): the values of each key, by ``position``, as JSON
+    text without the brackets, ``chunk`` values a row."""
+    rows = members.select(key, F.floor(F.col("position") / chunk).alias("piece"), "position", value)
+    lists = rows.groupBy(key, "piece").agg(F.sort_array(F.collect_list(F.struct("position", value))).alias("l"))
+    text = F.to_json(F.transform("l", lambda e: e[value]))
+    return lists.select(key, "piece", F.substring(text, F.lit(2), F.length(text) - 2).alias("body"))
 
-def write_bucket_files(assignment: DataFrame, summary: DataFrame, out_dir: str) -> None:
+
+def _laid_out(heads: DataFrame, pieces: DataFrame, key: str, count: str, chunk: int) -> DataFrame:
+    """The pieces with their key's columns, sorted; a key without values keeps
+    one empty piece. Adds ``first`` and ``last``."""
+    rows = heads.join(pieces, key, "left").select(
+        *heads.columns, F.coalesce("piece", F.lit(0)).alias("piece"), F.coalesce("body", F.lit("")).alias("body"))
+    rows = rows.withColumn("first", F.col("piece") == 0).withColumn(
+        "last", F.col("piece") >= F.floor((F.col(count) - 1) / chunk))
+    return rows.repartitionByRange(key).sortWithinPartitions(key, "piece")
+
+
+def write_list_jsonl(heads: DataFrame, members: DataFrame, key: str, value: str, count: str, field: str, path: str,
+                     chunk: int = CHUNK_VALUES) -> None:
+    """JSON lines: the columns of ``heads`` and the list ``field``. A blank
+    stands between pieces, also at the begin of a line, where JSON allows it."""
+    rows = _laid_out(heads, list_pieces(members, key, value, chunk), key, count, chunk)
+    head = F.to_json(F.struct(*heads.columns), {"ignoreNullFields": "false"})
+    begin = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(f',"{field}":['))
+    text = F.concat(F.when(F.col("first"), begin).otherwise(","), "body", F.when(F.col("last"), "]}\n").otherwise(""))
+    rows.select(text.alias("value")).write.mode("overwrite").option("lineSep", " ").text(path)
+
+
+def write_list_csv(heads: DataFrame, members: DataFrame, key: str, value: str, count: str, field: str, path: str,
+                   chunk: int = CHUNK_VALUES) -> None:
+    """CSV with the list as JSON text in its last column. A list of more than
+    ``chunk`` values goes on in a new line inside its quotes (read it with
+    ``multiLine``); all others stand in one line."""
+    rows = _laid_out(heads, list_pieces(members, key, value, chunk), key, count, chunk)
+    begin = F.concat(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in heads.columns]), F.lit(',"['))
+    body = F.replace("body", F.lit('"'), F.lit('""'))
+    text = F.concat(F.when(F.col("first"), begin).otherwise(","), body, F.when(F.col("last"), ']"').otherwise(""))
+    header = ",".join([*heads.columns, field])
+
+    def headed(batches):
+        import pyarrow as pa
+
+        for k, b in enumerate(batches):
+            if k == 0 and len(b):
+                yield pa.RecordBatch.from_arrays([pa.array([header], b.schema.field(0).type)], schema=b.schema)
+            yield b
+
+    rows.select(text.alias("value")).mapInArrow(headed, "value string").write.mode("overwrite").text(path)
+
+
+def write_grouped(ranks: DataFrame, sizes: DataFrame, out_dir: str, chunk: int = CHUNK_VALUES) -> None:
+    """Each viewpoint's ordered image list as JSON lines and as CSV, from the
+    numbered rows (``mapping_ranks``) and (viewpoint_id, image_count)."""
+    args = (sizes.select("viewpoint_id", "image_count"), ranks, "viewpoint_id", "image_id", "image_count")
+    write_list_jsonl(*args, "image_ids", f"{out_dir}/viewpoint_to_images_jsonl", chunk)
+    write_list_csv(*args, "image_ids_json", f"{out_dir}/viewpoint_to_images_csv", chunk)
+
+
+def write_bucket_files(assignment: DataFrame, totals: DataFrame, members: DataFrame, out_dir: str,
+                       chunk: int = CHUNK_VALUES) -> None:
+    """The assignment, and each bucket's totals with its viewpoint list, from
+    (bucket_id, viewpoint_count, image_count) and ``bucket_members``."""
     _csv(assignment.orderBy("bucket_id", "viewpoint_id").select("viewpoint_id", "bucket_id", "image_count"),
          f"{out_dir}/viewpoint_bucket_assignment")
-    _csv(summary.orderBy("bucket_id").select(
-        "bucket_id", "viewpoint_count", "image_count",
-        json_list_text("viewpoint_ids").alias("viewpoint_ids_json")), f"{out_dir}/bucket_summary")
+    write_list_csv(totals.select("bucket_id", "viewpoint_count", "image_count"), members, "bucket_id", "viewpoint_id",
+                   "viewpoint_count", "viewpoint_ids_json", f"{out_dir}/bucket_summary", chunk)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
