@@ -59,7 +59,7 @@ def test_mapping_index_and_smoke_jobs(spark, tmp_dir):
     facts = job.main(["mapping-index", "--input-csv", src, "--output-dir", f"{tmp_dir}/idx",
                       "--num-node-buckets", "3", "--shuffle-partitions", "8"])
     assert facts == {"rows": 40, "viewpoints": 5, "buckets": 3}
-    grouped = read_json_lines(f"{tmp_dir}/idx/viewpoint_to_images_jsonl/*.json")
+    grouped = read_json_lines(f"{tmp_dir}/idx/viewpoint_to_images_jsonl/part-*")
     assert grouped[0]["viewpoint_id"] == 0 and grouped[0]["image_ids"] == [str(i) for i in range(0, 40, 5)]
     summary = spark.read.option("header", "true").csv(f"{tmp_dir}/idx/bucket_summary").collect()
     assert sorted(int(r.viewpoint_count) for r in summary) == [1, 2, 2]

@@ -8,7 +8,9 @@
     spark-submit vantage/plans/job.py metrics --mapping-csv m.csv --tables tables/ --output-dir out/
     spark-submit vantage/plans/job.py decide --candidates-csv c.csv --events-csv e.csv --output-csv d/
     spark-submit vantage/plans/job.py near-duplicates --registry r/ --mapping-csv m.csv --images-dir d/ --output-csv o/
-    spark-submit vantage/plans/job.py review --candidates-csv c.csv [--decisions-csv d.csv]
+    spark-submit vantage/plans/job.py review --candidates-csv c.csv [--decisions-csv d.csv | --log log/]
+    spark-submit vantage/plans/job.py record --log log/ --pair 3 9 --decision merge
+    spark-submit vantage/plans/job.py compact --log log/
     spark-submit vantage/plans/job.py insight --metrics out/ --output-dir insight/ [--min-images 1 --max-entropy 5]
 
 Every run writes a manifest (one row per fact: configuration, row counts
@@ -18,9 +20,11 @@ collected by observations during the single pass, elapsed time).
 from __future__ import annotations
 
 import argparse
+import json
 import os
 import sys
 import time
+import uuid
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -29,7 +33,7 @@ from pyspark.sql import Observation, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from vantage import constants as K  # noqa: E402
-from vantage.session import build_session  # noqa: E402
+from vantage.session import build_session, scratch_path  # noqa: E402
 
 
 def _common(p: argparse.ArgumentParser) -> None:
@@ -86,12 +90,13 @@ def build_parser() -> argparse.ArgumentParser:
     n.add_argument("--output-csv", required=True)
     n.add_argument("--threshold", type=float, default=K.PAIR_THRESHOLD)
     n.add_argument("--max-candidates", type=int, default=K.MAX_CANDIDATES)
-    n.add_argument("--pivots", type=int, default=6, help="exact pivot pruning of the pair grid (0: off)")
+    n.add_argument("--pivots", type=int, default=64, help="pivots of a cell of the pair search (below 2: no cells)")
 
     r = sub.add_parser("review", help="check a decision file against its candidates; progress")
     _common(r)
     r.add_argument("--candidates-csv", required=True)
     r.add_argument("--decisions-csv", default=None, help="absent: nothing decided yet")
+    r.add_argument("--log", default=None, help="decision log instead of a decision file")
 
     d = sub.add_parser("decide", help="write decisions onto the candidates, in candidate order")
     _common(d)
@@ -100,6 +105,17 @@ def build_parser() -> argparse.ArgumentParser:
                    help="header viewpoint_id_a,viewpoint_id_b,merge_decision,notes; a later row of a pair wins")
     d.add_argument("--output-csv", required=True)
 
+    o = sub.add_parser("record", help="append one decision to a decision log")
+    _common(o)
+    o.add_argument("--log", required=True, help="folder of the decision log")
+    o.add_argument("--pair", type=int, nargs=2, required=True, metavar=("A", "B"))
+    o.add_argument("--decision", required=True, choices=["merge", "no_merge", "none"], help="none takes a decision back")
+    o.add_argument("--notes", default="")
+
+    k = sub.add_parser("compact", help="fold a decision log into its next snapshot")
+    _common(k)
+    k.add_argument("--log", required=True)
+
     i = sub.add_parser("insight", help="the tables behind the insight page")
     _common(i)
     i.add_argument("--metrics", required=True, help="metrics Parquet folder or JSON-lines file")
@@ -131,6 +147,23 @@ def write_manifest(spark: SparkSession, path: str, facts: dict) -> None:
     spark.createDataFrame(rows, "fact string, value string").coalesce(1).write.mode("overwrite").json(path)
 
 
+class Steps:
+    """The run's evidence step by step: one appended row per finished step and
+    attempt, so a rerun can be told from the run before it, and a run that
+    stopped shows how far it came."""
+
+    SCHEMA = "app_id string, attempt string, step string, rows long, seconds double, problems string"
+
+    def __init__(self, spark: SparkSession, args, path: str | None):
+        self.spark, self.t0 = spark, time.time()
+        self.path = f"{path or args.manifest_dir}_steps"
+        self.attempt = time.strftime("%Y%m%dT%H%M%S", time.gmtime(self.t0)) + f"-{uuid.uuid4().hex[:6]}"
+
+    def done(self, step: str, rows: int, **problems: int) -> None:
+        row = [(self.spark.sparkContext.applicationId, self.attempt, step, int(rows), round(time.time() - self.t0, 3), json.dumps(problems))]
+        self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
+
+
 def run_metrics(args) -> dict:
     from vantage.operators import metrics as M
     from vantage.operators.normalize import normalize_annotations, normalize_categories, normalize_images
@@ -143,8 +176,7 @@ def run_metrics(args) -> dict:
     if args.tables:
         images, anns, cats = read_staged(spark, args.tables)
     elif args.train_json and args.val_json:
-        images, anns, cats = read_coco_splits(spark, {"train": args.train_json, "val": args.val_json},
-                                              partitions=args.shuffle_partitions)
+        images, anns, cats = read_coco_splits(spark, {"train": args.train_json, "val": args.val_json})
     else:
         raise SystemExit("metrics needs --tables, or --train-json and --val-json")
     obs = {k: Observation(k) for k in ("mapping", "joined", "images", "viewpoints")}
@@ -167,55 +199,69 @@ def run_metrics(args) -> dict:
     return facts
 
 
+def kept(df, name: str):
+    """``df`` written once to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_mapping_index(args) -> dict:
     from vantage.operators import mapping_index as MI
+    from vantage.operators.checks import RuleCounters
     from vantage.sources.mapping import read_mapping_trimmed
-    from vantage.sources.sinks import write_bucket_files, write_grouped_csv, write_grouped_jsonl
+    from vantage.sources.sinks import write_bucket_files, write_grouped
 
     spark = session_for(args)
-    mapping = read_mapping_trimmed(spark, args.input_csv)
-    grouped = MI.grouped_mapping(mapping)
+    steps = Steps(spark, args, f"{args.output_dir.rstrip('/')}_manifest" if args.manifest_dir is None else None)
+    read = RuleCounters("mapping", {"no image id": F.col("image_id").isNull(), "no viewpoint id": F.col("viewpoint_id").isNull()})
+    mapping = kept(read.watch(read_mapping_trimmed(spark, args.input_csv)), "mapping")
+    steps.done("mapping", read.rows, **read.broken())
+    sized = RuleCounters("sizes", {})
+    sizes = kept(sized.watch(MI.viewpoint_sizes(mapping)), "sizes")
+    steps.done("viewpoints", sized.rows)
     out = args.output_dir.rstrip("/")
-    write_grouped_jsonl(grouped, f"{out}/viewpoint_to_images_jsonl")
-    write_grouped_csv(grouped, f"{out}/viewpoint_to_images_csv")
-    assignment = MI.bucket_assignment(mapping, args.num_node_buckets)
-    write_bucket_files(assignment, MI.bucket_summary(assignment, args.num_node_buckets), out)
-    facts = {"rows": mapping.count(), "viewpoints": grouped.select("viewpoint_id").distinct().count(),
-             "buckets": args.num_node_buckets}
+    write_grouped(MI.mapping_ranks(mapping), sizes, out)
+    steps.done("grouped", sized.rows)
+    dealt = RuleCounters("assignment", {"no bucket": F.col("bucket_id").isNull()})
+    assignment = kept(dealt.watch(MI.assign_sizes(sizes, args.num_node_buckets)), "assignment")
+    steps.done("assignment", dealt.rows, **dealt.broken())
+    write_bucket_files(assignment, MI.bucket_totals(assignment, args.num_node_buckets), MI.bucket_members(assignment), out)
+    facts = {"rows": read.rows, "viewpoints": sized.rows, "buckets": args.num_node_buckets}
+    steps.done("buckets", args.num_node_buckets)
     write_manifest(spark, args.manifest_dir or f"{out}/_manifest", facts)
     return facts
 
 
 def run_smoke(args) -> dict:
     from vantage.operators import mapping_index as MI
+    from vantage.operators.checks import RuleCounters
     from vantage.sources.mapping import read_mapping_trimmed
     from vantage.sources.sinks import write_mapping_csv
 
     spark = session_for(args)
     subset = MI.smoke_subset(read_mapping_trimmed(spark, args.input_csv), args.max_viewpoints, args.max_images)
-    write_mapping_csv(subset, args.output_csv)
-    return {"rows": subset.count()}
+    seen = RuleCounters("smoke", {})
+    write_mapping_csv(seen.watch(subset.orderBy("seq")), args.output_csv)
+    return {"rows": seen.rows}
 
 
 def run_stage(args) -> dict:
-    from vantage.operators.checks import enforce
-    from vantage.operators.dataset_index import check_bboxes
-    from vantage.operators.normalize import normalize_annotations
-    from vantage.sources.coco import read_staged, stage_coco
+    from vantage.sources.coco import stage_coco
 
     spark = session_for(args)
-    stage_coco(spark, {"train": args.train_json, "val": args.val_json}, args.output_dir, args.shuffle_partitions)
-    images, anns, cats = read_staged(spark, args.output_dir)
-    boxed = anns.where(F.col("bbox").isNotNull())
-    enforce(check_bboxes(normalize_annotations(boxed)), "a box is not a list of four numbers")
-    return {"images": images.count(), "annotations": anns.count(), "categories": cats.count()}
+    t0 = time.time()
+    facts = stage_coco(spark, {"train": args.train_json, "val": args.val_json}, args.output_dir, strict=True)
+    write_manifest(spark, args.manifest_dir or f"{args.output_dir.rstrip('/')}_manifest",
+                   {**facts, "elapsed_s": round(time.time() - t0, 2)})
+    return facts
 
 
 def run_near_duplicates(args) -> dict:
     from vantage.operators import mapping_index as MI
     from vantage.operators import review as R
     from vantage.operators import similarity as S
-    from vantage.operators.checks import require_nonempty
+    from vantage.operators.checks import RuleCounters, require_nonempty
     from vantage.session import scratch_path
     from vantage.sources.files import image_path_map
     from vantage.sources.mapping import read_mapping_strict
@@ -227,15 +273,19 @@ def run_near_duplicates(args) -> dict:
     mapping = read_mapping_strict(spark, args.mapping_csv)
     require_nonempty(mapping, "the mapping")
     found = scratch_path(spark, "near-duplicates")  # the search runs once
-    S.similar_pairs(registry, args.threshold, pivots=args.pivots).write.parquet(found)
+    search = S.search_pairs(registry, args.threshold, pivots=args.pivots)
+    counted = RuleCounters("pairs", {"a pair out of order": F.col("id_a") >= F.col("id_b")})
+    counted.watch(search.pairs).write.parquet(found)
+    counted.enforce("similar pairs")
     every = spark.read.parquet(found)
-    total = every.count()
+    total = counted.rows
     pairs = every if args.max_candidates <= 0 else S.top_candidate_pairs(every, args.max_candidates)
     rows = R.pairs_with_images(pairs, MI.representative_image(mapping), image_path_map(spark, args.images_dir), strict=True)
     R.write_pair_csv(rows, args.output_csv)
-    kept = total if args.max_candidates <= 0 else min(total, args.max_candidates)
-    facts = {"pairs": kept, "left_out": total - kept}
-    write_manifest(spark, args.manifest_dir or f"{args.output_csv.rstrip('/')}_manifest", facts)
+    taken = total if args.max_candidates <= 0 else min(total, args.max_candidates)
+    facts = {"pairs": taken, "left_out": total - taken}
+    write_manifest(spark, args.manifest_dir or f"{args.output_csv.rstrip('/')}_manifest",
+                   {**facts, "vectors_compared": search.compared(registry.count())})
     return facts
 
 
@@ -257,18 +307,35 @@ def run_decide(args) -> dict:
 def run_review(args) -> dict:
     from vantage.operators import review as R
     from vantage.operators.checks import enforce
+    from vantage.sources import decision_log as L
 
     spark = session_for(args)
     candidates = R.read_pair_csv(spark, args.candidates_csv)
     decided = candidates
     if args.decisions_csv:
         decisions = R.read_pair_csv(spark, args.decisions_csv)
-        enforce(R.check_alignment(candidates, decisions), "Decision file does not match the candidates")
+        enforce(R.check_alignment(candidates, decisions), "the decisions do not line up with the candidates")
         decided = decisions
+    elif args.log:
+        enforce(L.unknown_pairs(candidates, args.log), "the log decides a pair that is no candidate")
+        decided = L.decided(candidates, args.log)
     progress = R.review_progress(decided).first().asDict()
     return {k: int(v) for k, v in progress.items()}
 
 
+def run_record(args) -> dict:
+    from vantage.sources import decision_log as L
+
+    decision = "" if args.decision == "none" else args.decision
+    return {"recorded": L.record(session_for(args), args.log, [(*args.pair, decision, args.notes)])}
+
+
+def run_compact(args) -> dict:
+    from vantage.sources import decision_log as L
+
+    return {"snapshot": L.compact(session_for(args), args.log)}
+
+
 def run_insight(args) -> dict:
     from vantage.operators import insight as I
     from vantage.sources.sinks import write_table
@@ -301,6 +368,8 @@ COMMANDS = {
     "near-duplicates": run_near_duplicates,
     "review": run_review,
     "decide": run_decide,
+    "record": run_record,
+    "compact": run_compact,
     "insight": run_insight,
 }
 
