@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from vantage.functions import MASK_PADDING, mask_rect
 from vantage.operators.normalize import split_rank
 from vantage.operators.checks import check_duplicates, check_unmatched, enforce
-from vantage.operators.ranking import rank_within_groups
+from vantage.operators.ranking import rank_mostly_small, rank_within_groups
 
 BBOX = T.ArrayType(T.DoubleType())
 
@@ -45,7 +45,7 @@ def image_box_rows(images: DataFrame, annotations: DataFrame, strict: bool = Tru
     annotations = sound_boxes(annotations) if strict else annotations
     key = ["split", "coco_image_id"] if "split" in annotations.columns else ["coco_image_id"]
     boxes = annotations.select(*key, "pos", "annotation_id", F.col("bbox").cast(BBOX).alias("bbox"))
-    ranked = rank_within_groups(boxes, key, ["pos", "annotation_id", "bbox"], out="position")
+    ranked = rank_mostly_small(boxes, key, ["pos", "annotation_id", "bbox"], out="position")
     return images.select("split", "coco_image_id", "image_id").join(ranked, key).select(
         "split", "coco_image_id", "image_id", "position", "bbox"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vantage.schemas import METRIC_NUMERIC_COLUMNS, METRICS_JSONL_TEXT
+from vantage.session import scratch_path
 
 INTEGER_METRICS = ("viewpoint_id", "total_images", "total_vehicles")
 
@@ -66,6 +67,9 @@ def congestion_histogram(df: DataFrame, bins: int = 40, column: str = "congestio
     """``bins`` equal-width bins over [min, max]; the max falls in the last bin,
     a constant column puts every row in bin 1; empty bins are kept."""
     spark = df.sparkSession
+    path = scratch_path(spark, "histogram")  # the input runs once; its one column is read twice
+    df.select(column).write.parquet(path)
+    df = spark.read.schema(df.select(column).schema).parquet(path)
     stats = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
     bin_ids = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     lo, hi = stats["lo"], stats["hi"]

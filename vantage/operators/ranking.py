@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.operators.util import broadcast_if_small
-from vantage.session import checkpoint_root
+from vantage.session import checkpoint_root, scratch_path
 
 
 def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
@@ -44,6 +44,26 @@ def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[st
     )
 
 
+def rank_mostly_small(df: DataFrame, group_cols: list[str], order_cols: list[str | Column], out: str = "rank",
+                      most: int = 100_000) -> DataFrame:
+    """``rank_within_groups`` for groups that are nearly all small: a window
+    inside each group of at most ``most`` rows (one exchange, nothing written),
+    the distributed rank only for the groups above that."""
+    spark = df.sparkSession
+    large = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(*group_cols)
+    path = scratch_path(spark, "large-groups")
+    large.write.parquet(path)
+    large = spark.read.schema(large.schema).parquet(path)
+    inside = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    number = (F.row_number().over(inside) - 1).cast("long")
+    if large.isEmpty():
+        return df.withColumn(out, number)
+    large = broadcast_if_small(large)
+    small = df.join(large, group_cols, "left_anti").withColumn(out, number)
+    ranked = rank_within_groups(df.join(large, group_cols, "left_semi"), group_cols, order_cols, out)
+    return small.unionByName(ranked)
+
+
 def ordered_lists(ranked: DataFrame, group_cols: list[str], value: str, rank: str = "rank",
                   out: str = "values") -> DataFrame:
     """The values of each group as one array in rank order: one row per group,

@@ -525,3 +525,8 @@ QUERIES: dict[str, Query] = {
     "pair_csv_rows": q_pair_csv_rows,
     "viewpoint_ids": q_viewpoint_ids,
 }
+
+
+from vantage.plans.round_trips import QUERIES as ROUND_TRIPS  # noqa: E402  (it reads the tables above)
+
+QUERIES.update(ROUND_TRIPS)

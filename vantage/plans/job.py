@@ -154,9 +154,9 @@ class Steps:
 
     SCHEMA = "app_id string, attempt string, step string, rows long, seconds double, problems string"
 
-    def __init__(self, spark: SparkSession, args, path: str | None):
+    def __init__(self, spark: SparkSession, manifest: str):
         self.spark, self.t0 = spark, time.time()
-        self.path = f"{path or args.manifest_dir}_steps"
+        self.path = f"{manifest.rstrip('/')}_steps"
         self.attempt = time.strftime("%Y%m%dT%H%M%S", time.gmtime(self.t0)) + f"-{uuid.uuid4().hex[:6]}"
 
     def done(self, step: str, rows: int, **problems: int) -> None:
@@ -206,14 +206,14 @@ def kept(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def run_mapping_index(args) -> dict:
+def run_mapping_index(args, spark: SparkSession | None = None) -> dict:
     from vantage.operators import mapping_index as MI
     from vantage.operators.checks import RuleCounters
     from vantage.sources.mapping import read_mapping_trimmed
     from vantage.sources.sinks import write_bucket_files, write_grouped
 
-    spark = session_for(args)
-    steps = Steps(spark, args, f"{args.output_dir.rstrip('/')}_manifest" if args.manifest_dir is None else None)
+    spark = spark or session_for(args)
+    steps = Steps(spark, args.manifest_dir or f"{args.output_dir.rstrip('/')}/_manifest")
     read = RuleCounters("mapping", {"no image id": F.col("image_id").isNull(), "no viewpoint id": F.col("viewpoint_id").isNull()})
     mapping = kept(read.watch(read_mapping_trimmed(spark, args.input_csv)), "mapping")
     steps.done("mapping", read.rows, **read.broken())
@@ -240,9 +240,11 @@ def run_smoke(args) -> dict:
     from vantage.sources.sinks import write_mapping_csv
 
     spark = session_for(args)
+    steps = Steps(spark, args.manifest_dir or f"{args.output_csv.rstrip('/')}_manifest")
     subset = MI.smoke_subset(read_mapping_trimmed(spark, args.input_csv), args.max_viewpoints, args.max_images)
     seen = RuleCounters("smoke", {})
     write_mapping_csv(seen.watch(subset.orderBy("seq")), args.output_csv)
+    steps.done("smoke", seen.rows)
     return {"rows": seen.rows}
 
 
@@ -251,7 +253,10 @@ def run_stage(args) -> dict:
 
     spark = session_for(args)
     t0 = time.time()
+    steps = Steps(spark, args.manifest_dir or f"{args.output_dir.rstrip('/')}_manifest")
     facts = stage_coco(spark, {"train": args.train_json, "val": args.val_json}, args.output_dir, strict=True)
+    for name, rows in facts.items():
+        steps.done(name, rows)
     write_manifest(spark, args.manifest_dir or f"{args.output_dir.rstrip('/')}_manifest",
                    {**facts, "elapsed_s": round(time.time() - t0, 2)})
     return facts

@@ -421,4 +421,54 @@ LEFT JOIN rep ra ON ra.viewpoint_id = p.viewpoint_id_a LEFT JOIN paths pa ON pa.
 LEFT JOIN rep rb ON rb.viewpoint_id = p.viewpoint_id_b LEFT JOIN paths pb ON pb.image_id = rb.image_id"""),
     "viewpoint_ids": _with(ALL_METRICS + "," + FILTERED, """
 SELECT viewpoint_id FROM filt"""),
+    "registry_round_trip": """
+SELECT label AS viewpoint_id, count(*) + 1 AS count, 64 AS dims, CAST(1.0 AS DOUBLE) AS norm,
+       CAST((SELECT count(*) FROM embeddings) AS BIGINT) AS last_index
+FROM embeddings GROUP BY label""",
+    "decision_log": _with(",".join([VECTORS, PAIRS]), """,
+dec AS (SELECT CASE WHEN viewpoint_id_a % 2 = 0 THEN '' WHEN (viewpoint_id_a + viewpoint_id_b) % 2 = 0 THEN 'merge'
+               ELSE 'no_merge' END AS merge_decision,
+               row_number() OVER (ORDER BY sim DESC, viewpoint_id_a, viewpoint_id_b) - 1 AS seq
+        FROM pairs)
+SELECT count(*) AS total, count(*) FILTER (WHERE merge_decision = 'merge') AS merge,
+       count(*) FILTER (WHERE merge_decision = 'no_merge') AS no_merge,
+       count(*) FILTER (WHERE merge_decision = '') AS undecided,
+       coalesce(min(seq) FILTER (WHERE merge_decision = ''), count(*)) AS resume_index
+FROM dec"""),
+    "coco_images": _with(IMAGES, """
+SELECT split, coco_image_id, file_name, image_id, round(image_area, 6) AS image_area FROM images_v"""),
+    "mapping_csv": _with(MAPPING, """
+SELECT image_id, viewpoint_id, row_number() OVER (ORDER BY seq) - 1 AS seq FROM map_v"""),
+    "metrics_parquet": _with(ALL_METRICS, """
+SELECT row_number() OVER (ORDER BY viewpoint_id) - 1 AS place, viewpoint_id, total_vehicles FROM metrics"""),
+    "image_listing": "SELECT CAST(n_nationkey AS BIGINT) AS nation, CAST(1 AS BIGINT) AS files FROM nation",
+    "write_pass_checks": """
+SELECT unnest(['rows', 'box is not four numbers', 'box without area', 'no image', 'odd category']) AS rule,
+       unnest([n, short, flat, lost, odd]) AS rows
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE (l_orderkey * 8 + l_linenumber) % 8 = 7) AS short,
+             count(*) FILTER (WHERE l_quantity <= 0) AS flat, count(*) FILTER (WHERE l_orderkey IS NULL) AS lost,
+             count(*) FILTER (WHERE l_partkey % 2 = 1) AS odd FROM lineitem)""",
+    "job_steps": f"""
+SELECT unnest(['mapping', 'viewpoints', 'grouped', 'assignment', 'buckets']) AS step,
+       unnest([n, v, v, v, {NUM_BUCKETS}]) AS rows, '{{}}' AS problems
+FROM (SELECT count(*) AS n, count(DISTINCT o_custkey) AS v FROM orders)""",
+    "clustered_join": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + """
+SELECT viewpoint_id, bucket_id, image_count AS images FROM assign""",
 }
+
+# The same tables by way of files.
+SQL["coco_metrics"] = SQL["image_metrics"]
+SQL["grouped_files"] = SQL["grouped_mapping"]
+SQL["bucket_files"] = SQL["bucket_summary"]
+SQL["pair_files"] = _with(",".join([IMAGES, MAPPING, VECTORS, PAIRS]), """,
+rep AS (SELECT viewpoint_id, arg_min(image_id, seq) AS image_id FROM map_v GROUP BY viewpoint_id),
+paths AS (SELECT image_id, file_name AS path FROM images_v)
+SELECT p.viewpoint_id_a, ra.image_id AS image_id_a, pa.path AS image_path_a,
+       p.viewpoint_id_b, rb.image_id AS image_id_b, pb.path AS image_path_b,
+       CAST(printf('%.6f', p.sim) AS DOUBLE) AS centroid_similarity,
+       CASE (viewpoint_id_a + viewpoint_id_b) % 3 WHEN 0 THEN 'merge' WHEN 1 THEN 'no_merge' ELSE '' END
+         AS merge_decision, '' AS notes,
+       row_number() OVER (ORDER BY sim DESC, viewpoint_id_a, viewpoint_id_b) - 1 AS seq
+FROM pairs p
+LEFT JOIN rep ra ON ra.viewpoint_id = p.viewpoint_id_a LEFT JOIN paths pa ON pa.image_id = ra.image_id
+LEFT JOIN rep rb ON rb.viewpoint_id = p.viewpoint_id_b LEFT JOIN paths pb ON pb.image_id = rb.image_id""")

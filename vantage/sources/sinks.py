@@ -112,6 +112,38 @@ def write_bucket_files(assignment: DataFrame, totals: DataFrame, members: DataFr
                    "viewpoint_count", "viewpoint_ids_json", f"{out_dir}/bucket_summary", chunk)
 
 
+def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame, path: str, documents: int = 1) -> None:
+    """Raw COCO tables as JSON documents, one file in each folder
+    ``document=<n>``: images and their annotations are dealt by image id, the
+    categories are in every document. Elements follow ``pos``; null fields are
+    left out. A document is streamed by one task."""
+    fields = lambda df: F.to_json(F.struct(*[c for c in df.columns if c != "pos"]))
+    deal = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(documents)).cast("int").alias("document")
+    each = F.explode(F.sequence(F.lit(0), F.lit(documents - 1))).alias("document")
+    rows = images.select(deal("id"), F.lit(0).alias("section"), "pos", fields(images).alias("value"))
+    rows = rows.unionByName(annotations.select(deal("image_id"), F.lit(1).alias("section"), "pos", fields(annotations).alias("value")))
+    rows = rows.unionByName(categories.select(each, F.lit(2).alias("section"), "pos", fields(categories).alias("value")))
+    # the frame of each document: its begin, the steps between sections, its end
+    frame = images.sparkSession.createDataFrame(
+        [(0, '{"images": ['), (1, '], "annotations": ['), (2, '], "categories": ['), (3, "]}")], "section int, value string")
+    rows = rows.unionByName(frame.select(each, "section", F.lit(-1).cast("long").alias("pos"), "value"))
+
+    def commas(batches):
+        import pyarrow as pa
+
+        last = None
+        for b in batches:
+            out = []
+            for document, section, pos, value in zip(*(c.to_pylist() for c in b.columns)):
+                out.append(("," if pos >= 0 and last == (document, section) else "") + value)
+                last = (document, section) if pos >= 0 else None
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["document", "value"])
+
+    laid = rows.repartition(documents, "document").sortWithinPartitions("document", "section", "pos", "value")
+    laid.select("document", "section", "pos", "value").mapInArrow(commas, "document int, value string") \
+        .write.mode("overwrite").partitionBy("document").text(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
