@@ -68,3 +68,19 @@ def test_clean_keeps_other_columns(spark):
     assert Q.clean(docs).columns == docs.columns
     kept = {r.doc_id for r in Q.verdicts(docs).collect() if r.kept}
     assert {r.doc_id for r in Q.clean(docs).collect()} == kept
+
+
+def test_page_furniture_in_every_language():
+    r = Q.LineRules()
+    fails = lambda s: Q.line_fails(s.encode(), s.encode().split(), r)
+    for line in (
+        "Cookies akzeptieren um diese Seite zu nutzen.", "DATENSCHUTZERKLÄRUNG lesen Sie bitte hier.", "Tous droits réservés par la maison.",
+        "Lisez notre Politique de Confidentialité avant tout.", "Esta página utiliza cookies para todo.", "TÉRMINOS Y CONDICIONES de la casa entera.",
+        "Startseite Kontakt Impressum Anmelden", "Home Contact About Login", "Accueil Contact Connexion Aide", "Inicio Contacto Aviso Legal",
+    ):
+        assert fails(line), line
+    for line in (
+        "Die Startseite ist heute neu gestaltet", "Kontakt Impressum Anmelden Hilfe.", "we contact about ten people at home",
+        "Les conditions sont bonnes pour la pêche.", "Los términos de la carta son claros.",
+    ):
+        assert not fails(line), line

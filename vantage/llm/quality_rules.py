@@ -26,19 +26,35 @@ from vantage.llm.shared import slices
 
 SYMBOLS = b"#*$%&|<>"
 
-# Phrases that mark page furniture (fixed values, lower case).
-BOILERPLATE = (
-    b"accept cookies",
-    b"all rights reserved",
-    b"cookie policy",
-    b"enable javascript",
-    b"lorem ipsum",
-    b"privacy policy",
-    b"skip to content",
-    b"terms of service",
-    b"terms of use",
-    b"uses cookies",
-)
+# Phrases that mark page furniture, by language (fixed values, lower case).
+BOILERPLATE_BY_LANGUAGE = {
+    "en": (
+        "accept cookies", "all rights reserved", "cookie policy", "enable javascript", "lorem ipsum", "privacy policy",
+        "skip to content", "terms of service", "terms of use", "uses cookies",
+    ),
+    "de": (
+        "cookies akzeptieren", "alle rechte vorbehalten", "cookie-richtlinie", "javascript aktivieren", "datenschutzerklärung",
+        "zum inhalt springen", "allgemeine geschäftsbedingungen", "nutzungsbedingungen", "verwendet cookies",
+    ),
+    "fr": (
+        "accepter les cookies", "tous droits réservés", "politique de cookies", "activer javascript", "politique de confidentialité",
+        "aller au contenu", "conditions générales", "conditions d'utilisation", "utilise des cookies",
+    ),
+    "es": (
+        "aceptar cookies", "aceptar las cookies", "todos los derechos reservados", "política de cookies", "activar javascript",
+        "política de privacidad", "saltar al contenido", "términos del servicio", "términos y condiciones", "utiliza cookies",
+    ),
+}
+BOILERPLATE = tuple(p.encode() for own in BOILERPLATE_BY_LANGUAGE.values() for p in own)
+# Words of navigation bars, by language (fixed values, lower case). A line
+# without closing punctuation that consists of them is one.
+NAVIGATION_BY_LANGUAGE = {
+    "en": ("home", "contact", "about", "login", "register", "search", "menu", "imprint", "sitemap", "help"),
+    "de": ("startseite", "kontakt", "impressum", "anmelden", "registrieren", "suche", "menü", "datenschutz", "hilfe"),
+    "fr": ("accueil", "contact", "connexion", "inscription", "recherche", "menu", "mentions", "légales", "aide"),
+    "es": ("inicio", "contacto", "acceder", "registrarse", "buscar", "menú", "aviso", "legal", "ayuda"),
+}
+NAVIGATION = frozenset(w.encode() for own in NAVIGATION_BY_LANGUAGE.values() for w in own)
 TERMINAL = (".", "!", "?", ":", ";", '"', "'", ")", "»", "”", "’", "…", "。", "！", "？")
 
 
@@ -87,10 +103,12 @@ def line_fails(line: bytes, words: list[bytes], rules: LineRules) -> bool:
         same = sum(map(bytes.__eq__, words, words[1:]))
         if same > rules.repeats_per_word * n:
             return True
-    if n <= rules.nav_words and not words[-1].decode().endswith(TERMINAL):
-        return True
     if n <= rules.boilerplate_words:
-        low = line.lower()
+        low = line if line.isascii() else line.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass")
+        low = low.lower()
+        navigation = n <= rules.nav_words or NAVIGATION.issuperset(low.split())
+        if navigation and not words[-1].decode("utf-8", "surrogatepass").endswith(TERMINAL):
+            return True
         return any(p in low for p in BOILERPLATE)
     return False
 

@@ -72,9 +72,20 @@ lines AS (
            OR (len(words) >= 5 AND len(regexp_replace(line, '[^!]', '', 'g')) > 0.5 * len(words))
            OR (len(words) >= 6 AND
                len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) > 0.25 * len(words))
-           OR (len(words) <= 3 AND NOT regexp_matches(words[-1], '[.!?:;"''\\)»”’…。！？]$'))
+           OR (len(words) <= 25 AND NOT regexp_matches(words[-1], '[.!?:;"''\\)»”’…。！？]$') AND
+               (len(words) <= 3 OR len(list_filter(words, lambda w: NOT list_contains(['home', 'contact', 'about', 'login', 'register', 'search', 'menu', 'imprint', 'sitemap',
+               'help', 'startseite', 'kontakt', 'impressum', 'anmelden', 'registrieren', 'suche', 'menü', 'datenschutz',
+               'hilfe', 'accueil', 'connexion', 'inscription', 'recherche', 'mentions', 'légales', 'aide', 'inicio',
+               'contacto', 'acceder', 'registrarse', 'buscar', 'menú', 'aviso', 'legal', 'ayuda'], lower(w)))) = 0))
            OR (len(words) <= 25 AND regexp_matches(lower(line),
-               'accept cookies|all rights reserved|cookie policy|enable javascript|lorem ipsum|privacy policy|skip to content|terms of service|terms of use|uses cookies'))
+               'accept cookies|all rights reserved|cookie policy|enable javascript|lorem ipsum'
+               || '|privacy policy|skip to content|terms of service|terms of use|uses cookies'
+               || '|cookies akzeptieren|alle rechte vorbehalten|cookie-richtlinie|javascript aktivieren|datenschutzerklärung'
+               || '|zum inhalt springen|allgemeine geschäftsbedingungen|nutzungsbedingungen|verwendet cookies|accepter les cookies'
+               || '|tous droits réservés|politique de cookies|activer javascript|politique de confidentialité|aller au contenu'
+               || '|conditions générales|conditions d''utilisation|utilise des cookies|aceptar cookies|aceptar las cookies'
+               || '|todos los derechos reservados|política de cookies|activar javascript|política de privacidad|saltar al contenido'
+               || '|términos del servicio|términos y condiciones|utiliza cookies'))
          ) AS fails
   FROM lines
 ), per_line AS (
