@@ -13,8 +13,18 @@ from vantage.llm import exact_dedup, mixing, packing, quality_rules, simhash
 from vantage.llm.shared import documents, written
 
 
+# Text goes to Python in Arrow batches of about this size. Spark's own bound is a
+# number of rows, which is memory without bound where texts are long.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines go, and documents that lose too much or fail the base limits."""
+    small_batches(spark)
     return quality_rules.clean(docs)
 
 
@@ -25,6 +35,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays (three-word shingles, three bits)."""
+    small_batches(spark)
     return simhash.one_per_group(docs, simhash.SimHashConfig(shingle_words=3, max_bits=3))
 
 
@@ -36,6 +47,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences of at most 2,048 ids. The word cache is half
     the usual size: workers keep it while other stages run."""
+    small_batches(spark)
     return packing.pack(docs, packing.PackConfig(cache_words=500_000))
 
 
