@@ -81,3 +81,10 @@ def test_null_and_repeated_ids(spark):
     out = L.identify(table(spark, rows()), cfg=CFG)
     assert out.count() == len(rows())
     assert out.where(F.col("doc_id").isNull()).first().held_out is True
+
+
+def test_training_words_come_from_the_whole_text():
+    words = [b"a"] * 500 + [b"b"] * 500
+    some = L.spread_words(words, 40)
+    assert len(some) == 40 and some.count(b"a") == 20
+    assert L.spread_words(words[:30], 40) == words[:30]

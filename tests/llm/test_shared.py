@@ -68,3 +68,17 @@ def test_numbered_words():
     words, at = numbered_words([b"a b\ta", b"", b" c\x0b a "])
     assert [words[i] for i in at] == [b"a", b"b", b"a", END, END, b"c", b"a", END]
     assert numbered_words([])[1].tolist() == []
+
+
+def test_spread_text(spark):
+    from vantage.llm.shared import spread_text
+
+    words = " ".join(f"w{i}" for i in range(1000))
+    rows = spark.createDataFrame([("short one",), (words,), ("x" * 5000,), ("",), (None,)], "t string")
+    got = [r[0] for r in rows.select(spread_text("t", 80)).collect()]
+    assert got[0] == "short one" and got[3] == "" and got[4] is None
+    picked = got[1].split()
+    assert set(picked) <= set(words.split()) and picked[0] == "w0" and picked[-1] == "w999"
+    places = [int(w[1:]) for w in picked]
+    assert places == sorted(places) and max(b - a for a, b in zip(places, places[1:])) < 200 and len(got[1]) <= 88
+    assert len(got[2]) <= 88

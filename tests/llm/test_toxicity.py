@@ -114,3 +114,41 @@ def test_best_threshold():
     x, y = np.array([0.1, 0.4, 0.6, 0.9]), np.array([0, 0, 1, 1])
     assert np.isclose(X.best_threshold(x, y), 0.5)
     assert X.best_threshold(np.array([1.0, 1.0]), np.array([1, 0])) < 1
+
+
+def test_best_cut():
+    bins, label, n = np.array([-9, -2, 3, 7, 7]), np.array([0, 0, 1, 1, 0]), np.array([50, 4, 6, 9, 1])
+    assert X.best_cut(bins, label, n) == 1.0  # between bin -2 and bin 3
+    f1 = lambda c: 2 * (n * label)[bins >= c].sum() / (n[bins >= c].sum() + (n * label).sum())
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        bins, label, n = rng.integers(-9, 9, 12), rng.integers(0, 2, 12), rng.integers(1, 9, 12)
+        if label.any():
+            best = max(f1(c) for c in range(-9, 10))
+            assert np.isclose(f1(X.best_cut(bins, label, n)), best)
+
+
+def test_thresholds_follow_all_labelled_rows_of_the_fold(spark):
+    """The cut is that of the whole fold, not of the class-balanced sample."""
+    rng = np.random.default_rng(4)
+    toxic = rng.random(4000) < 0.05
+    logit = rng.normal(size=4000) + 2.5 * toxic
+    logits = spark.createDataFrame([(i, float(x), 0) for i, x in enumerate(logit)], "doc_id long, logit double, guess int")
+    labels = label_table(spark, [(i, 1, int(t)) for i, t in enumerate(toxic)])
+    own = X._start(CFG)
+    own.languages, own.threshold = 1, [0.0, 0.0]
+    cut = X.calibrate(logits, labels, own)[0]
+    mine = np.array([r.doc_id for r in logits.where(X.fold() == CFG.calibration_fold).collect()])
+    f1 = lambda c: 2 * (toxic[mine] & (logit[mine] >= c)).sum() / ((logit[mine] >= c).sum() + toxic[mine].sum())
+    assert f1(cut) > max(f1(c) for c in np.arange(-2, 5, 1 / 64)) - 0.01
+    assert X.calibrate(logits, labels.limit(0), own) == [0.0, 0.0]
+
+
+def test_long_texts_are_trained_on_where_short_ones_lack(spark):
+    data, labels = corpus(120)
+    long = [(i, t + " padding" * 40, *more) for i, t, *more in data]
+    cfg = X.ToxicityConfig(**{**CFG.__dict__, "train_chars": 200})
+    got = X.sample(table(spark, long), label_table(spark, labels), cfg)
+    assert sum(y for *_, y, _ in got) > 15 and all(len(t) <= 200 + 8 for t, *_ in got)
+    cut = X.ToxicityConfig(**{**CFG.__dict__, "train_rows": 10})
+    assert len(X.sample(table(spark, data), label_table(spark, labels), cut)) < 50

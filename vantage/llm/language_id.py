@@ -9,9 +9,10 @@ label with the largest expected share of its words, and that share the score.
 
 Training maximises the likelihood of word sequences put together from training
 documents, switching between languages, with AdaGrad on exact gradients. It
-takes a bounded sample of rows (``train_docs`` per language, ``train_words``
-words of each); scoring covers every word of every text, in chains of at most
-``chain_words`` words.
+takes a bounded sample of rows (``train_docs`` per language, of each at most
+``train_words`` words in runs spread over the whole text, at most ``max_langs``
+languages, more are an error); scoring covers every word of every text, in
+chains of at most ``chain_words`` words.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 words without a letter are left out of the chains; repeated rows and ids are
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.shared import fold, hashed_share, numbered_words, text_blocks
+from vantage.llm.shared import fold, hashed_share, numbered_words, spread_text, text_blocks
 
 UNDETERMINED = "und"
 
@@ -39,6 +40,7 @@ UNDETERMINED = "und"
 class LanguageConfig:
     train_docs: int = 300
     train_words: int = 200
+    max_langs: int = 500
     lexicon_words: int = 150
     buckets: int = 1 << 16
     chain_words: int = 1024
@@ -146,6 +148,15 @@ class Model:
         return np.add.reduceat(self.weight[f], first, axis=0)
 
 
+def spread_words(words: list[bytes], most: int, runs: int = 8) -> list[bytes]:
+    """At most ``most`` words: runs of neighbours, evenly spaced over the text."""
+    if len(words) <= most:
+        return words
+    size = max(1, most // runs)
+    room = len(words) - size
+    return [w for k in range(runs) for w in words[room * k // (runs - 1) :][:size]]
+
+
 def train(samples: list[tuple[str, str]], cfg: LanguageConfig) -> Model | None:
     """``samples``: (text, language) of the sampled training rows."""
     langs = sorted({lang for _, lang in samples})
@@ -154,7 +165,7 @@ def train(samples: list[tuple[str, str]], cfg: LanguageConfig) -> Model | None:
     rng = np.random.default_rng(cfg.seed)
     docs: list[list[list[str]]] = [[] for _ in langs]
     for text, lang in samples:
-        words = [w for x in text.encode().split()[: cfg.train_words] if (w := letters(x.decode("utf-8", "ignore").lower()))]
+        words = [w for x in spread_words(text.encode().split(), cfg.train_words) if (w := letters(x.decode("utf-8", "ignore").lower()))]
         if words:
             docs[langs.index(lang)].append(words)
     counts = [Counter(w for d in group for w in d) for group in docs]
@@ -249,12 +260,14 @@ def label_words(texts: list[str | None], model: Model) -> Iterator[tuple[int, np
 
 
 def sample(docs: DataFrame, cfg: LanguageConfig) -> list[tuple[str, str]]:
-    """The bounded training sample: text starts and languages of rows outside
-    the held-out fold."""
+    """The bounded training sample: texts (of long ones pieces from all over)
+    and languages of rows outside the held-out fold."""
     rows = docs.where(F.col("lang").isNotNull() & (fold() != 0) & F.col("text").isNotNull())
     rows = rows.select(F.col("doc_id"), F.col("lang").cast("string"), F.col("text").cast("string"))
+    if rows.select("lang").distinct().limit(cfg.max_langs + 1).count() > cfg.max_langs:
+        raise ValueError(f"more than {cfg.max_langs} languages to learn")
     some = hashed_share(rows, "doc_id", "lang", cfg.train_docs, cfg.seed)
-    some = some.select("doc_id", "lang", F.substring("text", 1, 16 * cfg.train_words).alias("text"))
+    some = some.select("doc_id", "lang", spread_text("text", 16 * cfg.train_words).alias("text"))
     return sorted((r.text, r.lang) for r in some.collect())
 
 

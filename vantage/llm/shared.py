@@ -92,6 +92,21 @@ def join_split(rows: DataFrame, table: DataFrame, key: str, weight: str, total:
     return both.select(*mine, *[found[c].alias(c) for c in cols])
 
 
+def spread_text(column: str, chars: int, windows: int = 8) -> Column:
+    """A text of at most ``chars`` characters as it is; of a longer one,
+    ``windows`` pieces evenly spaced over the whole text, ``chars`` in all,
+    without the words that a piece's ends cut."""
+    text, size = F.col(column), max(1, chars // windows)
+    room = F.length(text) - size
+    pieces = []
+    for k in range(windows):
+        piece = F.substring(text, (F.floor(room * k / (windows - 1)) + 1).cast("int"), F.lit(size))
+        inner = F.regexp_replace(piece, rf"^{WORD}(?={SPACE})" if k else "^$", "")
+        inner = F.regexp_replace(inner, rf"(?<=[\x20\x09-\x0D]){WORD}$" if k < windows - 1 else "^$", "")
+        pieces.append(inner)
+    return F.when(F.length(text) > chars, F.concat_ws("\n", *pieces)).otherwise(text)
+
+
 END = b"\xff"  # stands for the end of a text; no UTF-8 text holds this byte
 
 

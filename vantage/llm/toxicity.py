@@ -9,9 +9,11 @@ bounded sample of labelled rows; scoring covers every word of every text.
 
 Thresholds are calibrated by language. The language is guessed from the text
 by function words learned in training, never from a column: per language, the
-logit threshold with the best F1 on labelled rows set aside from training (the
-common threshold where a language has few positives). A score is the logistic
-of the logit's distance to that threshold, so 0.5 is the calibrated cut.
+logit threshold with the best F1 over all labelled rows of one fold, which is
+kept from training (the common threshold where a language has few positives).
+These rows are counted in a histogram of logits by guessed language and label,
+so the cut follows the mix of the whole fold, whatever its size. A score is the
+logistic of the logit's distance to the threshold, so 0.5 is the calibrated cut.
 
 Defined results: a null or empty text is scored like a text whose windows are
 all padding; labels that are null or whose id is null are ignored, of repeated
@@ -31,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.shared import FOLDS, fold, hashed_share, numbered_words, text_blocks
+from vantage.llm.shared import FOLDS, fold, numbered_words, spread_text, text_blocks, written
 
 
 @dataclass(frozen=True)
 class ToxicityConfig:
     """``train_rows`` bounds the labelled rows of each class, ``train_chars``
-    the texts among them (longer ones are not trained on)."""
+    the characters of a text among them: the rows are drawn from shorter texts,
+    and where a class has too few of these, also from longer ones, of which
+    pieces from all over the text are taken. ``bins`` is the number of
+    histogram bins per unit of the logit."""
 
     train_rows: int = 2000
     train_chars: int = 12_000
@@ -50,6 +55,8 @@ class ToxicityConfig:
     batch: int = 32
     rate: float = 0.03
     calibration_fold: int = 1
+    bins: int = 64
+    widest: float = 64.0
     min_positives: int = 8
     language_words: int = 120
     block_bytes: int = 2 << 20
@@ -149,11 +156,11 @@ class Model:
         tally = tally.reshape(n, self.languages + 1)
         return np.where(tally.any(axis=1), tally.argmax(axis=1), self.languages)
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
+    def judge(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(logit, language number) of each text."""
         words, at = numbered_words([(t or "").encode("utf-8", "surrogatepass") for t in texts])
         rows, plain = word_rows(words, self.cfg)
-        margin = self.logits(self.embed(rows), at) - np.array(self.threshold)[self.guess(plain, at)]
-        return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+        return self.logits(self.embed(rows), at), self.guess(plain, at)
 
 
 def _start(cfg: ToxicityConfig) -> Model:
@@ -289,30 +296,79 @@ def train(samples: list[tuple[str, str | None, int, bool]], cfg: ToxicityConfig)
     return m
 
 
+def _marked(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled rows outside the held-out fold, one an id."""
+    marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold() != 0))
+    return marked.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig) -> list[tuple[str, str | None, int, bool]]:
     """The bounded sample of labelled rows outside the held-out fold."""
-    marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold() != 0))
-    marked = marked.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    sizes = texts.select("doc_id", (F.coalesce(F.length("text"), F.lit(0)) <= cfg.train_chars).alias("short"))
+    marked = _marked(labels).join(sizes.groupBy("doc_id").agg(F.min("short").alias("short")), "doc_id")
+    there = {(r.toxic, r.short): r.n for r in marked.groupBy("toxic", "short").agg(F.count(F.lit(1)).alias("n")).collect()}  # 4 rows
+    share = F.lit(0.0)
+    for toxic in (0, 1):
+        short, long = there.get((toxic, True), 0), there.get((toxic, False), 0)
+        own = F.col("toxic") == toxic
+        share = F.when(own & F.col("short"), cfg.train_rows / max(1, short)).otherwise(share)
+        share = F.when(own & ~F.col("short"), max(0, cfg.train_rows - short) / max(1, long)).otherwise(share)
+    place = F.pmod(F.xxhash64(F.lit(cfg.seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     # about train_rows ids a class: small enough to send to every task, so that
     # the texts of all other documents stay where they are
-    some = F.broadcast(hashed_share(marked, "doc_id", "toxic", cfg.train_rows, cfg.seed))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    texts = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= cfg.train_chars)
+    some = F.broadcast(marked.where(place < share).select("doc_id", "toxic"))
     rows = texts.join(some, "doc_id").withColumn("aside", fold() == cfg.calibration_fold % FOLDS)
+    rows = rows.select("doc_id", spread_text("text", cfg.train_chars).alias("text"), "lang", "toxic", "aside")
     found = sorted(((r.doc_id, r.text or "", r.lang, r.toxic, r.aside) for r in rows.collect()), key=lambda r: r[:2])
     return [r[1:] for r in found]
 
 
+def best_cut(bins: np.ndarray, label: np.ndarray, n: np.ndarray) -> float:
+    """The cut with the best F1 over a histogram (bin, label, rows), in bins:
+    in the middle between the lowest bin above it and the highest below."""
+    at, where = np.unique(bins, return_inverse=True)
+    hits, all_ = np.zeros(len(at)), np.zeros(len(at))
+    np.add.at(hits, where, n * label)
+    np.add.at(all_, where, n)
+    above, positive = np.cumsum(hits[::-1])[::-1], hits.sum()
+    f1 = 2 * above / (np.cumsum(all_[::-1])[::-1] + positive)
+    k = len(at) - 1 - int(f1[::-1].argmax())  # of equals the highest cut
+    return float(at[k]) if k == 0 else (at[k] + at[k - 1] + 1) / 2
+
+
+def calibrate(logits: DataFrame, labels: DataFrame, own: Model) -> list[float]:
+    """The thresholds by language over all labelled rows of the calibration
+    fold; those of the training sample where it has few positives."""
+    cfg = own.cfg
+    mine = logits.where(fold() == cfg.calibration_fold % FOLDS).join(_marked(labels), "doc_id")
+    bound = cfg.widest * cfg.bins
+    slot = F.least(F.greatest(F.floor(F.col("logit") * cfg.bins), F.lit(-bound)), F.lit(bound)).cast("int").alias("bin")
+    counts = mine.groupBy("guess", "toxic", slot).agg(F.count(F.lit(1)).alias("n"))
+    h = counts.toPandas()  # languages * 2 * 2 * widest * bins rows at most
+    if (h.n * h.toxic).sum() < cfg.min_positives:
+        return own.threshold
+    cut = lambda x: best_cut(x["bin"].to_numpy(), x.toxic.to_numpy(), x.n.to_numpy()) / cfg.bins
+    out = [cut(h)] * (own.languages + 1)
+    for k, x in h.groupby("guess"):
+        if k < own.languages and (x.n * x.toxic).sum() >= cfg.min_positives:
+            out[k] = cut(x)
+    return out
+
+
 def score(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig = ToxicityConfig()) -> DataFrame:
     """doc_id, held_out, score, predicted, one row per document row."""
     own = train(sample(docs, labels, cfg), cfg)  # travels with the function
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in text_blocks(batches, cfg.block_bytes):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(own.scores(texts), pa.float64())], names=["doc_id", "score"]
-            )
+            logit, guess = own.judge(texts)
+            cols = [pa.array(keys, pa.int64()), pa.array(logit.astype(np.float64)), pa.array(guess.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "logit", "guess"])
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    out = rows.mapInArrow(run, "doc_id long, score double")
+    logits = written(rows.mapInArrow(run, "doc_id long, logit double, guess int"), "toxic-logits")
+    cuts = F.array(*[F.lit(float(t)) for t in calibrate(logits, labels, own)])
+    margin = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("logit") - F.get(cuts, F.col("guess"))))
+    out = logits.select("doc_id", (1 / (1 + F.exp(-margin))).alias("score"))
     return out.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
