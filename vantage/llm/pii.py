@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates.
 
-Detected entities (e-mail addresses, phone and card numbers, IP addresses,
-IBANs, secret keys, titled names) get replacements that keep type, length,
+Detected entities (e-mail addresses, phone and card numbers, IP addresses of
+both versions, IBANs, secret keys in hexadecimal or with a provider's prefix,
+titled names of up to three parts) get replacements that keep type, length,
 script and format: every character is shifted inside its class (digit, vowel
 or consonant of its script) by a keyed hash of the whole entity, so a surrogate
 looks like its original, a valid card number stays valid, octets stay octets,
@@ -9,7 +10,9 @@ first names keep the ending that carries their gender, and text in any layout
 ("+1 (222) 555-0000", "222-555-0000") of one number becomes the same new
 number in that layout, country code and leading zeros kept. One entity has one surrogate in the whole corpus
 (coreference); parts that entities share are keyed on their own: the domain of
-addresses, family names, first names by gender.
+addresses, family names, first names by gender. Where a document names a person
+with a title, the parts of that name are replaced at all their places in the
+document, titled or not ("Mr John Smith came. Smith said that John was late.").
 
 Distinctness is checked over the corpus: two entities of a kind must not share
 a surrogate, and no surrogate may equal an entity that occurs. Losers are
@@ -67,6 +70,19 @@ GROWTH_ROUNDS = 32
 EDGE = r"[\p{L}\p{N}]"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+_HEX = "[0-9a-fA-F]{1,4}"
+# Prefixes of providers' keys, with what may follow (fixed formats).
+_TOKENS = (
+    r"(?:AKIA|ASIA)(?=[0-9A-Z]{16}(?![0-9A-Za-z]))",
+    r"(?:sk|pk|rk)_(?:live|test)_(?=[0-9A-Za-z]{16})",
+    r"gh[pousr]_(?=[0-9A-Za-z]{36})",
+    r"github_pat_(?=[0-9A-Za-z_]{40})",
+    r"glpat-(?=[0-9A-Za-z_-]{20})",
+    r"xox[abposr]-(?=[0-9A-Za-z-]{10})",
+    r"AIza(?=[0-9A-Za-z_-]{35})",
+    r"sk-(?=[0-9A-Za-z]{20})",
+)
+TOKEN = "|".join(_TOKENS)
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
 # National phone numbers, 9 to 12 digits: area code in brackets, three-three-four,
 # a leading 0, or groups with hyphens. Not dates, not parts of longer numbers.
@@ -81,12 +97,14 @@ _CODE = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 PREFIX = rf"^(?:\+ ?(?:{_CODE})[ .-]*\(?0*|\(?0+[ ./-]*|1[ .-]+|\()"
 PATTERNS = {
     "email": rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}._%+-]*+@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+)+",
+    "token": rf"(?<![\p{{L}}\p{{N}}_-])(?:{TOKEN})[0-9A-Za-z_-]+(?![\p{{L}}\p{{N}}_-])",
     "secret": rf"(?<!{EDGE})[0-9a-fA-F]{{32,64}}(?!{EDGE})",
     "iban": rf"(?<!{EDGE})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{EDGE})",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?{EDGE})",
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9a-fA-F:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?=(?:[0-9a-fA-F]*:){{2,7}}[0-9a-fA-F]*(?![0-9a-fA-F:]))(?:{_HEX}(?::{_HEX})*)?::(?:{_HEX}(?::{_HEX})*)?)(?![\p{{L}}\p{{N}}:]|\.\d)",
     "phone": rf"(?<!{EDGE})(?:(?:\+\d{{1,3}}[ .-]?)(?:\(\d{{2,4}}\)|\d{{2,4}})(?:[ .-]?\d{{2,4}}){{2,4}}|{_NATIONAL})(?!{EDGE})",
     "card": rf"(?<!{EDGE})\d(?:[ -]?\d){{12,18}}(?!{EDGE})",
-    "name": rf"(?<!{EDGE})(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
+    "name": rf"(?<!{EDGE})(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Cheap test that every text with an entity passes.
@@ -137,14 +155,19 @@ def parts_of(kind: Column, m: Column) -> Column:
     words = F.split(m, " ")
     title = F.regexp_replace(words[0], r"\.$", "")
     gender = F.when(title.isin(*TITLES["m"]), "m").when(title.isin(*TITLES["f"]), "f").otherwise("n")
-    one = F.array(_part(F.concat(words[0], F.lit(" ")), F.lit("family"), F.lower(words[1]), words[1]))
-    two = F.array(
-        _part(F.concat(words[0], F.lit(" ")), F.concat(F.lit("given_"), gender), F.lower(words[1]), words[1]),
-        _part(F.lit(" "), F.lit("family"), F.lower(F.get(words, 2)), F.get(words, 2)),
-    )
+    def name_part(i: Column) -> Column:
+        pre = F.when(i == 1, F.concat(words[0], F.lit(" "))).otherwise(F.lit(" "))
+        first = (i == 1) & (F.size(words) > 2)
+        return _part(pre, F.when(first, F.concat(F.lit("given_"), gender)).otherwise("family"), F.lower(F.get(words, i)), F.get(words, i))
+
+    names = F.transform(F.sequence(F.lit(1), F.size(words) - 1), name_part)
+    token = F.regexp_extract(m, f"^(?:{TOKEN})", 0)
+    body = F.substring(m, F.length(token) + 1, F.length(m))
     return (
         F.when(kind == "email", email)
-        .when(kind == "name", F.when(F.size(words) > 2, two).otherwise(one))
+        .when(kind == "name", names)
+        .when(kind == "token", F.array(_part(token, kind, F.lower(body), body)))
+        .when(kind == "ipv6", F.array(_part(empty, kind, F.lower(m), m)))
         .when(kind == "phone", phone)
         .when(kind == "ip", F.array(_part(empty, kind, m, m)))
         .otherwise(F.array(_part(empty, kind, bare, m)))
@@ -221,7 +244,7 @@ def surrogate(kind: Column, key: Column, counter: Column, secret: str, max_round
     same_length = (
         F.when(kind == "ip", F.array_join(octets, "."))
         .when(kind == "card", card)
-        .when(kind == "secret", secret_key)
+        .when(kind.isin("secret", "ipv6"), secret_key)
         .when(kind == "domain", domain)
         .when(kind == "iban", iban)
         .when(kind.startswith("given_"), given)
@@ -253,6 +276,25 @@ def rendered(form: Column, new: Column) -> Column:
     return F.array_join(F.transform(chars, one), "")
 
 
+# Words, with what may stand inside a name, and what is between them.
+WORDS = r"[\p{L}'’-]+|[^\p{L}'’-]+"
+
+
+def with_names(text: Column, names: Column) -> Column:
+    """``text`` with the known ``names`` (key, new) replaced wherever one
+    stands as a word with a capital; a possessive ending stays."""
+
+    def one(word: Column) -> Column:
+        ending = F.regexp_extract(word, "['’]s?$", 0)
+        bare = F.substring(word, F.lit(1), F.length(word) - F.length(ending))
+        known = F.get(F.filter(names, lambda e: e["key"] == F.lower(bare)), F.lit(0))
+        hit = word.rlike(r"^\p{Lu}") & known.isNotNull()
+        return F.when(hit, F.concat(rendered(bare, known["new"]), ending)).otherwise(word)
+
+    every = F.regexp_extract_all(text, F.lit(f"({WORDS})"), F.lit(1))
+    return F.when(F.size(names) > 0, F.array_join(F.transform(every, one), "")).otherwise(text)
+
+
 def assign(entities: DataFrame, cfg: SurrogateConfig) -> DataFrame:
     """``entities`` (kind, key, n), distinct, with ``new``, free of collisions
     inside each kind and with the entities themselves."""
@@ -297,14 +339,16 @@ def replace(docs: DataFrame, cfg: SurrogateConfig = SurrogateConfig()) -> DataFr
     placed_parts = part.withColumn("id", F.struct("kind", "key"))
     new = join_split(placed_parts, known, "id", "n", max(1, part.count()))
     text = F.concat("pre", F.when(F.col("kind") == "ip", F.col("new")).otherwise(rendered(F.col("form"), F.col("new"))))
+    named = F.when(F.col("type") == "name", F.struct("key", "new"))
     per_doc = new.groupBy("f", "r").agg(
-        F.array_sort(F.collect_list(F.struct("m", "p", text.alias("text"), "type"))).alias("parts")
+        F.array_sort(F.collect_list(F.struct("m", "p", text.alias("text"), "type"))).alias("parts"),
+        F.array_sort(F.collect_set(named)).alias("names"),
     )
     both = hit.join(per_doc, ["f", "r"])
     of_mention = lambda i: F.array_join(
         F.transform(F.filter("parts", lambda x: x["m"] == i), lambda x: x["text"]), ""
     )
-    body = F.transform("gaps", lambda g, i: F.concat(g, F.when(i < F.size("found"), of_mention(i)).otherwise(F.lit(""))))
+    body = F.transform("gaps", lambda g, i: F.concat(with_names(g, F.col("names")), F.when(i < F.size("found"), of_mention(i)).otherwise(F.lit(""))))
     firsts = F.filter("parts", lambda x: x["p"] == 0)
     number = lambda k: F.size(F.filter(firsts, lambda x: x["type"] == k)).cast("long").alias(f"n_{k}")
     changed = both.select(
