@@ -119,3 +119,31 @@ def test_anchors_depend_on_the_window_alone():
         n = len(text) - 199
         assert (a[:n] + 57 == b[57 : 57 + n]).all()
         assert ((a[:n] >= np.arange(n)) & (a[:n] <= np.arange(n) + 168)).all()
+
+
+def test_runs_in_steps():
+    rng = np.random.default_rng(1)
+    marks = rng.random(1000) < 0.6
+    for step in (1, 7, 1000, 5000):
+        lo, hi = S._runs(marks, step)
+        back = np.zeros(1000, bool)
+        for a, b in zip(lo, hi):
+            assert a < b and not back[a:b].any()
+            back[a:b] = True
+        assert (back == marks).all()
+    assert [len(x) for x in S._runs(np.zeros(0, bool))] == [0, 0]
+
+
+@pytest.mark.parametrize("memory", [1, 100, 1 << 30])
+@pytest.mark.parametrize("rows_a_batch", [1, 3, 1000])
+def test_blocks_keep_classes_whole(spark, memory, rows_a_batch):
+    """However the batches fall, the text goes to memory or to a file, and a
+    block ends at a class's end only."""
+    data = cases()[-14:]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_a_batch))
+    try:
+        cfg = S.SuffixConfig(memory_bytes=memory, block_bytes=2000, queue_rows=1000)
+        assert as_set(S.without_repeats(table(spark, data), cfg), *COLS) == brute(data)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

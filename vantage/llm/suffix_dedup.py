@@ -30,9 +30,10 @@ the order at x. The common prefix of neighbours that share that byte is one
 more than the smallest one between them in the order before, which the scan
 carries per byte, also across the blocks it reads. The queue writes sorted
 runs to the task's own temporary folder when it holds more than a set number of
-tuples, and the marks of a large class are mapped from a file there. The text
-of a class, at most ``shard_bytes``, is in memory. The files go when the class
-is done; a lost executor repeats its task.
+tuples. The text of a class of more than ``memory_bytes`` goes from the Arrow
+batches straight to a file there, from which it is mapped, and so are its marks:
+in memory are some 60 bytes for each of its segments and the queue's tuples. The
+files go when the class is done; a lost executor repeats its task.
 
 Defined results: a null text is empty; texts shorter than ``length`` keep all
 bytes; rows repeated (with or without ids) are documents of their own, so all
@@ -44,6 +45,7 @@ together (128 bits); the suffix order compares bytes.
 from __future__ import annotations
 
 import hashlib
+import mmap
 import os
 import tempfile
 from collections.abc import Iterator
@@ -51,6 +53,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +75,7 @@ class SuffixConfig:
     scan_bytes: int = 1 << 17
     block_bytes: int = 8 << 20
     memory_bytes: int = 64 << 20
-    shard_bytes: int = 128 << 20
+    shard_bytes: int = 512 << 20
     queue_rows: int = 1 << 21
 
 
@@ -402,9 +405,17 @@ def _mark(marks, first_mark, off, x, seg) -> None:
     marks[first_mark[seg] + off[seg] + x] = True
 
 
-def _runs(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.diff(np.concatenate([[0], marks.view(np.int8), [0]]))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+def _runs(marks: np.ndarray, step: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the marked runs; one that crosses a multiple of
+    ``step`` comes in two."""
+    lo, hi = [], []
+    zero = np.zeros(1, np.int8)
+    for k in range(0, len(marks), step):
+        edge = np.diff(np.concatenate([zero, np.array(marks[k : k + step]).view(np.int8), zero]))
+        lo.append(np.flatnonzero(edge == 1) + k)
+        hi.append(np.flatnonzero(edge == -1) + k)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *lo]), np.concatenate([none, *hi])
 
 
 FOUND = "gram long, mark long, copies long, lo int, hi int"
@@ -415,35 +426,76 @@ def sorted_shards(texts: DataFrame, cfg: SuffixConfig) -> DataFrame:
     runs [lo, hi) of repeated window starts in each, counted from its begin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        parts: list[bytes] = []
-        size = 0
+        block = _Block(cfg)
         for b in batches:
-            columns = (c.to_pylist() for c in b.columns)
-            for *row, text in zip(*columns):
-                if held and row[0] != held[-1][0] and size >= cfg.block_bytes:
-                    yield _block_result(held, parts, cfg)
-                    held, size = [], 0
-                held.append(row)
-                parts.append(text)
-                size += len(text)
-        if held:
-            yield _block_result(held, parts, cfg)
+            gram = b.column(0).to_numpy()
+            ends = np.cumsum(pc.binary_length(b.column(5)).to_numpy(), dtype=np.int64)
+            # rows that begin a class, and the text before them in this batch
+            new = np.flatnonzero(np.diff(gram, prepend=gram[:1]) != 0)
+            if len(gram) and block.last is not None and gram[0] != block.last:
+                new = np.concatenate([[0], new])
+            before = np.where(new > 0, ends[new - 1], 0)
+            k = 0
+            while k < len(b):
+                # the block closes where a class begins behind its bound
+                done = int(ends[k - 1]) if k else 0
+                close = np.flatnonzero((block.size + before - done >= cfg.block_bytes) & (new >= k))
+                to = int(new[close[0]]) if len(close) else len(b)
+                block.add(b.slice(k, to - k))
+                if len(close):
+                    yield block.result()
+                    block = _Block(cfg)
+                    new, before = new[new > to], before[new > to]
+                k = to
+        if block.last is not None:
+            yield block.result()
 
     columns = texts.select("gram", "mark", "off", "windows", "copies", "text")
     return columns.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, FOUND)
 
 
-def _block_result(held: list[tuple], parts: list[bytes], cfg: SuffixConfig) -> pa.RecordBatch:
-    """The block's runs; empties ``parts``."""
-    gram, mark, off, windows, copies = zip(*held)
-    gram = np.array(gram, np.int64)
+class _Block:
+    """Whole classes that are sorted together. Text beyond ``memory_bytes``
+    goes to a file of the task."""
+
+    def __init__(self, cfg: SuffixConfig):
+        self.cfg = cfg
+        self.rows: list[tuple[np.ndarray, ...]] = []
+        self.size, self.last = 0, None
+        self.text = tempfile.SpooledTemporaryFile(max_size=cfg.memory_bytes)
+
+    def add(self, b: pa.RecordBatch) -> None:
+        if not len(b):
+            return
+        self.rows.append(tuple(np.array(b.column(i).to_numpy(), np.int64) for i in range(5)))
+        self.last = int(self.rows[-1][0][-1])
+        column = b.column(5)
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(b) + 1]
+        data = memoryview(column.buffers()[2] or b"")[int(offsets[0]) : int(offsets[-1])]
+        self.text.write(data)
+        self.size += len(data)
+
+    def result(self) -> pa.RecordBatch:
+        """The runs of repeated windows of the block's segments."""
+        columns = [np.concatenate(c) for c in zip(*self.rows)]
+        self.rows = []
+        self.text.flush()
+        if self.size > self.cfg.memory_bytes:
+            self.text.rollover()
+            raw = np.frombuffer(mmap.mmap(self.text.fileno(), 0, access=mmap.ACCESS_READ), np.uint8)
+        else:
+            self.text.seek(0)
+            raw = np.frombuffer(self.text.read(), np.uint8)
+        try:
+            return _block_result(columns, raw, self.cfg)
+        finally:
+            del raw
+            self.text.close()
+
+
+def _block_result(columns: list[np.ndarray], raw: np.ndarray, cfg: SuffixConfig) -> pa.RecordBatch:
+    gram, mark, off, windows, copies = columns
     cls = np.cumsum(np.diff(gram, prepend=gram[0]) != 0)
-    off, windows, copies = (np.array(x, np.int64) for x in (off, windows, copies))
-    raw = np.frombuffer(b"".join(parts), np.uint8)
-    parts.clear()
-    names = ["gram", "mark", "copies", "lo", "hi"]
-    out = []
     # classes are numbered in 16 bits; a class beyond memory goes by disk alone
     big = np.bincount(cls, windows + cfg.length - 1) > cfg.memory_bytes
     edges = [0]
@@ -452,29 +504,30 @@ def _block_result(held: list[tuple], parts: list[bytes], cfg: SuffixConfig) -> p
             edges.append(int(k))
     edges.append(len(cls))
     place = np.concatenate([[0], np.cumsum(windows + cfg.length - 1)])
+    first = np.cumsum(windows) - windows
+    begins, ends = [], []
     for a, b in zip(edges, edges[1:]):
         args = (cls[a:b] - cls[a], off[a:b], windows[a:b], copies[a:b], raw[place[a] : place[b]], cfg)
         if big[cls[a]]:
             with tempfile.TemporaryDirectory() as folder:
-                out.append(np.array(repeated_windows(*args, folder=folder)))
+                lo, hi = _runs(repeated_windows(*args, folder=folder))
         else:
-            out.append(repeated_windows(*args))
-    lo, hi = _runs(np.concatenate(out))
-    first = np.cumsum(windows) - windows
+            lo, hi = _runs(repeated_windows(*args))
+        begins.append(lo + first[a])
+        ends.append(hi + first[a])
+    lo, hi = np.concatenate(begins), np.concatenate(ends)
     # a run may reach over segments: cut it at their borders
-    cuts = np.unique(np.concatenate([lo, first]))
-    inside = np.zeros(int(windows.sum()) + 1, np.int64)
-    np.add.at(inside, lo, 1)
-    np.add.at(inside, hi, -1)
-    cuts = cuts[np.cumsum(inside)[cuts] > 0]
-    seg = np.searchsorted(first, cuts, "right") - 1
-    stop = np.minimum(hi[np.searchsorted(lo, cuts, "right") - 1], first[seg] + windows[seg])
+    one, last = (np.searchsorted(first, x, "right") - 1 for x in (lo, hi - 1))
+    n = last - one + 1
+    run = np.repeat(np.arange(len(lo)), n)
+    seg = one[run] + np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+    start, stop = np.maximum(lo[run], first[seg]), np.minimum(hi[run], first[seg] + windows[seg])
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(gram[seg]), pa.array(np.array(mark, np.int64)[seg]), pa.array(copies[seg]),
-            pa.array(cuts - first[seg], pa.int32()), pa.array(stop - first[seg], pa.int32()),
+            pa.array(gram[seg]), pa.array(mark[seg]), pa.array(copies[seg]),
+            pa.array(start - first[seg], pa.int32()), pa.array(stop - first[seg], pa.int32()),
         ],
-        names=names,
+        names=["gram", "mark", "copies", "lo", "hi"],
     )
 
 
