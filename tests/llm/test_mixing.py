@@ -25,6 +25,7 @@ def brute_targets(sizes):
 
 def brute(data):
     size = lambda r: len(WORD.findall(r[1] or ""))
+    name = lambda r: "null:" + hashlib.md5((r[1] or "").encode()).hexdigest() if r[0] is None else r[0]
     sizes = Counter()
     for r in data:
         sizes[r[3]] += size(r)
@@ -32,7 +33,7 @@ def brute(data):
     out = []
     for s in sizes:
         own = [r for r in data if r[3] == s]
-        own.sort(key=lambda r: (hashlib.md5(f"mix-1:{'' if r[0] is None else r[0]}".encode()).hexdigest(), size(r)))
+        own.sort(key=lambda r: (hashlib.md5(f"mix-1:{name(r)}".encode()).hexdigest(), size(r)))
         budget, taken = int(target[s]), [0] * len(own)
         while budget > 0 and sizes[s]:
             for k, r in enumerate(own):

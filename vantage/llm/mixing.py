@@ -15,7 +15,7 @@ no task holds a whole source. Only tables of one row per source, or per
 Defined results: a null text has size 0; a null source is a source of its own,
 ordered last; documents without words are never taken; rows repeated with the
 same id and size are interchangeable and ordered arbitrarily among themselves;
-a null id takes the place of the empty text in the hash; an empty table gives
+a row without id is hashed by its text; an empty table gives
 an empty result. Extra columns are not read by ``mix`` and pass through
 ``take``.
 """
@@ -79,7 +79,8 @@ def mix(docs: DataFrame, cfg: MixConfig = MixConfig(), keep: tuple[str, ...] = (
     """One row per document row: doc_id, source, size, source_size, target,
     taken (words of this document in the mix, repeats counted), hash_key, and
     the columns ``keep``, which also order rows that repeat an id."""
-    key = F.md5(F.concat(F.lit(cfg.seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(whole_text().cast("binary"))))
+    key = F.md5(F.concat(F.lit(cfg.seed + ":"), name).cast("binary"))
     sizes = written(
         docs.select("doc_id", "source", size_of(whole_text()).alias("size"), key.alias("hash_key"), *keep),
         "mix-sizes",

@@ -9,7 +9,7 @@ OP1 = """
 WITH sized AS (
   SELECT doc_id, source,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hash_key
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))) AS hash_key
   FROM documents
 ), named AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
