@@ -50,3 +50,22 @@ def test_awkward_rows_and_own_tables(spark):
     own = S.known_table(spark, {"B": "My  Text!", "A": "my text"})
     got = run(spark, ["MY TEXT", "x"], texts=own, notices={})
     assert (got[0].license, got[1].license, got[0].n_notice_lines) == ("A", None, 0)
+
+
+def test_canonical_forms_by_hand(spark):
+    """Forms written out by hand, not through the operator's expressions."""
+    by_hand = {
+        "The  \"Quick\"\tBrown-Fox,\r\njumps!": "the quick brown fox jumps",
+        "Copyright (c) 2020 Some Body\nKeep this line": "keep this line",
+        "   © 1999-2003 A, B\n\n * All rights reserved. *\nrest": "rest",
+        "MIT License\n\nPermission": "permission",
+        "the copyright notice stays in a sentence": "the copyright notice stays in a sentence",
+        "The copyright owners keep it\nend": "the copyright holders keep it end",
+        "Licence and ACKNOWLEDGEMENT": "license and acknowledgment",
+        "ünïcode — dashes … and №5": "ünïcode dashes and 5",
+        "": "",
+        " \n\t ": "",
+    }
+    rows_ = spark.createDataFrame([(k, v) for k, v in by_hand.items()], "text string, want string")
+    got = {r.text: r.c for r in rows_.select("text", S.canonical(rows_.text).alias("c")).collect()}
+    assert got == by_hand
