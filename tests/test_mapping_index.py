@@ -61,7 +61,7 @@ def test_bucket_plan_pure():
         hist = {}
         for s in sizes.values():
             hist[s] = hist.get(s, 0) + 1
-        plan = MI.bucket_plan(list(hist.items()), n)
+        plan = list(MI.bucket_plan(list(hist.items()), n).itertuples(index=False, name=None))
         # rebuild assignment from the plan the same way Spark does
         got = {}
         for size in sorted(hist, reverse=True):

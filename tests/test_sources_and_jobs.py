@@ -310,3 +310,20 @@ def test_mapping_csv_round_trip_keeps_order_across_part_files(spark, tmp_dir):
     assert len(glob.glob(f"{tmp_dir}/mapping/part-*.csv")) > 1
     back = read_mapping_csv(spark, f"{tmp_dir}/mapping").orderBy("seq").collect()
     assert [(r.image_id, r.viewpoint_id, r.seq) for r in back] == rows
+
+
+def test_a_job_empties_its_scratch_tables(spark, tmp_dir):
+    from vantage import session
+
+    kept = session.scratch_path(spark, "kept")
+    spark.range(5).write.parquet(kept)
+    session._SCRATCH.remove(kept)  # another run's
+    text = "image_id,viewpoint_id\n" + "".join(f"{i},{i % 5}\n" for i in range(40))
+    src = write(f"{tmp_dir}/m.csv", text)
+    job.main(["mapping-index", "--input-csv", src, "--output-dir", f"{tmp_dir}/idx", "--num-node-buckets", "3", "--shuffle-partitions", "8"])
+    assert session._SCRATCH == [] and spark.read.parquet(kept).count() == 5
+    steps = read_json_lines(f"{tmp_dir}/idx/_manifest_steps/part-*")
+    assert [s["step"] for s in sorted(steps, key=lambda s: s["seconds"])] == ["mapping", "viewpoints", "grouped", "assignment", "buckets"]
+    job.main(["mapping-index", "--input-csv", src, "--output-dir", f"{tmp_dir}/idx", "--num-node-buckets", "3", "--shuffle-partitions", "8"])
+    steps = read_json_lines(f"{tmp_dir}/idx/_manifest_steps/part-*")
+    assert len(steps) == 10 and len({s["attempt"] for s in steps}) == 2  # a rerun is told apart

@@ -4,6 +4,7 @@ representative images."""
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,17 +79,21 @@ def _fill_size(loads: np.ndarray, size: int, count: int) -> np.ndarray:
     return below + extra
 
 
-def bucket_plan(histogram: list[tuple[int, int]], num_buckets: int) -> list[tuple[int, int, int, int]]:
+def bucket_plan(histogram: list[tuple[int, int]], num_buckets: int) -> pd.DataFrame:
     """Fold the (size, #viewpoints) histogram, largest size first, into rows
-    (size, bucket_id, load_before, n): bucket b gets n viewpoints of that size."""
+    (image_count, bucket_id, load, n): the bucket has ``load`` images before
+    that size and gets n viewpoints of it. Rows with n = 0 are left out, so
+    there are at most as many rows as viewpoints, and numbers only."""
     loads = np.zeros(num_buckets, dtype=np.int64)
-    plan = []
+    parts: list[tuple[np.ndarray, ...]] = []
     for size, count in sorted(histogram, key=lambda r: -r[0]):
         n = _fill_size(loads, int(size), int(count))
-        for b in np.flatnonzero(n):
-            plan.append((int(size), int(b), int(loads[b]), int(n[b])))
+        b = np.flatnonzero(n)
+        parts.append((np.full(len(b), size, np.int64), b.astype(np.int32), loads[b], n[b].astype(np.int64)))
         loads += n * int(size)
-    return plan
+    names = ("image_count", "bucket_id", "load", "n")
+    types = (np.int64, np.int32, np.int64, np.int64)
+    return pd.DataFrame({c: np.concatenate([np.zeros(0, t), *(p[k] for p in parts)]) for k, (c, t) in enumerate(zip(names, types))})
 
 
 def bucket_assignment(mapping: DataFrame, num_buckets: int) -> DataFrame:
@@ -114,14 +119,7 @@ def assign_sizes(sizes: DataFrame, num_buckets: int) -> DataFrame:
     spark = sizes.sparkSession
     hist = [(r["image_count"], r["n"]) for r in
             sizes.groupBy("image_count").agg(F.count(F.lit(1)).alias("n")).collect()]
-    plan = bucket_plan(hist, num_buckets)
-    plan_schema = T.StructType([
-        T.StructField("image_count", T.LongType()),
-        T.StructField("bucket_id", T.IntegerType()),
-        T.StructField("load", T.LongType()),
-        T.StructField("n", T.LongType()),
-    ])
-    plan_df = spark.createDataFrame(plan, plan_schema)
+    plan_df = spark.createDataFrame(bucket_plan(hist, num_buckets), "image_count long, bucket_id int, load long, n long")
     slots = plan_df.select(
         "image_count", "bucket_id", "load",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"),

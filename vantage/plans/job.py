@@ -33,7 +33,7 @@ from pyspark.sql import Observation, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from vantage import constants as K  # noqa: E402
-from vantage.session import build_session, scratch_path  # noqa: E402
+from vantage.session import build_session, free_scratch, scratch_path  # noqa: E402
 
 
 def _common(p: argparse.ArgumentParser) -> None:
@@ -382,6 +382,7 @@ COMMANDS = {
 def main(argv: list[str] | None = None) -> dict:
     args = build_parser().parse_args(argv)
     facts = COMMANDS[args.command](args)
+    free_scratch(session_for(args))  # kept when the command fails
     print(facts)
     return facts
 

@@ -31,6 +31,8 @@ BASE_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go when the driver forgets the table they belong to.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -82,6 +84,23 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     return root
 
 
+# Scratch tables of this process, for ``free_scratch``.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def free_scratch(spark: SparkSession) -> int:
+    """Empties the scratch tables that this process has asked for so far;
+    returns how many. For the end of a job, when its outputs are written and no
+    lazy result reads a scratch table any more."""
+    paths, none = list(_SCRATCH), spark.createDataFrame([], "gone int")
+    for path in paths:
+        none.write.mode("overwrite").parquet(path)
+        _SCRATCH.remove(path)
+    return len(paths)
