@@ -104,3 +104,18 @@ def test_staging_counts_on_the_way_and_is_whole_or_nothing(spark, tmp_dir):
         coco.stage_coco(spark, {"train": f"{tmp_dir}/bad.json"}, f"{tmp_dir}/t", strict=True)
     with pytest.raises(ValueError, match="did not end"):
         coco.read_staged(spark, f"{tmp_dir}/t")
+
+
+@pytest.mark.parametrize("end", ["", "\n"])
+def test_packed_documents(spark, tmp_dir, end):
+    import gzip
+
+    doc = awkward(9)
+    with gzip.open(f"{tmp_dir}/d.json.gz", "wt", encoding="utf-8") as f:
+        f.write(json.dumps(doc) + end)
+    images, annotations, _ = coco.read_coco_splits(spark, {"train": f"{tmp_dir}/d.json.gz"})
+    assert images.count() == len(doc["images"]) and annotations.count() == len(doc["annotations"])
+    with gzip.open(f"{tmp_dir}/broken.json.gz", "wt", encoding="utf-8") as f:
+        f.write(json.dumps(doc)[:-20])
+    with pytest.raises(CheckFailed):
+        coco.read_coco_splits(spark, {"train": f"{tmp_dir}/broken.json.gz"})

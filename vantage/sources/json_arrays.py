@@ -107,10 +107,15 @@ def scan(rows: DataFrame) -> list:
     return numbered.groupBy("file", "start", "size").agg(parts).orderBy("file", "start").collect()
 
 
-def states(scanned: list) -> tuple[dict[tuple[str, int], tuple[int, int]], set[str]]:
+# Files that Spark unpacks: their size says nothing about the text's.
+PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+
+
+def states(scanned: list) -> tuple[dict[tuple[str, int], tuple[int, int]], dict[str, bool | None]]:
     """{(file, start): (inside a string, depth)} at the begin of each split,
-    and the files whose last fragment has no brace of its own."""
-    out, bare, length = {}, set(), {}
+    and for each file whether its last fragment lacks a brace of its own (None:
+    not known, for a packed file)."""
+    out, bare, length = {}, {}, {}
     string = depth = 0
     last = None
     for r in scanned:
@@ -123,10 +128,10 @@ def states(scanned: list) -> tuple[dict[tuple[str, int], tuple[int, int]], set[s
             string = (string + p.quotes) % 2
             length[r.file, r.size] = length.get((r.file, r.size), 0) + p.bytes
     for (file, size), n in length.items():
-        if n in (size + 1, size - 2):  # with a byte order mark, three less
-            bare.add(file)
-        elif n not in (size, size - 3):
+        packed = file.lower().endswith(PACKED)
+        if not packed and n not in (size + 1, size, size - 2, size - 3):  # with a byte order mark, three less
             raise BrokenDocument(f"{file}: not UTF-8")
+        bare[file] = None if packed else n in (size + 1, size - 2)
     return out, bare
 
 
@@ -216,20 +221,31 @@ def pieces(rows: DataFrame, begin: dict[tuple[str, int], tuple[int, int]]) -> Da
     return rows.mapInArrow(run, PIECE)
 
 
-def outlines(cut: DataFrame, bare: set[str], sections: dict[str, bool]) -> None:
+def _without_last_brace(text: str) -> str:
+    at = text.rindex("}")
+    return text[:at] + text[at + 1 :]
+
+
+def outlines(cut: DataFrame, bare: dict[str, bool | None], sections: dict[str, bool]) -> None:
     """Parses each document's outline: it must be one object, whose
     ``sections`` (name: required) are arrays of objects and stand once."""
     whole: dict[str, str] = {}
     for r in cut.where("run = -1").select("file", "start", "text").orderBy("file", "start").collect():  # a row a split
         whole[r.file] = whole.get(r.file, "") + r.text
     for file, text in whole.items():
-        if file in bare:
-            text = text[: text.rindex("}")] + text[text.rindex("}") + 1 :]
         text = short(text.encode("utf-8", "surrogatepass")).replace(ELEMENT, b"{}").decode("utf-8", "surrogatepass")
+        text = text.removeprefix("\ufeff")
+        if bare[file]:
+            text = _without_last_brace(text)
         try:
-            pairs = json.loads(text.removeprefix("\ufeff"), object_pairs_hook=list, strict=False)
+            pairs = json.loads(text, object_pairs_hook=list, strict=False)
         except ValueError as exc:
-            raise BrokenDocument(f"{file}: not a JSON document ({exc})") from None
+            try:
+                pairs = json.loads(_without_last_brace(text), object_pairs_hook=list, strict=False) if bare[file] is None else None
+            except ValueError:
+                pairs = None
+            if pairs is None:
+                raise BrokenDocument(f"{file}: not a JSON document ({exc})") from None
         if not isinstance(pairs, list) or any(not isinstance(p, tuple) for p in pairs):
             raise BrokenDocument(f"{file}: not a JSON object")
         for name, required in sections.items():
