@@ -136,6 +136,21 @@ def test_image_listing(spark, tmp_dir):
         files.image_path_map(spark, [f"{tmp_dir}/train", f"{tmp_dir}/val"])
 
 
+def test_folders_walked_in_tasks_equal_the_file_index(spark, tmp_dir):
+    names = ["a/1.png", "a/b/2.png", "a/b/c/d/3.png", "4.png", "a/5.PNG", "a/b/6.jpg", "_x/7.png", ".h/8.png", "a/_9.png", "a b/ü 10.png", "a/b[1].png"]
+    for name in names:
+        write(f"{tmp_dir}/imgs/{name}", "x")
+    for pattern in ("*.png", "?.png", "[0-9].*", "*", "b?1?.png"):
+        walked = sorted(map(tuple, files.list_images(spark, f"file://{tmp_dir}/imgs", pattern).collect()))
+        indexed = files.indexed(spark, f"{tmp_dir}/imgs", pattern)
+        hidden = indexed.where("path not like '%/\\\\_%' and path not like '%/.%'")
+        assert sorted(p for _, p in walked) == sorted(r.path for r in hidden.collect()), pattern
+    assert files._opens_in_tasks(f"file://{tmp_dir}") and not files._opens_in_tasks(tmp_dir) and not files._opens_in_tasks("viewfs://x/y")
+    with pytest.raises(ValueError):
+        write(f"{tmp_dir}/imgs/z/1.png", "x")
+        files.image_path_map(spark, [f"file://{tmp_dir}/imgs"])
+
+
 def test_registry_save_load(spark, tmp_dir):
     reg = spark.createDataFrame([(0, [3.0, 4.0], 2), (1, [0.0, 2.0], 1)], "viewpoint_id long, centroid array<double>, count long")
     registry.save_registry(reg, f"{tmp_dir}/r", 3)

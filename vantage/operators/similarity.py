@@ -102,8 +102,7 @@ def search_pairs(vectors: DataFrame, threshold: float, id_col: str = "viewpoint_
                  block_rows: int = DEFAULT_BLOCK_ROWS, pivots: int = PIVOTS, seed: int = 42) -> PairSearch:
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
     if v.select("id").limit(block_rows + 1).count() <= block_rows:
-        one = v.select("id", "v", F.lit(0).cast("long").alias("blk"), F.lit(0).cast("long").alias("cg"), F.lit(0).cast("long").alias("ch"))
-        return PairSearch(one.groupBy("cg", "ch").applyInArrow(_block_product(threshold), PAIR_SCHEMA), None)
+        return PairSearch(v.coalesce(1).mapInArrow(_one_block(threshold), PAIR_SCHEMA), None)
     celled, levels = recursive_cells(v, block_rows, pivots, seed)
     blocked, routes = block_routes(celled, levels, threshold, block_rows)
     ends = F.explode(F.array_distinct(F.array("cg", "ch"))).alias("blk")
@@ -111,26 +110,58 @@ def search_pairs(vectors: DataFrame, threshold: float, id_col: str = "viewpoint_
     return PairSearch(sent.groupBy("cg", "ch").applyInArrow(_block_product(threshold), PAIR_SCHEMA), routes)
 
 
+def _pairs_between(ids: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> list[pa.Array]:
+    """id_a, id_b, similarity of the pairs at or above the threshold between
+    the rows ``a`` and ``b`` of ``m``; each pair once where both are the same.
+    Rows too far from all of the other side leave before the product."""
+    if a is not b:
+        a, b = a[_can_meet(m[a], m[b], threshold)], b[_can_meet(m[b], m[a], threshold)]
+    found = []
+    for k in range(0, len(a), 1024):  # strips of the product
+        s = m[a[k : k + 1024]] @ m[b].T
+        if a is b:
+            s[np.tril_indices(len(s), k, s.shape[1])] = -2.0
+        i, j = np.nonzero(s >= threshold)
+        found.append((ids[a[k : k + 1024]][i], ids[b][j], s[i, j]))
+    x, y, s = (np.concatenate([f[c] for f in found]) if found else np.zeros(0) for c in range(3))
+    return [pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64()), pa.array(s, pa.float64())]
+
+
+def _can_meet(m: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of ``m`` lie within arccos(threshold) of the sphere around
+    the other rows' mean direction."""
+    centre = other.sum(axis=0)
+    length = float(np.sqrt(centre @ centre))
+    if length < 1e-6 * len(other):  # no direction
+        return np.ones(len(m), bool)
+    centre = (centre / length)[None, :]
+    reach = _angles(other, centre).max() + np.arccos(np.clip(threshold, -1.0, 1.0)) + SLACK
+    return _angles(m, centre)[:, 0] <= reach
+
+
 def _block_product(threshold: float):
-    """Task body for one pair of blocks ``cg`` and ``ch`` (one block when
-    equal); gives the pairs at or above the threshold."""
+    """Task body for one pair of blocks ``cg`` and ``ch`` (one when equal)."""
 
     def product(t: pa.Table) -> pa.Table:
         blk = t["blk"].to_numpy()
-        ids = t["id"].to_numpy()
         cg, ch = t["cg"][0].as_py(), t["ch"][0].as_py()
-        m = _unit_matrix(t["v"])
         a = np.flatnonzero(blk == cg)
         b = a if cg == ch else np.flatnonzero(blk == ch)
-        found = []
-        for k in range(0, len(a), 1024):  # strips of the product
-            s = m[a[k : k + 1024]] @ m[b].T
-            if cg == ch:
-                s = np.triu(s, k=k + 1) + np.tril(np.full_like(s, -2.0), k=k)
-            i, j = np.nonzero(s >= threshold)
-            found.append((ids[a[k : k + 1024]][i], ids[b][j], s[i, j]))
-        x, y, s = (np.concatenate([f[c] for f in found]) if found else np.zeros(0) for c in range(3))
-        return pa.table({"id_a": pa.array(np.minimum(x, y), pa.int64()), "id_b": pa.array(np.maximum(x, y), pa.int64()), "similarity": pa.array(s, pa.float64())})
+        return pa.table(_pairs_between(t["id"].to_numpy(), _unit_matrix(t["v"]), a, b, threshold), names=["id_a", "id_b", "similarity"])
+
+    return product
+
+
+def _one_block(threshold: float):
+    """Task body for a table of one block, in one task."""
+
+    def product(batches):
+        t = [b for b in batches if len(b)]
+        if t:
+            ids = np.concatenate([b.column(0).to_numpy() for b in t])
+            m = np.concatenate([_unit_matrix(b.column(1)) for b in t])
+            every = np.arange(len(ids))
+            yield pa.RecordBatch.from_arrays(_pairs_between(ids, m, every, every, threshold), names=["id_a", "id_b", "similarity"])
 
     return product
 
@@ -252,11 +283,14 @@ def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 1, threshold:
     answered one by one; left rows without a candidate are absent."""
     lv = left.select(F.col(left_id).cast("long").alias("id"), F.col(left_vec).alias("v"))
     rv = right.select(F.col(right_id).cast("long").alias("id"), F.col(right_vec).alias("v"))
-    size = rv.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
+    # one block at most, kept: a costly right side runs once where it is small
+    head = _kept(rv.limit(block_rows + 1), "nn-head")
+    size = head.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     if not size["n"]:
         return left.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA + ", rank int")
     if size["n"] <= min(block_rows, PIVOT_BYTES // (8 * max(1, size["d"]))):
-        return _past_one_block(lv, rv, k, threshold)
+        return _past_one_block(lv, head, k, threshold)
+    size = rv.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     return _by_cells(lv, rv, size["n"], size["d"], k, threshold, block_rows)
 
 
