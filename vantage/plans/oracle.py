@@ -454,6 +454,10 @@ SELECT unnest(['mapping', 'viewpoints', 'grouped', 'assignment', 'buckets']) AS
 FROM (SELECT count(*) AS n, count(DISTINCT o_custkey) AS v FROM orders)""",
     "clustered_join": "WITH RECURSIVE " + MAPPING + "," + BUCKETS + """
 SELECT viewpoint_id, bucket_id, image_count AS images FROM assign""",
+    "clustered_hot_join": """
+WITH moved AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS viewpoint_id, o_orderkey AS seq FROM orders)
+SELECT viewpoint_id, count(*) AS images, CAST(sum(seq) - count(*) * min(seq) AS BIGINT) AS distance
+FROM moved GROUP BY viewpoint_id""",
 }
 
 # The same tables by way of files.

@@ -19,6 +19,7 @@ from vantage.sources import sinks
 
 NUM_BUCKETS = 8
 DOCUMENTS = 4  # COCO documents a split is written as
+HOT_SHARE = 0.05  # of all rows, of a key with files of its own
 PIECE = 7  # values of a list piece, so that lists of the driver tables have several
 
 
@@ -198,6 +199,27 @@ def clustered_counts(rows: DataFrame, dealt: DataFrame) -> DataFrame:
     return rows.join(dealt.hint("merge"), "viewpoint_id").groupBy("viewpoint_id", "bucket_id").agg(F.count(F.lit(1)).alias("images"))
 
 
+def hot_mapping(spark, d) -> DataFrame:
+    """The mapping with every third image moved to viewpoint 0."""
+    moved = F.when(F.col("seq") % 3 == 0, F.lit(0)).otherwise(F.col("viewpoint_id")).cast("long")
+    return D.mapping(spark, d).select(moved.alias("viewpoint_id"), "seq")
+
+
+def q_clustered_hot_join(spark, d):
+    """D7 with a viewpoint that holds a third of all images: its rows lie in
+    files of their own; each viewpoint's images and their distance to its first."""
+    from vantage.sources import layout as L
+
+    mapping = hot_mapping(spark, d)
+    firsts = mapping.groupBy("viewpoint_id").agg(F.min("seq").alias("first_seq"))
+    hot = L.hot_keys_of([mapping, firsts], "viewpoint_id", HOT_SHARE)
+    rows = L.write_parts(mapping, scratch_path(spark, "by-viewpoint"), "viewpoint_id", NUM_BUCKETS, hot)
+    first = L.write_parts(firsts, scratch_path(spark, "by-viewpoint"), "viewpoint_id", NUM_BUCKETS, hot)
+    per_viewpoint = lambda df: df.groupBy("viewpoint_id").agg(
+        F.count(F.lit(1)).alias("images"), F.sum(F.col("seq") - F.col("first_seq")).alias("distance"))
+    return L.join_parts(rows, first, "viewpoint_id", then=per_viewpoint)
+
+
 QUERIES = {
     "registry_round_trip": q_registry_round_trip,
     "decision_log": q_decision_log,
@@ -212,4 +234,5 @@ QUERIES = {
     "write_pass_checks": q_write_pass_checks,
     "job_steps": q_job_steps,
     "clustered_join": q_clustered_join,
+    "clustered_hot_join": q_clustered_hot_join,
 }
