@@ -135,3 +135,14 @@ def test_far_tiles_are_left_out(spark):
     n = t.count()
     assert E.routes(t, dim_of, 0.95).count() < n * (n + 1) / 4
     assert got(E.near_duplicates(frame(spark, data), cfg)) == brute(data)
+
+
+@pytest.mark.parametrize("sample_rows", [1, 40])
+def test_lengths_that_the_sample_misses(spark, sample_rows):
+    """Rare lengths beside a frequent one: the cuts are placed without them."""
+    rng = np.random.default_rng(12)
+    rare = [f32(rng.normal(size=d)) for d in (1, 2, 5, 7, 30)]
+    data = mixture(8, 60, groups=2)
+    data += [(1000 + i, [k * x for x in v], 0) for i, v in enumerate(rare) for k in (1, 2)]
+    cfg = E.EmbeddingDedupConfig(block_rows=16, sample_rows=sample_rows, box_dims=3)
+    assert got(E.near_duplicates(frame(spark, data), cfg)) == brute(data)

@@ -228,7 +228,8 @@ def forest(classes: DataFrame, sizes: dict[int, int], turn: dict, cfg: Embedding
     out, first = {}, 0
     for d, n in sorted(sizes.items()):
         mine = taken[taken.dim == d]
-        y = np.array(mine.y.tolist(), dtype=np.float64).reshape(len(mine), -1)
+        # a rare length may have no vector in the sample: one leaf
+        y = np.array(mine.y.tolist(), dtype=np.float64).reshape(len(mine), min(d, cfg.box_dims))
         leaves = max(1, min(cfg.max_leaves * n // total, -(-n // rows_per_tile(d, cfg))))
         out[d], first = grow(y, leaves, first)
     return out
