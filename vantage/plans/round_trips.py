@@ -68,7 +68,7 @@ def coco_documents(spark, d) -> dict[str, str]:
     for name in ("train", "val"):
         mine = images.where(F.col("split") == name).drop("split"), annotations.where(F.col("split") == name).drop("split")
         sinks.write_coco(*mine, categories, f"{root}/{name}", DOCUMENTS)
-        out[name] = f"{root}/{name}/*/*"
+        out[name] = f"{root}/{name}"
     return out
 
 

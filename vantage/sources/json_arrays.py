@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ from vantage.operators.util import broadcast_if_small
 
 BLOCK = 4 << 20  # bytes of text handled at a time
 PIECE = "file string, start long, run int, name string, n long, begins boolean, ends boolean, text string"
+TYPES = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
+NAMES = [c.split(" ")[0] for c in PIECE.split(", ")]
 ELEMENT = b"\x01"  # stands for an element; JSON text holds no such byte
 ROW = re.compile(rb"\x01(?:[ \t\r\n]*,[ \t\r\n]*\x01)+")
 KEY = re.compile(rb'"((?:[^"\\]|\\.)*)"[ \t\r\n]*:[ \t\r\n]*$')
@@ -57,20 +60,32 @@ def fragments(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_size").alias("size"), "value")
 
 
+def split_runs(b: pa.RecordBatch) -> Iterator[tuple[tuple[str, int, int], pa.Array]]:
+    """((file, start, size), fragments) for each run of a batch's rows in one split."""
+    file, start, size, value = b.columns
+    value.validate(full=True)  # text that isn't UTF-8 is an error
+    n = len(b)
+    change = pc.or_(pc.not_equal(file.slice(1), file.slice(0, n - 1)), pc.not_equal(start.slice(1), start.slice(0, n - 1)))
+    cuts = (np.flatnonzero(change.to_numpy(zero_copy_only=False)) + 1).tolist()
+    for i, j in zip([0, *cuts], [*cuts, n]):
+        yield (file[i].as_py(), start[i].as_py(), size[i].as_py()), value.slice(i, j - i).cast(pa.binary())
+
+
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, int, bytes]]:
     """(file, start, size, fragments, text) in runs of about BLOCK bytes of one
     split; every fragment gets its brace back."""
-    at, held, n = None, [], 0
+    at, held, rows, n = None, [], 0, 0
     for b in batches:
-        for file, start, size, value in zip(*(c.to_pylist() for c in b.columns)):
-            if at != (file, start, size) or n >= BLOCK:
+        for here, values in split_runs(b) if len(b) else ():
+            if at != here or n >= BLOCK:
                 if held:
-                    yield *at, len(held), b"}".join(held) + b"}"
-                at, held, n = (file, start, size), [], 0
-            held.append(value.encode("utf-8", "surrogatepass"))
-            n += len(held[-1])
+                    yield *at, rows, b"}".join(held) + b"}"
+                at, held, rows, n = here, [], 0, 0
+            one = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            held.append(pc.binary_join(one, b"}")[0].as_py())
+            rows, n = rows + len(values), n + len(held[-1])
     if held:
-        yield *at, len(held), b"}".join(held) + b"}"
+        yield *at, rows, b"}".join(held) + b"}"
 
 
 def marks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,7 +163,9 @@ class _Split:
         self.tail = b""  # the end of what came before, outside elements
         self.outline = b""
 
-    def feed(self, text: bytes) -> list[tuple]:
+    def feed(self, text: bytes) -> tuple[list[tuple], list[pa.RecordBatch]]:
+        """Rows for what begins or crosses borders, batches of the elements
+        that lie whole in ``text``."""
         a, quotes, step = marks(text)
         step = np.where((quotes + self.string) % 2 == 0, step, 0)
         after = self.depth + np.cumsum(step)
@@ -158,25 +175,50 @@ class _Split:
         self.outline += skeleton[opens | (before <= 2) & (after <= 2)].tobytes()
         if len(self.outline) > 1 << 16:
             self.outline = short(self.outline)
-        event = opens | (step > 0) & (before == 1) | (step < 0) & (after == 2)
-        rows, begin, plain = [], 0, 0  # where the open element, and what is outside elements, begins
-        for i, was, now in zip(*(x.tolist() for x in (np.flatnonzero(event), before[event], after[event]))):
-            if was == 1:  # an array opens, or an object
+        # An element opens and closes in turn; an array opens between elements.
+        begins, ends = np.flatnonzero(opens), np.flatnonzero((step < 0) & (after == 2)) + 1
+        arrays = np.flatnonzero((step > 0) & (before == 1))
+        rows, whole, plain = [], [], 0  # plain: where what is outside elements begins
+        if self.open and len(ends):
+            plain = int(ends[0])
+            self.part.append(text[:plain])
+            rows.append(self._piece(True))
+            self.open, self.part, self.tail, ends = False, [], b"", ends[1:]
+        elif self.open:
+            self.part.append(text)
+            begins = begins[:0]
+        borders = [0, *np.searchsorted(begins, arrays).tolist(), len(begins)]
+        for k, (lo, hi) in enumerate(zip(borders, borders[1:])):
+            if k:  # an array opens, or an object
+                i = int(arrays[k - 1])
                 self.run, self.n = self.run + 1, 0
                 key = KEY.search(self.tail + text[plain:i]) if text[i] == 91 else None
                 rows.append((*self.at, self.run, key[1].decode("utf-8", "replace") if key else "", -2, True, True, ""))
-            elif now == 3:
-                self.open, self.begins, begin = True, True, i
-            else:
-                self.part.append(text[begin : i + 1])
-                rows.append(self._piece(True))
-                self.open, self.part, self.tail, plain = False, [], b"", i + 1
-        if self.open:
-            self.part.append(text[begin:])
-        else:
+            done = min(hi, len(ends))  # the last one may stay open
+            if done > lo:
+                whole.append(self._whole(a, begins[lo:done], ends[lo:done]))
+                self.tail, plain = b"", int(ends[done - 1])
+            if hi > done:
+                self.open, self.begins = True, True
+                self.part.append(text[int(begins[done]) :])
+        if not self.open:
             self.tail = (self.tail + text[plain:])[-4096:]
         self.depth, self.string = int(after[-1]), (self.string + int(quotes[-1])) % 2
-        return rows
+        return rows, whole
+
+    def _whole(self, a: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        k, lengths = len(begins), ends - begins
+        inside = np.zeros(len(a) + 1, np.int8)
+        inside[begins] += 1
+        inside[ends] -= 1
+        body = a[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        text = pa.StringArray.from_buffers(k, pa.py_buffer(offsets), pa.py_buffer(body))
+        n = pa.array(np.arange(self.n, self.n + k))
+        self.n += k
+        same = [pa.repeat(pa.scalar(v, t), k) for v, t in zip((*self.at, self.run), TYPES)]
+        yes = pa.repeat(True, k)
+        return pa.RecordBatch.from_arrays([*same, pa.nulls(k, pa.string()), n, yes, yes, text], names=NAMES)
 
     def _piece(self, ends: bool) -> tuple:
         body = b"".join(self.part).decode("utf-8", "surrogatepass")
@@ -199,11 +241,9 @@ def pieces(rows: DataFrame, begin: dict[tuple[str, int], tuple[int, int]]) -> Da
     and each array it opens is a further run (a row with n -2 has its name);
     ``n`` counts elements inside a run, a part without begin has -1. Run -1
     holds the outline."""
-    types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
-    names = [c.split(" ")[0] for c in PIECE.split(", ")]
 
     def batch(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), TYPES)], names=NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = None
@@ -212,9 +252,10 @@ def pieces(rows: DataFrame, begin: dict[tuple[str, int], tuple[int, int]]) -> Da
                 if split is not None:
                     yield batch(split.finish())
                 split = _Split(file, start, *begin[file, start])
-            found = split.feed(text)
+            found, whole = split.feed(text)
             if found:
                 yield batch(found)
+            yield from whole
         if split is not None:
             yield batch(split.finish())
 

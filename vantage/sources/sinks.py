@@ -113,10 +113,10 @@ def write_bucket_files(assignment: DataFrame, totals: DataFrame, members: DataFr
 
 
 def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame, path: str, documents: int = 1) -> None:
-    """Raw COCO tables as JSON documents, one file in each folder
-    ``document=<n>``: images and their annotations are dealt by image id, the
-    categories are in every document. Elements follow ``pos``; null fields are
-    left out. A document is streamed by one task."""
+    """Raw COCO tables as JSON documents, one file each: images and their
+    annotations are dealt by image id, the categories are in every document.
+    Elements follow ``pos``; null fields are left out. A document is streamed
+    by a task of its own."""
     fields = lambda df: F.to_json(F.struct(*[c for c in df.columns if c != "pos"]))
     deal = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(documents)).cast("int").alias("document")
     each = F.explode(F.sequence(F.lit(0), F.lit(documents - 1))).alias("document")
@@ -129,19 +129,25 @@ def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame,
     rows = rows.unionByName(frame.select(each, "section", F.lit(-1).cast("long").alias("pos"), "value"))
 
     def commas(batches):
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        last = None
+        last = (-1, -1)  # document and section of the element before, -1 where none
         for b in batches:
-            out = []
-            for document, section, pos, value in zip(*(c.to_pylist() for c in b.columns)):
-                out.append(("," if pos >= 0 and last == (document, section) else "") + value)
-                last = (document, section) if pos >= 0 else None
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["document", "value"])
-
-    laid = rows.repartition(documents, "document").sortWithinPartitions("document", "section", "pos", "value")
-    laid.select("document", "section", "pos", "value").mapInArrow(commas, "document int, value string") \
-        .write.mode("overwrite").partitionBy("document").text(path)
+            if not len(b):
+                continue
+            document, section, pos = (c.to_numpy(zero_copy_only=False) for c in b.columns[:3])
+            element = pos >= 0
+            here = np.where(element, document, -1), np.where(element, section, -1)
+            before = [np.concatenate([[x], h[:-1]]) for x, h in zip(last, here)]
+            again = element & (before[0] == here[0]) & (before[1] == here[1])
+            comma = pc.if_else(pa.array(again), ",", "")
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(comma, b.column(3), "")], names=["value"])
+            last = int(here[0][-1]), int(here[1][-1])
+
+    laid = rows.repartitionById(documents, F.col("document")).sortWithinPartitions("document", "section", "pos", "value")
+    laid.select("document", "section", "pos", "value").mapInArrow(commas, "value string").write.mode("overwrite").text(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
