@@ -11,6 +11,23 @@ DEFAULT_BROADCAST_ROWS = 200_000
 # Largest size of those rows, as JSON text, that we are willing to ship.
 MAX_BROADCAST_BYTES = 32 << 20
 
+# Rows of a large table that one task sorts or groups.
+PART_ROWS = 250_000
+# Up to this many rows, exchanges are left to AQE, which merges small partitions.
+AQE_ROWS = 16 * PART_ROWS
+
+
+def parts_of(df: DataFrame) -> int:
+    """Partitions of about ``PART_ROWS`` rows that ``df`` fills; 0 for a table
+    that is best left to AQE. Counts the rows (of a Parquet table: from its footers)."""
+    rows = df.count()
+    return 0 if rows <= AQE_ROWS else -(-rows // PART_ROWS)
+
+
+def dealt(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to ``parts`` partitions, which AQE doesn't merge."""
+    return df.repartition(parts, *keys) if parts else df
+
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1 per task)."""
