@@ -4,6 +4,8 @@ returns what came back."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from vantage.operators import metrics as M
 from vantage.operators.checks import RuleCounters
 from vantage.operators.normalize import normalize_annotations, normalize_categories, normalize_images
 from vantage.operators.util import round_doubles
-from vantage.session import scratch_path
+from vantage.session import free_scratch, scratch_path, shuffles_freed
 from vantage.sources import driver_tables as D
 from vantage.sources import sinks
 
@@ -58,18 +60,23 @@ def q_decision_log(spark, d):
     return R.review_progress(R.with_candidate_order(L.decided(pairs, path)))
 
 
-def coco_documents(spark, d) -> dict[str, str]:
-    """The driver's images and annotations as COCO documents, a folder a split."""
+def coco_documents(spark, d) -> Iterator[tuple[str, str]]:
+    """The driver's images and annotations as COCO documents: each split's name
+    and folder. The folder is emptied when the next split is asked for."""
     images, categories = D.raw_images(spark, d), D.raw_categories(spark, d)
     split = images.select(F.col("id").alias("image_id"), "split")
     annotations = D.raw_annotations(spark, d).join(split, "image_id")
-    root = scratch_path(spark, "coco")
-    out = {}
+    joined = scratch_path(spark, "coco-annotations")  # smaller than the join's shuffle, which would stand beside the documents
+    with shuffles_freed(spark):
+        annotations.write.option("compression", "zstd").partitionBy("split").parquet(joined)
+    annotations = spark.read.schema(annotations.schema).parquet(joined)
     for name in ("train", "val"):
         mine = images.where(F.col("split") == name).drop("split"), annotations.where(F.col("split") == name).drop("split")
-        sinks.write_coco(*mine, categories, f"{root}/{name}", DOCUMENTS)
-        out[name] = f"{root}/{name}"
-    return out
+        path = scratch_path(spark, f"coco-{name}")
+        sinks.write_coco(*mine, categories, path, DOCUMENTS)
+        yield name, path
+        free_scratch(spark, [path])
+    free_scratch(spark, [joined])
 
 
 def q_coco_images(spark, d):

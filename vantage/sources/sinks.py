@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.constants import PREVIEW_LIMIT
+from vantage.session import shuffles_freed
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "emptyValue": ""}
 
@@ -147,7 +148,8 @@ def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame,
             last = int(here[0][-1]), int(here[1][-1])
 
     laid = rows.repartitionById(documents, F.col("document")).sortWithinPartitions("document", "section", "pos", "value")
-    laid.select("document", "section", "pos", "value").mapInArrow(commas, "value string").write.mode("overwrite").text(path)
+    with shuffles_freed(images.sparkSession):
+        laid.select("document", "section", "pos", "value").mapInArrow(commas, "value string").write.mode("overwrite").text(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
