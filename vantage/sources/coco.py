@@ -107,7 +107,7 @@ def stage_coco(spark: SparkSession, paths: dict[str, str] | Iterable[tuple[str,
         rules = RuleCounters(f"stage-{name}", box_rules() if name == "annotations" else {})
         rows = rules.watch(rows.repartition(partitions) if partitions else rows)
         with shuffles_freed(spark):
-            rows.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{out_dir}/{name}")
         if strict:
             rules.enforce(f"{out_dir}/{name}")
         facts[name] = rules.rows
